@@ -33,6 +33,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import replace_pii
+
+    return replace_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
