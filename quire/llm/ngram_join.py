@@ -37,6 +37,8 @@ BAND_ROWS = 6
 SMALL = 6
 #: Nodes in a block when large buckets are compared.
 BLOCK = 512
+#: Further MinHashes for nodes of large buckets, so that few pairs below the threshold pass on signatures.
+EXTRA = 640
 _words = re.compile(r"[^\W_]+").findall
 
 
@@ -104,10 +106,7 @@ def signatures(docs: DataFrame, key: str, text: str, n: int, bands: int, rows: i
                 if not len(word):
                     continue
                 grams = shingle.grams(word)
-                low = np.full(bands * rows, np.iinfo(np.uint32).max, dtype=np.uint32)
-                for at in range(0, len(grams), 2048):
-                    part = ((grams[at : at + 2048, None] * mult + add) >> np.uint64(32)).astype(np.uint32)
-                    low = np.minimum(low, part.min(axis=0))
+                low = _minhash(grams, mult, add)
                 low64 = low.astype(np.uint64)
                 band = _mix((low64.reshape(bands, rows) * weight).sum(axis=1, dtype=np.uint64) + number)
                 ids.append(batch.column(0)[i].as_py())
@@ -120,6 +119,29 @@ def signatures(docs: DataFrame, key: str, text: str, n: int, bands: int, rows: i
     return source.mapInArrow(run, "id bigint, digest binary, sig binary, bands array<bigint>")
 
 
+def _minhash(grams: np.ndarray, mult: np.ndarray, add: np.ndarray) -> np.ndarray:
+    low = np.full(len(mult), np.iinfo(np.uint32).max, dtype=np.uint32)
+    for at in range(0, len(grams), 2048):
+        part = ((grams[at : at + 2048, None] * mult + add) >> np.uint64(32)).astype(np.uint32)
+        low = np.minimum(low, part.min(axis=0))
+    return low
+
+
+def _wider(texts: DataFrame, n: int) -> DataFrame:
+    """node, more: EXTRA further MinHash bytes, for the few nodes that large buckets leave to compare."""
+    rng = np.random.default_rng(20241)
+    mult = rng.integers(1, 1 << 62, EXTRA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    add = rng.integers(0, 1 << 62, EXTRA, dtype=np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingler(n)
+        for batch in batches:
+            more = [(_minhash(shingle(t.as_py()), mult, add) & 0xFF).astype(np.uint8).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(more, pa.binary())], names=["node", "more"])
+
+    return texts.mapInArrow(run, "node bigint, more binary")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
     """Of (a, b) pairs those whose full n-gram sets are similar enough: a, b, similarity."""
     count = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
@@ -151,7 +173,7 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = NGR
     nodes = saved(signed.groupBy("digest").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("n"), F.min("sig").alias("sig"), F.min("bands").alias("bands")), "nodes")
     members = hot_join(signed.select("id", "digest"), nodes.select("digest", "node", "n"), "digest", "n", signed.count()).select("id", "node")
 
-    band = nodes.select("node", F.explode("bands").alias("bucket")).distinct()
+    band = nodes.select("node", F.posexplode("bands").alias("band", "bucket")).distinct()
     sized = band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     total = nodes.count() * bands
     meets = saved(hot_join(band, sized, "bucket", "n", total).where("n IS NOT NULL"), "buckets")
@@ -169,31 +191,37 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = NGR
     roots = components(edges.select("a", "b"))
 
     # Large buckets whose nodes are not all in one component yet.
-    large = meets.where(F.col("n") > SMALL).join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
+    large = meets.where(F.col("n") > SMALL).join(roots, "node", "left").select("bucket", "band", "node", "n", F.coalesce("root", "node").alias("root"))
     parts = large.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max_by("root", F.struct("m", "root")).alias("main"), F.sum("m").alias("n")).where("parts > 1")
     if not parts.isEmpty():
-        rest = saved(hot_join(large.select("bucket", "node", "root"), parts, "bucket", "n", total).where("main IS NOT NULL").join(nodes.select("node", "sig"), "node"), "rest")
+        rest = saved(hot_join(large.select("bucket", "band", "node", "root"), parts, "bucket", "n", total).where("main IS NOT NULL").join(nodes.select("node", "sig"), "node"), "rest")
+        wide = _wider(texts.join(rest.select(F.col("node").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("node"), "t"), n)
+        rest = saved(rest.join(saved(wide, "wide"), "node").withColumn("sig", F.concat("sig", "more")).drop("more"), "rest")
         block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK).cast("long"))
-        held = F.collect_list(F.struct("node", "root", "sig"))
-        every = rest.groupBy("bucket", block.alias("k")).agg(held.alias("all"))
-        odd = rest.where("root <> main").groupBy("bucket", block.alias("j")).agg(held.alias("some"))
-        least = threshold - 4.5 * math.sqrt(threshold * (1 - threshold) / (bands * band_rows))
+        held = F.collect_list(F.struct("node", "root", "sig", (F.col("root") != F.col("main")).alias("odd")))
+        every = rest.groupBy("bucket", "band", block.alias("k")).agg(held.alias("all"))
+        odd = rest.where("root <> main").groupBy("bucket", "band", block.alias("j")).agg(held.alias("some"))
+        least = threshold - 4 * math.sqrt(threshold * (1 - threshold) / (bands * band_rows + EXTRA))
 
         def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Pairs across components that the signatures let pass, each only in the first band the two share."""
             for batch in batches:
                 a, b = [], []
                 for i in range(batch.num_rows):
-                    one, two = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                    band, one, two = batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
                     sig = np.frombuffer(b"".join(x["sig"] for x in two), dtype=np.uint8).reshape(len(two), -1)
-                    roots2 = np.array([x["root"] for x in two])
+                    roots, ids, odds = (np.array([x[c] for x in two]) for c in ("root", "node", "odd"))
                     for x in one:
-                        same = (sig == np.frombuffer(x["sig"], dtype=np.uint8)).mean(axis=1)
-                        for j in np.flatnonzero((same >= least) & (roots2 != x["root"])):
-                            a.append(min(x["node"], two[j]["node"]))
-                            b.append(max(x["node"], two[j]["node"]))
+                        same = sig == np.frombuffer(x["sig"], dtype=np.uint8)
+                        good = (roots != x["root"]) & (~odds | (ids > x["node"])) & (same.mean(axis=1) >= least)
+                        near = np.flatnonzero(good)
+                        near = near[same[near, : bands * band_rows].reshape(len(near), bands, band_rows).all(axis=2).argmax(axis=1) == band]
+                        for j in ids[near].tolist():
+                            a.append(min(x["node"], j))
+                            b.append(max(x["node"], j))
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-        more = odd.join(every, "bucket").select("some", "all").mapInArrow(near, "a bigint, b bigint").distinct().join(pairs, ["a", "b"], "left_anti")
+        more = odd.join(every, ["bucket", "band"]).select("band", "some", "all").mapInArrow(near, "a bigint, b bigint").distinct().join(pairs, ["a", "b"], "left_anti")
         found = saved(_verified(saved(more, "more"), texts, n, threshold), "edges2")
         if not found.isEmpty():
             edges = edges.unionByName(found)
