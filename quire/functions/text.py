@@ -43,7 +43,8 @@ def normalize(x: Column) -> Column:
 
 def shingles(x: Column, k: int) -> Column:
     """Distinct substrings of length k; a shorter text is its own shingle; none for an empty text."""
-    each = F.transform(F.sequence(F.lit(1), F.greatest(F.length(x) - k + 1, F.lit(1))), lambda i: F.substring(x, i, F.lit(k)))
+    # The letters are bound once: substring() would walk the text from its start for every shingle.
+    each = F.transform(F.array(F.split(x, "")), lambda c: F.transform(F.sequence(F.lit(0), F.greatest(F.size(c) - k, F.lit(0))), lambda i: F.concat(*[F.get(c, i + j) for j in range(k)])))[0]
     return F.when(F.length(x) == 0, F.array().cast("array<string>")).when(F.length(x) <= k, F.array(x)).otherwise(F.array_distinct(each))
 
 

@@ -4,14 +4,286 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from quire.functions import guards, text
+from quire.operators import dedup, sequence
 
 Query = Callable[[SparkSession, str], DataFrame]
+_made: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def keep(f: Query) -> Query:
+        _made[f.__name__] = f
+        if sql:
+            _sql[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def entries(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select(F.col("lang").alias("scope"), F.col("doc_id").alias("id"), "text")
+
+
+NOISE = r"\\(?:" + "|".join(text.NOISE_COMMANDS) + ")"
+NORM = rf"trim(regexp_replace(regexp_replace(lower(coalesce(text, '')), '{NOISE}', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'))"
+NUMBERED = "SELECT conv_id, turn, CAST(turn + 1 AS VARCHAR) || '. ' || text AS line FROM conversations"
+
+
+def numbered(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "conversations").select("conv_id", "turn", F.concat((F.col("turn") + 1).cast("string"), F.lit(". "), "text").alias("line"))
+
+
+@query(f"SELECT {NORM} AS norm, count(*) AS n, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
+def dedup_exact_norm(spark: SparkSession, d: str) -> DataFrame:
+    forms = table(spark, d, "documents").select("doc_id", text.normalize(F.coalesce("text", F.lit(""))).alias("norm"))
+    return forms.groupBy("norm").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")).where("n > 1")
+
+
+@query()
+def dedup_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.similar_pairs(entries(spark, d))
+
+
+@query()
+def dedup_groups(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.duplicate_groups(entries(spark, d))
+
+
+@query()
+def dedup_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.manifest(dedup.duplicate_groups(entries(spark, d)), "documents")
+
+
+@query(r"""SELECT doc_id, count(*) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+WHERE regexp_matches(line, '(?i)\bcopyright\b|©|all rights reserved|www\.|https?://|^\s*page\s*\d+\s*$|^\s*score\s*:?\s*$') GROUP BY doc_id""")
+def footer_lines(spark: SparkSession, d: str) -> DataFrame:
+    lines = table(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
+    return lines.where(text.is_footer(F.col("line"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(r"""SELECT doc_id, length(array_to_string(list_filter(string_split(text, chr(10)),
+lambda x: NOT regexp_matches(x, '(?i)\bcopyright\b|©|all rights reserved|www\.|https?://|^\s*page\s*\d+\s*$|^\s*score\s*:?\s*$')), chr(10))) AS n_left FROM documents WHERE text IS NOT NULL""")
+def footer_strip(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.length(text.without_footers(F.col("text"))).cast("long").alias("n_left"))
+
+
+@query(rf"SELECT conv_id, turn, CAST(regexp_extract(line, '^\s*(\d+)\s*[.)]', 1) AS INTEGER) AS number, length(regexp_extract(line, '^\s*(\d+)\s*[.)]', 0)) AS stop FROM ({NUMBERED}) q")
+def marker_parse(spark: SparkSession, d: str) -> DataFrame:
+    m = text.marker(F.col("line"))
+    return numbered(spark, d).select("conv_id", "turn", m["number"].alias("number"), m["end"].cast("long").alias("stop"))
+
+
+# line numbers repeat within an order, so rows are numbered by all that tells them apart
+MARKS = "SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS i, CAST(l_partkey % 8 + 1 AS BIGINT) AS raw FROM lineitem"
+
+
+def marks(spark: SparkSession, d: str) -> DataFrame:
+    i = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_partkey", i.cast("long").alias("i"), (F.col("l_partkey") % 8 + 1).alias("raw"))
+
+
+@query(f"""SELECT l_orderkey, i, raw, coalesce(raw > max(raw) OVER (PARTITION BY l_orderkey ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS kept FROM ({MARKS}) q""")
+def seg_increasing(spark: SparkSession, d: str) -> DataFrame:
+    return sequence.rising(marks(spark, d), ["l_orderkey"], ["i"], "raw").drop("l_partkey")
+
+
+ORDERED = MARKS
+
+
+@query(f"""WITH RECURSIVE m AS ({ORDERED}), f AS (
+SELECT l_orderkey, i, raw AS last, CAST(1 AS BIGINT) AS kept FROM m WHERE i = 1 UNION ALL
+SELECT m.l_orderkey, m.i, CASE WHEN m.raw = f.last + 1 THEN m.raw ELSE f.last END, CAST(CASE WHEN m.raw = f.last + 1 THEN 1 ELSE 0 END AS BIGINT)
+FROM f JOIN m ON m.l_orderkey = f.l_orderkey AND m.i = f.i + 1)
+SELECT l_orderkey, i, kept FROM f""")
+def seg_consecutive(spark: SparkSession, d: str) -> DataFrame:
+    return sequence.consecutive(marks(spark, d), ["l_orderkey"], "i", "raw")
+
+
+@query(f"""WITH RECURSIVE m AS ({ORDERED}), f AS (
+SELECT l_orderkey, i, raw AS last, raw AS top, CAST(0 AS BIGINT) AS off, raw AS problem FROM m WHERE i = 1 UNION ALL
+SELECT m.l_orderkey, m.i,
+CASE WHEN m.raw > f.last OR m.raw = 1 THEN m.raw ELSE f.last END,
+CASE WHEN m.raw > f.last THEN greatest(f.top, m.raw) WHEN m.raw = 1 THEN m.raw ELSE f.top END,
+CASE WHEN m.raw <= f.last AND m.raw = 1 THEN f.off + f.top ELSE f.off END,
+CASE WHEN m.raw > f.last THEN m.raw + f.off WHEN m.raw = 1 THEN m.raw + f.off + f.top END
+FROM f JOIN m ON m.l_orderkey = f.l_orderkey AND m.i = f.i + 1)
+SELECT l_orderkey, i, problem FROM f""")
+def seg_restart(spark: SparkSession, d: str) -> DataFrame:
+    return sequence.restarting(marks(spark, d), ["l_orderkey"], "i", "raw")
+
+
+@query("SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS body FROM conversations GROUP BY conv_id")
+def group_concat(spark: SparkSession, d: str) -> DataFrame:
+    parts = F.array_sort(F.collect_list(F.struct("turn", "text")))
+    return table(spark, d, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(parts, lambda x: x["text"]), "\n").alias("body"))
+
+
+@query("SELECT conv_id, turn, coalesce(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, length(text) AS size FROM conversations")
+def running_offset(spark: SparkSession, d: str) -> DataFrame:
+    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    return table(spark, d, "conversations").select("conv_id", "turn", F.coalesce(F.sum(F.length("text")).over(w), F.lit(0)).alias("start"), F.length("text").cast("long").alias("size"))
+
+
+@query("SELECT page_id, unnest(regexp_extract_all(html, '<li[^>]*>([^<]*)<', 1)) AS item FROM pages")
+def list_items(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit("<li[^>]*>([^<]*)<"), F.lit(1))).alias("item"))
+
+
+@query("SELECT page_id, regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1) AS heading FROM pages")
+def heading_starts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<h1[^>]*>([^<]*)</h1>", 1).alias("heading"))
+
+
+@query("SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '[ \\t\\n\\r]+', ' ', 'g')) AS plain FROM pages")
+def tag_strip(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", F.trim(F.regexp_replace(F.regexp_replace("html", "<[^>]+>", " "), "[ \t\n\r]+", " ")).alias("plain"))
+
+
+@query("""SELECT e.event_id, (SELECT max(a.ts) FROM events a WHERE a.event_type = 'error' AND a.user_id = e.user_id AND a.ts <= e.ts) AS owner FROM events e WHERE e.event_type <> 'error'""")
+def asof_owner(spark: SparkSession, d: str) -> DataFrame:
+    events = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    found = sequence.as_of(events.where("event_type <> 'error'"), events.where("event_type = 'error'").withColumn("at", F.col("ts")), ["user_id"], ["ts"], "at")
+    return found.select("event_id", "owner")
+
+
+BOXES = "SELECT l_orderkey AS page, l_linenumber AS box, CAST(l_partkey % 100 AS DOUBLE) AS x0, CAST(l_suppkey % 100 AS DOUBLE) AS y0, l_partkey % 100 + 1 + l_quantity AS x1, CAST(l_suppkey % 100 + 1 + l_linenumber * 9 AS DOUBLE) AS y1 FROM lineitem"
+
+
+def boxes(spark: SparkSession, d: str) -> DataFrame:
+    x, y = (F.col("l_partkey") % 100).cast("double"), (F.col("l_suppkey") % 100).cast("double")
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("box"), x.alias("x0"), y.alias("y0"), (x + 1 + F.col("l_quantity")).alias("x1"), (y + 1 + F.col("l_linenumber") * 9).cast("double").alias("y1"))
+
+
+@query(f"""WITH b AS ({BOXES}) SELECT page, box FROM b WHERE NOT EXISTS (SELECT 1 FROM b o WHERE o.page = b.page
+AND (o.x1 - o.x0) * (o.y1 - o.y0) > (b.x1 - b.x0) * (b.y1 - b.y0)
+AND greatest(0, least(b.x1, o.x1) - greatest(b.x0, o.x0)) * greatest(0, least(b.y1, o.y1) - greatest(b.y0, o.y0)) >= 0.9 * ((b.x1 - b.x0) * (b.y1 - b.y0)))""")
+def containment_anti(spark: SparkSession, d: str) -> DataFrame:
+    return sequence.without_nested(boxes(spark, d), "page", "box").select("page", "box")
+
+
+@query(f"""WITH b AS ({BOXES}), g AS (SELECT DISTINCT page, x0 AS x FROM b UNION SELECT DISTINCT page, x1 FROM b), h AS (SELECT DISTINCT page, y0 AS y FROM b UNION SELECT DISTINCT page, y1 FROM b),
+sx AS (SELECT page, x AS a, lead(x) OVER (PARTITION BY page ORDER BY x) AS z FROM g), sy AS (SELECT page, y AS a, lead(y) OVER (PARTITION BY page ORDER BY y) AS z FROM h)
+SELECT sx.page, sum((sx.z - sx.a) * (sy.z - sy.a)) AS area FROM sx JOIN sy ON sx.page = sy.page WHERE sx.z IS NOT NULL AND sy.z IS NOT NULL
+AND EXISTS (SELECT 1 FROM b WHERE b.page = sx.page AND b.x0 <= sx.a AND b.x1 >= sx.z AND b.y0 <= sy.a AND b.y1 >= sy.z) GROUP BY sx.page""")
+def union_area(spark: SparkSession, d: str) -> DataFrame:
+    return sequence.union_area(boxes(spark, d), ["page"])
+
+
+@query(f"""WITH b AS ({BOXES}), f AS (SELECT *, CASE WHEN y0 - lag(y1) OVER (PARTITION BY page ORDER BY y0, y1, box) >= 6 THEN 1 ELSE 0 END AS fresh FROM b)
+SELECT page, count(*) AS boxes, sum(fresh) + 1 AS groups FROM f GROUP BY page""")
+def islands_gap(spark: SparkSession, d: str) -> DataFrame:
+    w = Window.partitionBy("page").orderBy("y0", "y1", "box")
+    fresh = F.when(F.col("y0") - F.lag("y1").over(w) >= 6, 1).otherwise(0)
+    return boxes(spark, d).withColumn("fresh", fresh).groupBy("page").agg(F.count(F.lit(1)).alias("boxes"), (F.sum("fresh") + 1).alias("groups"))
+
+
+@query(f"""WITH b AS ({BOXES}), m AS (SELECT *, max(x1) OVER (PARTITION BY page ORDER BY x0, x1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM b),
+i AS (SELECT *, sum(CASE WHEN x0 - before >= 1 THEN 1 ELSE 0 END) OVER (PARTITION BY page ORDER BY x0, x1 ROWS UNBOUNDED PRECEDING) + 1 AS island FROM m)
+SELECT page, island, min(x0) AS x0, max(x1) AS x1 FROM i GROUP BY page, island""")
+def interval_merge(spark: SparkSession, d: str) -> DataFrame:
+    return sequence.islands(boxes(spark, d), ["page"], "x0", "x1", 1, True).groupBy("page", "island").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"))
+
+
+@query("""WITH r AS (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS i, count(*) OVER (PARTITION BY user_id, event_type) AS n FROM events)
+SELECT a.user_id, a.event_id AS click, b.event_id AS view FROM r a JOIN r b ON a.user_id = b.user_id AND a.i = b.i AND a.n = b.n WHERE a.event_type = 'click' AND b.event_type = 'view'""")
+def zip_guarded(spark: SparkSession, d: str) -> DataFrame:
+    w = Window.partitionBy("user_id", "event_type")
+    r = table(spark, d, "events").select("user_id", "event_type", "event_id", F.row_number().over(w.orderBy("ts", "event_id")).alias("i"), F.count(F.lit(1)).over(w).alias("n"))
+    a, b = r.where("event_type = 'click'"), r.where("event_type = 'view'").withColumnRenamed("event_id", "view")
+    return a.join(b.drop("event_type"), ["user_id", "i", "n"]).select("user_id", F.col("event_id").alias("click"), "view")
+
+
+@query(f"SELECT l_orderkey, bool_and(ok) AS rising FROM (SELECT l_orderkey, coalesce(l_partkey > lag(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY i), true) AS ok FROM ({MARKS}) m) q GROUP BY l_orderkey")
+def monotone_test(spark: SparkSession, d: str) -> DataFrame:
+    ok = F.coalesce(F.col("l_partkey") > F.lag("l_partkey").over(Window.partitionBy("l_orderkey").orderBy("i")), F.lit(True))
+    return marks(spark, d).select("l_orderkey", ok.alias("ok")).groupBy("l_orderkey").agg(F.bool_and("ok").alias("rising"))
+
+
+@query("SELECT l_orderkey, l_partkey, dense_rank() OVER (PARTITION BY l_orderkey ORDER BY l_partkey) AS number FROM lineitem")
+def renumber_dense(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "lineitem").select("l_orderkey", "l_partkey", F.dense_rank().over(Window.partitionBy("l_orderkey").orderBy("l_partkey")).alias("number"))
+
+
+@query("SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def anti_incremental(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", "source").join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_anti")
+
+
+@query("SELECT p_name AS target, count(DISTINCT p_partkey) AS sources FROM part GROUP BY p_name HAVING count(DISTINCT p_partkey) > 1")
+def collision(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").groupBy(F.col("p_name").alias("target")).agg(F.count_distinct("p_partkey").alias("sources")).where("sources > 1")
+
+
+@query("SELECT d.doc_id, coalesce(CAST(l.quality AS VARCHAR), nullif(d.lang, ''), d.source) AS answer, CASE WHEN l.quality IS NOT NULL THEN 'label' WHEN nullif(d.lang, '') IS NOT NULL THEN 'lang' ELSE 'source' END AS tier FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")
+def tiered_answer(spark: SparkSession, d: str) -> DataFrame:
+    both = table(spark, d, "documents").select("doc_id", "lang", "source").join(table(spark, d, "labels"), "doc_id", "left")
+    lang = F.nullif("lang", F.lit(""))
+    return both.select("doc_id", F.coalesce(F.col("quality").cast("string"), lang, "source").alias("answer"), F.when(F.col("quality").isNotNull(), "label").when(lang.isNotNull(), "lang").otherwise("source").alias("tier"))
+
+
+@query(r"SELECT p_partkey, regexp_replace(regexp_replace(regexp_replace(lower(p_name || ' ' || p_brand), '\\[a-z]+', '', 'g'), '[\s${}]', '', 'g'), '[^a-z0-9./-]', '', 'g') AS form FROM part")
+def answer_compare(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").select("p_partkey", text.answer_form(F.concat_ws(" ", "p_name", "p_brand")).alias("form"))
+
+
+@query()
+def runaway_batch(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", guards.runaway("text").alias("runaway"))
+
+
+@query("SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY sha256(coalesce(text, '')) ORDER BY doc_id) AS i FROM documents) q WHERE i = 1")
+def hash_dedupe(spark: SparkSession, d: str) -> DataFrame:
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return table(spark, d, "documents").groupBy(digest.alias("h")).agg(F.min_by(F.struct("doc_id", "source"), "doc_id").alias("x")).select("x.*")
+
+
+@query("SELECT user_id, count(*) AS n, sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k FROM events GROUP BY user_id")
+def props_json(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.get_json_object("props", "$.k").cast("long")).alias("k"))
+
+
+@query("""WITH t AS (SELECT o_orderstatus, o_totalprice, ntile(5) OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS q FROM orders)
+SELECT o_orderstatus, round(median(o_totalprice), 4) AS top_median, count(*) AS n FROM t WHERE q = 1 GROUP BY o_orderstatus""")
+def topk_median(spark: SparkSession, d: str) -> DataFrame:
+    q = F.ntile(5).over(Window.partitionBy("o_orderstatus").orderBy(F.desc("o_totalprice"), "o_orderkey"))
+    return table(spark, d, "orders").select("o_orderstatus", "o_totalprice", q.alias("q")).where("q = 1").groupBy("o_orderstatus").agg(F.round(F.percentile("o_totalprice", F.lit(0.5)), 4).alias("top_median"), F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def bench_overlap(spark: SparkSession, d: str) -> DataFrame:
+    """Share of a benchmark item's word 5-grams that a document holds; every 5-gram of both tables takes part."""
+    def grams(df: DataFrame, key: str) -> DataFrame:
+        words = F.filter(F.split(text.normalize(F.coalesce("text", F.lit(""))), " "), lambda w: w != "")
+        each = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 4, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice("w", i, 5), " ")))
+        return df.select(key, words.alias("w")).where("size(w) > 0").select(key, F.explode(F.array_distinct(each)).alias("g"))
+
+    items = grams(table(spark, d, "benchmark"), "item_id")
+    size = items.groupBy("item_id").agg(F.count(F.lit(1)).alias("m"))
+    hits = grams(table(spark, d, "documents"), "doc_id").join(items, "g").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    return hits.join(size, "item_id").select("item_id", "doc_id", F.round(F.col("n") / F.col("m"), 4).alias("share")).where("share >= 0.5")
+
+
+@query()
+def stream_guard(spark: SparkSession, d: str) -> DataFrame:
+    """The guard of quire.streaming over documents cut into chunks, run as a batch fold over ordered chunks."""
+    chunks = table(spark, d, "documents").select("doc_id", F.posexplode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("(?s).{1,64}"), F.lit(0))).alias("seq", "chunk"))
+    parts = F.array_sort(F.collect_list(F.struct("seq", "chunk")))
+    pages = chunks.groupBy("doc_id").agg(F.array_join(F.transform(parts, lambda x: x["chunk"]), "").alias("page"))
+    return pages.select("doc_id", F.length("page").cast("long").alias("chars"), guards.runaway("page").alias("runaway"))
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(_made)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
