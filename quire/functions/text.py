@@ -120,3 +120,50 @@ def place_refs(x: Column, refs: Column) -> Column:
 def preview(x: Column, most: int = 160) -> Column:
     flat = F.trim(F.regexp_replace(x, r"\s+", " "))
     return F.when(F.length(flat) <= most, flat).otherwise(F.concat(F.rtrim(F.substring(flat, 1, most - 1)), F.lit("…")))
+
+
+def boundary_clean(x: Column) -> Column:
+    """Lines of rules or bare emphasis at both edges go; an odd bold sign at the start goes too."""
+    edge = r"[-*_#=]+"
+    bare = F.regexp_replace(F.regexp_replace(strip(x), rf"^(?:[ \t]*{edge}[ \t]*(?:\n|$)\s*)+", ""), rf"(?:(?:^|\n)[ \t]*{edge}[ \t]*\s*)+$", "")
+    odd = (F.regexp_count(bare, F.lit(r"\*\*")) % 2 == 1) & F.startswith(bare, F.lit("**"))
+    return strip(F.when(odd, F.substring(bare, F.lit(3), F.length(bare))).otherwise(bare))
+
+
+def strip_tail(x: Column, heading: str) -> Column:
+    """Text before the first line that matches the heading."""
+    return strip(F.regexp_replace(x, rf"(?ms)^(?:{heading}).*", ""))
+
+
+def words(x: Column) -> Column:
+    return F.regexp_extract_all(F.lower(x), F.lit("[a-z0-9]+"), F.lit(0))
+
+
+def labelled_answer(x: Column) -> Column:
+    """Value of the first `Answer:` line, on that line or the next."""
+    return F.nullif(strip(F.regexp_extract(x, r"(?im)^[ \t*_]*(?:Final\s+)?Answer[*_]*\s*[:.][*_ \t]*\n?[ \t]*([^\n]+)", 1)), F.lit(""))
+
+
+def stated_answer(x: Column) -> Column:
+    """Value of the last `answer is ...` in prose."""
+    return F.nullif(strip(F.regexp_extract(x, r"(?is).*\banswer\s+is\s*:?\s*([^\n.,;]+)", 1)), F.lit(""))
+
+
+def valid_answer(x: Column) -> Column:
+    """One line, 120 characters at most, no implication, at most one equality."""
+    return F.coalesce((F.length(F.trim(x)) > 0) & (F.length(x) <= 120) & ~F.contains(x, F.lit("\n")) & ~x.rlike(r"\\iff|\\implies") & (F.regexp_count(x, F.lit("=")) <= 1), F.lit(False))
+
+
+def answer_cascade(block: Column) -> Column:
+    """STRUCT<answer, tier>: label, then box, then prose; a tier without a valid answer passes on to the next."""
+    out = F.lit(None).cast("struct<answer:string,tier:string>")
+    for tier, value in reversed([("label", labelled_answer(block)), ("box", last_boxed(block)), ("prose", stated_answer(block))]):
+        out = F.when(valid_answer(value), F.struct(value.alias("answer"), F.lit(tier).alias("tier"))).otherwise(out)
+    return out
+
+
+def solution_body(block: Column) -> Column:
+    """Text after the first Solution label, else after the Answer line, else the whole block."""
+    label, answer = r"(?im)^[ \t*_#]*Solution[*_]*\s*\d*\s*[:.]?[*_ \t]*", r"(?im)^[ \t*_]*(?:Final\s+)?Answer[*_]*\s*[:.][^\n]*\n?"
+    after = lambda p: F.get(F.split(block, p, 2), F.lit(1))
+    return strip(F.coalesce(after(label), after(answer), block))
