@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import guards, text
-from quire.operators import dedup, sequence
+from quire.functions.series import series
+from quire.operators import dedup, segment, sequence
 
 Query = Callable[[SparkSession, str], DataFrame]
 _made: dict[str, Query] = {}
@@ -48,12 +49,29 @@ def dedup_exact_norm(spark: SparkSession, d: str) -> DataFrame:
     return forms.groupBy("norm").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")).where("n > 1")
 
 
-@query()
+# distinct normal forms, their character 4-grams, and all pairs of a scope whose lengths allow the threshold
+FORMS = f"SELECT lang AS scope, norm, min(doc_id) AS node FROM (SELECT lang, doc_id, {NORM} AS norm FROM documents WHERE lang IS NOT NULL) q WHERE norm <> '' GROUP BY 1, 2"
+SETS = "SELECT scope, node, list_distinct(list_transform(range(1, greatest(length(norm) - 3, 1) + 1), lambda i: substr(norm, i, 4))) AS s FROM forms WHERE length(norm) >= 40"
+PAIRS = f"""forms AS ({FORMS}), sets AS MATERIALIZED ({SETS}), pairs AS MATERIALIZED (SELECT * FROM (SELECT x.scope, x.node AS a, y.node AS b,
+len(list_intersect(x.s, y.s)) AS n, len(x.s) + len(y.s) AS m FROM sets x JOIN sets y ON x.scope = y.scope AND x.node < y.node
+AND least(len(x.s), len(y.s)) >= 0.85 * greatest(len(x.s), len(y.s)) - 1e-9) q WHERE n / (m - n) >= 0.85)"""
+
+
+@query(f"WITH {PAIRS} SELECT scope, a, b, n / (m - n) AS similarity FROM pairs")
 def dedup_pairs(spark: SparkSession, d: str) -> DataFrame:
     return dedup.similar_pairs(entries(spark, d))
 
 
-@query()
+@query(f"""WITH RECURSIVE {PAIRS}, links AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs), reach AS (SELECT node AS a, node AS b FROM forms UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+roots AS (SELECT a AS node, min(b) AS root FROM reach GROUP BY a),
+docs AS (SELECT lang AS scope, doc_id, text, {NORM} AS norm FROM documents WHERE lang IS NOT NULL),
+members AS (SELECT d.scope, r.root, d.doc_id, d.text, r.node FROM docs d JOIN forms f ON f.scope = d.scope AND f.norm = d.norm JOIN roots r ON r.node = f.node),
+grouped AS (SELECT scope, root, count(*) AS members, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids,
+trim(regexp_replace(arg_min(text, doc_id), '[ \\t\\n\\f\\r\\x0B]+', ' ', 'g')) AS flat FROM members GROUP BY scope, root HAVING count(*) > 1),
+nodes AS (SELECT DISTINCT m.scope, m.root, m.node, s.s FROM members m JOIN sets s ON s.scope = m.scope AND s.node = m.node),
+floor AS (SELECT x.scope, x.root, min(len(list_intersect(x.s, y.s)) / (len(x.s) + len(y.s) - len(list_intersect(x.s, y.s)))) AS sim FROM nodes x JOIN nodes y ON x.scope = y.scope AND x.root = y.root AND x.node < y.node GROUP BY 1, 2)
+SELECT g.scope, g.root, g.members, g.ids, round(coalesce(f.sim, 1.0), 4) AS similarity,
+CASE WHEN length(g.flat) <= 160 THEN g.flat ELSE rtrim(substr(g.flat, 1, 159)) || '…' END AS preview FROM grouped g LEFT JOIN floor f ON f.scope = g.scope AND f.root = g.root""")
 def dedup_groups(spark: SparkSession, d: str) -> DataFrame:
     return dedup.duplicate_groups(entries(spark, d))
 
@@ -258,7 +276,13 @@ def topk_median(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderstatus", "o_totalprice", q.alias("q")).where("q = 1").groupBy("o_orderstatus").agg(F.round(F.percentile("o_totalprice", F.lit(0.5)), 4).alias("top_median"), F.count(F.lit(1)).alias("n"))
 
 
-@query()
+# a text's distinct word 5-grams; a shorter text is one gram
+GRAMS = "SELECT {key}, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')))) AS g FROM (SELECT {key}, list_filter(string_split(" + NORM + ", ' '), lambda x: x <> '') AS w FROM {table}) q WHERE len(w) > 0"
+
+
+@query(f"""WITH i AS ({GRAMS.format(key="item_id", table="benchmark")}), d AS ({GRAMS.format(key="doc_id", table="documents")}), m AS (SELECT item_id, count(*) AS m FROM i GROUP BY 1),
+h AS (SELECT item_id, doc_id, count(*) AS n FROM d JOIN i ON d.g = i.g GROUP BY 1, 2)
+SELECT item_id, doc_id, round(n / m, 4) AS share FROM h JOIN m USING (item_id) WHERE round(n / m, 4) >= 0.5""")
 def bench_overlap(spark: SparkSession, d: str) -> DataFrame:
     """Share of a benchmark item's word 5-grams that a document holds; every 5-gram of both tables takes part."""
     def grams(df: DataFrame, key: str) -> DataFrame:
@@ -281,6 +305,60 @@ def stream_guard(spark: SparkSession, d: str) -> DataFrame:
     return pages.select("doc_id", F.length("page").cast("long").alias("chars"), guards.runaway("page").alias("runaway"))
 
 
+@query(r"""SELECT conv_id, CAST(turn + 1 AS BIGINT) AS problem, trim(text, ' ') AS text FROM conversations""")
+def seg_problems(spark: SparkSession, d: str) -> DataFrame:
+    """Turns rendered as numbered problems of one document and segmented again."""
+    parts = F.array_sort(F.collect_list(F.struct("turn", "line")))
+    docs = numbered(spark, d).groupBy("conv_id").agg(F.array_join(F.transform(parts, lambda x: x["line"]), "\n").alias("text"))
+    return segment.problems(docs, "conv_id")
+
+
+@query(f"SELECT conv_id, turn, coalesce(lead(start) OVER (PARTITION BY conv_id ORDER BY turn), total) - start AS size FROM (SELECT conv_id, turn, sum(length(line)) OVER (PARTITION BY conv_id ORDER BY turn) - length(line) AS start, sum(length(line)) OVER (PARTITION BY conv_id) AS total FROM ({NUMBERED}) q) r")
+def slice_between(spark: SparkSession, d: str) -> DataFrame:
+    """Characters from each mark to the next, the last one to the end."""
+    w, all_rows = Window.partitionBy("conv_id").orderBy("turn"), Window.partitionBy("conv_id")
+    at = numbered(spark, d).withColumn("n", F.length("line")).select("conv_id", "turn", (F.sum("n").over(w) - F.col("n")).alias("start"), F.sum("n").over(all_rows).alias("total"))
+    return at.select("conv_id", "turn", (F.coalesce(F.lead("start").over(w), "total") - F.col("start")).alias("size"))
+
+
+@query(r"""SELECT doc_id FROM documents WHERE regexp_matches(text, '\S') AND NOT regexp_matches(array_to_string(list_filter(string_split(text, chr(10)),
+lambda x: NOT regexp_matches(x, '(?i)\bcopyright\b|©|all rights reserved|www\.|https?://|^\s*page\s*\d+\s*$|^\s*score\s*:?\s*$')), chr(10)), '\S')""")
+def page_suppress(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of which cleaning leaves nothing though they had text."""
+    return table(spark, d, "documents").where(F.col("text").rlike(r"\S") & ~text.without_footers(F.col("text")).rlike(r"\S")).select("doc_id")
+
+
+@query("""SELECT e.event_id, (SELECT max_by(a.event_id, struct_pack(a.ts, a.event_id)) FROM events a WHERE a.event_type = 'error' AND CAST(a.ts AS DATE) = CAST(e.ts AS DATE) AND (a.user_id % 10) = (e.user_id % 10)
+AND (a.user_id < e.user_id OR (a.user_id = e.user_id AND a.ts <= e.ts)) AND a.user_id = (SELECT max(c.user_id) FROM events c WHERE c.event_type = 'error' AND CAST(c.ts AS DATE) = CAST(e.ts AS DATE) AND (c.user_id % 10) = (e.user_id % 10) AND (c.user_id < e.user_id OR (c.user_id = e.user_id AND c.ts <= e.ts)))) AS owner FROM events e WHERE e.event_type <> 'error'""")
+def asof_composite(spark: SparkSession, d: str) -> DataFrame:
+    """As-of on an order of two columns, as boxes are ordered by column, then height."""
+    events = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type", F.to_date("ts").alias("day"), (F.col("user_id") % 10).alias("part"))
+    marks = events.where("event_type = 'error'").withColumn("mark", F.col("event_id"))
+    return sequence.as_of(events.where("event_type <> 'error'"), marks, ["day", "part"], ["user_id", "ts"], "mark").select("event_id", "owner")
+
+
+@query("SELECT p_partkey, p_name || '{' || p_brand || '}' AS boxed FROM part")
+def boxed_last(spark: SparkSession, d: str) -> DataFrame:
+    """Content of the last balanced box, with braces of its own."""
+    full = F.concat(F.lit(r"so \boxed{"), "p_type", F.lit(r"} or \boxed{"), "p_name", F.lit("{"), "p_brand", F.lit("}} is it {"))
+    return table(spark, d, "part").select("p_partkey", text.last_boxed(full).alias("boxed"))
+
+
+@query("SELECT o_orderkey, (o_custkey % 8) * 5 + o_orderkey % 5 + 1 AS number FROM orders")
+def grid_markers(spark: SparkSession, d: str) -> DataFrame:
+    """Grid labels 1A to 5H to running numbers."""
+    label = F.concat((F.col("o_orderkey") % 5 + 1).cast("string"), F.char((F.col("o_custkey") % 8 + 65).cast("long")), F.lit(". find it"))
+    return table(spark, d, "orders").select("o_orderkey", series("grid").marker(label)["number"].cast("long").alias("number"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_custkey % 3 = 0 THEN 'label' WHEN o_custkey % 3 = 1 THEN 'box' ELSE 'prose' END AS tier, CAST(o_orderkey AS VARCHAR) AS answer FROM orders")
+def extract_cascade(spark: SparkSession, d: str) -> DataFrame:
+    """Answers from labelled, boxed and prose blocks."""
+    k, kind = F.col("o_orderkey").cast("string"), F.col("o_custkey") % 3
+    block = F.when(kind == 0, F.concat(F.lit("work\nAnswer: "), k, F.lit("\nmore"))).when(kind == 1, F.concat(F.lit(r"so \boxed{"), k, F.lit("} is it"))).otherwise(F.concat(F.lit("hence the answer is "), k, F.lit(". Done")))
+    return table(spark, d, "orders").select("o_orderkey", text.answer_cascade(block).alias("a")).select("o_orderkey", "a.tier", "a.answer")
+
+
 def queries() -> dict[str, Query]:
     return dict(_made)
 
