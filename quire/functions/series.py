@@ -28,6 +28,20 @@ WORDS = ["one", "two", "three", "four", "five", "six", "seven", "eight", "nine",
 DEFAULT = [(p, plus()) for p in MARKERS]
 
 
+def relay(g: Callable[[int], Column]) -> Column:
+    """Pair and leg to 1-20: the first ten hold leg 1 of pairs 1-5 and leg 2 of pairs 6-10, the second ten the others."""
+    pair, leg = g(1).cast("int"), g(2).cast("int")
+    first = F.when(pair <= 5, leg == 1).otherwise(leg == 2)
+    return F.when(first, pair).otherwise(pair + 10)
+
+
+# Openings of instructions, which are numbered like problems in two series.
+INSTRUCTIONS = {
+    "cmimc": ["do not look", "this test consists", "write (?:your|answers|legibly)", "no computational aids", "all (?:the )?answers (?:are|must|should)", "answers (?:are|must|should)", "if you believe", "in your solution", "problems are not ordered", r"you have \d+ minutes", "during the test", "submit your answers", "we use the following notation", "the following notation may be useful", "in the event of a tie"],
+    "chmm": [r"you have \d+ minutes", "do not (?:look|flip|turn)", "this test consists", "no (?:collaboration|computational aids)", "you (?:are,?|may|can) (?:however, )?(?:permitted|collaborate|message)", "you may not collaborate", "congratulations for scoring", r"there are \d+ questions", r"the top \d+", "the time limit", "on the back side", "write (?:your|answers|legibly)", "all (?:the )?answers (?:are|must|should)", "answers (?:are|must|should)", "if you believe", "for multi-part problems", r"number of (?:correct\s+)?answers", "time at which", r"ties (?:will\s+be\s+)?broken"],
+}
+
+
 @dataclass(frozen=True)
 class Series:
     name: str
@@ -36,6 +50,7 @@ class Series:
     most: int | None = None  #: largest number that rules from `capped_from` on may give
     capped_from: int = 0
     skipped: str = ""  #: opening markup that is passed over
+    instructions: list[str] = field(default_factory=list)  #: what may not follow a capped rule's marker
 
     def marker(self, line: Column) -> Column:
         """STRUCT<number, end>, null where the line opens no problem."""
@@ -47,7 +62,9 @@ class Series:
             value = number(lambda g, pattern=pattern: F.regexp_extract(probe, pattern, g)).cast("int")
             found = F.struct(value.alias("number"), (lead + F.length(hit)).alias("end"))
             if self.most is not None and i >= self.capped_from:
-                found = F.when(value <= self.most, found)
+                rest = F.substring(probe, F.length(hit) + 1, F.length(probe))
+                told = rest.rlike(r"(?i)^\s*(?:" + "|".join(self.instructions) + r")\b") if self.instructions else F.lit(False)
+                found = F.when((value <= self.most) & ~told, found)
             out = F.when(hit != "", found).otherwise(out)
         for pattern in self.refused:
             out = F.when(~line.rlike(pattern), out)
@@ -58,12 +75,13 @@ class Series:
 REGISTRY = {s.name: s for s in [
     Series("default"),
     Series("usamts", [(r"^\s*(\d+)\s*/\s*\d+\s*/\s*\d+\s*\.", plus())]),
-    Series("hmmt", [(r"(?i)^\s*Question\s+(" + "|".join(WORDS) + r")\b", lambda g: F.array_position(F.lit(WORDS), F.lower(g(1)))), (r"(?i)^\s*Power\s+Question\b", fixed(1)), (r"(?i)^\s*Problem\s+[A-Za-z]{1,3}\s*(\d+)\b", plus()), *DEFAULT], skipped=r"^\s*(?:<[^>]+>\s*)+"),
-    Series("cmimc", [(r"^\s*(\d+)\s*-\s*(\d+)\s*\.", lambda g: (g(1).cast("int") - 1) * 2 + g(2).cast("int")), *DEFAULT], most=100, capped_from=1),
-    Series("chmm", [(r"(?i)^\s*Integral\s+(\d+)", plus()), (r"(?i)^\s*(?:IR|MR|TR|TBR)\s*(\d+)", plus()), (r"(?i)^\s*Problem\s+0\.(\d+)", plus()), (r"(?i)^\s*Solution\s+(\d+)", plus()), *DEFAULT], refused=[r"^\s*\d+\.\d+"], most=100, capped_from=4),
+    Series("hmmt", [(r"(?i)^\s*Question\s+(" + "|".join(WORDS) + r")\s*[.:]?", lambda g: F.array_position(F.lit(WORDS), F.lower(g(1)))), (r"(?i)^\s*(?:#+\s*)?(?:1998\s+)?Power\s+Question(?:\s+Solutions)?\b\s*[-:]?", fixed(1)), (r"(?i)^\s*Problem\s+[A-Za-z]{1,3}\s*(\d+)\b", plus()), *DEFAULT], skipped=r"(?i)^\s*(?:<(?:p|strong|b|em|span)\b[^>]*>\s*)+"),
+    Series("cmimc", [(r"^\s*(\d{1,2})-([12])\s*\.", relay), *DEFAULT], most=100, capped_from=1, instructions=INSTRUCTIONS["cmimc"]),
+    Series("chmm", [(r"(?i)^\s*(?:\\textbf\{\s*)?Integral\s+(\d+)\b(?:\s+Answer)?\s*\}?", plus()), (r"(?i)^\s*(?:IR|MR|TR|TBR)\s*(\d+)\s*[.)]?", plus()), (r"(?i)^\s*Problem\s+0[.](\d+)\s*[.)]?", plus()), (r"(?i)^\s*Solution\s+(\d+)\s*[.:)]?", plus()), *DEFAULT], refused=[r"(?i)^\s*(?:Lemma|Proof|Observation|Case)?\s*\d+\.\d+"], most=100, capped_from=4, instructions=INSTRUCTIONS["chmm"]),
     Series("mpfg_solutions", [(r"(?i)^\s*(?:\*{1,2}\s*)?Problem\s+(\d+)\b", plus())]),
     Series("farml", [(r"(?i)^\s*T(10|[1-9])\b", plus()), (r"(?i)^\s*I(10|[1-9])\b", plus(10)), (r"(?i)^\s*R1[/.-]([123])\b", plus(20)), (r"(?i)^\s*R2[/.-]([123])\b", plus(23)), (r"(?i)^\s*R([1-6])\b", plus(20)), (r"(?i)^\s*(?:Tiebreaker\s*2|TB2)\b", fixed(28)), (r"(?i)^\s*(?:TB1?\b|Tiebreaker(?:\s*1)?\b(?!\s+EVENT\b))", fixed(27))]),
-    Series("grid", [(r"(?i)^\s*([1-5])([A-H])\b", lambda g: (F.ascii(F.upper(g(2))) - 65) * 5 + g(1).cast("int"))]),
+    Series("smt", [(r"(?i)^\s*(?:[*_#]{0,3}[A-Z]{1,4}\d{1,3}[*_#]{0,3}\s+)?(?:Problem|Question|Q)?\s*(\d+)\s*[.:]\s*", plus())]),
+    Series("grid", [(r"(?i)^\s*(\d)\s*([A-H])\.\s*", lambda g: (F.ascii(F.upper(g(2))) - 65) * 5 + g(1).cast("int"))]),
     Series("bmt", [(r"(?i)^\s*(?:[*_#]{0,3}[A-Z0-9]{3,6}[*_#]{0,3}\s+)?(?:Problem|Question|Q)?\s*(\d+)\s*[.:]\s*", plus())]),
 ]}
 
