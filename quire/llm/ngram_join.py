@@ -11,8 +11,8 @@ The number of bands is the least that finds a pair at the threshold with probabi
 
 Defined results: words are runs of letters and digits, lower-cased; a text of fewer words than n has its words as its
 one n-gram; null texts and texts without words link to nothing; null ids get a class of null; rows that share an id are
-one document; class_id is the smallest id of the class; n_links counts the verified links of the document's text to
-other texts (a large group is linked through its centre, not expanded into all pairs); of each class one row is kept.
+one document; class_id is the smallest id of the class; n_links is the number of other texts of the class that are
+similar enough, each compared on the full n-gram sets (see link_counts); of each class one row is kept.
 """
 
 from __future__ import annotations
@@ -37,6 +37,9 @@ BAND_ROWS = 6
 SMALL = 6
 #: Nodes in a block when large buckets are compared.
 BLOCK = 512
+#: Nodes, and characters of text, in a block when the links of a component are counted.
+LINK_BLOCK = 1024
+LINK_CHARS = 8_000_000
 #: Further MinHashes for nodes of large buckets, so that few pairs below the threshold pass on signatures.
 EXTRA = 640
 _words = re.compile(r"[^\W_]+").findall
@@ -167,7 +170,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> D
 
 
 def links(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL, band_rows: int = BAND_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members: id, node), (edges: a, b, similarity between nodes), (roots: node, root)."""
+    """(members: id, node), (roots: node, root, for linked nodes), (texts: id, t, of at least those)."""
     bands = bands_for(threshold, band_rows, recall)
     signed = saved(signatures(docs, key, text, n, bands, band_rows), "signatures")
     nodes = saved(signed.groupBy("digest").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("n"), F.min("sig").alias("sig"), F.min("bands").alias("bands")), "nodes")
@@ -226,13 +229,75 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = NGR
         if not found.isEmpty():
             edges = edges.unionByName(found)
             roots = components(edges.select("a", "b"))
-    return members, edges, roots
-
-
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """key, class_id, class_size, n_links, kept for every row."""
-    members, edges, roots = links(docs, key, text, n, threshold, recall)
-    degree = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    return members, roots, texts
+
+
+def shared_grams(a: list[np.ndarray], b: list[np.ndarray] | None = None) -> np.ndarray:
+    """len(a) x len(b) sizes of the intersections of n-gram sets; without b, of a with itself."""
+    every = a + (b or [])
+    _, code = np.unique(np.concatenate(every), return_inverse=True)
+    often = np.bincount(code) > 1
+    keep = often[code]
+    col = (np.cumsum(often) - 1)[code[keep]]
+    row = np.repeat(np.arange(len(every)), [len(x) for x in every])[keep]
+    order = np.argsort(col, kind="stable")
+    col, row = col[order], row[order]
+    total = np.zeros((len(a), len(b or a)), dtype=np.float32)
+    for at in range(0, int(often.sum()), 2048):
+        part = slice(*np.searchsorted(col, [at, at + 2048]))
+        m = np.zeros((len(every), 2048), dtype=np.float32)
+        m[row[part], col[part] - at] = 1
+        total += m[: len(a)] @ (m[len(a) :] if b else m).T
+    return total
+
+
+def link_counts(roots: DataFrame, texts: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD) -> DataFrame:
+    """node, n_links: the other nodes of its component that are similar enough, all of them, on the full n-gram sets.
+
+    A component is cut into blocks of bounded size; two blocks meet in one task, as matrices whose product holds all
+    intersections, and only counts leave the task.  So no pair becomes a row."""
+    length = texts.select(F.col("id").alias("node"), F.length("t").alias("chars"))
+    sized = roots.join(length, "node").groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+    sized = saved(sized.select("root", "n", F.ceil(F.greatest(F.col("n") / LINK_BLOCK, F.col("chars") / LINK_CHARS)).cast("int").alias("blocks")), "components")
+    placed = hot_join(roots, sized, "root", "n", roots.count()).where("n > 2").select("node", "root", "blocks")
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingler(n)
+        for batch in batches:
+            found = pa.array([shingle(t.as_py()).tobytes() for t in batch.column(3)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], found], names=["node", "root", "blocks", "grams"])
+
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    held = placed.join(texts.select(F.col("id").alias("node"), "t"), "node").select("node", "root", "blocks", "t").mapInArrow(grams, "node bigint, root bigint, blocks int, grams binary")
+    held = held.withColumn("own", own).select("root", "node", "own", "grams", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    held = held.select("root", "node", "own", "grams", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+
+    def meet(table: pa.Table) -> pa.Table:
+        node, block = (np.asarray(table[c].to_numpy()) for c in ("node", "own"))
+        sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in table["grams"]]
+        size = np.array([len(x) for x in sets], dtype=np.float64)
+        lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
+        one, two = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        count = np.zeros(len(node), dtype=np.int64)
+        if len(one) and len(two):
+            both = shared_grams([sets[i] for i in one], None if lo == hi else [sets[i] for i in two]).astype(np.float64)
+            good = both / (size[one][:, None] + size[two][None, :] - both) >= threshold
+            if lo == hi:
+                np.fill_diagonal(good, False)
+            else:
+                count[two] = good.sum(axis=0)
+            count[one] = good.sum(axis=1)
+        return pa.table({"node": pa.array(node, pa.int64()), "n_links": pa.array(count, pa.int64())})
+
+    many = held.groupBy("root", "lo", "hi").applyInArrow(meet, "node bigint, n_links bigint").groupBy("node").agg(F.sum("n_links").alias("n_links"))
+    pair = hot_join(roots, sized, "root", "n", roots.count()).where("n = 2").select("node", F.lit(1).cast("long").alias("n_links"))
+    return many.unionByName(pair)
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL, count_links: bool = True) -> DataFrame:
+    """key, class_id, class_size, n_links (0 without count_links), kept for every row."""
+    members, roots, texts = links(docs, key, text, n, threshold, recall)
+    degree = link_counts(roots, texts, n, threshold) if count_links else roots.select("node", F.lit(0).cast("long").alias("n_links"))
     classed = members.join(roots, "node", "left").join(degree, "node", "left").select("id", F.coalesce("root", "node").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
     # Rows of one id are one document: the smallest class stands for all.
     one = classed.groupBy("id").agg(F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
@@ -249,7 +314,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The input with one document of each class: the one with the smallest id (of repeated rows of it, one)."""
-    found = saved(near_duplicates(docs, key, text), "classes")
+    found = saved(near_duplicates(docs, key, text, count_links=False), "classes")
     gone = found.where(f"NOT kept AND `{key}` <> class_id").select(F.col(key).alias(ROW)).distinct()
     out = rejoin(docs.withColumn(ROW, F.col(key).cast("long")), gone, "left_anti")
     again = found.where(f"NOT kept AND `{key}` = class_id").select(F.col(key).alias(ROW)).distinct()

@@ -103,7 +103,8 @@ def test_near_duplicates_against_brute_force(spark):
         for _ in range(r.randint(0, 4)):
             w[r.randrange(len(w))] = word()
         texts.append(" ".join(w))
-    got = {x["doc_id"]: x["class_id"] for x in ngram_join.near_duplicates(docs(spark, texts)).collect()}
+    rows = ngram_join.near_duplicates(docs(spark, texts)).collect()
+    got = {x["doc_id"]: x["class_id"] for x in rows}
     sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
     root = list(range(len(texts)))
     for _ in range(len(texts)):
@@ -114,6 +115,13 @@ def test_near_duplicates_against_brute_force(spark):
         if _ > 6:
             break
     assert got == dict(enumerate(root))
+    near = {t: sum(t != u and len(sets[texts.index(t)] & sets[texts.index(u)]) >= 0.8 * len(sets[texts.index(t)] | sets[texts.index(u)]) for u in set(texts)) for t in set(texts)}
+    assert {x["doc_id"]: x["n_links"] for x in rows} == {i: near[t] for i, t in enumerate(texts)}
+
+
+def test_link_counts_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LINK_BLOCK", 16)
+    test_near_duplicates_against_brute_force(spark)
 
 
 def test_line_dedup(spark):
