@@ -51,6 +51,7 @@ class Series:
     capped_from: int = 0
     skipped: str = ""  #: opening markup that is passed over
     instructions: list[str] = field(default_factory=list)  #: what may not follow a capped rule's marker
+    follows: str = ""  #: what must follow a marker
 
     def marker(self, line: Column) -> Column:
         """STRUCT<number, end>, null where the line opens no problem."""
@@ -65,12 +66,17 @@ class Series:
                 rest = F.substring(probe, F.length(hit) + 1, F.length(probe))
                 told = rest.rlike(r"(?i)^\s*(?:" + "|".join(self.instructions) + r")\b") if self.instructions else F.lit(False)
                 found = F.when((value <= self.most) & ~told, found)
+            if self.follows:
+                found = F.when(F.substring(probe, F.length(hit) + 1, F.length(probe)).rlike(self.follows), found)
             out = F.when(hit != "", found).otherwise(out)
         for pattern in self.refused:
             out = F.when(~line.rlike(pattern), out)
         return out
 
 
+# Markers of one series, shared by its statements and solutions.
+FARML = [(r"(?i)^\s*T(10|[1-9])\b", plus()), (r"(?i)^\s*I(10|[1-9])\b", plus(10)), (r"(?i)^\s*R1[/.-]([123])\b", plus(20)), (r"(?i)^\s*R2[/.-]([123])\b", plus(23)), (r"(?i)^\s*R([1-6])\b", plus(20)), (r"(?i)^\s*(?:Tiebreaker\s*2|TB2)\b", fixed(28)), (r"(?i)^\s*(?:TB1?\b|Tiebreaker(?:\s*1)?\b(?!\s+EVENT\b))", fixed(27))]
+
 # Markers of each series.
 REGISTRY = {s.name: s for s in [
     Series("default"),
@@ -79,7 +85,11 @@ REGISTRY = {s.name: s for s in [
     Series("cmimc", [(r"^\s*(\d{1,2})-([12])\s*\.", relay), *DEFAULT], most=100, capped_from=1, instructions=INSTRUCTIONS["cmimc"]),
     Series("chmm", [(r"(?i)^\s*(?:\\textbf\{\s*)?Integral\s+(\d+)\b(?:\s+Answer)?\s*\}?", plus()), (r"(?i)^\s*(?:IR|MR|TR|TBR)\s*(\d+)\s*[.)]?", plus()), (r"(?i)^\s*Problem\s+0[.](\d+)\s*[.)]?", plus()), (r"(?i)^\s*Solution\s+(\d+)\s*[.:)]?", plus()), *DEFAULT], refused=[r"(?i)^\s*(?:Lemma|Proof|Observation|Case)?\s*\d+\.\d+"], most=100, capped_from=4, instructions=INSTRUCTIONS["chmm"]),
     Series("mpfg_solutions", [(r"(?i)^\s*(?:\*{1,2}\s*)?Problem\s+(\d+)\b", plus())]),
-    Series("farml", [(r"(?i)^\s*T(10|[1-9])\b", plus()), (r"(?i)^\s*I(10|[1-9])\b", plus(10)), (r"(?i)^\s*R1[/.-]([123])\b", plus(20)), (r"(?i)^\s*R2[/.-]([123])\b", plus(23)), (r"(?i)^\s*R([1-6])\b", plus(20)), (r"(?i)^\s*(?:Tiebreaker\s*2|TB2)\b", fixed(28)), (r"(?i)^\s*(?:TB1?\b|Tiebreaker(?:\s*1)?\b(?!\s+EVENT\b))", fixed(27))]),
+    Series("farml", FARML),
+    Series("farml_solutions", [(r"(?i)^\s*Appendix\s+to\s+T(10|[1-9])\b", plus()), *FARML]),
+    Series("pumac", [(r"(?i)^\s*Bonus\b\s*:?", fixed(0)), (r"(?i)^\s*(\d{1,2})\s+(?=Across\b)", plus(1000)), (r"(?i)^\s*(\d{1,2})\s+(?=Down\b)", plus(2000)), (r"(?i)^\s*(?:\d+\s+)?[AB]\s*(\d{1,2})\b", plus()), *DEFAULT]),
+    Series("nimo", follows=r"^\s*(?:[*_]+\s*)?\((?=[^)]*[A-Za-z])[^)=+\\^\d]{1,80}\)"),
+    Series("nimo_solutions", most=8),
     Series("smt", [(r"(?i)^\s*(?:[*_#]{0,3}[A-Z]{1,4}\d{1,3}[*_#]{0,3}\s+)?(?:Problem|Question|Q)?\s*(\d+)\s*[.:]\s*", plus())]),
     Series("grid", [(r"(?i)^\s*(\d)\s*([A-H])\.\s*", lambda g: (F.ascii(F.upper(g(2))) - 65) * 5 + g(1).cast("int"))]),
     Series("bmt", [(r"(?i)^\s*(?:[*_#]{0,3}[A-Z0-9]{3,6}[*_#]{0,3}\s+)?(?:Problem|Question|Q)?\s*(\d+)\s*[.:]\s*", plus())]),

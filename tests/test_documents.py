@@ -20,7 +20,8 @@ def number(spark, name, line):
     ("usamts", "3/2/19. x", 3), ("usamts", "3. x", None), ("hmmt", "<p>Question Four x", 4), ("hmmt", "Power Question", 1), ("hmmt", "Problem B7 x", 7),
     ("cmimc", "2-1. x", 2), ("cmimc", "2-2. x", 12), ("cmimc", "6-2. x", 6), ("cmimc", "6-1. x", 16), ("cmimc", "3. Do not look at it", None), ("cmimc", "3. Look", 3), ("smt", "JZ03 4. x", 4), ("cmimc", "2013. x", None), ("chmm", "3.5 x", None), ("chmm", "Problem 0.4", 4), ("chmm", "7. x", 7),
     ("farml", "T10 x", 10), ("farml", "I3 x", 13), ("farml", "R2/3 x", 26), ("farml", "TB2", 28), ("farml", "Tiebreaker event", None),
-    ("grid", "3C. x", 13), ("bmt", "**LL28** 14. x", 14), ("mpfg_solutions", "**Problem 6", 6), ("mpfg_solutions", "6. x", None)])
+    ("farml", "Appendix to T8 x", None), ("farml_solutions", "Appendix to T8 x", 8), ("pumac", "Bonus: x", 0), ("pumac", "12 Across x", 1012), ("pumac", "7 down. x", 2007), ("pumac", "2 B11 x", 11), ("pumac", "4. x", 4),
+    ("nimo", "3. *(Ann Lee)* x", 3), ("nimo", "3. (n = 2) x", None), ("nimo", "3. x", None), ("nimo_solutions", "8. x", 8), ("nimo_solutions", "9. x", None), ("grid", "3C. x", 13), ("bmt", "**LL28** 14. x", 14), ("mpfg_solutions", "**Problem 6", 6), ("mpfg_solutions", "6. x", None)])
 def test_series_markers(spark, name, line, want):
     got = number(spark, name, line)
     assert (got and got[0]) == want
