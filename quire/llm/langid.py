@@ -139,12 +139,15 @@ def held_out(key: str = "doc_id") -> F.Column:
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", train_rows: int = TRAIN_ROWS) -> Model:
     """Fit on labelled rows that are not held out; only features of the bounded sample reach the driver."""
     known = docs.where(F.col(key).isNotNull() & F.col(lang).isNotNull() & ~held_out(key)).select(F.col(key).alias("id"), F.col(lang).alias("lang"))
-    langs = [r["lang"] for r in known.select("lang").distinct().limit(train_rows + 1).collect()]
-    if len(langs) > train_rows:
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("id").alias("n")).limit(train_rows + 1).collect()}
+    if len(sizes) > train_rows:
         raise ValueError(f"more than {train_rows} languages")
-    each = max(1, train_rows // max(1, len(langs)))
+    each = max(1, train_rows // max(1, len(sizes)))
+    # Twice the wanted rows and some more are left of each language before any language meets in one task.
+    share = F.create_map(*[F.lit(x) for v, n in sizes.items() for x in (v, (2 * each + 100) / max(1, n))]) if sizes else None
+    near = known.where(F.xxhash64("id") / 2.0**64 + 0.5 < share[F.col("lang")]) if sizes else known
     at = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = known.withColumn("at", at).where(F.col("at") <= each).select("id", "lang").distinct()
+    chosen = near.distinct().withColumn("at", at).where(F.col("at") <= each).select("id", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
