@@ -9,17 +9,21 @@ from quire.functions.series import series
 from quire.operators import sequence
 
 
+# Fixed value: line openings that end a section.
+HEADING = r"^#|^\*\*.*(?:\[|Section|Round|Division|Part)"
+
+
 def marked_lines(docs: DataFrame, key: str, text: str, rules: str = "default") -> DataFrame:
     """key, pos, line, number, end: every line, with its marker if it opens a problem."""
     lines = docs.select(F.col(key), F.posexplode(F.split(text, r"\r\n|[\n\r]", -1)).alias("pos", "line"))
     return lines.withColumn("m", series(rules).marker(F.col("line"))).select(key, "pos", "line", F.col("m.number").alias("number"), F.col("m.end").alias("end"))
 
 
-def problems(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: str = "default", mode: str = "rising") -> DataFrame:
+def problems(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: str = "default", mode: str = "rising", **layout: object) -> DataFrame:
     """key, problem, text: a marker that counts opens a problem, all other lines belong to the one before them.
 
-    mode: `rising` (over every number so far), `consecutive` (by one) or `restart` (numbers that begin again at 1 go on
-    from the section before).  Lines before the first problem and null texts give nothing; only (position, number) pairs
+    mode: `rising` (over every number so far), `consecutive` (by one), `restart` (numbers that begin again at 1 go on
+    from the section before) or `sections` (headings count too; `layout` are the options of sequence.numbered).  Lines before the first problem and null texts give nothing; only (position, number) pairs
     meet in the fold, texts never do."""
     lines = marked_lines(docs.where(F.col(text).isNotNull()), key, text, rules)
     marks = lines.where("number IS NOT NULL").select(key, "pos", "number")
@@ -30,6 +34,9 @@ def problems(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: st
         picked = kept.join(marks, [key, "pos"]).select(key, "pos", F.col("number").cast("long").alias("problem"))
     elif mode == "restart":
         picked = sequence.restarting(marks, [key], "pos", "number").where("problem IS NOT NULL").select(key, F.col("pos").cast("int").alias("pos"), "problem")
+    elif mode == "sections":
+        events = lines.withColumn("heading", F.col("line").rlike(HEADING)).where("number IS NOT NULL OR heading")
+        picked = sequence.numbered(events, [key], "pos", "number", "heading", **layout).where("problem IS NOT NULL").select(key, F.col("pos").cast("int").alias("pos"), "problem")
     else:
         raise ValueError(f"unknown mode {mode!r}")
     w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -45,6 +45,33 @@ def restarting(df: DataFrame, by: list[str], order: str, number: str) -> DataFra
     return _fold(df, by, order, number, start, step, "problem")
 
 
+def numbered(df: DataFrame, by: list[str], order: str, number: str, heading: str, flat: bool = False, strict: bool = False, consecutive: bool = False, backward: bool = False, first: int | None = None) -> DataFrame:
+    """by, order, problem: running problem numbers for markers amid section headings; null where a marker does not count.
+
+    A larger number than the last goes on (with `consecutive` only the next one).  Another number begins a new section,
+    which goes on counting where the last one stopped, if a heading came since the last counted marker or, unless
+    `strict`, if it is 1 or below `first`; with `flat` there are no sections.  With `backward` a smaller number returns to
+    that problem.  `first` is the problem that is open at the start.  Rows with a null number are headings only; a null
+    heading is none."""
+    long = lambda x: F.lit(x).cast("long")
+    rows = df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).cast("long").alias("o"), F.col(number).cast("long").alias("n"), F.coalesce(heading, F.lit(False)).alias("h")))).alias("e"))
+    start = F.struct(long(first).alias("last"), long(first or 0).alias("top"), long(0).alias("off"), F.lit(False).alias("head"), F.array().cast("array<struct<o:bigint,v:bigint>>").alias("out"))
+
+    def step(a: Column, x: Column) -> Column:
+        n, last, head = x["n"], a["last"], a["head"] | x["h"]
+        back = last.isNotNull() & (n < last) & F.lit(backward)
+        loose = F.lit(not strict) & ((n == 1) | (n < long(first) if first is not None else F.lit(False)))
+        again = ~back & last.isNotNull() & (n <= last) & F.lit(not flat) & (head | loose)
+        onward = last.isNull() | ((n == last + 1) if consecutive else (n > last))
+        counts = F.coalesce(back | again | (~back & onward), F.lit(False)) & n.isNotNull()
+        off = F.when(counts & again, a["off"] + a["top"]).otherwise(a["off"])
+        top = F.when(~counts | back, a["top"]).when(again, n).otherwise(F.greatest(a["top"], n))
+        value = F.when(counts, F.when(back, n).otherwise(n + off))
+        return F.struct(F.when(counts, n).otherwise(last).alias("last"), top.alias("top"), off.alias("off"), (head & ~counts).alias("head"), F.concat(a["out"], F.array(F.struct(x["o"].alias("o"), value.alias("v")))).alias("out"))
+
+    return rows.select(*by, F.explode(F.aggregate("e", start, step)["out"]).alias("x")).select(*by, F.col("x.o").alias(order), F.col("x.v").alias("problem"))
+
+
 def islands(df: DataFrame, by: list[str], start: str, end: str, gap: float, running: bool, name: str = "island") -> DataFrame:
     """Number of the run a row belongs to; a gap of at least `gap` after the last end (or the running maximum) begins a new one."""
     w = Window.partitionBy(*by).orderBy(start, end)

@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from quire.functions import text
 from quire.functions.series import series
-from quire.operators import segment, sinks
+from quire.operators import segment, sequence, sinks
 from quire.sources import files
 
 
@@ -37,6 +38,45 @@ def test_problems(spark):
         segment.problems(docs, mode="none")
 
 
+def expected_numbers(events, flat, strict, consecutive, backward, first):
+    """Problem of each (number, heading) by the rules of sequence.numbered, one event at a time."""
+    found, last, top, shift, heading = [], first, first or 0, 0, False
+    for n, h in events:
+        heading = heading or bool(h)
+        found.append(None)
+        if n is None:
+            continue
+        if last is not None and n < last and backward:
+            found[-1] = n
+        elif last is None or n > last:
+            if consecutive and last is not None and n - last != 1:
+                continue
+            top, found[-1] = max(top, n), n + shift
+        elif not flat and (heading or (not strict and (n == 1 or n < (first or 0)))):
+            shift, top = shift + top, n
+            found[-1] = n + shift
+        else:
+            continue
+        last, heading = n, False
+    return found
+
+
+@pytest.mark.parametrize("layout", [{}, {"flat": True}, {"strict": True}, {"consecutive": True}, {"backward": True, "first": 4}, {"first": 3}, {"strict": True, "consecutive": True, "first": 2}])
+def test_numbered(spark, layout):
+    r = random.Random(7)
+    runs = {k: [(r.choice([None, *range(1, 7)]), r.choice([True, False, False, False, None])) for _ in range(r.randint(1, 14))] for k in range(60)}
+    rows = [(k, i, n, h) for k, events in runs.items() for i, (n, h) in enumerate(events)]
+    got = {(x.k, x.i): x.problem for x in sequence.numbered(spark.createDataFrame(rows, "k int, i int, n int, h boolean"), ["k"], "i", "n", "h", **layout).collect()}
+    full = {"flat": False, "strict": False, "consecutive": False, "backward": False, "first": None} | layout
+    assert got == {(k, i): v for k, events in runs.items() for i, v in enumerate(expected_numbers(events, **full))}
+
+
+def test_sections(spark):
+    docs = spark.createDataFrame([(1, "1. a\n2. b\n# Round two\n2. c\n1. d")], "doc_id long, text string")
+    got = {x.problem: x.text for x in segment.problems(docs, mode="sections", strict=True).collect()}
+    assert got == {1: "a", 2: "b\n# Round two", 4: "c\n1. d"}
+
+
 def test_solution_parts_and_completeness(spark):
     block = spark.createDataFrame([(1, "intro\nSolution 1\na\nSolution 2\nb")], "p int, text string")
     assert sorted((r.part, r.text) for r in segment.solution_parts(block, ["p"], "text", "^Solution").collect()) == [(1, "intro\na"), (2, "b")]
