@@ -139,6 +139,22 @@ def seg_restart(spark: SparkSession, d: str) -> DataFrame:
     return sequence.restarting(marks(spark, d), ["l_orderkey"], "i", "raw")
 
 
+@query(f"""WITH RECURSIVE m AS (SELECT *, l_partkey % 3 = 0 AS h FROM ({ORDERED}) q), f AS (
+SELECT l_orderkey, i, raw AS last, raw AS top, CAST(0 AS BIGINT) AS off, false AS head, raw AS problem FROM m WHERE i = 1 UNION ALL
+SELECT m.l_orderkey, m.i,
+CASE WHEN m.raw > f.last OR f.head OR m.h THEN m.raw ELSE f.last END,
+CASE WHEN m.raw > f.last THEN greatest(f.top, m.raw) WHEN f.head OR m.h THEN m.raw ELSE f.top END,
+CASE WHEN m.raw <= f.last AND (f.head OR m.h) THEN f.off + f.top ELSE f.off END,
+false,
+CASE WHEN m.raw > f.last THEN m.raw + f.off WHEN f.head OR m.h THEN m.raw + f.off + f.top END
+FROM f JOIN m ON m.l_orderkey = f.l_orderkey AND m.i = f.i + 1)
+SELECT l_orderkey, i, problem FROM f""")
+def seg_sections(spark: SparkSession, d: str) -> DataFrame:
+    """Numbers that begin a new section only after a heading."""
+    found = marks(spark, d).withColumn("heading", F.col("l_partkey") % 3 == 0)
+    return sequence.numbered(found, ["l_orderkey"], "i", "raw", "heading", strict=True)
+
+
 @query("SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS body FROM conversations GROUP BY conv_id")
 def group_concat(spark: SparkSession, d: str) -> DataFrame:
     parts = F.array_sort(F.collect_list(F.struct("turn", "text")))
