@@ -3,9 +3,10 @@
 A dynamic programme over the global length histogram chooses the bucket boundaries that minimise padding; inside each
 bucket documents form batches of at most `token_budget` padded tokens.
 
-The histogram holds at most MAX_BINS lengths, whatever the number of documents: beyond that, lengths are rounded up to
-a multiple of a step.  A bucket is cut into shards by a hash of the document, as many as its histogram count calls for,
-so no task orders more than about `shard_rows` documents; each shard leaves at most one batch partly filled.
+The programme runs over the distinct lengths themselves.  d distinct lengths need at least d(d-1)/2 words, so the
+histogram has at most about the square root of twice the words of the table, however long a single text is.  A bucket is
+cut into shards by a hash of the document, as many as its histogram count calls for, so no task orders more than about
+`shard_rows` documents; each shard leaves at most one batch partly filled.
 
 Defined results: null text and text without words have length 0; a document longer than the budget is a batch of its
 own; ties order by document id; repeated rows are packed like other rows; an empty table gives no rows.
@@ -19,8 +20,6 @@ from pyspark.sql import functions as F
 
 from .common import saved
 
-MAX_BINS = 16_384
-
 
 def word_count(text: Column) -> Column:
     """Words as runs of non-space characters."""
@@ -72,16 +71,12 @@ def pack(docs: DataFrame, buckets: int = 16, token_budget: int = 16_384, shard_r
     rows = docs.select(F.col(key), (length if length is not None else word_count(F.col(text))).cast("long").alias("n_tokens"), F.xxhash64(F.col(key), F.col(text)).alias("h"))
     rows = saved(rows, "lengths")
     hist = rows.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n"))
-    step = 1
-    top = hist.agg(F.max("n_tokens").alias("m")).first()["m"]
-    if top is not None and top >= MAX_BINS:
-        step = -(-(top + 1) // MAX_BINS)
-    size = F.ceil(F.col("n_tokens") / F.lit(step)).cast("long") * F.lit(step)
-    bins = hist.groupBy(size.alias("len")).agg(F.sum("n").alias("n")).orderBy("len").collect()
-    bounds, _ = optimal_boundaries(np.array([b["len"] for b in bins], dtype=np.int64), np.array([b["n"] for b in bins], dtype=np.int64), buckets)
+    bins = hist.orderBy("n_tokens").collect()
+    lens, counts = (np.array([b[c] for b in bins], dtype=np.int64) for c in ("n_tokens", "n"))
+    bounds, _ = optimal_boundaries(lens, counts, buckets)
     if not bounds:
         return rows.select(F.col(key), "n_tokens", *[F.lit(0).cast("long").alias(c) for c in ("bucket_len", "bucket", "shard", "batch", "slot", "batch_docs", "pad_tokens")])
-    held = [sum(b["n"] for b in bins if lo < b["len"] <= hi) for lo, hi in zip([-1, *bounds[:-1]], bounds, strict=True)]
+    held = np.add.reduceat(counts, np.searchsorted(lens, [-1, *bounds[:-1]], side="right")).tolist()
     shards = [max(1, -(-n // shard_rows)) for n in held]
     bucket = F.coalesce(*[F.when(F.col("n_tokens") <= b, F.lit(i)) for i, b in enumerate(bounds)])
     pick = lambda values: F.element_at(F.array(*[F.lit(int(v)).cast("long") for v in values]), F.col("bucket") + 1)

@@ -179,3 +179,13 @@ def test_langid_held_out(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.identify(df).where("held_out").join(df.select("doc_id", "lang"), "doc_id").where("lang IS NOT NULL")
     assert got.where("lang_pred = lang").count() >= 0.97 * got.count()
+
+
+def test_packing_bounds_with_one_long_text(spark):
+    """A text of 40,000 words does not coarsen the lengths of the others."""
+    sizes = [n for n in range(1, 61) for _ in range(n % 7 + 1)] + [40_000]
+    got = packing.pack(docs(spark, ["w " * n for n in sizes]), buckets=5).collect()
+    lengths, counts = np.unique(np.array(sizes), return_counts=True)
+    bounds, pad = packing.optimal_boundaries(lengths, counts, 5)
+    assert sorted({x["bucket_len"] for x in got}) == bounds
+    assert sum(x["pad_tokens"] for x in got) == pad
