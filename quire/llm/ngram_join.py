@@ -197,28 +197,29 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = NGR
     large = meets.where(F.col("n") > SMALL).join(roots, "node", "left").select("bucket", "band", "node", "n", F.coalesce("root", "node").alias("root"))
     parts = large.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max_by("root", F.struct("m", "root")).alias("main"), F.sum("m").alias("n")).where("parts > 1")
     if not parts.isEmpty():
-        rest = saved(hot_join(large.select("bucket", "band", "node", "root"), parts, "bucket", "n", total).where("main IS NOT NULL").join(nodes.select("node", "sig"), "node"), "rest")
+        rest = saved(hot_join(large.select("bucket", "band", "node", "root"), parts, "bucket", "n", total).where("main IS NOT NULL").join(nodes.select("node", "sig", "bands"), "node"), "rest")
         wide = _wider(texts.join(rest.select(F.col("node").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("node"), "t"), n)
         rest = saved(rest.join(saved(wide, "wide"), "node").withColumn("sig", F.concat("sig", "more")).drop("more"), "rest")
         block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK).cast("long"))
-        held = F.collect_list(F.struct("node", "root", "sig", (F.col("root") != F.col("main")).alias("odd")))
+        held = F.collect_list(F.struct("node", "root", "sig", "bands", (F.col("root") != F.col("main")).alias("odd")))
         every = rest.groupBy("bucket", "band", block.alias("k")).agg(held.alias("all"))
         odd = rest.where("root <> main").groupBy("bucket", "band", block.alias("j")).agg(held.alias("some"))
         least = threshold - 4 * math.sqrt(threshold * (1 - threshold) / (bands * band_rows + EXTRA))
 
         def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            """Pairs across components that the signatures let pass, each only in the first band the two share."""
+            """Pairs across components that the signatures let pass, each only in the first band whose hash (hence bucket) the two share."""
             for batch in batches:
                 a, b = [], []
                 for i in range(batch.num_rows):
                     band, one, two = batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
                     sig = np.frombuffer(b"".join(x["sig"] for x in two), dtype=np.uint8).reshape(len(two), -1)
+                    hashes = np.array([x["bands"] for x in two], dtype=np.int64)
                     roots, ids, odds = (np.array([x[c] for x in two]) for c in ("root", "node", "odd"))
                     for x in one:
                         same = sig == np.frombuffer(x["sig"], dtype=np.uint8)
                         good = (roots != x["root"]) & (~odds | (ids > x["node"])) & (same.mean(axis=1) >= least)
                         near = np.flatnonzero(good)
-                        near = near[same[near, : bands * band_rows].reshape(len(near), bands, band_rows).all(axis=2).argmax(axis=1) == band]
+                        near = near[(hashes[near] == np.array(x["bands"], dtype=np.int64)).argmax(axis=1) == band]
                         for j in ids[near].tolist():
                             a.append(min(x["node"], j))
                             b.append(max(x["node"], j))

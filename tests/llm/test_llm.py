@@ -189,3 +189,21 @@ def test_packing_bounds_with_one_long_text(spark):
     bounds, pad = packing.optimal_boundaries(lengths, counts, 5)
     assert sorted({x["bucket_len"] for x in got}) == bounds
     assert sum(x["pad_tokens"] for x in got) == pad
+
+
+def test_pair_whose_earlier_band_agrees_in_low_bytes_only(spark, monkeypatch):
+    """Every node shares band 1; in band 0 the low bytes agree and the full hashes differ."""
+
+    def minhash(grams, mult, add):
+        if len(mult) == ngram_join.EXTRA:
+            return np.zeros(len(mult), dtype=np.uint32)
+        low = np.random.default_rng(int(grams.sum() & np.uint64(0x7FFFFFFF))).integers(0, 1 << 31, len(mult), dtype=np.uint32)
+        low[:6] &= np.uint32(0xFFFFFF00)
+        low[6:12] = 7
+        return low
+
+    monkeypatch.setattr(ngram_join, "_minhash", minhash)
+    texts = [" ".join(f"d{i}w{k}" for k in range(60)) for i in range(8)]
+    texts.append(" ".join(f"d7w{k}" for k in range(59)) + " other")
+    got = {x["doc_id"]: x["class_id"] for x in ngram_join.near_duplicates(docs(spark, texts)).collect()}
+    assert got == {i: min(i, 7) for i in range(9)}
