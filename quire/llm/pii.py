@@ -3,7 +3,8 @@
 One pattern finds entities; distinct values form a dictionary in which each gets a keyed surrogate of its type: mail
 addresses stay mail addresses, addresses of the net have four octets, card numbers keep length, grouping and whether
 their check digit holds, phone numbers keep country code and grouping, secrets keep letter case and digits, names after
-a title keep the title, gender and script.  Names are replaced by their parts, so a family name has one surrogate with
+a title keep the title, gender and script.  A secret is the whole value behind its keyword, of any length: to the closing
+quote where it is quoted, else to a quote or white space, without closing punctuation.  Names are replaced by their parts, so a family name has one surrogate with
 or without a given name.  Surrogates are checked: one that another value has, or that stands as an original, is drawn
 again with the next attempt number, so distinct values stay distinct and equal ones equal in the whole table.
 
@@ -34,11 +35,16 @@ SYLLABLES = {
     "latin": "ba ben cor dal den fer gan hal jor kel lan mar mon nor pel ran ros sel tal tor val ven wil zan",
     "cyrillic": "бел вор гор дан жар зим кор лаз мар нор пол рат сел тор чер яр",
 }
+CYRILLIC = "абвгдежзийклмнопрстуфхцчшщъыьэюя"
+# Before a secret: a keyword, also as part of a longer key (secret_access_key, apiKeyValue), and = or :.
+KEYED = r"(?i:password|passwd|secret|token|api[_-]?key)(?:[_-]\w[\w-]{0,40}|(?<=[a-z])[A-Z]\w{0,40}|(?i:key))?[\"']?\s?[=:]\s?[\"']?"
+# Secrets come first, so that no shorter entity takes a part of one.
 PARTS = {
+    "secret": rf"(?<=[=:\"']|[=:]\s)(?<={KEYED})(?:"
+    r"(?<=\")(?=[^\"\r\n]*[\p{L}\p{N}])[^\"\r\n]{8,}(?=\")|(?<=')(?=[^'\r\n]*[\p{L}\p{N}])[^'\r\n]{8,}(?=')|(?=[^\s\"']*[\p{L}\p{N}])[^\s\"']{7,}[^\s\"',;.)\]}>])",
     "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w)",
     "access": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<=[=:\"']|[=:]\s)(?<=(?i:password|passwd|secret|token|api_?key)[\"']?\s?[=:]\s?[\"']?)[A-Za-z0-9+/_-]{8,128}",
     "card": r"(?<![\w-])(?:\d{4}(?:[ -]\d{4}){3}|\d{13,19})(?![\w-]*\d|[A-Za-z_])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ -]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?![\w-]*\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
@@ -54,11 +60,10 @@ def entities(text: Column) -> Column:
 
 def kind(value: Column) -> Column:
     whole = lambda name: value.rlike(f"^(?:{PARTS[name]})$")
-    titled = value.rlike(r"^\p{L}[\p{L}-]+\.? \p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?$")
     out = F.when(whole("mail"), "mail")
     for name in ("ip", "access", "iban", "card", "ssn", "phone"):
         out = out.when(whole(name), name)
-    return out.when(titled, "name").otherwise("secret")
+    return out.when(whole("name"), "name").otherwise("secret")
 
 
 def _hash(key: str, kind_: Column, attempt: Column, value: Column) -> Column:
@@ -70,15 +75,16 @@ def _byte(h: Column, i: Column) -> Column:
     return F.conv(F.substring(h, (i % 64) * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
 
-def _masked(value: Column, h: Column) -> Column:
-    """Digits to digits, letters to letters of the same case and script, all else as it is; hexadecimal stays so."""
-    is_hex = value.rlike("^[0-9a-f]{8,}$")
+def _masked(value: Column, h: Column, is_hex: Column) -> Column:
+    """Digits to digits, letters to letters of the same case and script (small Latin ones for scripts other than Latin and Cyrillic), signs as they are; hexadecimal stays so."""
 
     def one(c: Column, i: Column) -> Column:
         b = _byte(h, i)
         draw = lambda start, n: F.chr(F.lit(start) + b % n)
         return (F.when(c.rlike("[0-9]"), draw(48, 10)).when(is_hex & c.rlike("[a-f]"), draw(97, 6)).when(c.rlike("[a-z]"), draw(97, 26)).when(c.rlike("[A-Z]"), draw(65, 26))
-                .when(c.rlike(r"\p{IsLatin}") & c.rlike(r"\p{Lu}"), draw(65, 26)).when(c.rlike(r"\p{IsLatin}"), draw(97, 26)).otherwise(c))
+                .when(c.rlike(r"\p{IsLatin}") & c.rlike(r"\p{Lu}"), draw(65, 26)).when(c.rlike(r"\p{IsLatin}"), draw(97, 26))
+                .when(c.rlike(r"\p{IsCyrillic}") & c.rlike(r"\p{Lu}"), F.substring(F.lit(CYRILLIC.upper()), b % 32 + 1, F.lit(1))).when(c.rlike(r"\p{IsCyrillic}"), F.substring(F.lit(CYRILLIC), b % 32 + 1, F.lit(1)))
+                .when(c.rlike(r"[\p{L}\p{N}\p{M}]"), draw(97, 26)).otherwise(c))
 
     return F.array_join(F.transform(F.split(value, ""), one), "")
 
@@ -142,7 +148,9 @@ def assign(tokens: DataFrame, key: str) -> DataFrame:
     originals = saved(tokens.select("kind", "value"), "originals")
     pending, done = originals, None
     for attempt in range(ATTEMPTS + 1):
-        tried = pending.withColumn("masked", _masked(F.col("value"), _hash(key, F.col("kind"), F.lit(attempt), F.col("value"))))
+        # Columns of their own: inside the mask they would be worked out again for each character.
+        tried = pending.withColumns({"h": _hash(key, F.col("kind"), F.lit(attempt), F.col("value")), "is_hex": F.col("value").rlike("^[0-9a-f]{8,}$")})
+        tried = tried.withColumn("masked", _masked(F.col("value"), F.col("h"), F.col("is_hex")))
         drawn = surrogate(key, F.col("kind"), F.col("value"), F.lit(attempt))
         if attempt == ATTEMPTS:
             drawn = F.concat(drawn, F.lit("-"), F.substring(_hash(key, F.col("kind"), F.lit(attempt), F.col("value")), 1, 32))

@@ -207,3 +207,16 @@ def test_pair_whose_earlier_band_agrees_in_low_bytes_only(spark, monkeypatch):
     texts.append(" ".join(f"d7w{k}" for k in range(59)) + " other")
     got = {x["doc_id"]: x["class_id"] for x in ngram_join.near_duplicates(docs(spark, texts)).collect()}
     assert got == {i: min(i, 7) for i in range(9)}
+
+
+def test_pii_whole_secrets(spark):
+    jwt = "eyJhbGciOi.eyJzdWIiOiIxMjM0.SflKxwRJSMeKKF2QT4"
+    long = "q1W" * 400
+    secrets = [jwt, "p@ssw0rd!x", long, "wJalrXUtnFEMI/K7MDENG", "two Words here", "me@mail.example.com!x9", "секретное-слово"]
+    forms = ["token: {}", "password: {} end", "x secret={}", "aws_secret_access_key={}", "apiKeyValue = '{}'", "password={}", "token: {}."]
+    texts = [f.format(s) for f, s in zip(forms, secrets)] + ["secret: ********", "Secretary: Margarete", "token: short"]
+    got = {x["doc_id"]: x["text"] for x in pii.replace_pii(docs(spark, texts)).collect()}
+    for i, (form, value) in enumerate(zip(forms, secrets)):
+        new = re.fullmatch(re.escape(form).replace(r"\{\}", "(.+)"), got[i])[1]
+        assert len(new) == len(value) and not any(w in new for w in re.findall(r"\w{5,}", value)) and new[-3:] != value[-3:]
+    assert [got[i] for i in (7, 8, 9)] == texts[7:]
