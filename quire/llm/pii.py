@@ -5,7 +5,8 @@ addresses stay mail addresses, addresses of the net have four octets, card numbe
 their check digit holds, phone numbers keep country code and grouping, secrets keep letter case and digits, names after
 a title keep the title, gender and script.  A secret is the whole value behind its keyword, of any length: to the closing
 quote where it is quoted, else to a quote or white space, without closing punctuation.  Names are replaced by their parts, so a family name has one surrogate with
-or without a given name.  Surrogates are checked: one that another value has, or that stands as an original, is drawn
+or without a given name; the parts of the names found in a document are also replaced where they stand in it
+without a title (also in capitals, in hyphenated words, before 's).  Surrogates are checked: one that another value has, or that stands as an original, is drawn
 again with the next attempt number, so distinct values stay distinct and equal ones equal in the whole table.
 
 Defined results: null text stays null; texts without entities are unchanged; empty tables give no rows; repeated rows
@@ -15,26 +16,35 @@ format rather than distinctness.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ROW, hot_join, rejoin, row_key, saved
 
 ATTEMPTS = 12
-# Titles by gender.
-MALE = ["Mr", "Mister", "Herr", "Monsieur", "Señor", "господин", "г-н"]
-FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita", "госпожа", "г-жа"]
+# Titles by gender; those that end in a dot are titles only with it.
+MALE = ["Mr", "Mister", "Herr", "Monsieur", "Señor", "Sir", "Signor", "M.", "Sr.", "господин", "г-н"]
+FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita", "Signora", "Mme", "Mlle", "Sra", "Srta", "Dra", "госпожа", "г-жа"]
+NEUTRAL = ["Dr", "Doctor", "Prof", "Professor", "Rev", "Mx", "доктор", "профессор"]
 # Surrogate given names and syllables by script.
 GIVEN = {
     "m_latin": "Adrian Bruno Carl Damian Edgar Felix Gregor Hugo Ivan Jonas Kasper Leon Martin Nico Oskar Pablo Ruben Simon Tobias Victor",
     "f_latin": "Alma Bianca Clara Diana Elena Flora Greta Helena Ines Julia Katja Lena Marta Nora Olga Paula Rosa Sofia Tilda Vera",
+    "n_latin": "Alexis Ariel Avery Casey Dana Eden Jamie Jordan Kim Lee Morgan Noel Quinn Robin Sascha Taylor",
     "m_cyrillic": "Андрей Борис Виктор Глеб Денис Егор Игорь Кирилл Лев Максим Никита Олег Павел Роман Семён Тимур",
     "f_cyrillic": "Алла Вера Галина Дарья Елена Жанна Зоя Инна Кира Лариса Марина Нина Ольга Полина Раиса Софья",
+    "n_cyrillic": "Валя Женя Паша Саша Слава Тоня Шура",
 }
 SYLLABLES = {
     "latin": "ba ben cor dal den fer gan hal jor kel lan mar mon nor pel ran ros sel tal tor val ven wil zan",
     "cyrillic": "бел вор гор дан жар зим кор лаз мар нор пол рат сел тор чер яр",
 }
+TITLE = "(?:" + "|".join(re.escape(x) if x.endswith(".") else rf"{x}\.?" for x in sorted(MALE + FEMALE + NEUTRAL, key=lambda x: (-len(x), x))) + ")"
+NAME_WORD = r"\p{Lu}(?=[\p{L}'-])\p{L}*(?:(?!'s(?!\p{L}))['-]\p{L}+)*"
+# What may be a detected name without its title.
+BARE = rf"(?<!\p{{L}}){NAME_WORD}(?!\p{{L}})"
 CYRILLIC = "абвгдежзийклмнопрстуфхцчшщъыьэюя"
 # Before a secret: a keyword, also as part of a longer key (secret_access_key, apiKeyValue), and = or :.
 KEYED = r"(?i:password|passwd|secret|token|api[_-]?key)(?:[_-]\w[\w-]{0,40}|(?<=[a-z])[A-Z]\w{0,40}|(?i:key))?[\"']?\s?[=:]\s?[\"']?"
@@ -49,7 +59,7 @@ PARTS = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ -]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?![\w-]*\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "name": r"(?<!\p{L})(?:" + "|".join(sorted(MALE + FEMALE, key=lambda x: (-len(x), x))) + r")\.? \p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?",
+    "name": rf"(?<!\p{{L}})(?:{TITLE} )++{NAME_WORD}(?: {NAME_WORD})?",
 }
 ENTITY = "|".join(PARTS.values())
 
@@ -114,10 +124,10 @@ def _name_part(kind_: Column, value: Column, attempt: Column, h: Column) -> Colu
     """Given names from the list of their gender and script, beyond that and for family names from syllables."""
     out = None
     for script in SYLLABLES:
-        for gender in "mf":
+        for gender in "mfn":
             names = GIVEN[f"{gender}_{script}"].split()
             pick = F.element_at(F.array(*[F.lit(x) for x in names]), _byte(h, F.lit(0)) % len(names) + 1)
-            ending = {"m_latin": "o", "f_latin": "a", "m_cyrillic": "ий", "f_cyrillic": "а"}[f"{gender}_{script}"]
+            ending = {"m_latin": "o", "f_latin": "a", "n_latin": "e", "m_cyrillic": "ий", "f_cyrillic": "а", "n_cyrillic": "о"}[f"{gender}_{script}"]
             made = F.when(attempt == 0, pick).otherwise(F.concat(_syllables(script, h, F.lit(2) + F.least(attempt / 3, F.lit(3)).cast("int")), F.lit(ending)))
             cond = kind_ == f"given_{gender}_{script}"
             out = F.when(cond, made) if out is None else out.when(cond, made)
@@ -168,21 +178,46 @@ def assign(tokens: DataFrame, key: str) -> DataFrame:
 
 
 def dictionary(found: DataFrame, key: str) -> DataFrame:
-    """value, surrogate, n for a table of (value, n)."""
+    """value, surrogate, n, kind, bare (part in small letters, rank, surrogate of the parts of a name) for a table of (value, n)."""
     typed = found.withColumn("kind", kind(F.col("value")))
     plain, names = typed.where("kind <> 'name'"), typed.where("kind = 'name'")
-    parts = F.split("value", " ")
-    title = F.regexp_replace(parts[0], r"\.$", "")
+    title = F.regexp_extract("value", f"^((?:{TITLE} )++)", 1)
+    parts = F.split(F.expr("substring(value, length(title) + 1)"), " ")
     script = F.when(F.col("value").rlike(r" \p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    gender = F.when(title.isin(MALE), "m").otherwise("f")
-    names = names.select("value", "n", parts[0].alias("title"), F.when(F.size(parts) == 3, parts[1]).alias("given"), F.element_at(parts, -1).alias("family"), F.concat_ws("_", F.lit("given"), gender, script).alias("given_kind"), F.concat_ws("_", F.lit("family"), script).alias("family_kind"))
+    has = lambda titles: F.arrays_overlap(F.split(F.regexp_replace("title", r"\.", ""), " "), F.array(*[F.lit(x.rstrip(".")) for x in titles]))
+    names = names.withColumn("title", title).withColumn("parts", parts)
+    names = names.select("value", "n", F.rtrim("title").alias("title"), F.when(F.size("parts") == 2, F.col("parts")[0]).alias("given"), F.element_at("parts", -1).alias("family"), script.alias("script"), F.when(has(MALE), "m").when(has(FEMALE), "f").alias("gender"))
+    # A given name after a title of no gender has the gender that other titles give it.
+    known = names.where("gender IS NOT NULL AND given IS NOT NULL").groupBy("given", "script").agg(F.min("gender").alias("known"))
+    names = names.join(known, ["given", "script"], "left").withColumn("gender", F.coalesce("gender", "known", F.lit("n")))
+    names = names.select("value", "n", "title", "given", "family", F.concat_ws("_", F.lit("given"), "gender", "script").alias("given_kind"), F.concat_ws("_", F.lit("family"), "script").alias("family_kind"))
     tokens = (plain.select("kind", "value").unionByName(names.where("given IS NOT NULL").select(F.col("given_kind").alias("kind"), F.col("given").alias("value")))
               .unionByName(names.select(F.col("family_kind").alias("kind"), F.col("family").alias("value")))).distinct()
     drawn = assign(tokens, key)
-    plain = plain.join(drawn, ["kind", "value"]).select("value", "surrogate", "n", "kind")
+    entry = lambda part, rank: F.struct(F.lower(part).alias("k"), F.lit(rank).alias("r"), F.col(f"new_{part}").alias("s"))
+    bare = F.filter(F.array(entry("family", 0), entry("given", 1)), lambda x: x["k"].isNotNull())
+    plain = plain.join(drawn, ["kind", "value"]).select("value", "surrogate", "n", "kind", F.lit(None).cast("array<struct<k:string,r:int,s:string>>").alias("bare"))
     side = lambda a: drawn.select(F.col("kind").alias(f"{a}_kind"), F.col("value").alias(a), F.col("surrogate").alias(f"new_{a}"))
     named = names.join(side("family"), ["family_kind", "family"]).join(side("given"), ["given_kind", "given"], "left")
-    return plain.unionByName(named.select("value", F.concat_ws(" ", "title", "new_given", "new_family").alias("surrogate"), "n", F.lit("name").alias("kind")))
+    return plain.unionByName(named.select("value", F.concat_ws(" ", "title", "new_given", "new_family").alias("surrogate"), "n", F.lit("name").alias("kind"), bare.alias("bare")))
+
+
+def _called(names: Column, word: Column) -> Column:
+    """Surrogate of a word that is a detected name or a hyphenated word with one; null for others."""
+
+    def one(w: Column) -> Column:
+        new = F.try_element_at(names, F.lower(w))
+        return F.when(w == F.upper(w), F.upper(new)).otherwise(new)
+
+    pieces = F.split(word, "-")
+    inside = F.when(F.exists(pieces, lambda w: one(w).isNotNull()), F.array_join(F.transform(pieces, lambda w: F.coalesce(one(w), w)), "-"))
+    return F.coalesce(one(word), inside)
+
+
+def _bare_woven(names: Column, gap: Column) -> Column:
+    """Text between entities, with the document's own detected names replaced where they stand without a title."""
+    words = F.transform(F.regexp_extract_all(gap, F.lit(BARE), F.lit(0)), lambda w: F.coalesce(_called(names, w), w))
+    return F.array_join(F.zip_with(F.split(gap, BARE, -1), F.array_append(words, F.lit("")), lambda g, w: F.concat(g, w)), "")
 
 
 def replace_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", secret: str = "surrogates-1", counts: bool = True) -> DataFrame:
@@ -193,14 +228,20 @@ def replace_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", secret
     spots = hits.select(ROW, F.posexplode("m").alias("at", "value"))
     table = saved(dictionary(spots.groupBy("value").agg(F.count(F.lit(1)).alias("n")), secret), "dictionary")
     placed = hot_join(spots, table, "value", "n", spots.count())
-    side = placed.groupBy(ROW).agg(F.array_sort(F.collect_list(F.struct("at", "surrogate"))).alias("s"), F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("__quire_kinds"))
-    side = saved(side.select(ROW, F.transform("s", lambda x: x["surrogate"]).alias("__quire_new"), "__quire_kinds"), "placed")
+    side = placed.groupBy(ROW).agg(F.array_sort(F.collect_list(F.struct("at", "surrogate"))).alias("s"), F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("__quire_kinds"), F.array_sort(F.flatten(F.collect_set("bare"))).alias("b"))
+    # Of a part that is a given and a family name, the family name's surrogate.
+    first = F.filter("b", lambda x, i: (i == 0) | (F.get(F.col("b"), i - 1)["k"] != x["k"]))
+    called = F.when(F.size("b") > 0, F.map_from_entries(F.transform(first, lambda x: F.struct(x["k"], x["s"]))))
+    side = saved(side.select(ROW, F.transform("s", lambda x: x["surrogate"]).alias("__quire_new"), "__quire_kinds", called.alias("__quire_names")), "placed")
     out = rejoin(keyed, side, "left")
-    gaps, new = F.split(F.col(text), ENTITY, -1), F.col("__quire_new")
+    gaps, new, names = F.split(F.col(text), ENTITY, -1), F.col("__quire_new"), F.col("__quire_names")
+    more_named = F.aggregate(gaps, F.lit(0), lambda n, g: n + F.size(F.filter(F.regexp_extract_all(g, F.lit(BARE), F.lit(0)), lambda w: _called(names, w).isNotNull())))
+    out = out.withColumn("__quire_more", F.when(names.isNull(), F.lit(0)).otherwise(more_named)) if counts else out
+    gaps = F.when(names.isNull(), gaps).otherwise(F.transform(gaps, lambda g: _bare_woven(names, g)))
     woven = F.array_join(F.zip_with(gaps, F.array_append(new, F.lit("")), lambda g, n: F.concat(g, n)), "")
     out = out.withColumn(text, F.when(new.isNull(), F.col(text)).otherwise(woven))
     more = []
     if counts:
-        out = out.withColumns({"n_entities": F.when(new.isNull(), F.lit(0)).otherwise(F.size(new)).cast("long"), "kinds": F.coalesce("__quire_kinds", F.lit(""))})
+        out = out.withColumns({"n_entities": F.when(new.isNull(), F.lit(0)).otherwise(F.size(new) + F.col("__quire_more")).cast("long"), "kinds": F.coalesce("__quire_kinds", F.lit(""))})
         more = ["n_entities", "kinds"]
     return out.select(*docs.columns, *more)

@@ -220,3 +220,14 @@ def test_pii_whole_secrets(spark):
         new = re.fullmatch(re.escape(form).replace(r"\{\}", "(.+)"), got[i])[1]
         assert len(new) == len(value) and not any(w in new for w in re.findall(r"\w{5,}", value)) and new[-3:] != value[-3:]
     assert [got[i] for i in (7, 8, 9)] == texts[7:]
+
+
+def test_pii_names_without_their_title(spark):
+    texts = ["Mr. John Smith came. John Smith's dog, Smith, SMITH and Dr. Smith left; Smithson and john stay.", "Prof. Dr. Anna Weber; Mme Weber, Sra. Weber, M. Weber. Type M Weber", "Smith and John are not named here"]
+    got = {x["doc_id"]: x for x in pii.replace_pii(docs(spark, texts)).collect()}
+    john, smith = re.match(r"Mr\. (\w+) (\w+) came", got[0]["text"]).groups()
+    assert got[0]["text"] == f"Mr. {john} {smith} came. {john} {smith}'s dog, {smith}, {smith.upper()} and Dr. {smith} left; Smithson and john stay." and {john, smith}.isdisjoint({"John", "Smith"})
+    assert got[0]["n_entities"] == 6
+    anna, weber = re.match(r"Prof\. Dr\. (\w+) (\w+);", got[1]["text"]).groups()
+    assert got[1]["text"] == f"Prof. Dr. {anna} {weber}; Mme {weber}, Sra. {weber}, M. {weber}. Type M {weber}" and {anna, weber}.isdisjoint({"Anna", "Weber"})
+    assert got[2]["text"] == texts[2]
