@@ -4,7 +4,9 @@ Lines of at least ANCHOR_WORDS words are looked up by their hash; a line that se
 document with the first one that holds it, so a line of n documents gives n - 1 pairs however frequent it is, and a
 shared line's first copy is never deleted.  Each pair's line sequences are aligned with patience diff (lines that occur
 once in both anchor the alignment, gaps are aligned in turn), and aligned blocks of at least `min_block_words` words are
-deleted from the later document.
+deleted from the later document.  What the alignment leaves (repeated, reordered or unanchored passages) is then looked up
+in the first document as runs of lines wherever they stand, so no run of that many words that both hold in one piece
+stays in the later one.
 
 Documents are ordered by id.  Defined results: null texts and null ids pass unchanged; rows of one id are never compared
 with each other, repeated rows get the same result; lines are equal when identical; a text whose lines are all deleted
@@ -76,6 +78,53 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def copied_runs(a: list, b: list, words: list[int], least: int) -> list[int]:
+    """Positions of b in runs of at least `least` words that stand in a in one piece, in any order and any number of times.
+
+    A suffix automaton of a gives for each position of b the longest run that ends there, in time linear in both."""
+    after, link, size, last = [{}], [-1], [0], 0
+    for x in a:
+        new, p = len(after), last
+        after.append({})
+        link.append(0)
+        size.append(size[last] + 1)
+        while p >= 0 and x not in after[p]:
+            after[p][x] = new
+            p = link[p]
+        if p >= 0:
+            q = after[p][x]
+            if size[q] != size[p] + 1:
+                twin = len(after)
+                after.append(dict(after[q]))
+                link.append(link[q])
+                size.append(size[p] + 1)
+                link[q] = twin
+                while p >= 0 and after[p].get(x) == q:
+                    after[p][x] = twin
+                    p = link[p]
+                q = twin
+            link[new] = q
+        last = new
+    total = [0]
+    for n in words:
+        total.append(total[-1] + n)
+    state, run, starts = 0, 0, []
+    for x in b:
+        while state and x not in after[state]:
+            state = link[state]
+            run = size[state]
+        if x in after[state]:
+            state, run = after[state][x], run + 1
+        starts.append(run)
+    out, low = [], len(b)
+    for j in range(len(b) - 1, -1, -1):
+        if total[j + 1] - total[j + 1 - starts[j]] >= least:
+            low = min(low, j + 1 - starts[j])
+        if low <= j:
+            out.append(j)
+    return out[::-1]
+
+
 def common_blocks(a: list, b: list, words: list[int], least: int) -> list[int]:
     """Positions of b in aligned blocks that hold at least `least` words."""
     out, block, size, before = [], [], 0, None
@@ -88,6 +137,9 @@ def common_blocks(a: list, b: list, words: list[int], least: int) -> list[int]:
             block.append(y)
             size += words[y]
         before = (x, y)
+    known, gone = set(a), set(out)
+    if sum(n for x, y, n in zip(b, range(len(b)), words, strict=True) if y not in gone and x in known) >= min(least, 1):
+        out = sorted(gone.union(copied_runs(a, b, words, least)))
     return out
 
 

@@ -231,3 +231,15 @@ def test_pii_names_without_their_title(spark):
     anna, weber = re.match(r"Prof\. Dr\. (\w+) (\w+);", got[1]["text"]).groups()
     assert got[1]["text"] == f"Prof. Dr. {anna} {weber}; Mme {weber}, Sra. {weber}, M. {weber}. Type M {weber}" and {anna, weber}.isdisjoint({"Anna", "Weber"})
     assert got[2]["text"] == texts[2]
+
+
+def test_line_dedup_of_repeated_and_reordered_passages(spark):
+    p, q = ([" ".join(f"{c}{k}w{i}" for i in range(20)) for k in range(3)] for c in "pq")
+    texts = ["\n".join(["a", *p, "b", *q, "c"]), "\n".join(["x", *p, "y", *p, "z"]), "\n".join(["u", *q, "v", *p, "w"]), "\n".join(["k", p[0], "l", p[2], "m"])]
+    got = {x["doc_id"]: (x["text"], x["n_deleted"]) for x in line_dedup.line_dedup(docs(spark, texts)).collect()}
+    assert got == {0: (texts[0], 0), 1: ("x\ny\nz", 6), 2: ("u\nv\nw", 6), 3: (texts[3], 0)}
+    r = random.Random(7)
+    for _ in range(300):
+        a, b = ([r.choice("abc") for _ in range(r.randint(0, 12))] for _ in range(2))
+        runs = [range(j, j + n) for n in range(3, len(b) + 1) for j in range(len(b) - n + 1) if any(a[i : i + n] == b[j : j + n] for i in range(len(a)))]
+        assert line_dedup.common_blocks(a, b, [1] * len(b), 3) == sorted({j for x in runs for j in x})
