@@ -1,6 +1,7 @@
 """Line deduplication by pairwise alignment.
 
-Lines of at least ANCHOR_WORDS words are looked up by their hash; a line that several documents share pairs each later
+Lines of at least ANCHOR_WORDS words are looked up by their hash, and so are runs of consecutive shorter lines (blank
+ones left out) that together reach that many words, from every line on; a line or run that several documents share pairs each later
 document with the first one that holds it, so a line of n documents gives n - 1 pairs however frequent it is, and a
 shared line's first copy is never deleted.  Each pair's line sequences are aligned with patience diff (lines that occur
 once in both anchor the alignment, gaps are aligned in turn), and aligned blocks of at least `min_block_words` words are
@@ -9,7 +10,8 @@ in the first document as runs of lines wherever they stand, so no run of that ma
 stays in the later one.
 
 Documents are ordered by id.  Defined results: null texts and null ids pass unchanged; rows of one id are never compared
-with each other, repeated rows get the same result; lines are equal when identical; a text whose lines are all deleted
+with each other, repeated rows get the same result; lines are equal when identical; words are runs of
+non-space characters, in scripts without spaces single characters; a text whose lines are all deleted
 becomes empty; an empty table gives no rows; all columns of the input are kept.
 """
 
@@ -19,13 +21,16 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ROW, hot_join, rejoin, row_key, saved
 
 ANCHOR_WORDS = 5
 MIN_BLOCK_WORDS = 25
+# Thai, Lao, Tibetan, Burmese, Khmer, kana and Han: scripts without spaces, where each character counts as a word.
+NO_SPACE = r"\u0E00-\u0EFF\u0F00-\u109F\u1780-\u17FF\u2E80-\u2FDF\u3005-\u3007\u3021-\u30FA\u30FC-\u30FF\u3400-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\x{20000}-\x{3FFFF}"
+WORD = rf"[{NO_SPACE}]|[^\s{NO_SPACE}\u3001-\u3003\u3008-\u3011\u30FB\uFF01-\uFF0F\uFF1A-\uFF20]+"
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -143,13 +148,26 @@ def common_blocks(a: list, b: list, words: list[int], least: int) -> list[int]:
     return out
 
 
+def _anchor(lines: Column, x: Column, i: Column) -> Column:
+    """Hash of the run of short lines from x, number i of `lines` (h, w, no blank ones), that reaches ANCHOR_WORDS; null for long lines and where there is none."""
+    words, short, hashes, out = x["w"], x["w"] < ANCHOR_WORDS, [x["h"]], F.when(x["w"] >= ANCHOR_WORDS, F.lit(None))
+    for k in range(1, ANCHOR_WORDS):
+        y = F.get(lines, i + k)
+        words, short, hashes = words + y["w"], short & (y["w"] < ANCHOR_WORDS), [*hashes, y["h"]]
+        out = out.when(short & (words >= ANCHOR_WORDS), F.unhex(F.md5(F.concat(*hashes))))
+    return out
+
+
 def deletions(docs: DataFrame, key: str = "doc_id", text: str = "text", min_block_words: int = MIN_BLOCK_WORDS) -> DataFrame:
     """ROW, gone: for each document that loses lines, their positions from 0.  `docs` must hold ROW (see row_key)."""
-    words = F.regexp_count(F.col("line"), F.lit(r"\S+"))
-    lines = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(ROW).alias("row"), F.col(key).alias("id"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
-    lines = saved(lines.select("row", "id", "pos", F.unhex(F.md5("line")).alias("h"), words.cast("int").alias("w")), "lines")
+    lines = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(ROW).alias("row"), F.col(key).alias("id"), F.split(text, "\n", -1).alias("s"))
+    lines = lines.select("row", "id", F.transform("s", lambda x, i: F.struct(i.alias("pos"), F.unhex(F.md5(x)).alias("h"), F.regexp_count(x, F.lit(WORD)).cast("int").alias("w"))).alias("s"))
+    lines = lines.select("row", "id", F.filter("s", lambda x: x["w"] > 0).alias("full"), F.filter("s", lambda x: x["w"] == 0).alias("blank"))
+    wider = lambda x, run: F.struct(x["pos"].alias("pos"), x["h"].alias("h"), x["w"].alias("w"), run.cast("binary").alias("run"))
+    lines = lines.select("row", "id", F.explode(F.concat(F.transform("full", lambda x, i: wider(x, _anchor(F.col("full"), x, i))), F.transform("blank", lambda x: wider(x, F.lit(None))))).alias("x"))
+    lines = saved(lines.select("row", "id", "x.*"), "lines")
     total = lines.count()
-    anchors = lines.where(F.col("w") >= ANCHOR_WORDS)
+    anchors = lines.select("row", "id", F.when(F.col("w") >= ANCHOR_WORDS, F.col("h")).otherwise(F.col("run")).alias("h")).where("h IS NOT NULL")
     first = anchors.groupBy("h").agg(F.min(F.struct("id", "row")).alias("o"), F.max(F.struct("id", "row")).alias("z"), F.count(F.lit(1)).alias("n"))
     first = saved(first.where("o.id <> z.id").select("h", F.col("o.id").alias("owner_id"), F.col("o.row").alias("owner"), "n"), "owners")
     pairs = hot_join(anchors.select("row", "id", "h"), first, "h", "n", total).where("owner IS NOT NULL AND id > owner_id")

@@ -243,3 +243,12 @@ def test_line_dedup_of_repeated_and_reordered_passages(spark):
         a, b = ([r.choice("abc") for _ in range(r.randint(0, 12))] for _ in range(2))
         runs = [range(j, j + n) for n in range(3, len(b) + 1) for j in range(len(b) - n + 1) if any(a[i : i + n] == b[j : j + n] for i in range(len(a)))]
         assert line_dedup.common_blocks(a, b, [1] * len(b), 3) == sorted({j for x in runs for j in x})
+
+
+def test_line_dedup_of_short_lines_and_scripts_without_spaces(spark):
+    poem = "\n".join(f"p{k} q{k}" + "\n" * (k % 3 == 0) for k in range(20))
+    words = "\n".join(f"item{k}" for k in range(30))
+    han = "\n".join("".join(chr(0x4E00 + 97 * k + i) for i in range(12)) + "。" for k in range(4))
+    texts = [f"{own}\n{x}\n{end}" for x in (poem, words, han) for own, end in (("first", "one"), ("second", "two"))]
+    got = {x["doc_id"]: x["text"] for x in line_dedup.line_dedup(docs(spark, texts)).collect()}
+    assert got == {i: "second\ntwo" if i % 2 else x for i, x in enumerate(texts)}
