@@ -13,13 +13,35 @@ BITMAP_BITS = 1 << 22
 HOT_PARTS = 1024
 
 
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, tag: str) -> str:
     """A fresh path in the folder that driver and executors share (spark.checkpoint.dir)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "/tmp/checkpoints"
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/quire/{tag}-{uuid.uuid4().hex}"
+    _made.append(f"{base.rstrip('/')}/quire/{tag}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def made() -> int:
+    """How many scratch paths there are; see release."""
+    return len(_made)
+
+
+def release(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Delete the scratch paths given out after the first `since` ones, but for the files that `keep` reads."""
+    files = keep.inputFiles() if keep is not None else []
+    jvm = spark.sparkContext._jvm
+    for path in _made[since:]:
+        if not any(f"{path}/" in f for f in files):
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _made.remove(path)
 
 
 def saved(df: DataFrame, tag: str) -> DataFrame:
@@ -65,6 +87,20 @@ def hot_join(left: DataFrame, right: DataFrame, key: str, weight: str, total: in
     return left.join(F.broadcast(hot), key).unionByName(left.join(keys, key, "left_anti").join(right.where(F.col(weight) <= least), key, "left"))
 
 
+def spread_join(left: DataFrame, right: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """As hot_join, for rows of `right` that are wide: only keys and numbers are broadcast.
+
+    The row of a hot key is copied, once for each 1/HOT_PARTS of the left rows that carry it, and those rows are dealt
+    over the copies by their own hash.  That makes fewer than HOT_PARTS copies more than there are keys."""
+    least = max(1000, total // HOT_PARTS)
+    copies = F.ceil(F.col(weight) / least).cast("int")
+    hot = right.where(F.col(weight) > least).select(key, copies.alias("__copies"))
+    dealt = F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("__copies")).cast("int"), F.lit(0))
+    dealt = left.join(F.broadcast(hot), key, "left").withColumn("__copy", dealt).drop("__copies")
+    wide = right.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.greatest(copies, F.lit(1)) - 1)))
+    return dealt.join(wide, [key, "__copy"], "left").drop("__copy")
+
+
 def components(edges: DataFrame, tag: str = "cc", most: int = 60) -> DataFrame:
     """Connected components of (a long, b long) edges: rows (node, root), root the smallest node of the component.
 
@@ -77,8 +113,8 @@ def components(edges: DataFrame, tag: str = "cc", most: int = 60) -> DataFrame:
             break
         was = now
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        low = saved(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n"), tag)
+        large = hot_join(both.where("v > u"), low, "u", "n", 2 * now[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low2, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.*").where("u <> v").distinct()
         e = saved(small.select("u", "v"), tag)

@@ -1,32 +1,37 @@
 """Line deduplication by pairwise alignment.
 
-Lines of at least ANCHOR_WORDS words are looked up by their hash, and so are runs of consecutive shorter lines (blank
-ones left out) that together reach that many words, from every line on; a line or run that several documents share pairs each later
-document with the first one that holds it, so a line of n documents gives n - 1 pairs however frequent it is, and a
-shared line's first copy is never deleted.  Each pair's line sequences are aligned with patience diff (lines that occur
-once in both anchor the alignment, gaps are aligned in turn), and aligned blocks of at least `min_block_words` words are
-deleted from the later document.  What the alignment leaves (repeated, reordered or unanchored passages) is then looked up
-in the first document as runs of lines wherever they stand, so no run of that many words that both hold in one piece
-stays in the later one.
+Lines that hold words are hashed and counted; lines of one document only are left out.  Of the shared lines, every shortest
+run of consecutive ones that holds `min_block_words` words, from each line on and up to each line, is an anchor: its key
+is the hash of its rarest line (the one with the least count in the table) followed by the hash of the whole run.  Each
+later document is paired with the first document that holds the anchor, so an anchor of n documents gives n - 1 pairs
+however frequent it is, and no common run is missed whether its lines are rare or not: a block of that many words that
+two documents share holds such runs, which cover all of it, and the first holder of each is an earlier document.
+
+Each pair's sequences of shared lines are aligned with patience diff (lines that occur once in both anchor the alignment,
+gaps are aligned in turn), and aligned blocks of at least `min_block_words` words are deleted from the later document.
+What the alignment leaves (repeated, reordered or unanchored passages) is then looked up in the first document as runs of
+lines wherever they stand.  So a line goes if and only if it stands in a run of at least that many words that an earlier
+document holds too.
 
 Documents are ordered by id.  Defined results: null texts and null ids pass unchanged; rows of one id are never compared
 with each other, repeated rows get the same result; lines are equal when identical; words are runs of
-non-space characters, in scripts without spaces single characters; a text whose lines are all deleted
-becomes empty; an empty table gives no rows; all columns of the input are kept.
+non-space characters, in scripts without spaces single characters; lines without words are passed over, and go when they
+stand between two deleted lines; a text whose lines are all deleted becomes empty; an empty table gives no rows; all
+columns of the input are kept, but those named n_lines and n_deleted give way to the result's when counts are asked for.
 """
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, hot_join, rejoin, row_key, saved
+from .common import ROW, hot_join, rejoin, row_key, saved, spread_join
 
-ANCHOR_WORDS = 5
 MIN_BLOCK_WORDS = 25
 # Thai, Lao, Tibetan, Burmese, Khmer, kana and Han: scripts without spaces, where each character counts as a word.
 NO_SPACE = r"\u0E00-\u0EFF\u0F00-\u109F\u1780-\u17FF\u2E80-\u2FDF\u3005-\u3007\u3021-\u30FA\u30FC-\u30FF\u3400-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\x{20000}-\x{3FFFF}"
@@ -148,61 +153,128 @@ def common_blocks(a: list, b: list, words: list[int], least: int) -> list[int]:
     return out
 
 
-def _anchor(lines: Column, x: Column, i: Column) -> Column:
-    """Hash of the run of short lines from x, number i of `lines` (h, w, no blank ones), that reaches ANCHOR_WORDS; null for long lines and where there is none."""
-    words, short, hashes, out = x["w"], x["w"] < ANCHOR_WORDS, [x["h"]], F.when(x["w"] >= ANCHOR_WORDS, F.lit(None))
-    for k in range(1, ANCHOR_WORDS):
-        y = F.get(lines, i + k)
-        words, short, hashes = words + y["w"], short & (y["w"] < ANCHOR_WORDS), [*hashes, y["h"]]
-        out = out.when(short & (words >= ANCHOR_WORDS), F.unhex(F.md5(F.concat(*hashes))))
-    return out
+def runs(at: list[int], words: list[int], least: int) -> list[tuple[int, int]]:
+    """(first, last) of the shortest runs of consecutive lines with at least `least` words, from each line on and up to each line."""
+    found, n, i = set(), len(at), 0
+    while i < n:
+        end = i + 1
+        while end < n and at[end] == at[end - 1] + 1:
+            end += 1
+        total = [0]
+        for w in words[i:end]:
+            total.append(total[-1] + w)
+        hi = 0
+        for lo in range(end - i):
+            while hi < end - i and total[hi] - total[lo] < least:
+                hi += 1
+            if total[hi] - total[lo] < least:
+                break
+            found.add((i + lo, i + hi - 1))
+        lo = 0
+        for hi in range(1, end - i + 1):
+            while total[hi] - total[lo + 1] >= least:
+                lo += 1
+            if total[hi] - total[lo] >= least:
+                found.add((i + lo, i + hi - 1))
+        i = end
+    return sorted(found)
+
+
+def _parted(at: list[int], hashes: list[bytes], words: list[int]) -> tuple[list, list[int], list[int]]:
+    """Hashes, words and places of a document's shared lines, with a line of its own wherever others stand between."""
+    out, size, place = [], [], []
+    for k, x in enumerate(at):
+        if k and x != at[k - 1] + 1:
+            out.append(object())
+            size.append(0)
+            place.append(-1)
+        out.append(hashes[k])
+        size.append(words[k])
+        place.append(k)
+    return out, size, place
 
 
 def deletions(docs: DataFrame, key: str = "doc_id", text: str = "text", min_block_words: int = MIN_BLOCK_WORDS) -> DataFrame:
-    """ROW, gone: for each document that loses lines, their positions from 0.  `docs` must hold ROW (see row_key)."""
+    """ROW, gone: for each document that loses lines, whether each line goes, up to the last that does.  `docs` must hold ROW (see row_key)."""
     lines = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(ROW).alias("row"), F.col(key).alias("id"), F.split(text, "\n", -1).alias("s"))
     lines = lines.select("row", "id", F.transform("s", lambda x, i: F.struct(i.alias("pos"), F.unhex(F.md5(x)).alias("h"), F.regexp_count(x, F.lit(WORD)).cast("int").alias("w"))).alias("s"))
-    lines = lines.select("row", "id", F.filter("s", lambda x: x["w"] > 0).alias("full"), F.filter("s", lambda x: x["w"] == 0).alias("blank"))
-    wider = lambda x, run: F.struct(x["pos"].alias("pos"), x["h"].alias("h"), x["w"].alias("w"), run.cast("binary").alias("run"))
-    lines = lines.select("row", "id", F.explode(F.concat(F.transform("full", lambda x, i: wider(x, _anchor(F.col("full"), x, i))), F.transform("blank", lambda x: wider(x, F.lit(None))))).alias("x"))
-    lines = saved(lines.select("row", "id", "x.*"), "lines")
-    total = lines.count()
-    anchors = lines.select("row", "id", F.when(F.col("w") >= ANCHOR_WORDS, F.col("h")).otherwise(F.col("run")).alias("h")).where("h IS NOT NULL")
-    first = anchors.groupBy("h").agg(F.min(F.struct("id", "row")).alias("o"), F.max(F.struct("id", "row")).alias("z"), F.count(F.lit(1)).alias("n"))
-    first = saved(first.where("o.id <> z.id").select("h", F.col("o.id").alias("owner_id"), F.col("o.row").alias("owner"), "n"), "owners")
-    pairs = hot_join(anchors.select("row", "id", "h"), first, "h", "n", total).where("owner IS NOT NULL AND id > owner_id")
-    pairs = saved(pairs.select("row", "owner").distinct(), "pairs")
-    wanted = pairs.select("row").unionByName(pairs.select(F.col("owner").alias("row"))).distinct()
+    lines = lines.select("row", "id", F.posexplode(F.filter("s", lambda x: x["w"] > 0)).alias("at", "x"))
+    lines = saved(lines.select("row", "id", "at", "x.*"), "lines")
+    shared = lines.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo <> hi").select("h", "n")
+    held = hot_join(lines, saved(shared, "shared"), "h", "n", lines.count()).where("n IS NOT NULL")
     # repeated rows share ROW: one copy of each line
-    held = lines.join(wanted, "row", "left_semi").groupBy("row").agg(F.array_sort(F.collect_set(F.struct("pos", "h", "w"))).alias("s"))
-    held = saved(held.select("row", F.transform("s", lambda x: x["h"]).alias("hs"), F.transform("s", lambda x: x["w"]).alias("ws")), "sequences")
-    owners = pairs.groupBy("owner").agg(F.count(F.lit(1)).alias("n")).join(held.select(F.col("row").alias("owner"), F.col("hs").alias("ohs")), "owner")
-    both = hot_join(pairs, owners, "owner", "n", pairs.count()).select("row", "ohs").join(held, "row")
+    held = held.groupBy("row").agg(F.min("id").alias("id"), F.array_sort(F.collect_set(F.struct("at", "pos", "h", "w", "n"))).alias("s"))
+    of = lambda c: F.transform("s", lambda x: x[c]).alias(c)
+    held = saved(held.select("row", "id", *map(of, ["at", "pos", "h", "w", "n"])), "sequences")
+
+    def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, ids, anchors = [], [], []
+            for i in range(batch.num_rows):
+                row, id_, at, h, w, n = (batch.column(k)[i].as_py() for k in range(6))
+                own = set()
+                for a, z in runs(at, w, min_block_words):
+                    rare = min(range(a, z + 1), key=lambda k: (n[k], h[k]))
+                    own.add(h[rare] + hashlib.md5(b"".join(h[a : z + 1]), usedforsecurity=False).digest())
+                rows += [row] * len(own)
+                ids += [id_] * len(own)
+                anchors += own
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(ids, batch.schema.field(1).type), pa.array(anchors, pa.binary())], names=["row", "id", "a"])
+
+    id_type = held.schema["id"].dataType.simpleString()
+    anchors = saved(held.select("row", "id", "at", "h", "w", "n").mapInArrow(anchored, f"row bigint, id {id_type}, a binary"), "anchors")
+    first = anchors.groupBy("a").agg(F.min(F.struct("id", "row")).alias("o"), F.max(F.struct("id", "row")).alias("z"), F.count(F.lit(1)).alias("n"))
+    first = saved(first.where("o.id <> z.id").select("a", F.col("o.id").alias("owner_id"), F.col("o.row").alias("owner"), "n"), "owners")
+    pairs = hot_join(anchors, first, "a", "n", anchors.count()).where("owner IS NOT NULL AND id > owner_id")
+    pairs = saved(pairs.select("row", "owner").distinct(), "pairs")
+    owners = pairs.groupBy("owner").agg(F.count(F.lit(1)).alias("n")).join(held.select(F.col("row").alias("owner"), F.col("at").alias("oat"), F.col("h").alias("oh")), "owner")
+    both = spread_join(pairs, owners, "owner", "n", pairs.count()).select("row", "oat", "oh").join(held.select("row", "at", "pos", "h", "w"), "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, gone = [], []
             for i in range(batch.num_rows):
-                cut = common_blocks(batch.column(1)[i].as_py(), batch.column(2)[i].as_py(), batch.column(3)[i].as_py(), min_block_words)
+                row, oat, oh, at, pos, h, w = (batch.column(k)[i].as_py() for k in range(7))
+                if oh == h and oat == at and sum(w) >= min_block_words and at[-1] - at[0] == len(at) - 1:
+                    cut = range(len(at))
+                else:
+                    b, size, place = _parted(at, h, w)
+                    cut = [place[k] for k in common_blocks(_parted(oat, oh, oat)[0], b, size, min_block_words)]
                 if cut:
-                    rows.append(batch.column(0)[i].as_py())
-                    gone.append(cut)
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(gone, pa.list_(pa.int32()))], names=[ROW, "gone"])
+                    rows.append(row)
+                    gone.append([{"at": at[k], "pos": pos[k]} for k in cut])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(gone, pa.list_(pa.struct([("at", pa.int32()), ("pos", pa.int32())])))], names=[ROW, "gone"])
+
+    cut = both.select("row", "oat", "oh", "at", "pos", "h", "w").mapInArrow(run, f"{ROW} bigint, gone array<struct<at:int,pos:int>>")
+    cut = cut.groupBy(ROW).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
+
+    def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for gone in batch.column(1).to_pylist():
+                own = [False] * (gone[-1]["pos"] + 1)
+                for k, x in enumerate(gone):
+                    own[x["pos"]] = True
+                    if k and gone[k - 1]["at"] == x["at"] - 1:  # what stands between holds no words
+                        own[gone[k - 1]["pos"] : x["pos"]] = [True] * (x["pos"] - gone[k - 1]["pos"])
+                out.append(own)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.bool_()))], names=[ROW, "__quire_gone"])
 
-    cut = both.select("row", "ohs", "hs", "ws").mapInArrow(run, f"{ROW} bigint, gone array<int>")
-    return saved(cut.groupBy(ROW).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("__quire_gone")), "gone")
+    return saved(cut.mapInArrow(mask, f"{ROW} bigint, __quire_gone array<boolean>"), "gone")
 
 
 def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_block_words: int = MIN_BLOCK_WORDS, counts: bool = True) -> DataFrame:
     """The input with the deleted lines taken out of `text`; with counts also n_lines and n_deleted."""
+    more = ["n_lines", "n_deleted"] if counts else []
+    docs = docs.drop(*more)
     keyed = docs.withColumn(ROW, row_key(key, text))
     out = rejoin(keyed, deletions(keyed, key, text, min_block_words), "left")
-    gone = F.col("__quire_gone")
-    lines = F.split(text, "\n", -1)
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone, i)), "\n")
-    new = out.withColumn("__quire_text", F.when(gone.isNull(), F.col(text)).otherwise(left))
+    gone, lines = F.col("__quire_gone"), F.split(text, "\n", -1)
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.coalesce(F.get(gone, i), F.lit(False))), "\n")
     if counts:
-        new = new.withColumns({"n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"), "n_deleted": F.coalesce(F.size(gone), F.lit(0)).cast("long")})
-        new = new.withColumn("n_lines", F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.col("n_lines"))).withColumn("n_deleted", F.when(gone.isNull(), F.lit(0)).otherwise(F.col("n_deleted")))
-    new = new.withColumn(text, F.col("__quire_text"))
-    return new.select(*docs.columns, *(["n_lines", "n_deleted"] if counts else []))
+        out = out.withColumns({
+            "n_lines": F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"),
+            "n_deleted": F.when(gone.isNull(), F.lit(0)).otherwise(F.size(F.filter(gone, lambda x: x))).cast("long"),
+        })
+    out = out.withColumn(text, F.when(gone.isNull(), F.col(text)).otherwise(left))
+    return out.select(*docs.columns, *more)

@@ -252,3 +252,62 @@ def test_line_dedup_of_short_lines_and_scripts_without_spaces(spark):
     texts = [f"{own}\n{x}\n{end}" for x in (poem, words, han) for own, end in (("first", "one"), ("second", "two"))]
     got = {x["doc_id"]: x["text"] for x in line_dedup.line_dedup(docs(spark, texts)).collect()}
     assert got == {i: "second\ntwo" if i % 2 else x for i, x in enumerate(texts)}
+
+
+def brute_line_dedup(texts, least):
+    """Every line in a run of `least` words (lines without words aside) that stands in any earlier text goes."""
+    out = []
+    seqs = [[(k, x) for k, x in enumerate((t or "").split("\n")) if x.strip()] for t in texts]
+    for n, t in enumerate(texts):
+        own, gone = seqs[n], set()
+        for e in range(n):
+            other = [x for _, x in seqs[e]]
+            spots = {}
+            for i, x in enumerate(other):
+                spots.setdefault(x, []).append(i)
+            for j in range(len(own)):
+                for i in spots.get(own[j][1], []):
+                    size = 0
+                    while j + size < len(own) and i + size < len(other) and own[j + size][1] == other[i + size]:
+                        size += 1
+                    if sum(len(x.split()) for _, x in own[j : j + size]) >= least:
+                        gone.update(range(j, j + size))
+        places = {own[k][0] for k in gone}
+        places |= {p for k in gone if k + 1 in gone for p in range(own[k][0], own[k + 1][0])}
+        out.append((t if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in places), len(places)))
+    return out
+
+
+def test_line_dedup_against_brute_force(spark):
+    r = random.Random(11)
+    pool = [" ".join(f"l{k}w{i}" for i in range(r.randint(1, 9))) for k in range(40)] + [""]
+    passages = [[r.choice(pool) for _ in range(r.randint(3, 12))] for _ in range(10)]
+    texts = [None, ""]
+    for n in range(120):
+        lines = []
+        for _ in range(r.randint(1, 6)):
+            p = r.choice(passages)
+            lines += r.choice([p, p[r.randrange(len(p)) :], p[: r.randint(1, len(p))], [r.choice(pool)], [f"own {n} {len(lines)}"]])
+        texts.append("\n".join(lines))
+    got = {x["doc_id"]: (x["text"], x["n_deleted"]) for x in line_dedup.line_dedup(docs(spark, texts), min_block_words=12).collect()}
+    assert got == dict(enumerate(brute_line_dedup(texts, 12)))
+
+
+def test_line_dedup_pairs_beyond_first_holders(spark):
+    """Single lines of a passage stand in earlier documents of others, and all its lines are short or frequent."""
+    passage = [" ".join(f"p{k}w{i}" for i in range(12)) for k in range(3)]
+    short = [f"s{k} a b c" for k in range(12)]
+    texts = [*passage, "\n".join(["x", *passage]), "\n".join(["y", *passage]), *short, "\n".join(["u", *short]), "\n".join(["v", *short])]
+    got = {x["doc_id"]: x["text"] for x in line_dedup.line_dedup(docs(spark, texts)).collect()}
+    assert got == {i: {4: "y", 18: "v"}.get(i, t) for i, t in enumerate(texts)}
+
+
+def test_line_dedup_odd_rows(spark):
+    passage = "\n".join(" ".join(f"p{k}w{i}" for i in range(20)) for k in range(2))
+    df = docs(spark, [None, "", "\n\n", passage, passage]).withColumns({"n_lines": F.lit("x"), "n_deleted": F.lit("y"), "row": F.lit(3), "gone": F.lit(1)})
+    df = df.unionByName(df)
+    out = line_dedup.line_dedup(df)
+    assert len(set(out.columns)) == len(out.columns) and {"row", "gone"} < set(out.columns)
+    got = sorted(((x["doc_id"], x["text"], x["n_lines"], x["n_deleted"]) for x in out.collect()), key=str)
+    assert got == sorted([(0, None, 0, 0), (1, "", 1, 0), (2, "\n\n", 3, 0), (3, passage, 2, 0), (4, "", 2, 2)] * 2, key=str)
+    assert line_dedup.line_dedup(df.where("false")).count() == 0
