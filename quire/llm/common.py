@@ -52,15 +52,20 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _slot(key: Column, bits: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(bits).cast("long"))
+def bits_for(keys: int, most: int = 1 << 26) -> int:
+    """A power of two with about 16 bits for each key, 8 MB at most; beyond that a filter lets more keys pass that it does not hold."""
+    return min(most, 1 << max(12, (16 * keys - 1).bit_length() if keys else 0))
 
 
-def bitmap(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> DataFrame:
-    """One row, one array of bits/64 longs: a Bloom filter with one hash.  Its size does not depend on the keys."""
+def _slots(key: Column, bits: int, probes: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key) if not i else F.xxhash64(key, F.lit(i)), F.lit(bits).cast("long")) for i in range(probes)]
+
+
+def bitmap(keys: DataFrame, key: str, bits: int = BITMAP_BITS, probes: int = 1) -> DataFrame:
+    """One row, one array of bits/64 longs: a Bloom filter.  Its size does not depend on the keys."""
     spark, words = keys.sparkSession, bits // 64
-    slot = _slot(F.col(key), bits)
-    own = keys.where(F.col(key).isNotNull()).select(F.shiftright(slot, 6).alias("w"), F.expr("1L").alias("one"), slot.bitwiseAND(F.lit(63)).cast("int").alias("b"))
+    slots = keys.where(F.col(key).isNotNull()).select(F.explode(F.array(*_slots(F.col(key), bits, probes))).alias("slot"))
+    own = slots.select(F.shiftright("slot", 6).alias("w"), F.expr("1L").alias("one"), F.col("slot").bitwiseAND(F.lit(63)).cast("int").alias("b"))
     own = own.select("w", F.expr("shiftleft(one, b)").alias("bits"))
     return (
         own.unionByName(spark.range(words).select(F.col("id").alias("w"), F.expr("0L").alias("bits")))
@@ -69,11 +74,12 @@ def bitmap(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> DataFrame:
     )
 
 
-def may_hold(bits_df: DataFrame, key: Column, bits: int = BITMAP_BITS) -> Column:
+def may_hold(bits_df: DataFrame, key: Column, bits: int = BITMAP_BITS, probes: int = 1) -> Column:
     """True for every key in the bitmap and for few others; false for a null key."""
-    slot = _slot(key, bits)
-    word = F.element_at(bits_df.scalar(), F.shiftright(slot, 6).cast("int") + 1)
-    return key.isNotNull() & (F.getbit(word, slot.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    held, out = bits_df.scalar(), key.isNotNull()
+    for slot in _slots(key, bits, probes):
+        out = out & (F.getbit(F.element_at(held, F.shiftright(slot, 6).cast("int") + 1), slot.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    return out
 
 
 def hot_join(left: DataFrame, right: DataFrame, key: str, weight: str, total: int) -> DataFrame:

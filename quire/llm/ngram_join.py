@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, components, hot_join, rejoin, row_key, saved
+from .common import ROW, components, hot_join, rejoin, row_key, saved, spread_join
 
 NGRAM = 5
 THRESHOLD = 0.8
@@ -149,7 +149,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> D
     """Of (a, b) pairs those whose full n-gram sets are similar enough: a, b, similarity."""
     count = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     ta = count.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a")
-    both = hot_join(pairs, ta, "a", "n", pairs.count()).join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
+    both = spread_join(pairs, ta, "a", "n", pairs.count()).join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, last, grams = Shingler(n), None, None
