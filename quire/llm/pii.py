@@ -2,7 +2,7 @@
 
 One pattern finds entities; distinct values form a dictionary in which each gets a keyed surrogate of its type: mail
 addresses stay mail addresses, addresses of the net have four octets, card numbers keep length, grouping and whether
-their check digit holds, phone numbers keep country code and grouping, secrets keep letter case and digits, names after
+their check digit holds, bank account numbers (IBAN) keep country and whether their check digits hold, phone numbers keep country code and grouping, secrets keep letter case and digits, names after
 a title keep the title, gender and script.  A secret is the whole value behind its keyword, of any length: to the closing
 quote where it is quoted, else to a quote or white space, without closing punctuation.  Names are replaced by their parts, so a family name has one surrogate with
 or without a given name; the parts of the names found in a document are also replaced where they stand in it
@@ -10,7 +10,8 @@ without a title (also in capitals, in hyphenated words, before 's).  Surrogates
 again with the next attempt number, so distinct values stay distinct and equal ones equal in the whole table.
 
 Defined results: null text stays null; texts without entities are unchanged; empty tables give no rows; repeated rows
-give equal rows; all columns are kept; after ATTEMPTS draws a number is appended to the surrogate, which gives up the
+give equal rows; all columns are kept, but those named n_entities and kinds give way to the result's when counts are
+asked for; after ATTEMPTS draws a number is appended to the surrogate, which gives up the
 format rather than distinctness.
 """
 
@@ -55,13 +56,15 @@ PARTS = {
     "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w)",
     "access": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "card": r"(?<![\w-])(?:\d{4}(?:[ -]\d{4}){3}|\d{13,19})(?![\w-]*\d|[A-Za-z_])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ -]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?![\w-]*\d)",
+    "card": r"(?<![\w-])(?:\d{4}(?:[ -]\d{4}){3}|\d{13,19})(?![\w-]{0,40}\d|[A-Za-z_])",
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ -]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?![\w-]{0,40}\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "name": rf"(?<!\p{{L}})(?:{TITLE} )++{NAME_WORD}(?: {NAME_WORD})?",
 }
-ENTITY = "|".join(PARTS.values())
+# All but secrets begin with one of these signs and not within a Latin word: most places are passed over at once.
+INITIALS = "A-Za-z0-9+(" + "".join(sorted({x[0] for x in MALE + FEMALE + NEUTRAL if not x[0].isascii()}))
+ENTITY = PARTS["secret"] + rf"|(?<![A-Za-z])(?=[{INITIALS}])(?:" + "|".join(v for k, v in PARTS.items() if k != "secret") + ")"
 
 
 def entities(text: Column) -> Column:
@@ -114,6 +117,22 @@ def _card(value: Column, h: Column) -> Column:
     return F.concat(body, last.cast("string"))
 
 
+def _mod97(value: Column) -> Column:
+    """Remainder by 97 of digits and capitals, a capital read as 10 to 35."""
+    step = lambda a, c: F.when(c.rlike("[0-9]"), (a * 10 + F.ascii(c) - 48) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97)
+    return F.aggregate(F.split(value, ""), F.lit(0), step)
+
+
+def _iban(value: Column, h: Column) -> Column:
+    """Country, check digits that hold if and only if the original's do, and the masked rest."""
+    country, rest = F.substring(value, F.lit(1), F.lit(2)), F.expr("substring(masked, 5)")
+    plain = lambda x: F.replace(x, F.lit(" "), F.lit(""))
+    check = 98 - _mod97(F.concat(plain(rest), country, F.lit("00")))
+    holds = _mod97(F.concat(plain(F.expr("substring(value, 5)")), F.substring(value, F.lit(1), F.lit(4)))) == 1
+    digits = F.when(holds, check).otherwise((check - 1 + _byte(h, F.lit(62)) % 96) % 97 + 2)
+    return F.concat(country, F.lpad(digits.cast("string"), 2, "0"), rest)
+
+
 def _syllables(script: str, h: Column, count: Column) -> Column:
     words = SYLLABLES[script].split()
     table = F.array(*[F.lit(w) for w in words])
@@ -139,7 +158,7 @@ def _name_part(kind_: Column, value: Column, attempt: Column, h: Column) -> Colu
 
 
 def surrogate(key: str, kind_: Column, value: Column, attempt: Column) -> Column:
-    """Keyed replacement; expects a column `masked` = _masked(value, hash) beside it."""
+    """Keyed replacement; expects columns `value` and `masked` = _masked(value, hash) beside it."""
     h, masked = _hash(key, kind_, attempt, value), F.col("masked")
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_byte(h, i) % 254 + 1).cast("string")), ".")
     domain = F.substring_index(value, "@", -1)
@@ -148,9 +167,8 @@ def surrogate(key: str, kind_: Column, value: Column, attempt: Column) -> Column
     code = F.regexp_extract(value, r"^\+\d{1,3}(?=[ .(-])|^", 0)
     phone = F.concat(code, F.expr(r"substring(masked, length(regexp_extract(value, '^\\+\\d{1,3}(?=[ .(-])|^', 0)) + 1)"))
     access = F.concat(F.substring(value, F.lit(1), F.lit(4)), F.expr("substring(masked, 5)"))
-    iban = F.concat(F.substring(value, F.lit(1), F.lit(2)), F.expr("substring(masked, 3)"))
     return (F.when(kind_ == "mail", mail).when(kind_ == "ip", octets).when(kind_ == "card", _card(value, h)).when(kind_ == "phone", phone).when(kind_ == "access", access)
-            .when(kind_ == "iban", iban).when(kind_.rlike("^(given|family)_"), _name_part(kind_, value, attempt, h)).otherwise(masked))
+            .when(kind_ == "iban", _iban(value, h)).when(kind_.rlike("^(given|family)_"), _name_part(kind_, value, attempt, h)).otherwise(masked))
 
 
 def assign(tokens: DataFrame, key: str) -> DataFrame:
@@ -222,6 +240,8 @@ def _bare_woven(names: Column, gap: Column) -> Column:
 
 def replace_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", secret: str = "surrogates-1", counts: bool = True) -> DataFrame:
     """The input with entities in `text` replaced; with counts also n_entities and kinds (distinct, sorted, comma-joined)."""
+    more = ["n_entities", "kinds"] if counts else []
+    docs = docs.drop(*more)
     keyed = docs.withColumn(ROW, row_key(key, text))
     found = entities(F.col(text))
     hits = saved(keyed.select(ROW, found.alias("m")).where("size(m) > 0").distinct(), "hits")
@@ -240,8 +260,6 @@ def replace_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", secret
     gaps = F.when(names.isNull(), gaps).otherwise(F.transform(gaps, lambda g: _bare_woven(names, g)))
     woven = F.array_join(F.zip_with(gaps, F.array_append(new, F.lit("")), lambda g, n: F.concat(g, n)), "")
     out = out.withColumn(text, F.when(new.isNull(), F.col(text)).otherwise(woven))
-    more = []
     if counts:
         out = out.withColumns({"n_entities": F.when(new.isNull(), F.lit(0)).otherwise(F.size(new) + F.col("__quire_more")).cast("long"), "kinds": F.coalesce("__quire_kinds", F.lit(""))})
-        more = ["n_entities", "kinds"]
     return out.select(*docs.columns, *more)
