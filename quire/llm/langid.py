@@ -4,12 +4,13 @@ A linear support vector machine for each language family decides the family firs
 languages, one-versus-one machines vote between them.  Features are counts of letters, letter pairs and letter triples
 of the whole text, hashed to DIMS, square-rooted and scaled to unit length.
 
-The machines are fitted on a bounded sample of labelled rows: at most TRAIN_ROWS rows in all, shared evenly between the
-languages and chosen by a hash of the id.  Prediction reads only the text.
+The machines are fitted on a bounded sample of labelled rows: at most TRAIN_ROWS different rows in all, shared evenly
+between the languages and chosen by a hash of id and text.  Prediction reads only the text.
 
 Defined results: null text and text without letters are "und" with score 0; without any labelled row everything is
 "und"; null ids are never learned from and count as not held out; ties go to the language first in the alphabet;
-repeated rows give a row each.
+repeated rows give a row each and are learned from once; with more languages than TRAIN_ROWS those with the most rows
+are learned.
 """
 
 from __future__ import annotations
@@ -138,24 +139,24 @@ def held_out(key: str = "doc_id") -> F.Column:
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", train_rows: int = TRAIN_ROWS) -> Model:
     """Fit on labelled rows that are not held out; only features of the bounded sample reach the driver."""
-    known = docs.where(F.col(key).isNotNull() & F.col(lang).isNotNull() & ~held_out(key)).select(F.col(key).alias("id"), F.col(lang).alias("lang"))
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("id").alias("n")).limit(train_rows + 1).collect()}
-    if len(sizes) > train_rows:
-        raise ValueError(f"more than {train_rows} languages")
-    each = max(1, train_rows // max(1, len(sizes)))
-    # Twice the wanted rows and some more are left of each language before any language meets in one task.
-    share = F.create_map(*[F.lit(x) for v, n in sizes.items() for x in (v, (2 * each + 100) / max(1, n))]) if sizes else None
-    near = known.where(F.xxhash64("id") / 2.0**64 + 0.5 < share[F.col("lang")]) if sizes else known
-    at = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = near.distinct().withColumn("at", at).where(F.col("at") <= each).select("id", "lang")
+    known = docs.where(F.col(key).isNotNull() & F.col(lang).isNotNull() & ~held_out(key)).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key), F.col(text)).alias("h"))
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).orderBy(F.desc("n"), "lang").limit(train_rows).collect()
+    if not sizes:
+        return Model(np.zeros((0, DIMS)), [])
+    each = max(1, train_rows // len(sizes))
+    # Twice the wanted texts and some more are left of each language before any language meets in one task.
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], (2 * each + 100) / max(1, r["n"]))])
+    near = known.where(F.xxhash64("h") / 2.0**64 + 0.5 < share[F.col("lang")]).select("lang", "h").distinct()
+    at = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("h"), "h"))
+    chosen = near.withColumn("at", at).where(F.col("at") <= each).select("lang", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [(v, f) for v, f in zip(batch.column(1).to_pylist(), map(features, batch.column(0).to_pylist())) if f is not None]
             yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in got], pa.string()), pa.array([f.astype(np.float32).tobytes() for _, f in got], pa.binary())], names=["lang", "f"])
 
-    # at most train_rows rows: the size of the broadcast side is bounded
-    picked = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).join(F.broadcast(chosen), ["id", "lang"]).select("text", "lang")
+    # `chosen` has at most train_rows rows, so the broadcast side is bounded; repeated rows are one row of the sample.
+    picked = known.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).select("text", "lang")
     rows = sorted((r["lang"], bytes(r["f"])) for r in picked.mapInArrow(run, "lang string, f binary").collect())
     x = np.array([np.frombuffer(f, dtype=np.float32) for _, f in rows], dtype=np.float64).reshape(len(rows), DIMS)
     return Model(x, [v for v, _ in rows])
