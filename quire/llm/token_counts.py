@@ -4,7 +4,9 @@ A store in the shared folder holds, by committed batch, the signed totals the ba
 tokenizer version, and the counts of the documents it touched.  A batch of inserts, revisions and deletes is joined to
 the documents' standing counts; each change retracts the old count and adds the new one.  Totals are the sum of the
 committed deltas.  A batch's files are written whole and its commit marker last, so committing it again does nothing and
-a batch that broke off is simply written anew.
+a batch that broke off is simply written anew.  Every SNAPSHOT batches the standing counts and the totals are written
+out, so a commit and a reading look at no more than SNAPSHOT batches beside the last snapshot; of the snapshot only
+documents that a filter over the batch's ids lets pass are shuffled.  One writer commits at a time.
 
 Defined results: inserting or revising a document that stands replaces its count; deleting one that does not stand
 changes nothing; of several changes to a document in one batch the one with the highest `seq` counts (ties: the largest
@@ -14,18 +16,24 @@ is a group of its own; groups whose documents are all gone are left out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encoder
-from .common import scratch
+from .common import bitmap, bits_for, may_hold, saved, scratch
 
 KEYS = ["source", "lang", "tokenizer"]
 SUMS = ["n_docs", "n_tokens", "n_chars"]
 CHANGE = "op string, doc_id bigint, seq bigint, source string, lang string, tokenizer string, n_tokens bigint, n_chars bigint"
+STATE = "doc_id bigint, tokenizer string, source string, lang string, n_tokens bigint, n_chars bigint, live boolean, number int"
+DELTA = "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint, n_chars bigint"
+
+#: Batches between snapshots.
+SNAPSHOT = 8
 
 
 class RollupStore:
@@ -37,51 +45,66 @@ class RollupStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
-    def committed(self) -> list[tuple[int, str]]:
-        """(number, batch) of the committed batches, in order."""
-        if not self._exists(f"{self.path}/commits"):
-            return []
-        return sorted((r["number"], r["batch"]) for r in self.spark.read.parquet(f"{self.path}/commits/*").collect())
+    def _marker(self, batch: str) -> str:
+        return f"{self.path}/commits/{hashlib.sha256(batch.encode()).hexdigest()}"
 
-    def _standing(self, done: list[tuple[int, str]]) -> DataFrame | None:
-        if not done:
+    def last(self) -> int:
+        """Number of the last committed batch, 0 without any; batches are numbered from 1 without gaps."""
+        if not self._exists(f"{self.path}/commits"):
+            return 0
+        return self.spark.read.schema("number int, batch string").parquet(f"{self.path}/commits/*").agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
+
+    def _since(self, kind: str, last: int) -> list[str]:
+        """Paths whose rows together say what stands after batch `last`: a snapshot and the batches after it."""
+        at = last // SNAPSHOT * SNAPSHOT
+        return ([f"{self.path}/{kind}_snapshot/{at:08d}"] if at else []) + [f"{self.path}/{kind}/{n:08d}" for n in range(at + 1, last + 1)]
+
+    def standing(self, last: int | None = None, only: Callable[[DataFrame], DataFrame] = lambda log: log) -> DataFrame | None:
+        """doc_id, tokenizer and the counts of the documents that stand; `only` narrows the log to some documents."""
+        paths = self._since("state", self.last() if last is None else last)
+        if not paths:
             return None
-        log = self.spark.read.parquet(*[f"{self.path}/state/{n:08d}" for n, _ in done])
-        last = log.groupBy("doc_id", "tokenizer").agg(F.max_by(F.struct("source", "lang", "n_tokens", "n_chars", "live"), "number").alias("s"))
-        return last.select("doc_id", "tokenizer", "s.*").where("live")
+        log = only(self.spark.read.schema(STATE).parquet(*paths))
+        latest = log.groupBy("doc_id", "tokenizer").agg(F.max_by(F.struct("source", "lang", "n_tokens", "n_chars", "live", "number"), "number").alias("s"))
+        return latest.select("doc_id", "tokenizer", "s.*").where("live")
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Apply a batch of CHANGE rows; False if it is already in."""
-        done = self.committed()
-        if batch in {b for _, b in done}:
+        if self._exists(f"{self._marker(batch)}/_SUCCESS"):
             return False
-        number = len(done) + 1
+        done = self.last()
+        number = done + 1
         cols = ["source", "lang", "n_tokens", "n_chars"]
-        changes.write.mode("overwrite").parquet(f"{self.path}/changes/{number:08d}")
+        changes.select([F.col(f.split()[0]) for f in CHANGE.split(", ")]).write.mode("overwrite").parquet(f"{self.path}/changes/{number:08d}")
         changes = self.spark.read.schema(CHANGE).parquet(f"{self.path}/changes/{number:08d}")
         keyed, loose = changes.where("doc_id IS NOT NULL"), changes.where("doc_id IS NULL AND op <> 'delete'")
         last = keyed.groupBy("doc_id", "tokenizer").agg(F.max(F.struct("seq", "op", *cols)).alias("c")).select("doc_id", "tokenizer", "c.op", *[f"c.{c}" for c in cols])
         state = last.select("doc_id", "tokenizer", *cols, (F.col("op") != "delete").alias("live"), F.lit(number).alias("number"))
         state.write.mode("overwrite").parquet(f"{self.path}/state/{number:08d}")
-        new = self.spark.read.parquet(f"{self.path}/state/{number:08d}")
-        signed = [new.where("live").select("tokenizer", *cols, F.lit(1).alias("sign")), loose.select("tokenizer", *cols, F.lit(1).alias("sign"))]
-        if (old := self._standing(done)) is not None:
-            signed.append(old.join(new.select("doc_id", "tokenizer"), ["doc_id", "tokenizer"], "left_semi").select("tokenizer", *cols, F.lit(-1).alias("sign")))
-        rows = signed[0]
-        for more in signed[1:]:
-            rows = rows.unionByName(more)
-        delta = rows.groupBy(*KEYS).agg(F.sum(F.col("sign").cast("long")).alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).alias("n_tokens"), F.sum(F.col("sign") * F.col("n_chars")).alias("n_chars"))
-        delta.write.mode("overwrite").parquet(f"{self.path}/delta/{number:08d}")
-        self.spark.createDataFrame([(number, batch)], "number int, batch string").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/{number:08d}")
+        new = self.spark.read.schema(STATE).parquet(f"{self.path}/state/{number:08d}")
+        rows = new.where("live").select("tokenizer", *cols, F.lit(1).alias("sign")).unionByName(loose.select("tokenizer", *cols, F.lit(1).alias("sign")))
+        touched, bits = new.select("doc_id"), bits_for(new.count())
+        old = self.standing(done, lambda log: log.where(may_hold(bitmap(touched, "doc_id", bits), F.col("doc_id"), bits)))
+        if old is not None:
+            rows = rows.unionByName(old.join(new.select("doc_id", "tokenizer"), ["doc_id", "tokenizer"], "left_semi").select("tokenizer", *cols, F.lit(-1).alias("sign")))
+        signed = [F.sum(F.col("sign") * x).alias(c) for c, x in zip(SUMS, (F.lit(1).cast("long"), F.col("n_tokens"), F.col("n_chars")))]
+        rows.groupBy(*KEYS).agg(*signed).write.mode("overwrite").parquet(f"{self.path}/delta/{number:08d}")
+        if number % SNAPSHOT == 0:
+            # Written before the marker, from what stood before and this batch.
+            log = self.spark.read.schema(STATE).parquet(*self._since("state", done), f"{self.path}/state/{number:08d}")
+            latest = log.groupBy("doc_id", "tokenizer").agg(F.max_by(F.struct(*cols, "live", "number"), "number").alias("s")).select("doc_id", "tokenizer", "s.*").where("live")
+            latest.write.mode("overwrite").parquet(f"{self.path}/state_snapshot/{number:08d}")
+            deltas = self.spark.read.schema(DELTA).parquet(*self._since("delta", done), f"{self.path}/delta/{number:08d}")
+            deltas.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).write.mode("overwrite").parquet(f"{self.path}/delta_snapshot/{number:08d}")
+        self.spark.createDataFrame([(number, batch)], "number int, batch string").coalesce(1).write.mode("overwrite").parquet(self._marker(batch))
         return True
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens, n_chars over the committed batches."""
-        done = self.committed()
-        if not done:
-            return self.spark.createDataFrame([], "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint, n_chars bigint")
-        log = self.spark.read.parquet(*[f"{self.path}/delta/{n:08d}" for n, _ in done])
-        return log.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where(" OR ".join(f"{c} <> 0" for c in SUMS))
+        paths = self._since("delta", self.last())
+        if not paths:
+            return self.spark.createDataFrame([], DELTA)
+        return self.spark.read.schema(DELTA).parquet(*paths).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where(" OR ".join(f"{c} <> 0" for c in SUMS))
 
 
 def counted(docs: DataFrame, tokenizers: dict[str, str], op: str = "insert", seq: int = 0) -> DataFrame:
@@ -100,9 +123,18 @@ def counted(docs: DataFrame, tokenizers: dict[str, str], op: str = "insert", seq
 
 
 def token_counts(docs: DataFrame, tokenizers: dict[str, str], path: str | None = None) -> DataFrame:
-    """Load documents as one batch, commit it a second time (which must change nothing), and read the totals."""
+    """Totals over docs, kept by four batches: a load in which every 16th document has a provisional count (of words), a
+    withdrawal of every 16th other one, its return together with the revised counts, and the load committed once more,
+    which changes nothing."""
     store = RollupStore(docs.sparkSession, path)
-    changes = counted(docs, tokenizers)
-    store.commit("load", changes)
-    store.commit("load", changes)
+    changes = saved(counted(docs, tokenizers), "changes")
+    turn = F.pmod(F.col("doc_id"), F.lit(16))
+    words = docs.where(turn == 1).select("doc_id", F.xxhash64("doc_id", "text").alias("h"), F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0)).cast("long").alias("n_words"))
+    first = words.groupBy("doc_id").agg(F.max("n_words").alias("n_words"))
+    load = changes.join(first, "doc_id", "left").withColumn("n_tokens", F.coalesce("n_words", "n_tokens")).drop("n_words")
+    again = changes.where(turn <= 1).withColumns({"op": F.when(turn == 1, "revise").otherwise("insert"), "seq": F.lit(1).cast("long")})
+    store.commit("load", load)
+    store.commit("withdraw", changes.where(turn == 0).withColumn("op", F.lit("delete")))
+    store.commit("return", again)
+    store.commit("load", load)
     return store.totals()
