@@ -37,6 +37,45 @@ NOTICES = {
     "subject to the terms of the mozilla public license v 2 0": "mpl-2.0",
     "this is free and unencumbered software released into the public domain": "unlicense",
 }
+#: Whole texts of licenses and notices, word by word.
+TEXTS = {
+    "mit-text": """permission is hereby granted free of charge to any person obtaining a copy of this software and associated
+documentation files the software to deal in the software without restriction including without limitation the rights to use copy
+modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is
+furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in
+all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied
+including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event
+shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or
+otherwise arising from out of or in connection with the software or the use or other dealings in the software""",
+    "bsd-2-clause-text": """redistribution and use in source and binary forms with or without modification are permitted provided that
+the following conditions are met 1 redistributions of source code must retain the above copyright notice this list of conditions
+and the following disclaimer 2 redistributions in binary form must reproduce the above copyright notice this list of conditions and
+the following disclaimer in the documentation and or other materials provided with the distribution this software is provided by
+the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied
+warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or
+contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to
+procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory
+of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of
+this software even if advised of the possibility of such damage""",
+    "isc-text": """permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
+provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and the
+author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no
+event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from
+loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection
+with the use or performance of this software""",
+    "zlib-text": """this software is provided as is without any express or implied warranty in no event will the authors be held liable
+for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including
+commercial applications and to alter it and redistribute it freely subject to the following restrictions""",
+    "apache-2.0-notice": """licensed under the apache license version 2 0 the license you may not use this file except in compliance
+with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law
+or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of
+any kind either express or implied see the license for the specific language governing permissions and limitations under the
+license""",
+    "gpl-3.0-notice": """this program is free software you can redistribute it and or modify it under the terms of the gnu general
+public license as published by the free software foundation either version 3 of the license or at your option any later version
+this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of
+merchantability or fitness for a particular purpose see the gnu general public license for more details""",
+}
 MIN_COVER = 0.75
 #: Diagonals this close to each other are merged.
 SLACK = 2
@@ -53,7 +92,7 @@ def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """key, n_words, n_base, first_word, last_word, base_labels, labels, score for every row."""
     spark = docs.sparkSession
     grams = []
-    for number, (phrase, label) in enumerate([*BASE.items(), *NOTICES.items()]):
+    for number, (phrase, label) in enumerate([*BASE.items(), *NOTICES.items(), *[(phrase, label) for label, phrase in TEXTS.items()]]):
         words = phrase.split()
         grams += [(number, label, number < len(BASE), len(words) - 1, at, a, b) for at, (a, b) in enumerate(zip(words, words[1:]))]
     templates = spark.createDataFrame(grams, "tmpl int, label string, base boolean, grams int, at int, ta string, tb string").withColumn("h", _pair_hash(F.col("ta"), F.col("tb")))
@@ -65,15 +104,18 @@ def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     places = places.withColumn("hash", _pair_hash(F.col("a"), F.col("b")))
     same = lambda x, y: F.translate(F.col(x), UPPER, LOWER) == F.col(y)
     hits = places.join(F.broadcast(templates), (F.col("hash") == F.col("h")) & F.col("b").isNotNull() & same("a", "ta") & same("b", "tb"), "left")
-    votes = hits.groupBy("row", "id", "n_words", "tmpl", "label", "base", "grams", (F.col("pos") - F.col("at")).alias("diag")).agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("mask"))
+    votes = hits.groupBy("row", "id", "n_words", "tmpl", "label", "base", "grams", (F.col("pos") - F.col("at")).alias("diag"), F.shiftright("at", 6).alias("block")).agg(F.bit_or(F.expr("shiftleft(1L, at & 63)")).alias("mask"))
 
     order = Window.partitionBy("row", "tmpl").orderBy("diag")
     fresh = F.when(F.col("diag") - F.lag("diag").over(order) <= SLACK, 0).otherwise(1)
     merged = votes.withColumn("fresh", fresh).withColumn("island", F.sum("fresh").over(order))
     whole = F.col("base") & (F.bit_count("mask") == F.col("grams"))
-    spans = merged.groupBy("row", "id", "n_words", "tmpl", "label", "base", "grams", "island").agg(
+    span = ["row", "id", "n_words", "tmpl", "label", "base", "grams", "island"]
+    # 64 pairs of a template to a block
+    spans = merged.groupBy(*span, "block").agg(
         F.bit_or("mask").alias("mask"), F.count(F.when(whole, 1)).alias("places"), F.min(F.when(whole, F.col("diag"))).alias("first"), F.max(F.when(whole, F.col("diag"))).alias("last"))
-    cover = F.when(F.col("base"), F.when(F.col("places") > 0, F.lit(1.0)).otherwise(F.lit(0.0))).otherwise(F.bit_count("mask") / F.col("grams"))
+    spans = spans.groupBy(*span).agg(F.sum(F.bit_count("mask")).alias("held"), F.sum("places").alias("places"), F.min("first").alias("first"), F.max("last").alias("last"))
+    cover = F.when(F.col("base"), F.when(F.col("places") > 0, F.lit(1.0)).otherwise(F.lit(0.0))).otherwise(F.col("held") / F.col("grams"))
     spans = spans.withColumn("cover", cover).withColumn("found", F.col("cover") >= F.when(F.col("base"), 1.0).otherwise(MIN_COVER))
     joined = lambda cond: F.array_join(F.array_sort(F.collect_set(F.when(cond, F.col("label")))), ",")
     return spans.groupBy("row", "id", "n_words").agg(
