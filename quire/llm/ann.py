@@ -1,10 +1,10 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph per shard, results merged.
 
 Equal vectors are one node (the `k + 1` smallest ids stand for all: no query can need more of them).  Nodes go to shards
-by a hash of the vector, about `shard_rows` to a shard.  A shard's nodes are ordered by descending level, so the nodes of
-level l are a prefix and each level's links are one flat array of fixed width.  A node is linked to diverse nearest ones
-among the nodes before it; the candidates come from exact distances in the shard, block by block.  Every query runs
-through every shard's graph, in blocks of queries, and the shards' results are merged.
+by a hash of the vector; a shard holds about `shard_bytes` of vectors, so the number of shards, through each of which every
+query runs, depends on memory.  A shard's nodes are ordered by descending level, so the nodes of level l are a prefix and
+each level's links are one flat array of fixed width.  Nodes are inserted one after the other, each by a search of the
+graph so far.  Every query runs through every shard's graph, in blocks of queries, and the shards' results are merged.
 
 Defined results: vectors that are null, zero, of another length than most, or that hold null or non-finite components
 take no part, neither as queries nor as candidates; ties go to the smaller id; rows that share the query's id count as
@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from .common import saved
 
 LINKS = 16
-CANDIDATES = 64
+CANDIDATES = 48
+#: Bytes of vectors in a shard.
+SHARD_BYTES = 8 << 20
 
 
 def _diverse(near: np.ndarray, dist: np.ndarray, vectors: np.ndarray, most: int) -> np.ndarray:
@@ -47,93 +49,102 @@ def _diverse(near: np.ndarray, dist: np.ndarray, vectors: np.ndarray, most: int)
     return near[np.sort(np.array(taken))]
 
 
-def build_level(vectors: np.ndarray, links: int, width: int) -> np.ndarray:
-    """Flat links (n × width, -1 for none) over the given vectors, inserted in order."""
-    n = len(vectors)
-    sq = np.einsum("ij,ij->i", vectors, vectors)
-    lists: list[list[int]] = [[] for _ in range(n)]
-
-    def trim(j: int) -> None:
-        near = np.array(lists[j])
-        gap = vectors[near] - vectors[j]
-        dist = np.einsum("ij,ij->i", gap, gap)
-        order = np.argsort(dist, kind="stable")
-        lists[j] = _diverse(near[order], dist[order], vectors, width).tolist()
-
-    for start in range(0, n, 256):
-        stop = min(n, start + 256)
-        dist = sq[start:stop, None] + sq[None, :stop] - 2 * (vectors[start:stop] @ vectors[:stop].T)
-        for i in range(max(start, 1), stop):
-            row = dist[i - start, :i]
-            near = np.argpartition(row, CANDIDATES)[:CANDIDATES] if i > CANDIDATES else np.arange(i)
-            near = near[np.argsort(row[near], kind="stable")]
-            for j in _diverse(near, row[near], vectors, links).tolist():
-                lists[i].append(j)
-                lists[j].append(i)
-                if len(lists[j]) > 2 * width:
-                    trim(j)
-    out = np.full((n, width), -1, dtype=np.int32)
-    for i, own in enumerate(lists):
-        if len(own) > width:
-            trim(i)
-            own = lists[i]
-        out[i, : len(own)] = own
-    return out
+def _wide(vectors: np.ndarray) -> np.ndarray:
+    """Vectors with their squared lengths behind: their product with (-2 q, 1) orders them by distance from q."""
+    return np.concatenate([vectors, np.einsum("ij,ij->i", vectors, vectors)[:, None]], axis=1)
 
 
 def build(vectors: np.ndarray, seed: int = 7) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Order of the nodes, and for each level its flat links (level 0 first)."""
+    """Order of the nodes, and for each level its flat links (level 0 first), by inserting one node after the other.
+
+    A node searches the graph so far from the top: greedily above its own level, then in breadth CANDIDATES on each of its
+    levels, where it is linked to diverse ones of the nodes found and they to it; lists that grow too long are trimmed."""
     n = len(vectors)
     rng = np.random.default_rng(seed)
     level = np.floor(-np.log(1 - rng.random(n)) / np.log(LINKS)).astype(int)
     order = np.argsort(-level, kind="stable")
-    ordered, level = vectors[order], level[order]
+    vectors, level = vectors[order], level[order].tolist()
+    wide = _wide(vectors)
+    held = [sum(x >= at for x in level) for at in range(level[0] + 1 if n else 0)]
+    widths = [2 * LINKS if not at else LINKS for at in range(len(held))]
+    links: list[list[list[int]]] = [[[] for _ in range(m)] for m in held]
+
+    def trim(at: int, j: int) -> None:
+        near = np.array(links[at][j])
+        gap = vectors[near] - vectors[j]
+        dist = np.einsum("ij,ij->i", gap, gap)
+        rank = np.argsort(dist, kind="stable")
+        links[at][j] = _diverse(near[rank], dist[rank], vectors, widths[at]).tolist()
+
+    for i in range(1, n):
+        query = np.append(-2 * vectors[i], 1.0)
+        entry = [(float(wide[0] @ query), 0)]
+        for at in range(len(held) - 1, -1, -1):
+            entry = look(query, wide, links[at], entry, CANDIDATES if at <= level[i] else 1)
+            if at > level[i]:
+                continue
+            near, dist = np.array([x[1] for x in entry]), np.array([x[0] for x in entry]) + wide[i, -1]
+            for j in _diverse(near, dist, vectors, LINKS).tolist():
+                links[at][i].append(j)
+                links[at][j].append(i)
+                if len(links[at][j]) > 2 * widths[at]:
+                    trim(at, j)
     levels = []
-    for at in range(int(level[0]) + 1 if n else 0):
-        held = int(np.searchsorted(-level, -at, side="right"))
-        if at and held < 2:
-            break
-        levels.append(build_level(ordered[:held], LINKS, 2 * LINKS if at == 0 else LINKS))
+    for at, w in enumerate(widths):
+        flat = np.full((held[at], w), -1, dtype=np.int32)
+        for j in range(held[at]):
+            if len(links[at][j]) > w:
+                trim(at, j)
+            flat[j, : len(links[at][j])] = links[at][j]
+        levels.append(flat)
     return order, levels
 
 
-def search(query: np.ndarray, vectors: np.ndarray, levels: list[np.ndarray], k: int, ef: int) -> list[tuple[float, int]]:
-    """The k nearest nodes found, as (squared distance, node)."""
-    if not len(vectors):
-        return []
-
-    def distances(nodes: np.ndarray) -> np.ndarray:
-        gap = vectors[nodes] - query
-        return np.einsum("ij,ij->i", gap, gap)
-
-    entry = [(float(distances(np.array([0]))[0]), 0)]
-    for at in range(len(levels) - 1, -1, -1):
-        links, breadth = levels[at], ef if at == 0 else 8
-        seen = np.zeros(len(links), dtype=bool)
-        seen[[x[1] for x in entry]] = True
-        todo = list(entry)
-        heapq.heapify(todo)
-        best = [(-d, -i) for d, i in entry]
-        heapq.heapify(best)
-        while todo:
-            d, i = heapq.heappop(todo)
-            if len(best) >= breadth and d > -best[0][0]:
-                break
-            near = links[i]
-            near = near[near >= 0]
-            near = near[~seen[near]]
-            if not len(near):
-                continue
-            seen[near] = True
-            for dist, j in zip(distances(near).tolist(), near.tolist()):
-                if len(best) < breadth:
-                    heapq.heappush(best, (-dist, -j))
-                    heapq.heappush(todo, (dist, j))
-                elif dist < -best[0][0]:
-                    heapq.heapreplace(best, (-dist, -j))
-                    heapq.heappush(todo, (dist, j))
-        entry = sorted((-d, -i) for d, i in best)
-    return entry[:k]
+def look(query: np.ndarray, wide: np.ndarray, links: list[list[int]], entry: list[tuple[float, int]], breadth: int) -> list[tuple[float, int]]:
+    """The `breadth` nearest nodes that a best-first walk over one level finds from `entry`, as (distance, node) in order.
+
+    The query is (-2 q, 1), see _wide: distances are squared and less by the query's squared length."""
+    seen = {x[1] for x in entry}
+    todo = list(entry)
+    heapq.heapify(todo)
+    best = [(-d, -i) for d, i in entry]
+    heapq.heapify(best)
+    while todo:
+        d, i = heapq.heappop(todo)
+        if len(best) >= breadth and d > -best[0][0]:
+            break
+        near = [j for j in links[i] if j not in seen]
+        if not near:
+            continue
+        seen.update(near)
+        for dist, j in zip((wide[near] @ query).tolist(), near):
+            if len(best) < breadth:
+                heapq.heappush(best, (-dist, -j))
+                heapq.heappush(todo, (dist, j))
+            elif dist < -best[0][0]:
+                heapq.heapreplace(best, (-dist, -j))
+                heapq.heappush(todo, (dist, j))
+    return sorted((-d, -i) for d, i in best)
+
+
+class Graph:
+    """A built graph ready for searches."""
+
+    def __init__(self, vectors: np.ndarray, levels: list[np.ndarray]) -> None:
+        self.vectors, self.wide = vectors, _wide(vectors)
+        self.links = [[[j for j in own if j >= 0] for own in x.tolist()] for x in levels]
+
+    def search(self, query: np.ndarray, k: int, ef: int) -> list[tuple[float, int]]:
+        """The k nearest nodes found, as (distance, node); the distances are those of the vectors themselves."""
+        if not len(self.vectors):
+            return []
+        wide_query = np.append(-2 * query, 1.0)
+        entry = [(float(self.wide[0] @ wide_query), 0)]
+        for at in range(len(self.links) - 1, -1, -1):
+            entry = look(wide_query, self.wide, self.links[at], entry, max(ef, k) if at == 0 else 8)
+        near = [i for _, i in entry]
+        gap = self.vectors[near] - query
+        return sorted(zip(np.sqrt(np.einsum("ij,ij->i", gap, gap)).tolist(), near))[:k]
 
 
 def _usable(rows: DataFrame, vector: str) -> DataFrame:
@@ -141,8 +152,8 @@ def _usable(rows: DataFrame, vector: str) -> DataFrame:
     return rows.where(F.coalesce(ok, F.lit(False)))
 
 
-def neighbours(rows: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding", shard_rows: int = 4096, ef: int = 96, query_block: int = 1024) -> DataFrame:
-    """query_id, rank, vec_id, score: each query's k nearest rows by Euclidean distance."""
+def neighbours(rows: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding", shard_bytes: int = SHARD_BYTES, ef: int = 96, query_block: int = 8192) -> DataFrame:
+    """query_id, rank, vec_id, score: each query's k nearest rows by Euclidean distance; other columns are not read."""
     good = saved(_usable(rows.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), is_query.alias("q")), "v").where("id IS NOT NULL"), "vectors")
     mode = good.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     empty = "query_id bigint, rank int, vec_id bigint, score double"
@@ -152,7 +163,7 @@ def neighbours(rows: DataFrame, is_query: Column, k: int = 10, key: str = "vec_i
     # Of equal vectors at most k + 1 ids; the limit is applied before and after the shuffle.
     few = good.withColumn("at", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("at") <= k + 1)
     nodes = saved(few.groupBy("v").agg(F.array_sort(F.collect_set("id")).alias("ids")), "nodes")
-    shards = max(1, -(-nodes.count() // shard_rows))
+    shards = max(1, -(-nodes.count() * mode["dim"] * 8 // shard_bytes))
 
     def index(table: pa.Table) -> pa.Table:
         vectors = np.array(table.column("v").combine_chunks().flatten(), dtype=np.float64).reshape(table.num_rows, -1)
@@ -169,23 +180,24 @@ def neighbours(rows: DataFrame, is_query: Column, k: int = 10, key: str = "vec_i
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks).cast("long"))).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     held = graphs.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
-    def look(graph: pa.Table, block: pa.Table) -> pa.Table:
+    def ask(graph: pa.Table, block: pa.Table) -> pa.Table:
         q, found, score = [], [], []
         if graph.num_rows:
             dim = graph.column("dim")[0].as_py()
-            vectors = np.frombuffer(graph.column("vectors")[0].as_py(), dtype=np.float64).reshape(-1, dim)
+            vectors = np.frombuffer(graph.column("vectors")[0].as_py(), dtype=np.float64).reshape(-1, graph.column("dim")[0].as_py())
             levels = [np.frombuffer(x, dtype=np.int32).reshape(-1, w) for x, w in zip(graph.column("links")[0].as_py(), graph.column("widths")[0].as_py())]
+            held = Graph(vectors, levels)
             ids = graph.column("ids")[0].as_py()
             for own, v in zip(block.column("id").to_pylist(), block.column("v").to_pylist()):
-                for d, node in search(np.array(v, dtype=np.float64), vectors, levels, k + 1, ef):
+                for d, node in held.search(np.array(v, dtype=np.float64), k + 1, ef):
                     for other in ids[node]:
                         if other != own:
                             q.append(own)
                             found.append(other)
-                            score.append(float(np.sqrt(d)))
+                            score.append(d)
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(score, pa.float64())})
 
-    hits = held.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(look, "query_id bigint, vec_id bigint, score double")
+    hits = held.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(ask, "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
