@@ -22,15 +22,110 @@ def docs(spark, texts):
 ODD = [None, "", "!!!", "word", "word", "a b c " * 3000, "É́ ſ K", "\n\n"]
 
 
-@pytest.mark.parametrize("n", [0, 1])
-def test_every_operator_on_odd_rows(spark, n):
-    """Nulls, empty and very long texts, repeated rows, an empty table, extra columns with clashing names."""
-    df = docs(spark, ODD).withColumns({"n": F.lit(1), "id": F.lit(2), "row": F.lit(3), "value": F.lit(4), "kept": F.lit(True)})
-    df = df.where("false") if not n else df.unionByName(df)
-    want = 0 if not n else 2 * len(ODD)
-    path = tokenizer_path()
-    for f in (ngram_join.near_duplicates, line_dedup.line_dedup, pii.replace_pii, packing.pack, lambda d: bpe.encode(d, path, digests_only=True), exact_dedup.exact_dedup, license_scan.license_scan, langid.identify):
-        assert f(df).count() == want
+def odd_docs(spark):
+    """Nulls, empty and very long texts, a null id, every row twice, columns named as results and helpers are."""
+    rows = [(i, t, None if i % 3 == 0 else "en", "s", len(t or "")) for i, t in enumerate(ODD)] + [(None, "word", "en", "s", 4)]
+    names = ["n", "id", "row", "value", "kept", "class_id", "n_links", "n_entities", "kinds", "bucket", "batch", "n_tokens", "h", "keep_id", "labels", "score", "held_out", "lang_pred", "digest", "t", "w", "a", "b"]
+    df = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit(c) for c in names})
+    return df.unionByName(df).repartition(3)
+
+
+def rows_of(df, *columns):
+    return sorted((tuple(x[c] for c in columns) for x in df.collect()), key=str)
+
+
+def twice(rows):
+    return sorted([tuple(r) for r in rows] * 2, key=str)
+
+
+def test_odd_rows_near_duplicates(spark):
+    df = odd_docs(spark)
+    got = rows_of(ngram_join.near_duplicates(df), "doc_id", "class_id", "class_size", "n_links", "kept")
+    single = [(i, i, 2, 0) for i in (0, 1, 2, 5, 6, 7)]
+    pair = [(3, 3, 4, 0), (4, 3, 4, 0)]
+    want = [(*x, k) for x in single for k in (True, False)] + [(*x, k) for x in pair for k in (x[0] == 3, False)] + [(None, None, 1, 0, True)] * 2
+    assert got == sorted(want, key=str)
+    assert ngram_join.near_duplicates(df.where("false")).count() == 0
+    left = ngram_join.drop_near_duplicates(df)
+    assert left.columns == df.columns and rows_of(left, "doc_id") == sorted([(i,) for i in (0, 1, 2, 3, 5, 6, 7)] + [(None,)] * 2, key=str)
+
+
+def test_odd_rows_pii(spark):
+    df = odd_docs(spark)
+    out = pii.replace_pii(df)
+    assert sorted(out.columns) == sorted(df.columns)
+    assert rows_of(out, "doc_id", "text", "n_entities", "kinds") == twice([(i, t, 0, "") for i, t in enumerate(ODD)] + [(None, "word", 0, "")])
+    assert pii.replace_pii(df.where("false")).count() == 0
+
+
+def test_odd_rows_packing(spark):
+    df = odd_docs(spark)
+    words = [len((t or "").split()) for t in ODD]
+    assert rows_of(packing.pack(df), "doc_id", "n_tokens", "bucket_len", "pad_tokens") == twice([(i, n, n, 0) for i, n in enumerate(words)] + [(None, 1, 1, 0)])
+    assert packing.pack(df.where("false")).count() == 0
+
+
+def test_odd_rows_bpe(spark):
+    from tokenizers import Tokenizer
+
+    df, lib = odd_docs(spark), Tokenizer.from_file(tokenizer_path())
+    encoded = [lib.encode(t or "", add_special_tokens=False).ids for t in [*ODD, "word"]]
+    digest = [(hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest(), hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()) for ids in encoded]
+    want = [(k, len(ids), *d) for k, ids, d in zip([*range(len(ODD)), None], encoded, digest)]
+    assert rows_of(bpe.encode(df, tokenizer_path(), digests_only=True), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == twice(want)
+    assert bpe.encode(df.where("false"), tokenizer_path(), digests_only=True).count() == 0
+
+
+def test_odd_rows_exact_dedup(spark):
+    df = odd_docs(spark)
+    got = rows_of(exact_dedup.exact_dedup(df), "doc_id", "keep_id", "group_size", "kept")
+    # the texts: null and "" are one, "word" is held by three ids (one of them null), "\n\n" is a space
+    groups = {0: (0, 4), 1: (0, 4), 2: (2, 2), 3: (3, 6), 4: (3, 6), 5: (5, 2), 6: (6, 2), 7: (7, 2), None: (3, 6)}
+    want = [(i, k, n, first and i == k) for i, (k, n) in groups.items() for first in (True, False)]
+    assert got == sorted(want, key=str)
+    assert exact_dedup.exact_dedup(df.where("false")).count() == 0
+
+
+def test_odd_rows_license_scan(spark):
+    df = odd_docs(spark)
+    words = [0, 0, 0, 1, 1, 9000, 3, 0]
+    assert rows_of(license_scan.license_scan(df), "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score") == twice([(i, n, 0, None, None, "", "", 0.0) for i, n in enumerate(words)] + [(None, 1, 0, None, None, "", "", 0.0)])
+    assert license_scan.license_scan(df.where("false")).count() == 0
+
+
+def test_odd_rows_langid(spark):
+    df = odd_docs(spark)
+    got = rows_of(langid.identify(df), "doc_id", "held_out", "lang_pred")
+    letters = [False, False, False, True, True, True, True, False]
+    import zlib
+
+    assert got == twice([(i, zlib.crc32(str(i).encode()) % 4 == 2, "en" if x else "und") for i, x in enumerate(letters)] + [(None, False, "en")])
+    assert {x["lang_pred"] for x in langid.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+    assert langid.identify(df.where("false")).count() == 0
+
+
+def test_odd_rows_neighbours(spark):
+    rows = [(None, [1.0, 1.0]), (1, None), (2, []), (3, [0.0, 0.0]), (4, [None, 1.0]), (5, [float("inf"), 1.0]), (6, [1.0]), (7, [0.0, 1.0]), (8, [0.0, 2.0]), (9, [0.0, 2.0])]
+    df = spark.createDataFrame(rows * 2, "vec_id bigint, embedding array<double>").withColumns({c: F.lit(1) for c in ("id", "v", "q", "shard", "block", "rank", "score", "dim")})
+    got = rows_of(ann.neighbours(df, F.col("vec_id") == 7), "query_id", "rank", "vec_id", "score")
+    assert got == [(7, 1, 8, 1.0), (7, 2, 9, 1.0)]
+    assert rows_of(ann.neighbours(df, F.col("vec_id") == 8), "query_id", "rank", "vec_id", "score") == [(8, 1, 9, 0.0), (8, 2, 7, 1.0)]
+    for none in (df.where("false"), df.where("vec_id < 5")):
+        assert ann.neighbours(none, F.lit(True)).count() == 0
+
+
+def test_odd_rows_token_counts(spark):
+    df = odd_docs(spark)
+    got = {(x["source"], x["lang"]): (x["n_docs"], x["n_tokens"], x["n_chars"]) for x in token_counts.token_counts(df, {"t": tokenizer_path()}).collect()}
+    from tokenizers import Tokenizer
+
+    lib, want = Tokenizer.from_file(tokenizer_path()), collections.defaultdict(lambda: [0, 0, 0])
+    # rows of one id are one document, rows without an id one each
+    for i, t in [*enumerate(ODD), (-1, "word"), (-1, "word")]:
+        x = want["s", None if i >= 0 and i % 3 == 0 else "en"]
+        x[0], x[1], x[2] = x[0] + 1, x[1] + len(lib.encode(t or "", add_special_tokens=False).ids), x[2] + len(t or "")
+    assert got == {k: tuple(v) for k, v in want.items()}
+    assert token_counts.token_counts(df.where("false"), {"t": tokenizer_path()}).count() == 0
 
 
 def test_bpe_equals_library(spark):
@@ -83,7 +178,7 @@ def test_hnsw_recall_and_ties(spark):
     bad = [(900, None), (901, [0.0] * 16), (902, [float("nan")] * 16), (903, [1.0])]
     df = spark.createDataFrame([*v.items(), *bad], "vec_id bigint, embedding array<double>")
     got = collections.defaultdict(list)
-    for x in ann.neighbours(df, F.col("vec_id") % 50 == 0, shard_rows=200).orderBy("query_id", "rank").collect():
+    for x in ann.neighbours(df, F.col("vec_id") % 50 == 0, shard_bytes=200 * 16 * 8).orderBy("query_id", "rank").collect():
         got[x["query_id"]].append((x["vec_id"], x["score"]))
     want = collections.defaultdict(list)
     for q, _, i, s in ann.exact_neighbours(v, [i for i in v if i % 50 == 0]):
@@ -175,6 +270,34 @@ def test_rollup(spark):
     assert got == {("b", None): (2, 10)}
 
 
+def test_rollup_against_brute_force(spark):
+    """Random batches of changes, some committed twice, past a snapshot."""
+    r, store, held, loose = random.Random(9), token_counts.RollupStore(spark), {}, []
+    for batch in range(10):
+        rows = [(r.choice(["insert", "revise", "delete"]), r.choice([None, *range(12)]), r.randint(0, 3), r.choice("ab"), r.choice([None, "en"]), r.choice(["t", "u"]), r.randint(0, 99), r.randint(0, 9)) for _ in range(r.randint(0, 14))]
+        changes = spark.createDataFrame(rows, token_counts.CHANGE)
+        assert store.commit(f"b{batch}", changes)
+        latest = {}
+        for op, i, seq, source, lang, tok, n, c in rows:
+            if i is None:
+                loose += [(source, lang, tok, n, c)] if op != "delete" else []
+                continue
+            rank = (seq, op, source, lang is not None, lang or "", n, c)
+            if (i, tok) not in latest or rank > latest[i, tok][0]:
+                latest[i, tok] = (rank, (source, lang, tok, n, c), op)
+        for k, (_, value, op) in latest.items():
+            held.pop(k, None)
+            if op != "delete":
+                held[k] = value
+        if batch % 4 == 1:
+            assert not store.commit(f"b{r.randint(0, batch)}", changes)
+    want = collections.defaultdict(lambda: [0, 0, 0])
+    for source, lang, tok, n, c in [*held.values(), *loose]:
+        x = want[source, lang, tok]
+        x[0], x[1], x[2] = x[0] + 1, x[1] + n, x[2] + c
+    assert {(x["source"], x["lang"], x["tokenizer"]): [x["n_docs"], x["n_tokens"], x["n_chars"]] for x in store.totals().collect()} == dict(want)
+
+
 def test_langid_held_out(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.identify(df).where("held_out").join(df.select("doc_id", "lang"), "doc_id").where("lang IS NOT NULL")
@@ -311,3 +434,84 @@ def test_line_dedup_odd_rows(spark):
     got = sorted(((x["doc_id"], x["text"], x["n_lines"], x["n_deleted"]) for x in out.collect()), key=str)
     assert got == sorted([(0, None, 0, 0), (1, "", 1, 0), (2, "\n\n", 3, 0), (3, passage, 2, 0), (4, "", 2, 2)] * 2, key=str)
     assert line_dedup.line_dedup(df.where("false")).count() == 0
+
+
+def test_license_own_labels_against_brute_force(spark):
+    """Whole texts, cut ones and ones with words put in: a label is found when enough of its word pairs stand on close diagonals."""
+    r, texts = random.Random(3), []
+    phrases = {**license_scan.NOTICES, **{v: k for k, v in license_scan.TEXTS.items()}}
+    for phrase in phrases:
+        w = phrase.split()
+        for share in (1.0, 0.9, 0.5):
+            own = w[: max(2, int(len(w) * share))]
+            if r.random() < 0.5:
+                own.insert(r.randrange(len(own)), "zzz")
+            texts.append(" ".join([*(f"x{k}" for k in range(r.randint(0, 9))), *own, "end"]))
+    texts.append(" ".join(r.choice(list(phrases)) for _ in range(5)))
+    got = {x["doc_id"]: x for x in license_scan.license_scan(docs(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        w, found, best = t.split(), set(), 0.0
+        for phrase, label in phrases.items():
+            p = phrase.split()
+            hits = sorted((k - at, at) for at in range(len(p) - 1) for k in range(len(w) - 1) if w[k : k + 2] == p[at : at + 2])
+            island, before = set(), None
+            for diag, at in [*hits, (10**9, 0)]:
+                if before is not None and diag - before > license_scan.SLACK:
+                    cover = len(island) / (len(p) - 1)
+                    if cover >= license_scan.MIN_COVER:
+                        found.add(label)
+                        best = max(best, cover)
+                    island = set()
+                island.add(at)
+                before = diag
+        base = {label for phrase, label in license_scan.BASE.items() if f" {phrase} " in f" {t} "}
+        assert got[i]["labels"] == ",".join(sorted(found | base)) and abs(got[i]["score"] - (1.0 if base else best)) < 1e-9
+
+
+def test_pii_check_digits(spark):
+    good, bad = "DE89 3704 0044 0532 0130 00", "DE88370400440532013000"
+    got = [x["text"] for x in pii.replace_pii(docs(spark, [f"pay {good} now", f"pay {bad} now"])).orderBy("doc_id").collect()]
+
+    def rest(x):
+        x = x.replace(" ", "")
+        return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97
+
+    a, b = (t.removeprefix("pay ").removesuffix(" now") for t in got)
+    assert rest(a) == 1 and rest(b) != 1 and a != good and re.fullmatch(r"DE\d\d( \d{4}){4} \d\d", a) and re.fullmatch(r"DE\d{20}", b)
+
+
+def test_pii_over_a_table(spark):
+    """Entities found by another engine: what lies between stays, equal values have equal surrogates of equal kind, different ones different."""
+    import regex
+
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").where("text IS NOT NULL")
+    pattern = regex.compile(pii.ENTITY)
+    new = {x["doc_id"]: x["text"] for x in pii.replace_pii(df).collect()}
+    drawn, n = {}, 0
+    for x in df.collect():
+        spots = [m.span() for m in pattern.finditer(x["text"])]
+        named = any(regex.fullmatch(pii.PARTS["name"], x["text"][a:b]) for a, b in spots)
+        if not spots:
+            assert new[x["doc_id"]] == x["text"]
+        elif not named:
+            gaps = [x["text"][a:b] for a, b in zip([0, *[b for _, b in spots]], [*[a for a, _ in spots], len(x["text"])])]
+            m = regex.fullmatch("(.*?)".join(map(regex.escape, gaps)), new[x["doc_id"]], regex.S)
+            assert m
+            for (a, b), v in zip(spots, m.groups()):
+                assert drawn.setdefault(x["text"][a:b], v) == v != x["text"][a:b]
+                n += 1
+    assert n > 50 and len(set(drawn.values())) == len(drawn) and not set(drawn.values()) & set(drawn)
+
+
+def test_langid_sample_is_bounded_by_different_rows(spark):
+    rows = [(1, "the same row", "en", "s", 0)] * 300 + [(1, f"another text {i}", "en", "s", 0) for i in range(300)] + [(i, "un autre texte", "fr", "s", 0) for i in range(2, 30)]
+    df = spark.createDataFrame(rows, DOCS)
+    seen = []
+    fit = langid.Model
+    try:
+        langid.Model = lambda x, lang: seen.append(collections.Counter(lang)) or fit(x, lang)
+        langid.fit(df, train_rows=40)
+        langid.fit(df, train_rows=1)
+    finally:
+        langid.Model = fit
+    assert seen[0]["en"] == 20 and seen[0]["fr"] <= 20 and set(seen[1]) == {"en"}
