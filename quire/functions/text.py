@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 FIGURE = "￼"
 # Layout commands that carry no content.
@@ -24,14 +29,40 @@ def strip(x: Column) -> Column:
     return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
 
 
-def drop_images(x: Column) -> Column:
-    """Inline image references with up to three levels of brackets in label and path."""
-    def nested(a: str, b: str, depth: int) -> str:
-        plain = rf"[^{a}{b}\\]|\\."
-        return rf"(?:{plain})*" if not depth else rf"(?:{plain}|{a}{nested(a, b, depth - 1)}{b})*"
+def without_images(x: str) -> str:
+    r"""A space for each image reference `![label](path)`: brackets nest to any depth, `\` hides the next sign; one that
+    does not close stays."""
+    partner, waiting = {}, {"[": [], "(": []}
+    for m in _brackets.finditer(x):
+        if m[0] in waiting:
+            waiting[m[0]].append(m.start())
+        elif m[0] in "])" and (opens := waiting["[" if m[0] == "]" else "("]):
+            partner[opens.pop()] = m.start()
+    out, done, start = [], 0, x.find("![")
+    while start >= 0:
+        path = partner.get(start + 1, len(x)) + 1
+        end = partner.get(path) if x[path : path + 1] == "(" else None
+        if end is None:
+            start = x.find("![", start + 2)
+            continue
+        out += [x[done:start], " "]
+        done, start = end + 1, x.find("![", end + 1)
+    return "".join(out) + x[done:]
+
+
+_brackets = re.compile(r"\\.|[\[\]()]", re.DOTALL)
+
+
+@F.pandas_udf(StringType())
+def _images_out(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in texts:
+        yield batch.map(without_images, na_action="ignore")
 
-    pattern = r"(?s)!\[" + nested(r"\[", r"\]", 3) + r"\]\(" + nested(r"\(", r"\)", 3) + r"\)"
-    return F.when(F.contains(x, F.lit("![")), F.regexp_replace(x, pattern, " ")).otherwise(x)
+
+def drop_images(x: Column) -> Column:
+    """A space for each image reference; only texts that hold `![` go through Python."""
+    has = F.contains(x, F.lit("!["))
+    return F.when(has, _images_out(F.when(has, x))).otherwise(x)
 
 
 def normalize(x: Column) -> Column:
@@ -94,9 +125,16 @@ def key_entries(line: Column) -> Column:
         F.zip_with(numbers, values, lambda n, v: F.struct(n.cast("int").alias("number"), F.trim(v).alias("answer"))))
 
 
+# What goes, in this order, before two answers are compared.
+ANSWER_DROPS = [r"\\[a-z]+", r"[\s${}]", "[^a-z0-9./-]"]
+
+
 def answer_form(x: Column) -> Column:
     """Loose form in which two answers are compared: commands, space, $ and braces out, few signs kept."""
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(x), r"\\[a-z]+", ""), r"[\s${}]", ""), "[^a-z0-9./-]", "")
+    x = F.lower(x)
+    for pattern in ANSWER_DROPS:
+        x = F.regexp_replace(x, pattern, "")
+    return x
 
 
 def last_boxed(x: Column) -> Column:
@@ -122,12 +160,28 @@ def preview(x: Column, most: int = 160) -> Column:
     return F.when(F.length(flat) <= most, flat).otherwise(F.concat(F.rtrim(F.substring(flat, 1, most - 1)), F.lit("…")))
 
 
+# A line of rules or bare emphasis, and a line that is an image reference.
+RULE_LINE = r"[ \t]*(?:(?:\*[ \t]*){2,}|(?:_[ \t]*){2,}|(?:-[ \t]*){3,})"
+IMAGE_LINE = r"\s*!\[[^]]*\]\([^)]+\)\s*"
+
+
 def boundary_clean(x: Column) -> Column:
-    """Lines of rules or bare emphasis at both edges go; an odd bold sign at the start goes too."""
-    edge = r"[-*_#=]+"
-    bare = F.regexp_replace(F.regexp_replace(strip(x), rf"^(?:[ \t]*{edge}[ \t]*(?:\n|$)\s*)+", ""), rf"(?:(?:^|\n)[ \t]*{edge}[ \t]*\s*)+$", "")
-    odd = (F.regexp_count(bare, F.lit(r"\*\*")) % 2 == 1) & F.startswith(bare, F.lit("**"))
-    return strip(F.when(odd, F.substring(bare, F.lit(3), F.length(bare))).otherwise(bare))
+    """Rule lines and blank ones at both edges go; image lines are looked through, so a rule between text and image goes
+    too.  Bold signs around the whole, or a single one at an edge, are taken off."""
+    lines = F.split(x, r"\r\n|[\n\r]", -1)
+    blank, rule, image = (lambda y: y.rlike(r"^\s*$")), (lambda y: y.rlike(f"^{RULE_LINE}$")), (lambda y: y.rlike(f"^{IMAGE_LINE}$"))
+    marks = F.transform(lines, lambda y: F.when(blank(y), "b").when(rule(y), "r").when(image(y), "i").otherwise("t"))
+    # One sign a line: blank, rule, image, text.  Rules before the first and after the last text line go.
+    shape = F.array_join(marks, "")
+    head, tail = F.length(F.regexp_extract(shape, "^[bri]*", 0)), F.length(F.regexp_extract(shape, "[bri]*$", 0))
+    kept = F.filter(lines, lambda y, i: ~((F.get(marks, i) == "r") & ((i < head) | (i >= F.size(lines) - tail))))
+    bare = strip(F.array_join(kept, "\n"))
+    odd = lambda y: F.regexp_count(y, F.lit(r"\*\*")) % 2 == 1
+    cut = lambda y, a, b: strip(F.substring(y, F.lit(a), F.greatest(F.length(y) - b, F.lit(0))))
+    whole = bare.rlike(r"^\*\*[ \n]") & F.endswith(bare, F.lit("**")) & (F.length(bare) > 4)
+    front = F.when(F.startswith(bare, F.lit("** ")) & odd(bare), cut(bare, 3, 2)).otherwise(bare)
+    back = F.when(F.endswith(front, F.lit(" **")) & odd(front), cut(front, 1, 2)).otherwise(front)
+    return F.when(whole, cut(bare, 3, 4)).otherwise(back)
 
 
 def strip_tail(x: Column, heading: str) -> Column:
@@ -145,8 +199,8 @@ def labelled_answer(x: Column) -> Column:
 
 
 def stated_answer(x: Column) -> Column:
-    """Value of the last `answer is ...` in prose."""
-    return F.nullif(strip(F.regexp_extract(x, r"(?is).*\banswer\s+is\s*:?\s*([^\n.,;]+)", 1)), F.lit(""))
+    """Value of the last `answer is ...` in prose, up to the end of the sentence: a dot or comma within a number is no end."""
+    return F.nullif(strip(F.regexp_extract(x, r"(?is).*\banswer\s+is\s*:?\s*((?:[^\n.,;]|[.,](?=\d))+)", 1)), F.lit(""))
 
 
 def valid_answer(x: Column) -> Column:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,64 +16,124 @@ def rising(df: DataFrame, by: list[str], order: list[str], number: str) -> DataF
     return df.withColumn("kept", before.isNull() | (F.col(number) > before))
 
 
-def _fold(df: DataFrame, by: list[str], order: str, number: str, start: Column, step, result: str) -> DataFrame:
-    """Per group, a fold over (order, number) pairs; the texts stay outside.  Returns by + order + the folded value."""
-    rows = df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).cast("long").alias("o"), F.col(number).cast("long").alias("n")))).alias("e"))
-    return rows.select(*by, F.explode(F.aggregate("e", start, step)["out"]).alias("x")).select(*by, F.col("x.o").alias(order), F.col("x.v").alias(result))
+State = Callable[[], Callable[..., object]]
+
+
+def _scan(df: DataFrame, by: list[str], order: str, columns: list[Column], start: State, result: str, kind: str) -> DataFrame:
+    """by, order, result: each group's rows in order go through one function, made anew by `start` for every group.
+
+    Groups are dealt by key and sorted, and the state is carried from row to row, so a long group takes time in
+    proportion and no more memory than a batch.  (A null result is kept.)"""
+    names = [f"__c{i}" for i in range(len(columns))]
+    rows = df.select(*by, F.col(order).cast("long").alias(order), *[c.alias(n) for c, n in zip(columns, names)])
+    rows = rows.repartition(*by).sortWithinPartitions(*by, order, *names)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(by) + 1]) + f", `{result}` {kind}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, step = None, None
+        for batch in batches:
+            keys = list(zip(*[batch.column(i).to_pylist() for i in range(len(by))]))
+            found = []
+            for key, values in zip(keys, zip(*[c.to_pylist() for c in batch.columns[len(by) + 1 :]])):
+                if step is None or key != group:
+                    group, step = key, start()
+                found.append(step(*values))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(by) + 1], pa.array(found, pa.int64())], names=[*by, order, result])
+
+    return rows.mapInArrow(run, schema)
 
 
 def consecutive(df: DataFrame, by: list[str], order: str, number: str) -> DataFrame:
     """by, order, kept: 1 for numbers that follow the last kept one directly (the first is always kept)."""
-    start = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<struct<o:bigint,v:bigint>>").alias("out"))
 
-    def step(a: Column, x: Column) -> Column:
-        ok = a["last"].isNull() | (x["n"] == a["last"] + 1)
-        return F.struct(F.when(ok, x["n"]).otherwise(a["last"]).alias("last"), F.concat(a["out"], F.array(F.struct(x["o"].alias("o"), F.when(ok, 1).otherwise(0).cast("long").alias("v")))).alias("out"))
+    def start() -> Callable[[int], int]:
+        last: int | None = None
+
+        def step(n: int) -> int:
+            nonlocal last
+            good = last is None or n == last + 1
+            last = n if good else last
+            return int(good)
+
+        return step
 
-    return _fold(df, by, order, number, start, step, "kept")
+    return _scan(df.where(F.col(number).isNotNull()), by, order, [F.col(number).cast("long")], start, "kept", "bigint")
 
 
 def restarting(df: DataFrame, by: list[str], order: str, number: str) -> DataFrame:
     """by, order, problem: numbers that restart at 1 continue the count of the section before; other falls are rejected (null)."""
-    start = F.struct(F.lit(None).cast("long").alias("last"), F.lit(0).cast("long").alias("top"), F.lit(0).cast("long").alias("off"), F.array().cast("array<struct<o:bigint,v:bigint>>").alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        fall = a["last"].isNotNull() & (x["n"] <= a["last"])
-        again = fall & (x["n"] == 1)
-        off = F.when(again, a["off"] + a["top"]).otherwise(a["off"])
-        no = fall & ~again
-        return F.struct(
-            F.when(no, a["last"]).otherwise(x["n"]).alias("last"), F.when(no, a["top"]).when(again, x["n"]).otherwise(F.greatest(a["top"], x["n"])).alias("top"), off.alias("off"),
-            F.concat(a["out"], F.array(F.struct(x["o"].alias("o"), F.when(no, F.lit(None).cast("long")).otherwise(x["n"] + off).alias("v")))).alias("out"))
-
-    return _fold(df, by, order, number, start, step, "problem")
-
-
-def numbered(df: DataFrame, by: list[str], order: str, number: str, heading: str, flat: bool = False, strict: bool = False, consecutive: bool = False, backward: bool = False, first: int | None = None) -> DataFrame:
-    """by, order, problem: running problem numbers for markers amid section headings; null where a marker does not count.
-
-    A larger number than the last goes on (with `consecutive` only the next one).  Another number begins a new section,
-    which goes on counting where the last one stopped, if a heading came since the last counted marker or, unless
-    `strict`, if it is 1 or below `first`; with `flat` there are no sections.  With `backward` a smaller number returns to
-    that problem.  `first` is the problem that is open at the start.  Rows with a null number are headings only; a null
-    heading is none."""
-    long = lambda x: F.lit(x).cast("long")
-    rows = df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).cast("long").alias("o"), F.col(number).cast("long").alias("n"), F.coalesce(heading, F.lit(False)).alias("h")))).alias("e"))
-    start = F.struct(long(first).alias("last"), long(first or 0).alias("top"), long(0).alias("off"), F.lit(False).alias("head"), F.array().cast("array<struct<o:bigint,v:bigint>>").alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        n, last, head = x["n"], a["last"], a["head"] | x["h"]
-        back = last.isNotNull() & (n < last) & F.lit(backward)
-        loose = F.lit(not strict) & ((n == 1) | (n < long(first) if first is not None else F.lit(False)))
-        again = ~back & last.isNotNull() & (n <= last) & F.lit(not flat) & (head | loose)
-        onward = last.isNull() | ((n == last + 1) if consecutive else (n > last))
-        counts = F.coalesce(back | again | (~back & onward), F.lit(False)) & n.isNotNull()
-        off = F.when(counts & again, a["off"] + a["top"]).otherwise(a["off"])
-        top = F.when(~counts | back, a["top"]).when(again, n).otherwise(F.greatest(a["top"], n))
-        value = F.when(counts, F.when(back, n).otherwise(n + off))
-        return F.struct(F.when(counts, n).otherwise(last).alias("last"), top.alias("top"), off.alias("off"), (head & ~counts).alias("head"), F.concat(a["out"], F.array(F.struct(x["o"].alias("o"), value.alias("v")))).alias("out"))
-
-    return rows.select(*by, F.explode(F.aggregate("e", start, step)["out"]).alias("x")).select(*by, F.col("x.o").alias(order), F.col("x.v").alias("problem"))
+    return numbered(df.where(F.col(number).isNotNull()).withColumn("__never", F.lit(False)), by, order, number, "__never")
+
+
+@dataclass(frozen=True)
+class Numbering:
+    """Which markers count, by the options of a series' layout.
+
+    flat: no sections.  strict: only a heading begins a section.  consecutive: within a section a number must be the
+    next one.  backward: a smaller number returns to that problem.  point_values: once a marker with a point value has
+    counted, others without one do not.  page_restart: the first marker of a page that carries a problem on begins a
+    section if it is 1 with a point value and nothing stands before it."""
+
+    flat: bool = False
+    strict: bool = False
+    consecutive: bool = False
+    backward: bool = False
+    point_values: bool = False
+    page_restart: bool = False
+
+
+class Counter:
+    """Numbers problems from a stream of markers and headings; `first` is the problem that is open at the start."""
+
+    def __init__(self, rules: Numbering, first: int | None = None) -> None:
+        self.rules, self.first = rules, first
+        self.open = self.last = first  # running number and printed number of the open problem
+        self.top, self.shift = first or 0, 0
+        self.heading = self.pointed = self.met = False
+
+    def accept(self, n: int, points: bool = False, fresh: bool = False) -> bool:
+        """Whether marker n opens a problem; `fresh` says that nothing stands before it on its page."""
+        rules = self.rules
+        if rules.point_values and self.pointed and not points:
+            return False
+        initial, self.met = not self.met, True
+        if self.last is None or n > self.last:
+            if rules.consecutive and self.last is not None and n - self.last != 1:
+                return False
+            self.top, self.open = max(self.top, n), n + self.shift
+        elif rules.backward and n < self.last:
+            self.open = n
+        elif not rules.flat and (self.heading or self._begins(n, points, fresh and initial)):
+            self.shift, self.top = self.shift + self.top, n
+            self.open = n + self.shift
+        else:
+            return False
+        self.last, self.heading, self.pointed = n, False, self.pointed or points
+        return True
+
+    def _begins(self, n: int, points: bool, fresh: bool) -> bool:
+        if not self.rules.strict and (n == 1 or (self.first is not None and n < self.first)):
+            return True
+        return self.rules.page_restart and self.first is not None and fresh and n == 1 and points
+
+
+def numbered(df: DataFrame, by: list[str], order: str, number: str, heading: str, first: int | None = None, points: Column | None = None, **rules: bool) -> DataFrame:
+    """by, order, problem: running problem numbers for markers amid section headings, by the rules of Numbering; null
+    where a marker does not count.  Rows with a null number are headings only; a null heading is none; `points` says
+    whether a marker has a point value."""
+    options = Numbering(**rules)
+
+    def start() -> Callable[[int | None, bool, bool], int | None]:
+        counter = Counter(options, first)
+
+        def step(n: int | None, head: bool, pointed: bool) -> int | None:
+            counter.heading = counter.heading or head
+            return counter.open if n is not None and counter.accept(n, pointed) else None
+
+        return step
+
+    flag = lambda x: F.coalesce(x, F.lit(False))
+    return _scan(df, by, order, [F.col(number).cast("long"), flag(F.col(heading)), flag(points if points is not None else F.lit(False))], start, "problem", "bigint")
 
 
 def islands(df: DataFrame, by: list[str], start: str, end: str, gap: float, running: bool, name: str = "island") -> DataFrame:

@@ -23,9 +23,7 @@ def solution_lists(rows: DataFrame, test: str = "test_id", problem: str = "probl
 
 def write_by_test(maps: DataFrame, path: str, test: str = "test_id") -> None:
     """Each test's JSON in its own folder; tests not in `maps` keep what they have, so a rerun changes only its own."""
-    spark = maps.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    maps.select(test, "json").repartition(test).write.partitionBy(test).mode("overwrite").text(path)
+    maps.select(test, "json").repartition(test).write.partitionBy(test).option("partitionOverwriteMode", "dynamic").mode("overwrite").text(path)
 
 
 def todo(tests: DataFrame, done: DataFrame, key: str = "test_id", force: bool = False) -> DataFrame:

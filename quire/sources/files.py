@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions.guards import runaway
+
 # Fixed value: what one component of an output path may look like.
 SAFE_NAME = r"^[A-Za-z0-9][A-Za-z0-9._-]*$"
 
@@ -73,7 +75,9 @@ def json_map(docs: DataFrame, text: str = "value") -> DataFrame:
     return docs.select(*kept, F.explode(F.from_json(text, "map<string,string>")).alias("key", "value"))
 
 
-def cached(wanted: DataFrame, cache: DataFrame, key: str, value: str) -> tuple[DataFrame, DataFrame]:
-    """(hits with the cached value, misses).  An empty value is a miss."""
-    good = cache.where(F.length(value) > 0).select(key, value).dropDuplicates([key])
+def cached(wanted: DataFrame, cache: DataFrame, key: str, value: str, order: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(hits with the cached value, misses).  Of several values the one with the largest `order` (else the largest)
+    counts; an empty one and one that runs away are misses."""
+    good = cache.where(F.length(value) > 0).groupBy(key).agg(F.max_by(value, order or value).alias(value))
+    good = good.where(~runaway(value))
     return wanted.join(good, key), wanted.join(good, key, "left_anti")
