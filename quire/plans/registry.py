@@ -62,23 +62,34 @@ def dedup_pairs(spark: SparkSession, d: str) -> DataFrame:
     return dedup.similar_pairs(entries(spark, d))
 
 
-@query(f"""WITH RECURSIVE {PAIRS}, links AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs), reach AS (SELECT node AS a, node AS b FROM forms UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+DUPLICATES = f"""WITH RECURSIVE {PAIRS}, links AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs), reach AS (SELECT node AS a, node AS b FROM forms UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
 roots AS (SELECT a AS node, min(b) AS root FROM reach GROUP BY a),
-docs AS (SELECT lang AS scope, doc_id, text, {NORM} AS norm FROM documents WHERE lang IS NOT NULL),
-members AS (SELECT d.scope, r.root, d.doc_id, d.text, r.node FROM docs d JOIN forms f ON f.scope = d.scope AND f.norm = d.norm JOIN roots r ON r.node = f.node),
+docs AS (SELECT lang AS scope, source, doc_id, text, {NORM} AS norm FROM documents WHERE lang IS NOT NULL),
+members AS (SELECT d.scope, r.root, d.source, d.doc_id, d.text, r.node FROM docs d JOIN forms f ON f.scope = d.scope AND f.norm = d.norm JOIN roots r ON r.node = f.node),
 grouped AS (SELECT scope, root, count(*) AS members, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids,
 trim(regexp_replace(arg_min(text, doc_id), '[ \\t\\n\\f\\r\\x0B]+', ' ', 'g')) AS flat FROM members GROUP BY scope, root HAVING count(*) > 1),
 nodes AS (SELECT DISTINCT m.scope, m.root, m.node, s.s FROM members m JOIN sets s ON s.scope = m.scope AND s.node = m.node),
-floor AS (SELECT x.scope, x.root, min(len(list_intersect(x.s, y.s)) / (len(x.s) + len(y.s) - len(list_intersect(x.s, y.s)))) AS sim FROM nodes x JOIN nodes y ON x.scope = y.scope AND x.root = y.root AND x.node < y.node GROUP BY 1, 2)
+floor AS (SELECT x.scope, x.root, min(len(list_intersect(x.s, y.s)) / (len(x.s) + len(y.s) - len(list_intersect(x.s, y.s)))) AS sim FROM nodes x JOIN nodes y ON x.scope = y.scope AND x.root = y.root AND x.node < y.node GROUP BY 1, 2)"""
+
+
+@query(f"""{DUPLICATES}
 SELECT g.scope, g.root, g.members, g.ids, round(coalesce(f.sim, 1.0), 4) AS similarity,
 CASE WHEN length(g.flat) <= 160 THEN g.flat ELSE rtrim(substr(g.flat, 1, 159)) || '…' END AS preview FROM grouped g LEFT JOIN floor f ON f.scope = g.scope AND f.root = g.root""")
 def dedup_groups(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.duplicate_groups(entries(spark, d))
+    found = dedup.duplicate_groups(entries(spark, d))
+    return found.withColumn("ids", F.array_join(F.transform("ids", lambda x: x.cast("string")), ","))
 
 
-@query()
+@query(f"""{DUPLICATES}, listed AS (SELECT m.scope, m.root, string_agg('{{"test":' || to_json(m.source) || ',"problem":"' || m.doc_id || '"}}', ',' ORDER BY m.source, m.doc_id) AS members,
+arg_min(m.text, struct_pack(a := m.source, b := m.doc_id)) AS body FROM members m GROUP BY 1, 2 HAVING count(*) > 1),
+shown AS (SELECT l.*, trim(regexp_replace(l.body, '[ \t\n\f\r\x0B]+', ' ', 'g')) AS flat FROM listed l)
+SELECT g.scope, g.members, round(coalesce(f.sim, 1.0), 4) AS similarity, CASE WHEN length(flat) <= 160 THEN flat ELSE rtrim(substr(flat, 1, 159)) || '…' END AS preview FROM shown g LEFT JOIN floor f ON f.scope = g.scope AND f.root = g.root""")
 def dedup_manifest(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.manifest(dedup.duplicate_groups(entries(spark, d)), "documents")
+    """The entries of a duplicates manifest: languages as scopes, sources as tests, document ids as problems."""
+    docs = table(spark, d, "documents").select(F.col("lang").alias("scope"), F.col("source").alias("test"), F.col("doc_id").cast("string").alias("problem"), "text")
+    entry = F.from_json("entry", "scope string, similarity double, preview string, members string")
+    listed = dedup.manifest(dedup.duplicate_problems(docs), "documents").select(entry.alias("x")).select("x.*")
+    return listed.withColumn("members", F.regexp_replace("members", r"^\[|\]$", ""))
 
 
 @query(r"""SELECT doc_id, count(*) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
