@@ -19,7 +19,7 @@ def rising(df: DataFrame, by: list[str], order: list[str], number: str) -> DataF
 State = Callable[[], Callable[..., object]]
 
 
-def _scan(df: DataFrame, by: list[str], order: str, columns: list[Column], start: State, result: str, kind: str) -> DataFrame:
+def scan(df: DataFrame, by: list[str], order: str, columns: list[Column], start: State, result: str, kind: str) -> DataFrame:
     """by, order, result: each group's rows in order go through one function, made anew by `start` for every group.
 
     Groups are dealt by key and sorted, and the state is carried from row to row, so a long group takes time in
@@ -57,7 +57,7 @@ def consecutive(df: DataFrame, by: list[str], order: str, number: str) -> DataFr
 
         return step
 
-    return _scan(df.where(F.col(number).isNotNull()), by, order, [F.col(number).cast("long")], start, "kept", "bigint")
+    return scan(df.where(F.col(number).isNotNull()), by, order, [F.col(number).cast("long")], start, "kept", "bigint")
 
 
 def restarting(df: DataFrame, by: list[str], order: str, number: str) -> DataFrame:
@@ -133,7 +133,7 @@ def numbered(df: DataFrame, by: list[str], order: str, number: str, heading: str
         return step
 
     flag = lambda x: F.coalesce(x, F.lit(False))
-    return _scan(df, by, order, [F.col(number).cast("long"), flag(F.col(heading)), flag(points if points is not None else F.lit(False))], start, "problem", "bigint")
+    return scan(df, by, order, [F.col(number).cast("long"), flag(F.col(heading)), flag(points if points is not None else F.lit(False))], start, "problem", "bigint")
 
 
 def islands(df: DataFrame, by: list[str], start: str, end: str, gap: float, running: bool, name: str = "island") -> DataFrame:

@@ -386,9 +386,16 @@ def extract_cascade(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", text.answer_cascade(block).alias("a")).select("o_orderkey", "a.tier", "a.answer")
 
 
+def _load() -> None:
+    """The modules whose queries register themselves."""
+    from quire.plans import spatial  # noqa: F401
+
+
 def queries() -> dict[str, Query]:
+    _load()
     return dict(_made)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_sql)
