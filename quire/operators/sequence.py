@@ -177,3 +177,9 @@ def union_area(boxes: DataFrame, by: list[str]) -> DataFrame:
     held = strips.select(*by, (F.col("s.b") - F.col("s.a")).alias("w"), F.expr("filter(r, q -> q.x0 <= s.a AND q.x1 >= s.b)").alias("r"))
     covered = F.expr("aggregate(r, struct(CAST(0 AS DOUBLE) AS sum, CAST('-Infinity' AS DOUBLE) AS top), (a, q) -> struct(a.sum + greatest(0D, q.y1 - greatest(q.y0, a.top)) AS sum, greatest(a.top, q.y1) AS top)).sum")
     return held.select(*by, (F.col("w") * covered).alias("part")).groupBy(*by).agg(F.sum("part").alias("area"))
+
+
+def joined(rows: DataFrame, keys: list[str], order: str, line: str, name: str, between: str = "\n") -> DataFrame:
+    """keys, name: the lines of each group in order as one text."""
+    parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(line).alias("t"))))
+    return rows.groupBy(*keys).agg(F.array_join(F.transform(parts, lambda x: x["t"]), between).alias(name))
