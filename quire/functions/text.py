@@ -97,9 +97,8 @@ def without_furniture(x: Column, line_patterns: list[str], inline_patterns: list
     for p in inline_patterns:
         x = F.regexp_replace(x, p, "")
     plain = lambda line: F.regexp_replace(strip(F.regexp_replace(line, "[*_#]", "")), r"(?U)\s+", " ")
-    for p in line_patterns:
-        x = F.array_join(F.filter(F.split(x, r"\r\n|[\n\r]", -1), lambda line, p=p: ~plain(line).rlike(p)), "\n")
-    return strip(x)
+    runs = "|".join(f"(?:{p})" for p in line_patterns)
+    return strip(F.array_join(F.filter(F.split(x, r"\r\n|[\n\r]", -1), lambda line: ~plain(line).rlike(runs)), "\n") if runs else x)
 
 
 def marker(x: Column) -> Column:

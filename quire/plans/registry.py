@@ -388,7 +388,7 @@ def extract_cascade(spark: SparkSession, d: str) -> DataFrame:
 
 def _load() -> None:
     """The modules whose queries register themselves."""
-    from quire.plans import pages, spatial  # noqa: F401
+    from quire.plans import answers, jobs, pages, spatial  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.guards import runaway
+from quire.functions.series import DISCOVERY, IGNORED
 
 # Fixed value: what one component of an output path may look like.
 SAFE_NAME = r"^[A-Za-z0-9][A-Za-z0-9._-]*$"
@@ -41,6 +44,37 @@ def tests(spark: SparkSession, root: str, glob: str, parts: int, ignored: list[s
     return out
 
 
+def discovered(paths: DataFrame, root: str, name: str, path: str = "path") -> DataFrame:
+    """test_id, path of a series' tests among file paths, by its discovery rules; ignored ids do not appear."""
+    found = None
+    start = F.instr(path, root.rstrip("/") + "/") + len(root.rstrip("/"))
+    for rule in DISCOVERY[name]:
+        rel = F.regexp_replace(F.col(path).substr(start + 1, F.length(path)), "^out/", "")
+        pattern = "^" + re.escape(rule.glob).replace(r"\*\*/", "(?:.*/)?").replace(r"\*", "[^/]*") + "$"
+        folders = F.slice(F.split(rel, "/"), 1, F.size(F.split(rel, "/")) - 1)
+        own = folders if rule.parts is None else F.slice(folders, F.greatest(F.size(folders) - rule.parts + 1, F.lit(1)), rule.parts)
+        last = stem(F.col(path)) if rule.stem else F.element_at(folders, -1)
+        rows = paths.where(rel.rlike(pattern)).where(last.isin(*rule.only) if rule.only else ~last.isin(*rule.never) if rule.never else F.lit(True))
+        rows = rows.select(F.array_join(F.concat(own, F.array(stem(F.col(path)))) if rule.stem else own, "_").alias("test_id"), path)
+        found = rows if found is None else found.unionByName(rows)
+    for word in IGNORED.get(name, []):
+        found = found.where(~F.contains(F.lower("test_id"), F.lit(word)))
+    return found
+
+
+def beside(tests: DataFrame, paths: DataFrame, file: str, path: str = "path") -> DataFrame:
+    """tests with `source`: the file of that name in a test's folder, null without one."""
+    folder = F.regexp_replace(path, "/[^/]*$", "")
+    there = paths.where(F.element_at(F.split(path, "/"), -1) == file).select(folder.alias("__folder"), F.col(path).alias("source"))
+    return tests.withColumn("__folder", folder).join(there, "__folder", "left").drop("__folder")
+
+
+def with_problems(paths: DataFrame, root: str, path: str = "path") -> DataFrame:
+    """test, path of folders right below root that hold problems.json, but for those that begin with `_`."""
+    name = F.regexp_extract(path, re.escape(root.rstrip("/")) + r"/([^/_][^/]*)/problems\.json$", 1)
+    return paths.select(name.alias("test"), path).where("test <> ''").orderBy("test")
+
+
 def pages(spark: SparkSession, root: str, glob: str) -> DataFrame:
     """folder, page_no, path: page files of each folder in natural order."""
     folder = F.regexp_replace("path", "/[^/]*$", "")
