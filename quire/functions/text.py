@@ -220,3 +220,24 @@ def solution_body(block: Column) -> Column:
     label, answer = r"(?im)^[ \t*_#]*Solution[*_]*\s*\d*\s*[:.]?[*_ \t]*", r"(?im)^[ \t*_]*(?:Final\s+)?Answer[*_]*\s*[:.][^\n]*\n?"
     after = lambda p: F.get(F.split(block, p, 2), F.lit(1))
     return strip(F.coalesce(after(label), after(answer), block))
+
+
+def list_items(html: Column) -> Column:
+    """Texts of the items of lists, up to their first tag."""
+    return F.regexp_extract_all(html, F.lit("<li[^>]*>([^<]*)<"), F.lit(1))
+
+
+def first_heading(html: Column) -> Column:
+    return F.regexp_extract(html, "<h1[^>]*>([^<]*)</h1>", 1)
+
+
+def without_tags(html: Column) -> Column:
+    """Tags as spaces, runs of spaces as one."""
+    return F.trim(F.regexp_replace(F.regexp_replace(html, "<[^>]+>", " "), "[ \t\n\r]+", " "))
+
+
+def word_grams(x: Column, n: int) -> Column:
+    """Hashes of the distinct word n-grams of a text's normal form; a shorter text is one gram, an empty one has none."""
+    found = F.filter(F.split(normalize(x), " "), lambda w: w != "")
+    each = F.transform(F.array(found), lambda w: F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - n, F.lit(0))), lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, n), " "))))[0]
+    return F.when(F.size(found) > 0, F.array_distinct(each)).otherwise(F.array().cast("array<bigint>"))

@@ -74,11 +74,11 @@ def blocks(pages: DataFrame, name: str) -> DataFrame:
 
 
 def solutions(pages: DataFrame, name: str, statements: DataFrame | None = None) -> DataFrame:
-    """Solutions by problem: bodies without statement and labels, cut at their headers, clean at their edges."""
+    """Solutions by problem: cut at their headers, then bodies without statement and labels, clean at their edges."""
     rows = blocks(pages, name)
     if statements is not None:
         rows = documents.unlisted(rows, statements.select(*KEYS, "problem"), [*KEYS, "problem"])
-    parts = documents.solution_blocks(rows.withColumn("text", text.solution_body(F.col("text"))), [*KEYS, "problem"], "text", *HEADERS)
+    parts = documents.solution_blocks(rows, [*KEYS, "problem"], "text", *HEADERS).withColumn("text", text.solution_body(F.col("text")))
     lists = parts.groupBy(*KEYS, "problem").agg(F.array_sort(F.collect_list(F.struct("part", "text"))).alias("x")).select(*KEYS, "problem", F.transform("x", lambda p: p["text"]).alias("texts"))
     clean = F.filter(F.transform("texts", text.boundary_clean), lambda x: x != "")
     return lists.withColumn("texts", clean).where(F.size("texts") > 0)

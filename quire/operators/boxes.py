@@ -114,7 +114,7 @@ def without_set_equations(found: DataFrame, words: DataFrame, drawings: DataFram
 
 def answer_rows(words: DataFrame) -> DataFrame:
     """Words that stand on the row of a word `Answer`, in the same block and to its right: at least half their height in common."""
-    bare = F.lower(F.rtrim(F.lit(":"), F.trim("word")))
+    bare = F.lower(F.rtrim(F.trim("word"), F.lit(":")))
     label = words.where(bare == "answer").select(F.col("page").alias("__page"), F.col("block").alias("__block"), F.col("x1").alias("a_x1"), F.col("y0").alias("a_y0"), F.col("y1").alias("a_y1"))
     common, least = F.greatest(F.lit(0.0), F.least("y1", "a_y1") - F.greatest("y0", "a_y0")), F.least(F.col("y1") - F.col("y0"), F.col("a_y1") - F.col("a_y0"))
     cond = (F.col("page") == F.col("__page")) & (F.col("block") == F.col("__block")) & (F.col("x0") >= F.col("a_x1")) & (least > 0) & (common >= 0.5 * least)

@@ -177,8 +177,8 @@ def solution_index(text: Column) -> Column:
 
 
 def solution_blocks(blocks: DataFrame, keys: list[str], text: str, header: str, secondary: str | None = None, keep_headers: bool = False) -> DataFrame:
-    """keys, part, text: a block cut at headers.  What precedes the first one stays with the first part, unless that header
-    is a secondary one, which closes it."""
+    """keys, part, text: a block cut at headers, of which only what follows in their line is kept.  What precedes the first
+    one stays with the first part, unless that header is a secondary one, which closes it."""
     lines = blocks.select(*keys, F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
     w, every = Window.partitionBy(*keys).orderBy("pos"), Window.partitionBy(*keys)
     second = F.col("line").rlike(secondary) if secondary else F.lit(False)
@@ -187,7 +187,11 @@ def solution_blocks(blocks: DataFrame, keys: list[str], text: str, header: str,
     at = at.withColumns({"__n": F.sum(F.col("__head").cast("int")).over(w), "__closes": F.coalesce(closes, F.lit(False))})
     at = at.withColumn("part", F.when(F.col("__closes"), F.col("__n") + 1).otherwise(F.greatest("__n", F.lit(1))))
     parts = F.array_sort(F.collect_list(F.struct("pos", "line")))
-    whole = at.where(~F.col("__head") | F.lit(keep_headers)).groupBy(*keys, "part").agg(F.trim(F.array_join(F.transform(parts, lambda x: x["line"]), "\n")).alias(text)).where(F.length(strip(F.col(text))) > 0)
+    rest = F.col("line")
+    for p in [header, *([secondary] if secondary else [])]:
+        rest = F.regexp_replace(rest, rf"(?:{p})[ \t*_]*[.:]?[ \t*_]*", "")
+    at = at if keep_headers else at.withColumn("line", F.when(F.col("__head"), rest).otherwise(F.col("line"))).where(~F.col("__head") | (F.col("line") != ""))
+    whole = at.groupBy(*keys, "part").agg(F.trim(F.array_join(F.transform(parts, lambda x: x["line"]), "\n")).alias(text)).where(F.length(strip(F.col(text))) > 0)
     return whole.withColumn("part", F.row_number().over(Window.partitionBy(*keys).orderBy("part")))
 
 

@@ -183,3 +183,69 @@ def joined(rows: DataFrame, keys: list[str], order: str, line: str, name: str, b
     """keys, name: the lines of each group in order as one text."""
     parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(line).alias("t"))))
     return rows.groupBy(*keys).agg(F.array_join(F.transform(parts, lambda x: x["t"]), between).alias(name))
+
+
+def offsets(rows: DataFrame, by: list[str], order: str, size: Column, name: str = "start") -> DataFrame:
+    """With `name`: the sizes of all rows of the group before this one, added up."""
+    before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn("__size", size).withColumn(name, F.coalesce(F.sum("__size").over(before), F.lit(0))).drop("__size")
+
+
+def spans(rows: DataFrame, by: list[str], order: str, start: str, total: str) -> DataFrame:
+    """With `size`: from a mark to the next one of its group, the last to the total."""
+    return rows.withColumn("size", F.coalesce(F.lead(start).over(Window.partitionBy(*by).orderBy(order)), F.col(total)) - F.col(start))
+
+
+def gap_groups(rows: DataFrame, by: list[str], order: list[str], start: str, end: str, gap: float) -> DataFrame:
+    """With `group`: a row that begins `gap` or more behind the end of the one before opens the next group."""
+    w = Window.partitionBy(*by).orderBy(*order)
+    fresh = F.when(F.col(start) - F.lag(end).over(w) >= gap, 1).otherwise(0)
+    return rows.withColumn("__fresh", fresh).withColumn("group", F.sum("__fresh").over(w) + 1).drop("__fresh")
+
+
+def paired(left: DataFrame, right: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """The i-th row of one side with the i-th of the other, in groups where both have as many."""
+    w = Window.partitionBy(*by)
+    numbered = [x.withColumns({"__i": F.row_number().over(w.orderBy(*order)), "__n": F.count(F.lit(1)).over(w)}).drop(*order) if i else x.withColumns({"__i": F.row_number().over(w.orderBy(*order)), "__n": F.count(F.lit(1)).over(w)}) for i, x in enumerate((left, right))]
+    return numbered[0].join(numbered[1], [*by, "__i", "__n"]).drop("__i", "__n")
+
+
+def is_rising(rows: DataFrame, by: list[str], order: str, value: str) -> DataFrame:
+    """by, rising: whether every value is over the one before."""
+    ok = F.coalesce(F.col(value) > F.lag(value).over(Window.partitionBy(*by).orderBy(order)), F.lit(True))
+    return rows.withColumn("__ok", ok).groupBy(*by).agg(F.bool_and("__ok").alias("rising"))
+
+
+def dense_numbers(rows: DataFrame, universe: DataFrame, by: list[str], code: str) -> DataFrame:
+    """With `number`: sparse codes as 1, 2, 3, … in the order of all codes of the universe, whether rows have them or not."""
+    codes = universe.select(*by, code).distinct()
+    return rows.join(codes.withColumn("number", F.row_number().over(Window.partitionBy(*by).orderBy(code))), [*by, code])
+
+
+def top_share_median(rows: DataFrame, by: list[str], value: str, key: str, parts: int = 5) -> DataFrame:
+    """by, top_median, n: the median of the largest 1/parts of a group's values."""
+    top = rows.withColumn("__q", F.ntile(parts).over(Window.partitionBy(*by).orderBy(F.desc(value), key))).where("__q = 1")
+    return top.groupBy(*by).agg(F.percentile(value, F.lit(0.5)).alias("top_median"), F.count(F.lit(1)).alias("n"))
+
+
+def nothing_above_later(rows: DataFrame, by: list[str], order: str, value: str, counts: Column) -> DataFrame:
+    """With `last_of_all`: no later row of the group that counts has a larger value."""
+    later = F.max(F.when(counts, F.col(value))).over(Window.partitionBy(*by).orderBy(order).rowsBetween(1, Window.unboundedFollowing))
+    return rows.withColumn("last_of_all", F.coalesce(later <= F.col(value), F.lit(True)))
+
+
+def runs(rows: DataFrame, by: list[str], order: str, flag: str, least: int = 2) -> DataFrame:
+    """With `in_run`: whether a flagged row stands in a run of at least `least` flagged ones."""
+    w = Window.partitionBy(*by).orderBy(order)
+    part = rows.withColumn("__part", F.sum(F.when(F.col(flag), 0).otherwise(1)).over(w))
+    size = F.sum(F.col(flag).cast("int")).over(Window.partitionBy(*by, "__part"))
+    return part.withColumn("in_run", F.col(flag) & (size >= least)).drop("__part")
+
+
+def same_sets(left: DataFrame, right: DataFrame, by: list[str], value: str) -> DataFrame:
+    """by, added, gone, same: values of one side only, and whether both hold the same ones."""
+    collect = lambda x, name: x.groupBy(*by).agg(F.array_sort(F.collect_set(value)).alias(name))
+    both = collect(left, "a").join(collect(right, "b"), by, "full")
+    none = F.array().cast(f"array<{left.schema[value].dataType.simpleString()}>")
+    a, b = F.coalesce("a", none), F.coalesce("b", none)
+    return both.select(*by, F.array_except(b, a).alias("added"), F.array_except(a, b).alias("gone"), (a == b).alias("same"))

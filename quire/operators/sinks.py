@@ -44,3 +44,8 @@ def export_plan(jobs: DataFrame, done: DataFrame, force: bool = False) -> DataFr
     same: Column = (F.col("sha256") == F.col("__sha")) & (F.col("algorithm") == F.col("__algorithm")) & ~F.lit(force)
     action = F.when(F.col("__sources") > 1, "collision").when(same, "skip").otherwise("write")
     return jobs.join(shared, "target").join(was, "target", "left").select("source", "target", action.alias("action"))
+
+
+def collisions(jobs: DataFrame, target: str = "target", source: str = "source") -> DataFrame:
+    """target, sources: targets that several sources would be written to."""
+    return jobs.groupBy(target).agg(F.count_distinct(source).alias("sources")).where("sources > 1")

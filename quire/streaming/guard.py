@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from quire.functions.guards import LOOP_WINDOW, WINDOW, is_runaway
+from quire.operators.dedup import shared_folder
 
 
 class TailGuard(StatefulProcessor):
@@ -36,3 +40,18 @@ class TailGuard(StatefulProcessor):
 def guard_stream(chunks: DataFrame) -> DataFrame:
     """chunks (streaming): page_key, seq, chunk.  Emits page_key, chars, runaway after each batch."""
     return chunks.groupBy("page_key").transformWithStateInPandas(TailGuard(), outputStructType="page_key string, chars bigint, runaway boolean", outputMode="Update", timeMode="None")
+
+
+def guard_files(chunks: DataFrame) -> DataFrame:
+    """page_key, chars, runaway of every page: chunks are written to the shared folder, read from there as a stream until
+    all are read, and the last word on each page is returned."""
+    spark = chunks.sparkSession
+    shared_folder(spark)
+    base = f"{spark.sparkContext.getCheckpointDir()}/guard-{uuid.uuid4().hex}"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    chunks.select("page_key", F.col("seq").cast("long").alias("seq"), "chunk").write.parquet(f"{base}/in")
+    stream = spark.readStream.schema("page_key string, seq long, chunk string").parquet(f"{base}/in")
+    run = guard_stream(stream).writeStream.foreachBatch(lambda batch, n: batch.write.mode("append").parquet(f"{base}/out"))
+    run.outputMode("update").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    said = spark.read.schema("page_key string, chars bigint, runaway boolean").parquet(f"{base}/out")
+    return said.groupBy("page_key").agg(F.max("chars").alias("chars"), F.max("runaway").alias("runaway"))

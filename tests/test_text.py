@@ -62,7 +62,7 @@ def test_duplicate_groups_chain(spark):
     base = "the quick brown fox jumps over the lazy dog while seven wizards wait near the old stone bridge at dawn "
     rows = [("s", 1, base * 2), ("s", 2, base * 2 + "and leave"), ("s", 3, "something else entirely, long enough to have its own shingles here"), ("s", 4, base * 2)]
     got = dedup.duplicate_groups(spark.createDataFrame(rows, "scope string, id bigint, text string")).collect()
-    assert [(g["members"], g["ids"]) for g in got] == [(3, "1,2,4")]
+    assert [(g["members"], g["ids"]) for g in got] == [(3, [1, 2, 4])]
 
 
 def test_entry_without_llm(spark, tmp_path):
