@@ -1,21 +1,23 @@
 """A training-data pipeline: language ID, line dedup, near-duplicate removal, surrogates for personal data, packing.
 
 Each stage is a function of (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
-documents.  run() writes each stage's result to the shared folder and reads it again for the next one."""
+documents.  run() writes each stage's result to the shared folder, reads it again for the next one and deletes what the
+stage before left there.  Rows keep their other columns, whatever their names; null texts and texts without letters go
+with the language stage; an empty table gives no rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import saved
+from quire.llm.common import made, release, saved
 from quire.llm.langid import identify
 from quire.llm.line_dedup import line_dedup
 from quire.llm.ngram_join import drop_near_duplicates
 from quire.llm.packing import pack
 from quire.llm.pii import replace_pii
 
-#: No SQL: models, MinHash and keyed surrogates have no SQL form; tests compare the stages with brute force.
+#: No SQL: models, MinHash and keyed surrogates have no SQL form; tests hold each stage against a plain one on small tables.
 ORACLE_SQL = None
 
 
@@ -29,9 +31,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Common blocks of lines go from the later document; documents of which nothing is left go."""
-    out = line_dedup(docs)
-    whole = (F.col("n_deleted") > 0) & ~F.col("text").rlike(r"\S")
-    return out.where(~F.coalesce(whole, F.lit(False))).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    out = line_dedup(docs.withColumn("__said", F.col("text").rlike(r"\S")), counts=False)
+    emptied = F.col("__said") & ~F.col("text").rlike(r"\S")
+    return out.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,5 +57,7 @@ STAGES = [("language", language), ("lines", lines), ("near_duplicates", near_dup
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
+        before = made()
         docs = saved(stage(spark, docs, sf_dir), name)
+        release(spark, before, docs)
     return STAGES[-1][1](spark, docs, sf_dir)
