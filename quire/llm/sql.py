@@ -8,5 +8,28 @@ FROM t
 """
 
 
+def op9() -> str:
+    """Diagonal voting over word pairs: the templates' pairs are literals made from the operator's own lists."""
+    from .license_scan import BASE, LOWER, MIN_COVER, NOTICES, SLACK, TEXTS, UPPER
+
+    rows = []
+    for number, (phrase, label) in enumerate([*BASE.items(), *NOTICES.items(), *[(p, x) for x, p in TEXTS.items()]]):
+        words = phrase.split()
+        rows += [f"({number}, '{label}', {str(number < len(BASE)).lower()}, {len(words) - 1}, {at}, '{a}', '{b}')" for at, (a, b) in enumerate(zip(words, words[1:]))]
+    return rf"""
+WITH t(tmpl, label, base, grams, spot, a, b) AS (VALUES {", ".join(rows)}),
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+p AS (SELECT doc_id, pos - 1 AS pos, w[pos] AS a, w[pos + 1] AS b FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS pos FROM w) q),
+votes AS (SELECT doc_id, tmpl, any_value(label) AS label, any_value(base) AS base, any_value(grams) AS grams, pos - spot AS diag, list(DISTINCT spot) AS held FROM p JOIN t ON p.a = t.a AND p.b = t.b GROUP BY doc_id, tmpl, pos - spot),
+f AS (SELECT *, CASE WHEN diag - lag(diag) OVER (PARTITION BY doc_id, tmpl ORDER BY diag) <= {SLACK} THEN 0 ELSE 1 END AS fresh FROM votes),
+i AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, tmpl ORDER BY diag) AS island, base AND len(held) = grams AS whole FROM f),
+s AS (SELECT doc_id, tmpl, any_value(label) AS label, any_value(base) AS base, any_value(grams) AS grams, len(list_distinct(flatten(list(held)))) AS held, count(*) FILTER (whole) AS places, min(diag) FILTER (whole) AS lo, max(diag) FILTER (whole) AS hi FROM i GROUP BY doc_id, tmpl, island),
+c AS (SELECT *, CASE WHEN base THEN CASE WHEN places > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END ELSE held::DOUBLE / grams END AS cover FROM s),
+g AS (SELECT doc_id, sum(places) AS n_base, min(lo) AS first_word, max(hi) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base AND cover >= 1) AS base_labels,
+string_agg(DISTINCT label, ',' ORDER BY label) FILTER (cover >= CASE WHEN base THEN 1 ELSE {MIN_COVER} END) AS labels, max(cover) FILTER (cover >= CASE WHEN base THEN 1 ELSE {MIN_COVER} END) AS score FROM c GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score FROM w LEFT JOIN g ON g.doc_id = w.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7}
+    return {"op7_exact_dedup": OP7, "op9_license_scan": op9()}
