@@ -297,3 +297,83 @@ def tiers(answers: DataFrame, keys: list[str]) -> DataFrame:
     """keys, answer, tier: of answers by tier (1 first) the first that is not blank; of one tier the first by `pos`."""
     best = answers.where(F.length(F.trim("answer")) > 0).groupBy(*keys).agg(F.min_by(F.struct("answer", "tier"), F.struct("tier", "pos")).alias("x"))
     return best.select(*keys, "x.answer", "x.tier")
+
+
+def existing(tests: DataFrame, done: DataFrame, key: str = "test_id") -> DataFrame:
+    """Tests that have output already."""
+    return tests.join(done.select(key).distinct(), key, "left_semi")
+
+
+def round_text(lines: DataFrame, header: str, wanted: Column, keys: list[str]) -> DataFrame:
+    """keys, text: the sections of a document whose header line fits `wanted` (over `header_line`); a document without
+    headers stays whole, one none of whose headers fits becomes empty."""
+    w = Window.partitionBy(*keys).orderBy("pos")
+    rows = lines.withColumn("header_line", F.last(F.when(F.col("line").rlike(header), F.col("line")), ignorenulls=True).over(w))
+    rows = rows.withColumn("__any", F.max(F.col("header_line").isNotNull()).over(Window.partitionBy(*keys)))
+    kept = F.when(~F.col("__any") | F.coalesce(wanted, F.lit(False)), F.struct("pos", "line"))
+    parts = F.array_sort(F.collect_list(kept))
+    return rows.groupBy(*keys).agg(F.array_join(F.transform(parts, lambda x: x["line"]), "\n").alias("text"))
+
+
+# What tells of a document's type.
+TYPES = {
+    "answer_key": r"(?im)^[ \t*_#]*answer\s+key\b",
+    "integral_answers": r"(?im)^[ \t*_#]*Integral\s+\d+\s+Answer",
+    "solutions": r"(?i)\bsolutions?\s+packet\b|proposed by",
+}
+
+
+def document_type(text: Column) -> Column:
+    """The first type whose sign a text shows, else `statements`."""
+    return F.coalesce(*[F.when(text.rlike(p), F.lit(n)) for n, p in TYPES.items()], F.lit("statements"))
+
+
+def looked_up(rows: DataFrame, statements: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """With `statement`: the statement of the same number, empty without one."""
+    side = statements.groupBy(*keys).agg(F.min(text).alias("statement"))
+    return rows.join(side, keys, "left").withColumn("statement", F.coalesce("statement", F.lit("")))
+
+
+def with_figures(statements: DataFrame, refs: DataFrame, keys: list[str]) -> DataFrame:
+    """Statements with the references (keys, figure, ref) of their problem in the places of their placeholders."""
+    from quire.functions.text import place_refs
+
+    lists = refs.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("figure", "ref"))), lambda x: x["ref"]).alias("refs"))
+    none = F.array().cast("array<string>")
+    return statements.join(lists, keys, "left").withColumn("text", place_refs(F.col("text"), F.coalesce("refs", none))).drop("refs")
+
+
+# Bases of the numbers of clues.
+CLUES = {"across": 1000, "down": 2000}
+
+
+def clue_numbers(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, pos, line, code: clues under headings of their direction, as the direction's base plus their number; a line of a
+    heading has none."""
+    w = Window.partitionBy(*keys).orderBy("pos")
+    head = F.lower(F.regexp_extract("line", r"(?i)^[ \t*_#]*(Across|Down)[ \t*_:]*$", 1))
+    rows = lines.withColumn("__dir", F.last(F.nullif(head, F.lit("")), ignorenulls=True).over(w)).withColumn("__head", head != "")
+    number = F.nullif(F.regexp_extract("line", r"^\s*(\d{1,2})\s*[.)]?\s", 1), F.lit("")).cast("int")
+    base = F.coalesce(*[F.when(F.col("__dir") == d, F.lit(b)) for d, b in CLUES.items()])
+    return rows.select(*keys, "pos", "line", F.when(~F.col("__head"), base + number).alias("code"))
+
+
+def anchors(boxes: DataFrame, pages: DataFrame, number: Column, end: Column, margin: float = 0.12, inline: int = 12) -> DataFrame:
+    """page, det, problem, y, inline: boxes that open problems: text with a marker (`number`, `end`), or nothing but digits in a
+    narrow box at the left margin.  A marker is inline if text enough follows it; of all only rising numbers stay."""
+    rows = boxes.join(pages.select("page", F.col("width").alias("__w")), "page").withColumns({"__n": number, "__rest": F.length(F.rtrim("text")) - end})
+    digits = F.regexp_extract("text", r"^\s*(\d{1,3})\s*[.)]?\s*$", 1)
+    alone = (digits != "") & (F.col("x1") <= margin * F.col("__w"))
+    rows = rows.withColumn("problem", F.coalesce("__n", F.when(alone, digits.cast("int")))).where("problem IS NOT NULL")
+    before = F.max("problem").over(Window.partitionBy("page").orderBy("y0", "det").rowsBetween(Window.unboundedPreceding, -1))
+    return rows.withColumn("__top", before).where(F.col("__top").isNull() | (F.col("problem") > F.col("__top"))).select("page", "det", "problem", F.col("y0").alias("y"), F.coalesce(F.col("__rest") >= inline, F.lit(False)).alias("inline"))
+
+
+def key_answers(blocks: DataFrame, keys: list[str], least: int = 5) -> DataFrame:
+    """keys, number, answer: keys of answers in tables (number and value in neighbouring cells) or lists, where at least `least` entries stand."""
+    cells = F.regexp_extract_all("text", F.lit(r"(?is)<t[dh][^>]*>\s*(\d{1,3})\s*[.)]?\s*</t[dh]>\s*<t[dh][^>]*>([^<]*)</t[dh]>"), F.lit(1))
+    values = F.regexp_extract_all("text", F.lit(r"(?is)<t[dh][^>]*>\s*(\d{1,3})\s*[.)]?\s*</t[dh]>\s*<t[dh][^>]*>([^<]*)</t[dh]>"), F.lit(2))
+    numbers, said = (F.regexp_extract_all("text", F.lit(r"(?m)^\s*(\d{1,3})\s*[.)]\s+(\S.{0,40}?)\s*$"), F.lit(i)) for i in (1, 2))
+    pairs = lambda a, b: F.zip_with(a, b, lambda n, v: F.struct(n.cast("int").alias("number"), F.trim(v).alias("answer")))
+    entries = F.when(F.size(cells) >= least, pairs(cells, values)).when(F.size(numbers) >= least, pairs(numbers, said))
+    return blocks.select(*keys, F.explode(entries).alias("x")).select(*keys, "x.*").where("answer <> '' AND upper(answer) <> 'N/A'")
