@@ -107,8 +107,9 @@ class RollupStore:
         return self.spark.read.schema(DELTA).parquet(*paths).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where(" OR ".join(f"{c} <> 0" for c in SUMS))
 
 
-def counted(docs: DataFrame, tokenizers: dict[str, str], op: str = "insert", seq: int = 0) -> DataFrame:
-    """CHANGE rows for documents (doc_id, text, source, lang), one for each tokenizer version; text goes through the tokenizer whole."""
+def counted(docs: DataFrame, tokenizers: dict[str, str], op: str = "insert", seq: int = 0, carried: str | None = None) -> DataFrame:
+    """CHANGE rows for documents (doc_id, text, source, lang), one for each tokenizer version; text goes through the tokenizer
+    whole.  A numeric column of docs may be carried along."""
     versions = list(tokenizers.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,10 +117,13 @@ def counted(docs: DataFrame, tokenizers: dict[str, str], op: str = "insert", seq
             for name, path in versions:
                 n = pa.array([len(ids) // 4 for ids, _ in encoder(path).encode_all_in_groups(batch.column(1))], pa.int64())
                 rows = batch.num_rows
-                yield pa.RecordBatch.from_arrays([pa.array([op] * rows), batch.column(0), pa.array([seq] * rows, pa.int64()), batch.column(2), batch.column(3), pa.array([name] * rows), n, batch.column(4)], names=["op", "doc_id", "seq", "source", "lang", "tokenizer", "n_tokens", "n_chars"])
+                columns = [pa.array([op] * rows), batch.column(0), pa.array([seq] * rows, pa.int64()), batch.column(2), batch.column(3), pa.array([name] * rows), n, batch.column(4)]
+                names = ["op", "doc_id", "seq", "source", "lang", "tokenizer", "n_tokens", "n_chars"]
+                yield pa.RecordBatch.from_arrays([*columns, *batch.columns[5:]], names=names + ([carried] if carried else []))
 
     chars = F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("n_chars")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), chars).mapInArrow(run, CHANGE)
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), chars, *([F.col(carried).cast("long").alias(carried)] if carried else []))
+    return source.mapInArrow(run, CHANGE + (f", {carried} bigint" if carried else ""))
 
 
 def token_counts(docs: DataFrame, tokenizers: dict[str, str], path: str | None = None) -> DataFrame:
@@ -127,11 +131,11 @@ def token_counts(docs: DataFrame, tokenizers: dict[str, str], path: str | None =
     withdrawal of every 16th other one, its return together with the revised counts, and the load committed once more,
     which changes nothing."""
     store = RollupStore(docs.sparkSession, path)
-    changes = saved(counted(docs, tokenizers), "changes")
+    words = F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0))
+    counts = saved(counted(docs.withColumn("__words", words), tokenizers, carried="__words"), "changes")
     turn = F.pmod(F.col("doc_id"), F.lit(16))
-    words = docs.where(turn == 1).select("doc_id", F.xxhash64("doc_id", "text").alias("h"), F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0)).cast("long").alias("n_words"))
-    first = words.groupBy("doc_id").agg(F.max("n_words").alias("n_words"))
-    load = changes.join(first, "doc_id", "left").withColumn("n_tokens", F.coalesce("n_words", "n_tokens")).drop("n_words")
+    load = counts.withColumn("n_tokens", F.when(turn == 1, F.col("__words")).otherwise(F.col("n_tokens")))
+    changes = counts.drop("__words")
     again = changes.where(turn <= 1).withColumns({"op": F.when(turn == 1, "revise").otherwise("insert"), "seq": F.lit(1).cast("long")})
     store.commit("load", load)
     store.commit("withdraw", changes.where(turn == 0).withColumn("op", F.lit("delete")))
