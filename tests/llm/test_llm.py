@@ -515,3 +515,22 @@ def test_langid_sample_is_bounded_by_different_rows(spark):
     finally:
         langid.Model = fit
     assert seen[0]["en"] == 20 and seen[0]["fr"] <= 20 and set(seen[1]) == {"en"}
+
+
+def test_packing_against_a_plain_packer(spark):
+    """Boundaries by trying all cuts, batches by filling them one after the other, in a table whose buckets are one shard each."""
+    from itertools import combinations
+
+    r = random.Random(8)
+    sizes = [r.choice([1, 2, 3, 5, 8, 13, 14, 30, 31, 33]) for _ in range(150)]
+    got = {x["doc_id"]: x for x in packing.pack(docs(spark, ["w " * n for n in sizes]), buckets=3, token_budget=64).collect()}
+    lengths = sorted(set(sizes))
+    pad = lambda cut: sum(min(b for b in cut if b >= n) - n for n in sizes)
+    best = min((pad([*c, lengths[-1]]) for k in range(3) for c in combinations(lengths[:-1], k)))
+    assert sum(x["pad_tokens"] for x in got.values()) == best
+    for bound in {x["bucket_len"] for x in got.values()}:
+        held = sorted((n, i) for i, n in enumerate(sizes) if got[i]["bucket_len"] == bound)
+        most = max(1, 64 // bound)
+        for at, (n, i) in enumerate(held):
+            x = got[i]
+            assert (x["n_tokens"], x["shard"], x["batch"], x["slot"], x["batch_docs"], x["pad_tokens"]) == (n, 0, at // most, at % most, most, bound - n)
