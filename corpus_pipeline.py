@@ -1,8 +1,8 @@
 """A training-data pipeline: language ID, line dedup, near-duplicate removal, surrogates for personal data, packing.
 
 Each stage is a function of (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
-documents.  run() writes each stage's result to the shared folder, reads it again for the next one and deletes what the
-stage before left there.  Rows keep their other columns, whatever their names; null texts and texts without letters go
+documents.  run() writes each stage's result to the shared folder, reads it again for the next one and deletes all
+that was written there before.  Rows keep their other columns, whatever their names; null texts and texts without letters go
 with the language stage; an empty table gives no rows."""
 
 from __future__ import annotations
@@ -56,8 +56,8 @@ STAGES = [("language", language), ("lines", lines), ("near_duplicates", near_dup
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    start = made()
     for name, stage in STAGES[:-1]:
-        before = made()
         docs = saved(stage(spark, docs, sf_dir), name)
-        release(spark, before, docs)
+        release(spark, start, docs)
     return STAGES[-1][1](spark, docs, sf_dir)
