@@ -81,5 +81,23 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .katz import score
+
+    return score(_table(spark, sf_dir, "documents"))
+
+
+def op12_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .maxscore import search
+
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .filter_audit import filter_audit
+
+    return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}

@@ -31,5 +31,37 @@ SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) A
 """
 
 
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+g AS (SELECT count(*) FILTER (len(w) > 0)::BIGINT AS N, sum(len(w))::BIGINT AS L FROM d),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) x WHERE term IN (SELECT term FROM q) GROUP BY 1, 2),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+wt AS (SELECT term, floor(1000 * ln((2 * N + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, g),
+p AS (SELECT tf.r, tf.term, wt.w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * len(d.w)::BIGINT * g.N) // g.L)))) AS s FROM tf JOIN wt USING (term) JOIN d ON d.r = tf.r, g),
+s AS (SELECT q.item_id, p.r, sum(p.s)::BIGINT AS score FROM q JOIN p USING (term) GROUP BY 1, 2 HAVING sum(p.s) > 0),
+o AS (SELECT item_id, d.doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, d.doc_id, s.r) AS rank FROM s JOIN d USING (r))
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 50
+"""
+
+OP13 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+lab AS (SELECT doc_id, coalesce(max((quality = 1)::INT), 0) AS good, coalesce(max((toxic = 1)::INT), 0) AS toxic FROM labels GROUP BY 1),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+  (CASE WHEN len(w) < 50 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END)
+  || (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END) || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+  || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS bad
+  FROM d LEFT JOIN lab USING (doc_id)),
+n AS (SELECT part, bad, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY 1, 2),
+o AS (SELECT '' AS o UNION ALL SELECT o.o || x FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) l WHERE NOT contains(o.o, x)),
+k AS (SELECT o, step, o[step] AS f, o[1:step - 1] AS before FROM (SELECT o, unnest([1, 2, 3, 4, 5]) AS step FROM o WHERE length(o) = 5) z),
+h AS (SELECT part, o, step, f, n, good, toxic, bad, contains(bad, f) AS fails, regexp_matches(bad, '[' || CASE WHEN before = '' THEN '-' ELSE before END || ']') AS gone FROM k, n),
+r AS (SELECT part, o, step, f, sum(n) FILTER (NOT gone AND NOT fails) AS kept, sum(n) FILTER (fails AND NOT gone) AS removed, sum(n) FILTER (fails AND gone) AS redundant,
+  sum(n) FILTER (bad = f) AS unique_fails, sum(good) FILTER (fails AND NOT gone) AS good_lost, sum(toxic) FILTER (fails AND NOT gone) AS toxic_lost FROM h GROUP BY 1, 2, 3, 4)
+SELECT part, o AS filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost, (sum(coalesce(removed, 0)) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7, "op9_license_scan": op9()}
+    return {"op7_exact_dedup": OP7, "op9_license_scan": op9(), "op12_maxscore": OP12, "op13_filter_audit": OP13}
