@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +54,18 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query go when it has ended (those of what `saved` writes are of no further use)."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
 def bits_for(keys: int, most: int = 1 << 26) -> int:
     """A power of two with about 16 bits for each key, 8 MB at most; beyond that a filter lets more keys pass that it does not hold."""
     return min(most, 1 << max(12, (16 * keys - 1).bit_length() if keys else 0))
