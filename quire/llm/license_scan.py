@@ -1,22 +1,28 @@
 """License scans by diagonal voting (DataFrame functions only).
 
-Every word position of every text joins, by the hash of its rolling word pair, the positions of that pair in the
-license templates (a fixed table, so it is broadcast).  A hit votes for the diagonal "text position - template
-position".  Votes are summed by diagonal, neighbouring diagonals of a template (a word more or less) are merged, and a
-span counts when the words themselves, not just their hashes, cover enough of the template.
+Every word position of every text joins, by the hashes of its rolling word pair and triple, the positions of those grams
+in the license templates (triples; pairs for templates of two words).  A hit, whose words are compared too, votes for
+the diagonal "text position - template position".  Votes are summed by diagonal, and neighbouring diagonals are merged
+into windows that are SLACK wide (LONG_SLACK for templates of LONG words or more), so that some words may be added or
+missing, but no chain of diagonals drifts away.  Windows with enough votes are verified as spans: hits are read in the
+order of the text, one counts if it lies further on in the template than all before it, and the template's words under
+the hits that count must be at least MIN_COVER of all.  So a span is at most the template's length and the slack.
 
-Words: A-Z is lower-cased, then a word is a run of characters other than ASCII signs.  Base phrases must stand whole,
-word by word; other labels need MIN_COVER of their template's word pairs.
+Words: A-Z is lower-cased, then a word is a run of characters other than ASCII signs.  Base phrases are one gram each, so
+they stand whole.  Templates are a table (label, phrase), small ones are broadcast after their grams were counted.
 
 Defined results: null text counts as empty; a text without words has 0 words and no labels; each place of a base phrase
-counts, overlapping ones too; repeated rows give a row each; score is the best coverage of any label, 0 without one.
+counts, overlapping ones too; repeated rows give a row each; score is the best coverage of any label, 0 without one;
+templates of fewer than two words find nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import saved
+
 #: Fixed phrases and labels of the base.
 BASE = {
     "cc by": "cc-by",
@@ -76,50 +82,95 @@ public license as published by the free software foundation either version 3 of
 this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of
 merchantability or fitness for a particular purpose see the gnu general public license for more details""",
 }
+#: Share of a template's words that a span must hold.
 MIN_COVER = 0.75
-#: Diagonals this close to each other are merged.
-SLACK = 2
+#: Width of a window of diagonals; that of templates with at least LONG words.
+SLACK, LONG_SLACK, LONG = 2, 12, 60
+#: Words of a gram.
+GRAM = 3
+#: Grams of all templates that are broadcast at most, some 100 bytes each.
+BROADCAST_GRAMS = 200_000
 #: A-Z are word characters here, as they are lower-cased first.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _pair_hash(a: Column, b: Column) -> Column:
-    return F.xxhash64(F.lower(a), F.lower(b))
+def own_templates(spark: SparkSession) -> DataFrame:
+    """label, phrase, base of the templates above."""
+    rows = [(label, phrase, True) for phrase, label in BASE.items()] + [(label, phrase, False) for phrase, label in NOTICES.items()] + [(label, phrase, False) for label, phrase in TEXTS.items()]
+    return spark.createDataFrame(rows, "label string, phrase string, base boolean")
+
+
+def _grams(words: Column) -> Column:
+    """From each position on the words a, b, c; null beyond the end."""
+    after = lambda n: F.slice(words, F.lit(n + 1), F.greatest(F.size(words) - n, F.lit(0)))
+    return F.arrays_zip(words.alias("a"), after(1).alias("b"), after(2).alias("c"))
+
+
+def _hash(*words: Column) -> Column:
+    return F.xxhash64(*[F.lower(w) for w in words])
 
 
-def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_words, n_base, first_word, last_word, base_labels, labels, score for every row."""
-    spark = docs.sparkSession
-    grams = []
-    for number, (phrase, label) in enumerate([*BASE.items(), *NOTICES.items(), *[(phrase, label) for label, phrase in TEXTS.items()]]):
-        words = phrase.split()
-        grams += [(number, label, number < len(BASE), len(words) - 1, at, a, b) for at, (a, b) in enumerate(zip(words, words[1:]))]
-    templates = spark.createDataFrame(grams, "tmpl int, label string, base boolean, grams int, at int, ta string, tb string").withColumn("h", _pair_hash(F.col("ta"), F.col("tb")))
+def template_grams(templates: DataFrame) -> DataFrame:
+    """tmpl, label, base, size (words), slack, k, at, ta, tb, tc, h: a row for each gram of each template."""
+    words = F.split(F.trim(F.regexp_replace(F.translate("phrase", UPPER, LOWER), r"\s+", " ")), " ")
+    rows = templates.select("label", "base", words.alias("w")).where(F.size("w") > 1)
+    rows = rows.withColumn("tmpl", F.xxhash64("label", "base", F.array_join("w", " "))).withColumn("size", F.size("w")).withColumn("k", F.least("size", F.lit(GRAM)))
+    rows = rows.withColumn("slack", F.when(F.col("size") >= LONG, LONG_SLACK).otherwise(SLACK))
+    rows = rows.select("tmpl", "label", "base", "size", "slack", "k", F.posexplode(_grams(F.col("w"))).alias("at", "g")).where("at <= size - k")
+    rows = rows.select("tmpl", "label", "base", "size", "slack", "k", "at", F.col("g.a").alias("ta"), F.col("g.b").alias("tb"), F.when(F.col("k") == GRAM, F.col("g.c")).alias("tc"))
+    return rows.withColumn("h", F.when(F.col("k") == 2, _hash(F.col("ta"), F.col("tb"))).otherwise(_hash(F.col("ta"), F.col("tb"), F.col("tc"))))
 
+
+def _hits(docs: DataFrame, grams: DataFrame, key: str, text: str) -> DataFrame:
+    """row, id, n_words, pos, tmpl, at: hits, and for each text at least one row, without template where it is no hit."""
     words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORD), F.lit(0))
     rows = docs.select(F.col(key).alias("id"), words.alias("w")).select(F.monotonically_increasing_id().alias("row"), "id", F.size("w").cast("long").alias("n_words"), "w")
-    places = rows.select("row", "id", "n_words", F.posexplode_outer(F.arrays_zip(F.col("w").alias("a"), F.slice("w", F.lit(2), F.greatest(F.size("w") - 1, F.lit(0))).alias("b"))).alias("pos", "g"))
-    places = places.select("row", "id", "n_words", F.col("pos").cast("long").alias("pos"), F.col("g.a").alias("a"), F.col("g.b").alias("b"))
-    places = places.withColumn("hash", _pair_hash(F.col("a"), F.col("b")))
+    places = rows.select("row", "id", "n_words", F.posexplode_outer(_grams(F.col("w"))).alias("pos", "g")).select("row", "id", "n_words", F.col("pos").cast("long").alias("pos"), "g.*")
+    both = F.array(_hash(F.col("a"), F.col("b")), _hash(F.col("a"), F.col("b"), F.col("c")))
+    places = places.select("*", F.posexplode(both).alias("which", "hash"))
     same = lambda x, y: F.translate(F.col(x), UPPER, LOWER) == F.col(y)
-    hits = places.join(F.broadcast(templates), (F.col("hash") == F.col("h")) & F.col("b").isNotNull() & same("a", "ta") & same("b", "tb"), "left")
-    votes = hits.groupBy("row", "id", "n_words", "tmpl", "label", "base", "grams", (F.col("pos") - F.col("at")).alias("diag"), F.shiftright("at", 6).alias("block")).agg(F.bit_or(F.expr("shiftleft(1L, at & 63)")).alias("mask"))
+    third = (F.col("k") == 2) & (F.col("which") == 0) | (F.col("which") == 1) & F.col("c").isNotNull() & same("c", "tc")
+    small = F.broadcast(grams) if grams.count() <= BROADCAST_GRAMS else grams
+    met = places.join(small.drop("label", "base", "size", "slack"), (F.col("hash") == F.col("h")) & F.col("b").isNotNull() & same("a", "ta") & same("b", "tb") & third, "left")
+    return met.where(F.col("tmpl").isNotNull() | (F.coalesce("pos", F.lit(0)) == 0) & (F.col("which") == 0)).select("row", "id", "n_words", "pos", "tmpl", "at")
+
 
+def spans(hits: DataFrame, templates: DataFrame) -> DataFrame:
+    """row, label, base, pos (base places only), cover: base places, and verified spans of the other templates."""
+    found = hits.where("tmpl IS NOT NULL").join(F.broadcast(templates) if templates.count() <= BROADCAST_GRAMS else templates, "tmpl").withColumn("diag", F.col("pos") - F.col("at"))
+    whole = found.where("base AND k = size").select("row", "label", "base", "pos", F.lit(1.0).alias("cover"))
+    found = found.where("NOT (base AND k = size)")
+    votes = found.groupBy("row", "tmpl", "diag").agg(F.count(F.lit(1)).alias("n"), F.first("slack").alias("slack"), F.first("size").alias("size"))
     order = Window.partitionBy("row", "tmpl").orderBy("diag")
-    fresh = F.when(F.col("diag") - F.lag("diag").over(order) <= SLACK, 0).otherwise(1)
-    merged = votes.withColumn("fresh", fresh).withColumn("island", F.sum("fresh").over(order))
-    whole = F.col("base") & (F.bit_count("mask") == F.col("grams"))
-    span = ["row", "id", "n_words", "tmpl", "label", "base", "grams", "island"]
-    # 64 pairs of a template to a block
-    spans = merged.groupBy(*span, "block").agg(
-        F.bit_or("mask").alias("mask"), F.count(F.when(whole, 1)).alias("places"), F.min(F.when(whole, F.col("diag"))).alias("first"), F.max(F.when(whole, F.col("diag"))).alias("last"))
-    spans = spans.groupBy(*span).agg(F.sum(F.bit_count("mask")).alias("held"), F.sum("places").alias("places"), F.min("first").alias("first"), F.max("last").alias("last"))
-    cover = F.when(F.col("base"), F.when(F.col("places") > 0, F.lit(1.0)).otherwise(F.lit(0.0))).otherwise(F.col("held") / F.col("grams"))
-    spans = spans.withColumn("cover", cover).withColumn("found", F.col("cover") >= F.when(F.col("base"), 1.0).otherwise(MIN_COVER))
+    inside = F.when(F.col("slack") == LONG_SLACK, F.sum("n").over(order.rangeBetween(0, LONG_SLACK))).otherwise(F.sum("n").over(order.rangeBetween(0, SLACK)))
+    windows = votes.withColumn("inside", inside).where(F.col("inside") * GRAM >= F.col("size") * MIN_COVER)
+    windows = windows.select("row", "tmpl", F.col("diag").alias("start"), F.explode(F.sequence(F.col("diag"), F.col("diag") + F.col("slack"))).alias("diag"))
+    read = Window.partitionBy("row", "tmpl", "start").orderBy("pos", "at")
+    further = found.join(windows, ["row", "tmpl", "diag"]).withColumn("before", F.max("at").over(read.rowsBetween(Window.unboundedPreceding, -1))).where("before IS NULL OR at > before")
+    # rising hits: each adds the words that the one before it does not cover
+    more = F.least("k", F.coalesce(F.col("at") - F.lag("at").over(Window.partitionBy("row", "tmpl", "start").orderBy("at")), F.col("k")))
+    cover = further.withColumn("more", more).groupBy("row", "tmpl", "start", "label", "base", "size").agg((F.sum("more") / F.col("size")).alias("cover"))
+    cover = cover.where(F.col("cover") >= F.when(F.col("base"), F.lit(1.0)).otherwise(F.lit(MIN_COVER)))
+    return whole.unionByName(cover.select("row", "label", "base", F.when(F.col("base"), F.col("start")).alias("pos"), "cover"))
+
+
+def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: DataFrame | None = None) -> DataFrame:
+    """key, n_words, n_base, first_word, last_word, base_labels, labels, score for every row.
+
+    `templates` (label, phrase) are looked for besides the base phrases; without it, the module's own."""
+    own = own_templates(docs.sparkSession)
+    if templates is not None:
+        own = own.where("base").unionByName(templates.select("label", "phrase", F.lit(False).alias("base")))
+    grams = saved(template_grams(own), "templates")
+    hits = saved(_hits(docs, grams, key, text), "hits")
+    found = spans(hits, grams.select("tmpl", "label", "base", "size", "slack", "k").distinct())
     joined = lambda cond: F.array_join(F.array_sort(F.collect_set(F.when(cond, F.col("label")))), ",")
-    return spans.groupBy("row", "id", "n_words").agg(
-        F.sum("places").alias("n_base"), F.min("first").alias("first_word"), F.max("last").alias("last_word"),
-        joined(F.col("found") & F.col("base")).alias("base_labels"), joined(F.col("found")).alias("labels"),
-        F.coalesce(F.max(F.when(F.col("found"), F.col("cover"))), F.lit(0.0)).alias("score"),
-    ).select(F.col("id").alias(key), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    place = F.when(F.col("base"), F.col("pos"))
+    side = found.groupBy("row").agg(
+        F.count(place).alias("n_base"), F.min(place).alias("first_word"), F.max(place).alias("last_word"),
+        joined(F.col("base")).alias("base_labels"), joined(F.lit(True)).alias("labels"), F.max("cover").alias("score"))
+    rows = hits.select("row", "id", "n_words").distinct().join(side, "row", "left")
+    return rows.select(
+        F.col("id").alias(key), "n_words", F.coalesce("n_base", F.lit(0).cast("long")).alias("n_base"), "first_word", "last_word",
+        F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"))

@@ -9,25 +9,25 @@ FROM t
 
 
 def op9() -> str:
-    """Diagonal voting over word pairs: the templates' pairs are literals made from the operator's own lists."""
-    from .license_scan import BASE, LOWER, MIN_COVER, NOTICES, SLACK, TEXTS, UPPER
+    """Diagonal voting: the templates are literals made from the operator's own lists."""
+    from .license_scan import BASE, LONG, LONG_SLACK, LOWER, MIN_COVER, NOTICES, SLACK, TEXTS, UPPER
 
-    rows = []
-    for number, (phrase, label) in enumerate([*BASE.items(), *NOTICES.items(), *[(p, x) for x, p in TEXTS.items()]]):
-        words = phrase.split()
-        rows += [f"({number}, '{label}', {str(number < len(BASE)).lower()}, {len(words) - 1}, {at}, '{a}', '{b}')" for at, (a, b) in enumerate(zip(words, words[1:]))]
+    rows = [(label, phrase, True) for phrase, label in BASE.items()] + [(label, phrase, False) for phrase, label in NOTICES.items()] + [(label, phrase, False) for label, phrase in TEXTS.items()]
+    values = ", ".join(f"({n}, '{label}', {str(base).lower()}, '{' '.join(phrase.split())}')" for n, (label, phrase, base) in enumerate(rows))
     return rf"""
-WITH t(tmpl, label, base, grams, spot, a, b) AS (VALUES {", ".join(rows)}),
+WITH t AS (SELECT *, len(w) AS size, least(len(w), 3) AS k, CASE WHEN len(w) >= {LONG} THEN {LONG_SLACK} ELSE {SLACK} END AS slack FROM (SELECT tmpl, label, base, string_split(phrase, ' ') AS w FROM (VALUES {values}) v(tmpl, label, base, phrase)) x),
+g AS (SELECT tmpl, label, base, size, k, slack, spot - 1 AS spot, array_to_string(w[spot:spot + k - 1], ' ') AS gram FROM (SELECT *, unnest(range(1, size - k + 2)) AS spot FROM t) x),
 w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-p AS (SELECT doc_id, pos - 1 AS pos, w[pos] AS a, w[pos + 1] AS b FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS pos FROM w) q),
-votes AS (SELECT doc_id, tmpl, any_value(label) AS label, any_value(base) AS base, any_value(grams) AS grams, pos - spot AS diag, list(DISTINCT spot) AS held FROM p JOIN t ON p.a = t.a AND p.b = t.b GROUP BY doc_id, tmpl, pos - spot),
-f AS (SELECT *, CASE WHEN diag - lag(diag) OVER (PARTITION BY doc_id, tmpl ORDER BY diag) <= {SLACK} THEN 0 ELSE 1 END AS fresh FROM votes),
-i AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, tmpl ORDER BY diag) AS island, base AND len(held) = grams AS whole FROM f),
-s AS (SELECT doc_id, tmpl, any_value(label) AS label, any_value(base) AS base, any_value(grams) AS grams, len(list_distinct(flatten(list(held)))) AS held, count(*) FILTER (whole) AS places, min(diag) FILTER (whole) AS lo, max(diag) FILTER (whole) AS hi FROM i GROUP BY doc_id, tmpl, island),
-c AS (SELECT *, CASE WHEN base THEN CASE WHEN places > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END ELSE held::DOUBLE / grams END AS cover FROM s),
-g AS (SELECT doc_id, sum(places) AS n_base, min(lo) AS first_word, max(hi) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base AND cover >= 1) AS base_labels,
-string_agg(DISTINCT label, ',' ORDER BY label) FILTER (cover >= CASE WHEN base THEN 1 ELSE {MIN_COVER} END) AS labels, max(cover) FILTER (cover >= CASE WHEN base THEN 1 ELSE {MIN_COVER} END) AS score FROM c GROUP BY doc_id)
-SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score FROM w LEFT JOIN g ON g.doc_id = w.doc_id
+p AS (SELECT doc_id, pos - 1 AS pos, w[pos] || ' ' || w[pos + 1] AS two, w[pos] || ' ' || w[pos + 1] || ' ' || w[pos + 2] AS three FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS pos FROM w) q),
+h AS (SELECT p.doc_id, p.pos, p.pos - g.spot AS diag, g.* FROM p JOIN g ON g.k = 2 AND g.gram = p.two UNION ALL SELECT p.doc_id, p.pos, p.pos - g.spot, g.* FROM p JOIN g ON g.k = 3 AND g.gram = p.three),
+v AS (SELECT doc_id, tmpl, diag, any_value(slack) AS slack, any_value(size) AS size, count(*) AS n FROM h WHERE NOT base GROUP BY 1, 2, 3),
+i AS (SELECT *, CASE WHEN slack = {LONG_SLACK} THEN sum(n) OVER (PARTITION BY doc_id, tmpl ORDER BY diag RANGE BETWEEN CURRENT ROW AND {LONG_SLACK} FOLLOWING) ELSE sum(n) OVER (PARTITION BY doc_id, tmpl ORDER BY diag RANGE BETWEEN CURRENT ROW AND {SLACK} FOLLOWING) END AS inside FROM v),
+r AS (SELECT h.*, i.diag AS start, max(spot) OVER (PARTITION BY h.doc_id, h.tmpl, i.diag ORDER BY h.pos, h.spot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM i JOIN h ON h.doc_id = i.doc_id AND h.tmpl = i.tmpl AND h.diag BETWEEN i.diag AND i.diag + i.slack WHERE i.inside * 3 >= i.size * {MIN_COVER}),
+m AS (SELECT *, least(k, coalesce(spot - lag(spot) OVER (PARTITION BY doc_id, tmpl, start ORDER BY spot), k)) AS more FROM r WHERE before IS NULL OR spot > before),
+c AS (SELECT doc_id, any_value(label) AS label, false AS base, NULL::BIGINT AS pos, sum(more)::DOUBLE / any_value(size) AS cover FROM m GROUP BY doc_id, tmpl, start
+  UNION ALL SELECT doc_id, label, base, pos, 1.0::DOUBLE FROM h WHERE base),
+f AS (SELECT doc_id, count(pos) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(cover) AS score FROM c WHERE base OR cover >= {MIN_COVER} GROUP BY 1)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score FROM w LEFT JOIN f ON f.doc_id = w.doc_id
 """
 
 
