@@ -43,9 +43,9 @@ from .common import HOT_PARTS, saved, scratch, shuffles_deleted
 #: Counts with a Good-Turing ratio of their own.
 LARGEST = 5
 #: Tokens of a block of documents, at least.
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_500_000
 #: Tokens of a bucket of pairs, about.
-BUCKET_TOKENS = 3_000_000
+BUCKET_TOKENS = 2_000_000
 #: Stand for the start and end of a text; words are hashed with seeds, so these are as unlikely as any collision.
 START, END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 #: Kinds of rows between the steps.
@@ -229,17 +229,22 @@ def _pairs_of(t: Tokens, learn: np.ndarray, words: Words, buckets: int) -> Itera
     context[last - sizes + 1] = len(name) - 1
     doc = np.repeat(np.arange(len(sizes)), sizes)
     pair = target * len(name) + context
+    del target, context, inner
     if len(name) ** 2 * len(sizes) < 2**62:
-        key, m = np.unique(pair * len(sizes) + doc, return_counts=True)
-        pair, doc = np.divmod(key, len(sizes))
+        pair *= len(sizes)
+        pair += doc
+        pair.sort()
+        at = _starts(pair)
+        m = np.diff(at, append=len(pair))
+        pair, doc = np.divmod(pair[at], len(sizes))
     else:
         order = np.lexsort((doc, pair))
         pair, doc = pair[order], doc[order]
         at = _starts(pair, doc)
-        m = np.diff([*at, len(pair)])
+        m = np.diff(at, append=len(pair))
         pair, doc = pair[at], doc[at]
     at = _starts(pair)
-    held = np.diff([*at, len(pair)])
+    held = np.diff(at, append=len(pair))
     count = np.add.reduceat(np.where(learn[doc], m, 0), at)
     target, context = np.divmod(pair[at], len(name))
     hot = np.isin(name, words.hot)
@@ -252,7 +257,7 @@ def _pairs_of(t: Tokens, learn: np.ndarray, words: Words, buckets: int) -> Itera
             first = _starts(target[own])
             context_names, c = np.unique(context[own], return_inverse=True)
             where = np.repeat(at[own], held[own]) + (np.arange(int(held[own].sum())) - np.repeat(np.cumsum(held[own]) - held[own], held[own]))
-            yield b, _packed(name[target[own][first]], np.diff([*first, len(own)]), name[context_names], c, count[own], held[own], doc[where], m[where])
+            yield b, _packed(name[target[own][first]], np.diff(first, append=len(own)), name[context_names], c, count[own], held[own], doc[where], m[where])
 
 
 def _counted(pieces: list[tuple[int, bytes]], words: Words, buckets: int) -> Iterator[tuple]:
@@ -266,13 +271,13 @@ def _counted(pieces: list[tuple[int, bytes]], words: Words, buckets: int) -> Ite
     t, c = t[first], c[first]
     r = np.add.reduceat(np.concatenate([p[4] for p in parts]).astype(np.int64)[order], first)
     word = _starts(t)
-    size = np.diff([*word, len(t)])
+    size = np.diff(word, append=len(t))
     count = np.add.reduceat(r, word)
     is_hot, at = _member(t[word], words.hot)
     count = np.repeat(np.where(is_hot, words.hot_count[at] if len(at) else 0, count), size)
     share = words.log_share(count)
     kind_of = np.empty(len(order), dtype=np.int64)
-    kind_of[order] = np.repeat(np.arange(len(first)), np.diff([*first, len(order)]))
+    kind_of[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(order)))
 
     base = np.log10(count + 0.5)
     own = np.where(r > LARGEST, np.log10(np.maximum(r, 1)), 0.0) + np.where(r == 0, share, 0.0) - np.where(t == END, 0.0, np.log10(np.maximum(count, 1)))
