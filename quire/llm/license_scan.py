@@ -3,8 +3,8 @@
 Every word position of every text joins, by the hashes of its rolling word pair and triple, the positions of those grams
 in the license templates (triples; pairs for templates of two words).  A hit, whose words are compared too, votes for
 the diagonal "text position - template position".  Votes are summed by diagonal, and neighbouring diagonals are merged
-into windows that are SLACK wide (LONG_SLACK for templates of LONG words or more), so that some words may be added or
-missing, but no chain of diagonals drifts away.  Windows with enough votes are verified as spans: hits are read in the
+into windows whose width is one for every SLACK words of the template (at most MOST_SLACK), so that some words may be added
+or missing, but no chain of diagonals drifts away.  Windows with enough votes are verified as spans: hits are read in the
 order of the text, one counts if it lies further on in the template than all before it, and the template's words under
 the hits that count must be at least MIN_COVER of all.  So a span is at most the template's length and the slack.
 
@@ -84,8 +84,8 @@ merchantability or fitness for a particular purpose see the gnu general public l
 }
 #: Share of a template's words that a span must hold.
 MIN_COVER = 0.75
-#: Width of a window of diagonals; that of templates with at least LONG words.
-SLACK, LONG_SLACK, LONG = 2, 12, 60
+#: Words of a template for each step in width of a window of diagonals; the most steps.
+SLACK, MOST_SLACK = 8, 12
 #: Words of a gram.
 GRAM = 3
 #: Grams of all templates that are broadcast at most, some 100 bytes each.
@@ -116,7 +116,7 @@ def template_grams(templates: DataFrame) -> DataFrame:
     words = F.split(F.trim(F.regexp_replace(F.translate("phrase", UPPER, LOWER), r"\s+", " ")), " ")
     rows = templates.select("label", "base", words.alias("w")).where(F.size("w") > 1)
     rows = rows.withColumn("tmpl", F.xxhash64("label", "base", F.array_join("w", " "))).withColumn("size", F.size("w")).withColumn("k", F.least("size", F.lit(GRAM)))
-    rows = rows.withColumn("slack", F.when(F.col("size") >= LONG, LONG_SLACK).otherwise(SLACK))
+    rows = rows.withColumn("slack", F.least(F.floor(F.col("size") / SLACK), F.lit(MOST_SLACK)).cast("int"))
     rows = rows.select("tmpl", "label", "base", "size", "slack", "k", F.posexplode(_grams(F.col("w"))).alias("at", "g")).where("at <= size - k")
     rows = rows.select("tmpl", "label", "base", "size", "slack", "k", "at", F.col("g.a").alias("ta"), F.col("g.b").alias("tb"), F.when(F.col("k") == GRAM, F.col("g.c")).alias("tc"))
     return rows.withColumn("h", F.when(F.col("k") == 2, _hash(F.col("ta"), F.col("tb"))).otherwise(_hash(F.col("ta"), F.col("tb"), F.col("tc"))))
@@ -142,10 +142,10 @@ def spans(hits: DataFrame, templates: DataFrame) -> DataFrame:
     whole = found.where("base AND k = size").select("row", "label", "base", "pos", F.lit(1.0).alias("cover"))
     found = found.where("NOT (base AND k = size)")
     votes = found.groupBy("row", "tmpl", "diag").agg(F.count(F.lit(1)).alias("n"), F.first("slack").alias("slack"), F.first("size").alias("size"))
-    order = Window.partitionBy("row", "tmpl").orderBy("diag")
-    inside = F.when(F.col("slack") == LONG_SLACK, F.sum("n").over(order.rangeBetween(0, LONG_SLACK))).otherwise(F.sum("n").over(order.rangeBetween(0, SLACK)))
-    windows = votes.withColumn("inside", inside).where(F.col("inside") * GRAM >= F.col("size") * MIN_COVER)
-    windows = windows.select("row", "tmpl", F.col("diag").alias("start"), F.explode(F.sequence(F.col("diag"), F.col("diag") + F.col("slack"))).alias("diag"))
+    # each window begins at a diagonal with votes
+    windows = votes.withColumn("start", F.explode(F.sequence(F.col("diag") - F.col("slack"), F.col("diag")))).groupBy("row", "tmpl", "start").agg(F.sum("n").alias("inside"), F.max(F.col("start") == F.col("diag")).alias("own"), F.first("slack").alias("slack"), F.first("size").alias("size"))
+    windows = windows.where(F.col("own") & (F.col("inside") * GRAM >= F.col("size") * MIN_COVER))
+    windows = windows.select("row", "tmpl", "start", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("slack"))).alias("diag"))
     read = Window.partitionBy("row", "tmpl", "start").orderBy("pos", "at")
     further = found.join(windows, ["row", "tmpl", "diag"]).withColumn("before", F.max("at").over(read.rowsBetween(Window.unboundedPreceding, -1))).where("before IS NULL OR at > before")
     # rising hits: each adds the words that the one before it does not cover

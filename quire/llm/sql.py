@@ -10,18 +10,18 @@ FROM t
 
 def op9() -> str:
     """Diagonal voting: the templates are literals made from the operator's own lists."""
-    from .license_scan import BASE, LONG, LONG_SLACK, LOWER, MIN_COVER, NOTICES, SLACK, TEXTS, UPPER
+    from .license_scan import BASE, LOWER, MIN_COVER, MOST_SLACK, NOTICES, SLACK, TEXTS, UPPER
 
     rows = [(label, phrase, True) for phrase, label in BASE.items()] + [(label, phrase, False) for phrase, label in NOTICES.items()] + [(label, phrase, False) for label, phrase in TEXTS.items()]
     values = ", ".join(f"({n}, '{label}', {str(base).lower()}, '{' '.join(phrase.split())}')" for n, (label, phrase, base) in enumerate(rows))
     return rf"""
-WITH t AS (SELECT *, len(w) AS size, least(len(w), 3) AS k, CASE WHEN len(w) >= {LONG} THEN {LONG_SLACK} ELSE {SLACK} END AS slack FROM (SELECT tmpl, label, base, string_split(phrase, ' ') AS w FROM (VALUES {values}) v(tmpl, label, base, phrase)) x),
+WITH t AS (SELECT *, len(w) AS size, least(len(w), 3) AS k, least(len(w) // {SLACK}, {MOST_SLACK}) AS slack FROM (SELECT tmpl, label, base, string_split(phrase, ' ') AS w FROM (VALUES {values}) v(tmpl, label, base, phrase)) x),
 g AS (SELECT tmpl, label, base, size, k, slack, spot - 1 AS spot, array_to_string(w[spot:spot + k - 1], ' ') AS gram FROM (SELECT *, unnest(range(1, size - k + 2)) AS spot FROM t) x),
 w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 p AS (SELECT doc_id, pos - 1 AS pos, w[pos] || ' ' || w[pos + 1] AS two, w[pos] || ' ' || w[pos + 1] || ' ' || w[pos + 2] AS three FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS pos FROM w) q),
 h AS (SELECT p.doc_id, p.pos, p.pos - g.spot AS diag, g.* FROM p JOIN g ON g.k = 2 AND g.gram = p.two UNION ALL SELECT p.doc_id, p.pos, p.pos - g.spot, g.* FROM p JOIN g ON g.k = 3 AND g.gram = p.three),
 v AS (SELECT doc_id, tmpl, diag, any_value(slack) AS slack, any_value(size) AS size, count(*) AS n FROM h WHERE NOT base GROUP BY 1, 2, 3),
-i AS (SELECT *, CASE WHEN slack = {LONG_SLACK} THEN sum(n) OVER (PARTITION BY doc_id, tmpl ORDER BY diag RANGE BETWEEN CURRENT ROW AND {LONG_SLACK} FOLLOWING) ELSE sum(n) OVER (PARTITION BY doc_id, tmpl ORDER BY diag RANGE BETWEEN CURRENT ROW AND {SLACK} FOLLOWING) END AS inside FROM v),
+i AS (SELECT a.doc_id, a.tmpl, a.diag, any_value(a.slack) AS slack, any_value(a.size) AS size, sum(b.n) AS inside FROM v a JOIN v b ON a.doc_id = b.doc_id AND a.tmpl = b.tmpl AND b.diag BETWEEN a.diag AND a.diag + a.slack GROUP BY 1, 2, 3),
 r AS (SELECT h.*, i.diag AS start, max(spot) OVER (PARTITION BY h.doc_id, h.tmpl, i.diag ORDER BY h.pos, h.spot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM i JOIN h ON h.doc_id = i.doc_id AND h.tmpl = i.tmpl AND h.diag BETWEEN i.diag AND i.diag + i.slack WHERE i.inside * 3 >= i.size * {MIN_COVER}),
 m AS (SELECT *, least(k, coalesce(spot - lag(spot) OVER (PARTITION BY doc_id, tmpl, start ORDER BY spot), k)) AS more FROM r WHERE before IS NULL OR spot > before),
 c AS (SELECT doc_id, any_value(label) AS label, false AS base, NULL::BIGINT AS pos, sum(more)::DOUBLE / any_value(size) AS cover FROM m GROUP BY doc_id, tmpl, start

@@ -75,7 +75,7 @@ def test_spans_against_plain_windows(spark):
     got = labels(spark, texts, templates=templates)
     some = set()
     for i, t in enumerate(texts):
-        cover = {label: plain_cover(t, p, 12 if len(p.split()) >= 60 else 2) for label, p in phrases.items()}
+        cover = {label: plain_cover(t, p, min(len(p.split()) // 8, 12)) for label, p in phrases.items()}
         held = {label: c for label, c in cover.items() if c >= 0.75}
         some |= set(held)
         assert got[i] == (",".join(sorted(held)), round(max(held.values(), default=0.0), 6))

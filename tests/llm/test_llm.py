@@ -469,7 +469,7 @@ def test_license_own_labels_against_brute_force(spark):
     for i, t in enumerate(texts):
         found, best = set(), 0.0
         for phrase, label in phrases.items():
-            cover = plain_cover(t, phrase, license_scan.LONG_SLACK if len(phrase.split()) >= license_scan.LONG else license_scan.SLACK)
+            cover = plain_cover(t, phrase, min(len(phrase.split()) // license_scan.SLACK, license_scan.MOST_SLACK))
             if cover >= license_scan.MIN_COVER:
                 found.add(label)
                 best = max(best, cover)
