@@ -44,6 +44,8 @@ from .common import HOT_PARTS, saved, scratch, shuffles_deleted
 LARGEST = 5
 #: Tokens of a block of documents, at least.
 BLOCK_TOKENS = 1_500_000
+#: Documents after which a block's tokens are counted.
+BATCH_ROWS = 256
 #: Tokens of a bucket of pairs, about.
 BUCKET_TOKENS = 2_000_000
 #: Stand for the start and end of a text; words are hashed with seeds, so these are as unlikely as any collision.
@@ -101,7 +103,7 @@ def blocks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[Tokens]:
         columns = [pa.chunked_array([b.column(i) for b in held]).combine_chunks() for i in range(1, held[0].num_columns)]
         return Tokens(coded.dictionary, coded.indices.to_numpy(), np.bincount(owner, minlength=len(sizes)), columns)
 
-    for batch in batches:
+    for batch in (b.slice(at, BATCH_ROWS) for b in batches for at in range(0, b.num_rows, BATCH_ROWS)):
         if batch.num_rows:
             held.append(batch)
             texts.append(pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(batch.column(0), ""))))
