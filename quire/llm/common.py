@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,19 @@ BITMAP_BITS = 1 << 22
 HOT_PARTS = 1024
 
 
-_made: list[str] = []
+#: Scratch paths of the run that this thread is in.
+_run: ContextVar[list[str] | None] = ContextVar("quire_scratch", default=None)
+
+
+@contextmanager
+def scratch_run() -> Iterator[list[str]]:
+    """A run: the list gathers the scratch paths that are given out inside, those of no other thread or run."""
+    paths: list[str] = []
+    token = _run.set(paths)
+    try:
+        yield paths
+    finally:
+        _run.reset(token)
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
@@ -26,24 +39,22 @@ def scratch(spark: SparkSession, tag: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "/tmp/checkpoints"
         spark.conf.set("spark.checkpoint.dir", base)
-    _made.append(f"{base.rstrip('/')}/quire/{tag}-{uuid.uuid4().hex}")
-    return _made[-1]
-
-
-def made() -> int:
-    """How many scratch paths there are; see release."""
-    return len(_made)
+    path = f"{base.rstrip('/')}/quire/{tag}-{uuid.uuid4().hex}"
+    own = _run.get()
+    if own is not None:
+        own.append(path)
+    return path
 
 
-def release(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
-    """Delete the scratch paths given out after the first `since` ones, but for the files that `keep` reads."""
+def release(spark: SparkSession, paths: list[str], keep: DataFrame | None = None) -> None:
+    """Delete scratch paths of a run (and take them off its list), but for those whose files `keep` reads."""
     files = keep.inputFiles() if keep is not None else []
     jvm = spark.sparkContext._jvm
-    for path in _made[since:]:
+    for path in list(paths):
         if not any(f"{path}/" in f for f in files):
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-            _made.remove(path)
+            paths.remove(path)
 
 
 def saved(df: DataFrame, tag: str) -> DataFrame:
@@ -147,8 +158,9 @@ ROW = "__quire_row"
 
 
 def row_key(key: str, text: str) -> Column:
-    """Identity of a row's document and text: equal for repeated rows."""
-    return F.xxhash64(F.col(key), F.col(text), F.col(text).isNull())
+    """Identity of a row's document and text, 128 bits: equal for repeated rows."""
+    own = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in (key, text)]
+    return F.unhex(F.md5(F.concat(own[0], F.lit("\u0001"), own[1])))
 
 
 def rejoin(docs: DataFrame, side: DataFrame, how: str) -> DataFrame:

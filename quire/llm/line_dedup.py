@@ -9,8 +9,8 @@ two documents share holds such runs, which cover all of it, and the first holder
 
 Each pair's sequences of shared lines are aligned with patience diff (lines that occur once in both anchor the alignment,
 gaps are aligned in turn), and aligned blocks of at least `min_block_words` words are deleted from the later document.
-What the alignment leaves (repeated, reordered or unanchored passages) is then looked up in the first document as runs of
-lines wherever they stand.  So a line goes if and only if it stands in a run of at least that many words that an earlier
+What is left of it is aligned again, which finds passages that moved or repeat, until no block is found.  Only where the
+alignment has no anchors, as lines of the first document repeat, are the gaps looked up in it by a suffix automaton.  So a line goes if and only if it stands in a run of at least that many words that an earlier
 document holds too.
 
 Documents are ordered by id.  Defined results: null texts and null ids pass unchanged; rows of one id are never compared
@@ -135,8 +135,8 @@ def copied_runs(a: list, b: list, words: list[int], least: int) -> list[int]:
     return out[::-1]
 
 
-def common_blocks(a: list, b: list, words: list[int], least: int) -> list[int]:
-    """Positions of b in aligned blocks that hold at least `least` words."""
+def aligned_blocks(a: list, b: list, words: list[int], least: int) -> list[int]:
+    """Positions of b in blocks of at least `least` words that patience diff aligns in one piece."""
     out, block, size, before = [], [], 0, None
     for x, y in [*align(a, b), (-9, -9)]:
         if before is None or (x, y) != (before[0] + 1, before[1] + 1):
@@ -147,12 +147,63 @@ def common_blocks(a: list, b: list, words: list[int], least: int) -> list[int]:
             block.append(y)
             size += words[y]
         before = (x, y)
-    known, gone = set(a), set(out)
-    if sum(n for x, y, n in zip(b, range(len(b)), words, strict=True) if y not in gone and x in known) >= min(least, 1):
-        out = sorted(gone.union(copied_runs(a, b, words, least)))
     return out
 
 
+def _stretches(gone: set[int], b: list, words: list[int], least: int) -> list[tuple[int, int]]:
+    """(first, end) of what is left of b, each with as much on both sides as a run may reach into what went."""
+    out, i, n = [], 0, len(b)
+    while i < n:
+        if i in gone:
+            i += 1
+            continue
+        z = i
+        while z < n and z not in gone:
+            z += 1
+        low, high, left, right = i, z, 0, 0
+        while low > 0 and left < least:
+            low -= 1
+            left += words[low]
+        while high < n and right < least:
+            right += words[high]
+            high += 1
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], high)
+        else:
+            out.append((low, high))
+        i = z
+    return out
+
+
+def common_blocks(a: list, b: list, words: list[int], least: int) -> list[int]:
+    """Positions of b in blocks that it shares with a.
+
+    Patience diff aligns a with b, then again with what is left of b (cut where blocks went), for passages that moved or
+    repeat, as long as it finds blocks.  What it cannot anchor, because a's lines repeat, goes to the suffix automaton."""
+    known = set(a)
+    gone: set[int] = set()
+    least = max(least, 1)
+    while True:
+        left, place = [], []
+        for k, x in enumerate(b):
+            if k not in gone:
+                left.append(x)
+                place.append(k)
+            elif place and place[-1] >= 0:
+                left.append(object())
+                place.append(-1)
+        if sum(words[k] for k in place if k >= 0 and b[k] in known) < least and len(gone) == 0:
+            return []
+        found = {place[k] for k in aligned_blocks(a, left, [words[k] if k >= 0 else 0 for k in place], least)} - {-1}
+        gone |= found
+        if not found:
+            break
+    for i, z in _stretches(gone, b, words, least):
+        if any(b[k] in known and k not in gone for k in range(i, z)) and sum(words[k] for k in range(i, z) if b[k] in known) >= least:
+            gone.update(i + k for k in copied_runs(a, b[i:z], words[i:z], least))
+    return sorted(gone)
+
+
 def runs(at: list[int], words: list[int], least: int) -> list[tuple[int, int]]:
     """(first, last) of the shortest runs of consecutive lines with at least `least` words, from each line on and up to each line."""
     found, n, i = set(), len(at), 0
@@ -219,16 +270,19 @@ def deletions(docs: DataFrame, key: str = "doc_id", text: str = "text", min_bloc
                 rows += [row] * len(own)
                 ids += [id_] * len(own)
                 anchors += own
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(ids, batch.schema.field(1).type), pa.array(anchors, pa.binary())], names=["row", "id", "a"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(ids, batch.schema.field(1).type), pa.array(anchors, pa.binary())], names=["row", "id", "a"])
 
     id_type = held.schema["id"].dataType.simpleString()
-    anchors = saved(held.select("row", "id", "at", "h", "w", "n").mapInArrow(anchored, f"row bigint, id {id_type}, a binary"), "anchors")
+    anchors = saved(held.select("row", "id", "at", "h", "w", "n").mapInArrow(anchored, f"row binary, id {id_type}, a binary"), "anchors")
     first = anchors.groupBy("a").agg(F.min(F.struct("id", "row")).alias("o"), F.max(F.struct("id", "row")).alias("z"), F.count(F.lit(1)).alias("n"))
     first = saved(first.where("o.id <> z.id").select("a", F.col("o.id").alias("owner_id"), F.col("o.row").alias("owner"), "n"), "owners")
     pairs = hot_join(anchors, first, "a", "n", anchors.count()).where("owner IS NOT NULL AND id > owner_id")
     pairs = saved(pairs.select("row", "owner").distinct(), "pairs")
     owners = pairs.groupBy("owner").agg(F.count(F.lit(1)).alias("n")).join(held.select(F.col("row").alias("owner"), F.col("at").alias("oat"), F.col("h").alias("oh")), "owner")
-    both = spread_join(pairs, owners, "owner", "n", pairs.count()).select("row", "oat", "oh").join(held.select("row", "at", "pos", "h", "w"), "row")
+    # a document of many owners is dealt over copies, as an owner of many documents is
+    laters = pairs.groupBy("row").agg(F.count(F.lit(1)).alias("m")).join(held.select("row", "at", "pos", "h", "w"), "row")
+    total = pairs.count()
+    both = spread_join(spread_join(pairs, owners, "owner", "n", total).select("row", "owner", "oat", "oh"), laters, "row", "m", total)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,9 +297,9 @@ def deletions(docs: DataFrame, key: str = "doc_id", text: str = "text", min_bloc
                 if cut:
                     rows.append(row)
                     gone.append([{"at": at[k], "pos": pos[k]} for k in cut])
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(gone, pa.list_(pa.struct([("at", pa.int32()), ("pos", pa.int32())])))], names=[ROW, "gone"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(gone, pa.list_(pa.struct([("at", pa.int32()), ("pos", pa.int32())])))], names=[ROW, "gone"])
 
-    cut = both.select("row", "oat", "oh", "at", "pos", "h", "w").mapInArrow(run, f"{ROW} bigint, gone array<struct<at:int,pos:int>>")
+    cut = both.select("row", "oat", "oh", "at", "pos", "h", "w").mapInArrow(run, f"{ROW} binary, gone array<struct<at:int,pos:int>>")
     cut = cut.groupBy(ROW).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +314,7 @@ def deletions(docs: DataFrame, key: str = "doc_id", text: str = "text", min_bloc
                 out.append(own)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.bool_()))], names=[ROW, "__quire_gone"])
 
-    return saved(cut.mapInArrow(mask, f"{ROW} bigint, __quire_gone array<boolean>"), "gone")
+    return saved(cut.mapInArrow(mask, f"{ROW} binary, __quire_gone array<boolean>"), "gone")
 
 
 def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_block_words: int = MIN_BLOCK_WORDS, counts: bool = True) -> DataFrame:

@@ -11,8 +11,9 @@ The number of bands is the least that finds a pair at the threshold with probabi
 
 Defined results: words are runs of letters and digits, lower-cased; a text of fewer words than n has its words as its
 one n-gram; null texts and texts without words link to nothing; null ids get a class of null; rows that share an id are
-one document; class_id is the smallest id of the class; n_links is the number of other texts of the class that are
-similar enough, each compared on the full n-gram sets (see link_counts); of each class one row is kept.
+one document, so the classes of all its texts are one; class_id is the smallest id of the class; n_links is the number of other texts of the class that are
+similar enough, each compared on the full n-gram sets (see link_counts), for an id of several texts that of the text
+with most; of each class one row is kept.
 """
 
 from __future__ import annotations
@@ -93,7 +94,7 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def signatures(docs: DataFrame, key: str, text: str, n: int, bands: int, rows: int) -> DataFrame:
-    """id, digest (of the words), sig (one byte of each MinHash), bands (hashes) for each document with words."""
+    """row, id, digest (of the words), sig (one byte of each MinHash), bands (hashes) for each document with words."""
     rng = np.random.default_rng(20240)
     mult = rng.integers(1, 1 << 62, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     add = rng.integers(0, 1 << 62, bands * rows, dtype=np.uint64)
@@ -103,8 +104,8 @@ def signatures(docs: DataFrame, key: str, text: str, n: int, bands: int, rows: i
         shingle = Shingler(n)
         number = np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         for batch in batches:
-            ids, digests, sigs, keys = [], [], [], []
-            for i, value in enumerate(batch.column(1)):
+            at, digests, sigs, keys = [], [], [], []
+            for i, value in enumerate(batch.column(2)):
                 word = shingle.words(value.as_py() or "")
                 if not len(word):
                     continue
@@ -112,14 +113,14 @@ def signatures(docs: DataFrame, key: str, text: str, n: int, bands: int, rows: i
                 low = _minhash(grams, mult, add)
                 low64 = low.astype(np.uint64)
                 band = _mix((low64.reshape(bands, rows) * weight).sum(axis=1, dtype=np.uint64) + number)
-                ids.append(batch.column(0)[i].as_py())
+                at.append(i)
                 digests.append(hashlib.blake2b(word.tobytes(), digest_size=16).digest())
                 sigs.append((low & 0xFF).astype(np.uint8).tobytes())
                 keys.append(band.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "digest", "sig", "bands"])
+            yield pa.RecordBatch.from_arrays([*[c.take(pa.array(at, pa.int64())) for c in batch.columns[:2]], pa.array(digests, pa.binary()), pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["row", "id", "digest", "sig", "bands"])
 
-    source = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
-    return source.mapInArrow(run, "id bigint, digest binary, sig binary, bands array<bigint>")
+    source = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(row_key(key, text).alias("row"), F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
+    return source.mapInArrow(run, "row binary, id bigint, digest binary, sig binary, bands array<bigint>")
 
 
 def _minhash(grams: np.ndarray, mult: np.ndarray, add: np.ndarray) -> np.ndarray:
@@ -147,9 +148,11 @@ def _wider(texts: DataFrame, n: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
     """Of (a, b) pairs those whose full n-gram sets are similar enough: a, b, similarity."""
-    count = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    ta = count.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a")
-    both = spread_join(pairs, ta, "a", "n", pairs.count()).join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
+    both, total = pairs, pairs.count()
+    for side in "ab":  # a node may be in many pairs on either side
+        count = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("n"))
+        both = spread_join(both, count.join(texts.select(F.col("id").alias(side), F.col("t").alias(f"t{side}")), side), side, "n", total).drop("n")
+    both = both.select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, last, grams = Shingler(n), None, None
@@ -170,11 +173,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> D
 
 
 def links(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL, band_rows: int = BAND_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members: id, node), (roots: node, root, for linked nodes), (texts: id, t, of at least those)."""
+    """(members: id, node), (roots: node, root, for linked nodes), (texts: id (the node), t, of at least those).
+
+    A node is a text (its words), whatever ids it has; nodes of one id are linked."""
     bands = bands_for(threshold, band_rows, recall)
     signed = saved(signatures(docs, key, text, n, bands, band_rows), "signatures")
-    nodes = saved(signed.groupBy("digest").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("n"), F.min("sig").alias("sig"), F.min("bands").alias("bands")), "nodes")
+    nodes = saved(signed.groupBy("digest").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("n"), F.min("sig").alias("sig"), F.min("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()), "nodes")
     members = hot_join(signed.select("id", "digest"), nodes.select("digest", "node", "n"), "digest", "n", signed.count()).select("id", "node")
+    several = members.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
+    same_id = saved(members.join(several, "id").where("node <> a").select("a", F.col("node").alias("b")).distinct(), "same_id")
 
     band = nodes.select("node", F.posexplode("bands").alias("band", "bucket")).distinct()
     sized = band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -187,11 +194,13 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = NGR
     few = few.select(F.posexplode("all").alias("at", "x"), "all").select("x", F.explode(F.expr("slice(all, at + 2, size(all))")).alias("y"))
     pairs = saved(star.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).unionByName(few.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct(), "pairs")
 
-    wanted = pairs.select(F.col("a").alias(ROW)).unionByName(pairs.select(F.col("b").alias(ROW))).unionByName(meets.where(F.col("n") > SMALL).select(F.col("node").alias(ROW))).distinct()
-    source = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("long").alias(ROW), F.col(text).alias("t"))
-    texts = saved(rejoin(source, wanted.withColumn("w", F.lit(1)), "left").where("w = 1").groupBy(F.col(ROW).alias("id")).agg(F.min("t").alias("t")), "texts")
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(meets.where(F.col("n") > SMALL).select("node"))
+    wanted = wanted.unionByName(same_id.select(F.col("a").alias("node"))).unionByName(same_id.select(F.col("b").alias("node"))).distinct()
+    source = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(row_key(key, text).alias(ROW), F.col(text).alias("t"))
+    texts = rejoin(source, nodes.join(wanted, "node").select(F.col("row").alias(ROW), "node"), "left").where("node IS NOT NULL")
+    texts = saved(texts.groupBy(F.col("node").alias("id")).agg(F.min("t").alias("t")), "texts")
     edges = saved(_verified(pairs, texts, n, threshold), "edges")
-    roots = components(edges.select("a", "b"))
+    roots = components(edges.select("a", "b").unionByName(same_id))
 
     # Large buckets whose nodes are not all in one component yet.
     large = meets.where(F.col("n") > SMALL).join(roots, "node", "left").select("bucket", "band", "node", "n", F.coalesce("root", "node").alias("root"))
@@ -229,7 +238,7 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = NGR
         found = saved(_verified(saved(more, "more"), texts, n, threshold), "edges2")
         if not found.isEmpty():
             edges = edges.unionByName(found)
-            roots = components(edges.select("a", "b"))
+            roots = components(edges.select("a", "b").unionByName(same_id))
     return members, roots, texts
 
 
@@ -299,9 +308,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     """key, class_id, class_size, n_links (0 without count_links), kept for every row."""
     members, roots, texts = links(docs, key, text, n, threshold, recall)
     degree = link_counts(roots, texts, n, threshold) if count_links else roots.select("node", F.lit(0).cast("long").alias("n_links"))
-    classed = members.join(roots, "node", "left").join(degree, "node", "left").select("id", F.coalesce("root", "node").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-    # Rows of one id are one document: the smallest class stands for all.
-    one = classed.groupBy("id").agg(F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
+    classed = members.join(roots, "node", "left").join(degree, "node", "left").select("id", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    # Nodes of one id share a root.
+    one = saved(classed.groupBy("id").agg(F.min("root").alias("root"), F.max("n_links").alias("n_links")), "members")
+    named = one.groupBy("root").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n"))
+    one = hot_join(one, named, "root", "n", one.count()).select("id", "class_id", "n_links")
     rows = docs.select(F.col(key).cast("long").alias("id")).join(one, "id", "left").select("id", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
     rows = saved(rows, "classed")
     sizes = rows.groupBy("class_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")

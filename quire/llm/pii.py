@@ -2,11 +2,12 @@
 
 One pattern finds entities; distinct values form a dictionary in which each gets a keyed surrogate of its type: mail
 addresses stay mail addresses, addresses of the net have four octets, card numbers keep length, grouping and whether
-their check digit holds, bank account numbers (IBAN) keep country and whether their check digits hold, phone numbers keep country code and grouping, secrets keep letter case and digits, names after
-a title keep the title, gender and script.  A secret is the whole value behind its keyword, of any length: to the closing
+their check digit holds, bank account numbers (IBAN) keep country and whether their check digits hold, phone numbers keep country code and grouping, secrets keep letter case and digits, streets keep what they end on, dates of birth are
+shifted by a keyed number of days, names after a title, a statement ("my name is") or a field ("Name:") keep the title, gender and script.  A secret is the whole value behind its keyword, of any length: to the closing
 quote where it is quoted, else to a quote or white space, without closing punctuation.  Names are replaced by their parts, so a family name has one surrogate with
 or without a given name; the parts of the names found in a document are also replaced where they stand in it
-without a title (also in capitals, in hyphenated words, before 's).  Surrogates are checked: one that another value has, or that stands as an original, is drawn
+without a title (also in capitals, in hyphenated words, before 's), but for names that are also words at the start of
+a sentence and before a small letter.  Surrogates are checked: one that another value has, or that stands as an original, is drawn
 again with the next attempt number, so distinct values stay distinct and equal ones equal in the whole table.
 
 Defined results: null text stays null; texts without entities are unchanged; empty tables give no rows; repeated rows
@@ -18,16 +19,21 @@ format rather than distinctness.
 from __future__ import annotations
 
 import re
+import secrets
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ROW, hot_join, rejoin, row_key, saved
 
 ATTEMPTS = 12
+#: Names the secret key of the surrogates; whoever has it can test guesses of originals.
+KEY_SETTING = "spark.quire.surrogate.key"
 # Titles by gender; those that end in a dot are titles only with it.
 MALE = ["Mr", "Mister", "Herr", "Monsieur", "Señor", "Sir", "Signor", "M.", "Sr.", "господин", "г-н"]
 FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita", "Signora", "Mme", "Mlle", "Sra", "Srta", "Dra", "госпожа", "г-жа"]
+#: Statements and fields that a name follows; they count as titles without gender.
+STATED = ["My name is", "my name is", "My Name is", "Mein Name ist", "mein Name ist", "Ich heiße", "ich heiße", "Je m'appelle", "je m'appelle", "Je m’appelle", "je m’appelle", "Mon nom est", "mon nom est", "Me llamo", "me llamo", "Mi nombre es", "mi nombre es", "Меня зовут", "меня зовут", "Name:", "Full name:", "Full Name:", "Nom:", "Nombre:", "Patient:", "Customer:"]
 NEUTRAL = ["Dr", "Doctor", "Prof", "Professor", "Rev", "Mx", "доктор", "профессор"]
 # Surrogate given names and syllables by script.
 GIVEN = {
@@ -42,28 +48,41 @@ SYLLABLES = {
     "latin": "ba ben cor dal den fer gan hal jor kel lan mar mon nor pel ran ros sel tal tor val ven wil zan",
     "cyrillic": "бел вор гор дан жар зим кор лаз мар нор пол рат сел тор чер яр",
 }
-TITLE = "(?:" + "|".join(re.escape(x) if x.endswith(".") else rf"{x}\.?" for x in sorted(MALE + FEMALE + NEUTRAL, key=lambda x: (-len(x), x))) + ")"
-NAME_WORD = r"\p{Lu}(?=[\p{L}'-])\p{L}*(?:(?!'s(?!\p{L}))['-]\p{L}+)*"
+TITLE = "(?:" + "|".join(re.escape(x) if x[-1] in ".:" else rf"{x}\.?" for x in sorted(MALE + FEMALE + NEUTRAL + STATED, key=lambda x: (-len(x), x))) + ")"
+NAME_WORD = r"\p{Lu}(?=[\p{L}'’-])\p{L}*(?:(?!['’]s(?!\p{L}))['’-]\p{L}+)*"
+#: Family and given names that are also words: at the start of a sentence and before a small letter they are left as words.
+WORDS = """April Baker Banks Berg Bishop Black Blanc Blanco Braun Brown Bush Butler Carpenter Cook Cruz Dawn Day Faith Field Fields Fisher
+Flores Fox Gold Grace Grand Green Groß Hall Hill Hope Hunter Joy Jung June Klein Koch King König Kurz Lake Lang Long Major Mark Marsh Mason
+May Miller Moreno Noir Page Park Parks Penny Petit Pope Potter Price Reich Reyes Rich River Rivers Rojo Rose Roth Roux Rubio Schwarz Shepherd
+Short Silver Smith Snow Stein Stone Summer Summers Taylor Turner Walker Weaver Weiß White Will Winter Winters Wolf Wood Woods Young""".split()
 # What may be a detected name without its title.
-BARE = rf"(?<!\p{{L}}){NAME_WORD}(?!\p{{L}})"
+BARE = rf"(?<!\p{{L}})(?!(?<=^|[.!?]\s|[.!?][\"”’]\s|\n)(?:{'|'.join(WORDS)})\s\p{{Ll}}){NAME_WORD}(?!\p{{L}})"
 CYRILLIC = "абвгдежзийклмнопрстуфхцчшщъыьэюя"
 # Before a secret: a keyword, also as part of a longer key (secret_access_key, apiKeyValue), and = or :.
-KEYED = r"(?i:password|passwd|secret|token|api[_-]?key)(?:[_-]\w[\w-]{0,40}|(?<=[a-z])[A-Z]\w{0,40}|(?i:key))?[\"']?\s?[=:]\s?[\"']?"
+KEYED = r"(?i:password|passwd|secret|token|api[_-]?key)(?:[_-]\w[\w-]{0,40}|(?<=[a-z])[A-Z]\w{0,40}|(?i:key))?[\"']?(?:\s?[=:]\s?|\s(?:is|ist|est|es)\s)[\"']?"
+# After "is" only what holds a digit is a secret: other words may be prose.
+IS = r"(?<=\s(?:is|ist|est|es)\s[\"']?)"
+DATE = r"(?:\d{4}-\d{2}-\d{2}|\d{1,2}[./]\d{1,2}[./]\d{4})"
+# What ends the name of a street.
+STREET = "Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Boulevard|Blvd|Court|Square|Terrace|Crescent|Highway|Parkway"
 # Secrets come first, so that no shorter entity takes a part of one.
 PARTS = {
-    "secret": rf"(?<=[=:\"']|[=:]\s)(?<={KEYED})(?:"
+    "secret": rf"(?<=[=:\"']|[=:st]\s)(?<={KEYED})(?:(?!{IS})|(?=[^\s\"']*\d))(?:"
     r"(?<=\")(?=[^\"\r\n]*[\p{L}\p{N}])[^\"\r\n]{8,}(?=\")|(?<=')(?=[^'\r\n]*[\p{L}\p{N}])[^'\r\n]{8,}(?=')|(?=[^\s\"']*[\p{L}\p{N}])[^\s\"']{7,}[^\s\"',;.)\]}>])",
     "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w)",
+    "ip6": r"(?<![\w:.])(?=[0-9A-Fa-f:]{0,45}\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![\w:])",
+    "birth": rf"(?<=(?i:born|born on|of birth|dob|geboren am|geboren|né le|née le|nacido el|nacida el):? ){DATE}(?!\w)",
+    "street": rf"(?<![\w-])\d{{1,5}}[A-Za-z]? (?:\p{{Lu}}[\p{{L}}'’-]{{1,30}} ){{1,3}}(?:{STREET})(?![\w-])",
     "access": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "card": r"(?<![\w-])(?:\d{4}(?:[ -]\d{4}){3}|\d{13,19})(?![\w-]{0,40}\d|[A-Za-z_])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ -]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?![\w-]{0,40}\d)",
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|0\d{2,4}[ /-]\d{3,4}[ -]?\d{3,5}|\(\d{3}\) ?\d{3}[ -]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?![\w-]{0,40}\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "name": rf"(?<!\p{{L}})(?:{TITLE} )++{NAME_WORD}(?: {NAME_WORD})?",
 }
 # All but secrets begin with one of these signs and not within a Latin word: most places are passed over at once.
-INITIALS = "A-Za-z0-9+(" + "".join(sorted({x[0] for x in MALE + FEMALE + NEUTRAL if not x[0].isascii()}))
+INITIALS = "A-Za-z0-9+(" + "".join(sorted({x[0] for x in MALE + FEMALE + NEUTRAL + STATED if not x[0].isascii()}))
 ENTITY = PARTS["secret"] + rf"|(?<![A-Za-z])(?=[{INITIALS}])(?:" + "|".join(v for k, v in PARTS.items() if k != "secret") + ")"
 
 
@@ -74,8 +93,9 @@ def entities(text: Column) -> Column:
 def kind(value: Column) -> Column:
     whole = lambda name: value.rlike(f"^(?:{PARTS[name]})$")
     out = F.when(whole("mail"), "mail")
-    for name in ("ip", "access", "iban", "card", "ssn", "phone"):
+    for name in ("ip", "ip6", "access", "iban", "card", "ssn", "phone", "street"):
         out = out.when(whole(name), name)
+    out = out.when(value.rlike(f"^{DATE}$"), "birth")
     return out.when(whole("name"), "name").otherwise("secret")
 
 
@@ -94,7 +114,7 @@ def _masked(value: Column, h: Column, is_hex: Column) -> Column:
     def one(c: Column, i: Column) -> Column:
         b = _byte(h, i)
         draw = lambda start, n: F.chr(F.lit(start) + b % n)
-        return (F.when(c.rlike("[0-9]"), draw(48, 10)).when(is_hex & c.rlike("[a-f]"), draw(97, 6)).when(c.rlike("[a-z]"), draw(97, 26)).when(c.rlike("[A-Z]"), draw(65, 26))
+        return (F.when(c.rlike("[0-9]"), draw(48, 10)).when(is_hex & c.rlike("[a-f]"), draw(97, 6)).when(is_hex & c.rlike("[A-F]"), draw(65, 6)).when(c.rlike("[a-z]"), draw(97, 26)).when(c.rlike("[A-Z]"), draw(65, 26))
                 .when(c.rlike(r"\p{IsLatin}") & c.rlike(r"\p{Lu}"), draw(65, 26)).when(c.rlike(r"\p{IsLatin}"), draw(97, 26))
                 .when(c.rlike(r"\p{IsCyrillic}") & c.rlike(r"\p{Lu}"), F.substring(F.lit(CYRILLIC.upper()), b % 32 + 1, F.lit(1))).when(c.rlike(r"\p{IsCyrillic}"), F.substring(F.lit(CYRILLIC), b % 32 + 1, F.lit(1)))
                 .when(c.rlike(r"[\p{L}\p{N}\p{M}]"), draw(97, 26)).otherwise(c))
@@ -164,11 +184,14 @@ def surrogate(key: str, kind_: Column, value: Column, attempt: Column) -> Column
     domain = F.substring_index(value, "@", -1)
     below = F.regexp_replace(domain, r"[^.]+\.[^.]+$", "")
     mail = F.concat(F.substring_index(masked, "@", 1), F.when(attempt > 3, F.concat(F.lit("."), F.substring(h, F.lit(1), attempt))).otherwise(""), F.lit("@"), below, F.lit("example."), F.substring_index(domain, ".", -1))
-    code = F.regexp_extract(value, r"^\+\d{1,3}(?=[ .(-])|^", 0)
-    phone = F.concat(code, F.expr(r"substring(masked, length(regexp_extract(value, '^\\+\\d{1,3}(?=[ .(-])|^', 0)) + 1)"))
+    code = F.regexp_extract(value, r"^\+\d{1,3}(?=[ .(-])|^0|^", 0)
+    phone = F.concat(code, F.substring(masked, F.length(code) + 1, F.length(value)))
+    # the number of the house keeps its first digit from being 0; the kind of street stays
+    end = F.substring_index(value, " ", -1)
+    street = F.concat((_byte(h, F.lit(61)) % 9 + 1).cast("string"), F.substring(masked, F.lit(2), F.length(value) - F.length(end) - 1), end)
     access = F.concat(F.substring(value, F.lit(1), F.lit(4)), F.expr("substring(masked, 5)"))
     return (F.when(kind_ == "mail", mail).when(kind_ == "ip", octets).when(kind_ == "card", _card(value, h)).when(kind_ == "phone", phone).when(kind_ == "access", access)
-            .when(kind_ == "iban", _iban(value, h)).when(kind_.rlike("^(given|family)_"), _name_part(kind_, value, attempt, h)).otherwise(masked))
+            .when(kind_ == "iban", _iban(value, h)).when(kind_ == "street", street).when(kind_.rlike("^(given|family)_"), _name_part(kind_, value, attempt, h)).otherwise(masked))
 
 
 def assign(tokens: DataFrame, key: str) -> DataFrame:
@@ -177,7 +200,7 @@ def assign(tokens: DataFrame, key: str) -> DataFrame:
     pending, done = originals, None
     for attempt in range(ATTEMPTS + 1):
         # Columns of their own: inside the mask they would be worked out again for each character.
-        tried = pending.withColumns({"h": _hash(key, F.col("kind"), F.lit(attempt), F.col("value")), "is_hex": F.col("value").rlike("^[0-9a-f]{8,}$")})
+        tried = pending.withColumns({"h": _hash(key, F.col("kind"), F.lit(attempt), F.col("value")), "is_hex": F.col("value").rlike("^[0-9a-f]{8,}$") | (F.col("kind") == "ip6")})
         tried = tried.withColumn("masked", _masked(F.col("value"), F.col("h"), F.col("is_hex")))
         drawn = surrogate(key, F.col("kind"), F.col("value"), F.lit(attempt))
         if attempt == ATTEMPTS:
@@ -195,6 +218,16 @@ def assign(tokens: DataFrame, key: str) -> DataFrame:
     return done
 
 
+def _shifted(value: Column, key: str) -> Column:
+    """A date of birth as many days off as the key says, in the same form; what is no date loses its digits."""
+    h = _hash(key, F.lit("birth"), F.lit(0), F.lit(""))
+    days = (_byte(h, F.lit(0)) * 256 + _byte(h, F.lit(1))) % 3000 + 300
+    forms = ["yyyy-MM-dd", *[f"{d}{sign}{m}{sign}yyyy" for sign in "./" for d in ("d", "dd") for m in ("M", "MM")]]
+    fits = lambda form: value.rlike("^" + re.sub("[dMy]+", lambda x: rf"\d{{{len(x[0])}}}", form.replace(".", "[.]")) + "$")
+    moved = [F.when(fits(form), F.date_format(F.date_sub(F.try_to_timestamp(value, F.lit(form)).cast("date"), days), form)) for form in forms]
+    return F.coalesce(*moved, F.regexp_replace(value, "[0-9]", "0"))
+
+
 def dictionary(found: DataFrame, key: str) -> DataFrame:
     """value, surrogate, n, kind, bare (part in small letters, rank, surrogate of the parts of a name) for a table of (value, n)."""
     typed = found.withColumn("kind", kind(F.col("value")))
@@ -211,7 +244,8 @@ def dictionary(found: DataFrame, key: str) -> DataFrame:
     names = names.select("value", "n", "title", "given", "family", F.concat_ws("_", F.lit("given"), "gender", "script").alias("given_kind"), F.concat_ws("_", F.lit("family"), "script").alias("family_kind"))
     tokens = (plain.select("kind", "value").unionByName(names.where("given IS NOT NULL").select(F.col("given_kind").alias("kind"), F.col("given").alias("value")))
               .unionByName(names.select(F.col("family_kind").alias("kind"), F.col("family").alias("value")))).distinct()
-    drawn = assign(tokens, key)
+    dates = tokens.where("kind = 'birth'").select("kind", "value", _shifted(F.col("value"), key).alias("surrogate"))
+    drawn = assign(tokens.where("kind <> 'birth'"), key).unionByName(dates)
     entry = lambda part, rank: F.struct(F.lower(part).alias("k"), F.lit(rank).alias("r"), F.col(f"new_{part}").alias("s"))
     bare = F.filter(F.array(entry("family", 0), entry("given", 1)), lambda x: x["k"].isNotNull())
     plain = plain.join(drawn, ["kind", "value"]).select("value", "surrogate", "n", "kind", F.lit(None).cast("array<struct<k:string,r:int,s:string>>").alias("bare"))
@@ -238,8 +272,13 @@ def _bare_woven(names: Column, gap: Column) -> Column:
     return F.array_join(F.zip_with(F.split(gap, BARE, -1), F.array_append(words, F.lit("")), lambda g, w: F.concat(g, w)), "")
 
 
-def replace_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", secret: str = "surrogates-1", counts: bool = True) -> DataFrame:
-    """The input with entities in `text` replaced; with counts also n_entities and kinds (distinct, sorted, comma-joined)."""
+def surrogate_key(spark: SparkSession) -> str:
+    """The session's setting KEY_SETTING; without it a fresh random key, so that no mapping can be found out later."""
+    return spark.conf.get(KEY_SETTING, None) or secrets.token_hex(32)
+
+
+def replace_pii(docs: DataFrame, secret: str, key: str = "doc_id", text: str = "text", counts: bool = True) -> DataFrame:
+    """`secret` is the key of the surrogates.  The input with entities in `text` replaced; with counts also n_entities and kinds (distinct, sorted, comma-joined)."""
     more = ["n_entities", "kinds"] if counts else []
     docs = docs.drop(*more)
     keyed = docs.withColumn(ROW, row_key(key, text))

@@ -34,9 +34,9 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .pii import replace_pii
+    from .pii import replace_pii, surrogate_key
 
-    return replace_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return replace_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"), surrogate_key(spark))
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
