@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import made, release, saved
+from quire.llm.common import release, saved, scratch_run
 from quire.llm.langid import identify
 from quire.llm.line_dedup import line_dedup
 from quire.llm.ngram_join import drop_near_duplicates
 from quire.llm.packing import pack
-from quire.llm.pii import replace_pii
+from quire.llm.pii import replace_pii, surrogate_key
 
 #: No SQL: models, MinHash and keyed surrogates have no SQL form; tests hold each stage against a plain one on small tables.
 ORACLE_SQL = None
@@ -31,8 +31,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Common blocks of lines go from the later document; documents of which nothing is left go."""
-    out = line_dedup(docs.withColumn("__said", F.col("text").rlike(r"\S")), counts=False)
-    emptied = F.col("__said") & ~F.col("text").rlike(r"\S")
+    out = line_dedup(docs.withColumn("__quire_said", F.col("text").rlike(r"\S")), counts=False)
+    emptied = F.col("__quire_said") & ~F.col("text").rlike(r"\S")
     return out.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
@@ -43,7 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets are replaced."""
-    return replace_pii(docs, counts=False).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    return replace_pii(docs, surrogate_key(spark), counts=False).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +56,8 @@ STAGES = [("language", language), ("lines", lines), ("near_duplicates", near_dup
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    start = made()
-    for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), name)
-        release(spark, start, docs)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with scratch_run() as paths:
+        for name, stage in STAGES[:-1]:
+            docs = saved(stage(spark, docs, sf_dir), name)
+            release(spark, paths, docs)
+        return STAGES[-1][1](spark, docs, sf_dir)
