@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import answers, cleaners, text
 from quire.functions.series import LAYOUTS, REGISTRY, Layout, response_kind
-from quire.operators import dedup, documents, layout, sinks
+from quire.operators import boxes, dedup, documents, expectations, layout, sinks
 
 KEYS = ["series", "test_id"]
 #: Numbers of solutions per problem that are parsed as several.
@@ -64,6 +64,52 @@ def parse(pages: DataFrame, name: str, temperature: float | None = None) -> Data
     return out.select(part[0].alias("series"), part[1].alias("test_id"), "problem", text.strip(F.col("text")).alias("text")).where("text <> ''")
 
 
+def believed(attempts: DataFrame, name: str, role: str = "statement") -> DataFrame:
+    """series, test_id, page_no, markdown, text_layer, status: of the attempts (with `rung`) at each page the first that does
+    not run away and holds what the series expects of such a page (see expectations); else the best there is."""
+    page, own = F.to_json(F.struct(*KEYS, "page_no")), F.to_json(F.struct(*KEYS, "page_no", "rung"))
+    rows = attempts.withColumns({"page": page, "page_key": own})
+    facts = rows.select("page_key", F.lit(name).alias("series"), F.lit(role).alias("role"), F.col("markdown").alias("text"), F.col("text_layer").alias("layer"))
+    found = rows.select("page_key", F.explode(expectations.numbers_of(cleaners.clean_page(name, F.col("markdown")))).alias("problem"))
+    valid = expectations.judged(facts, found).select("page_key", "valid")
+    best = documents.ladder(rows.join(valid, "page_key", "left").select("page", "rung", F.col("markdown").alias("text"), "valid"), F.col("valid"))
+    layers = rows.groupBy("page", *KEYS, "page_no").agg(F.max("text_layer").alias("text_layer"))
+    return layers.join(best, "page").select(*KEYS, "page_no", F.col("text").alias("markdown"), "text_layer", "status")
+
+
+def illustrated(attempts: DataFrame, detections: DataFrame, sizes: DataFrame, name: str) -> DataFrame:
+    """series, test_id, problem, text, figures: statements with references to their figures, in one plan.
+
+    attempts: series, test_id, page_no, rung, markdown, text_layer.  detections and sizes are those of operators.boxes, keyed
+    by series, test_id, page_no.  Pages are chosen by what is expected of them, cleaned and read in order; the pictures that
+    a series' filters leave go to the problems of the page's image tags where they are equally many, else to the last
+    problem that begins at or above them; they are numbered within their problem and take the places of its placeholders."""
+    rules, opts = name if name in REGISTRY else "default", options(name)
+    pages = believed(attempts, name)
+    pages = pages.where(~cleaners.skip_page(name, F.coalesce("text_layer", F.lit(""))))
+    pages = documents.suppressed(pages.withColumn("clean", cleaners.clean_page(name, F.col("markdown"))), "markdown", "clean")
+    pages = pages.withColumn("key", F.to_json(F.struct(*KEYS)))
+    items = layout.paged_items(pages, "key", "page_no", "clean", rules, opts).checkpoint()
+    said = layout.statements(items, ["key"], ["page_no", "item_no"]).withColumn("text", text.strip(F.col("text"))).where("text <> ''")
+    keyed = lambda df: df.withColumn("page", F.to_json(F.struct(F.to_json(F.struct(*KEYS)).alias("key"), "page_no")))
+    at = F.to_json(F.struct("key", "page_no"))
+    dets, shapes = keyed(detections), keyed(sizes)
+    found = boxes.pictures(dets, shapes, opts).select("page", "det", "x0", "y0", "x1", "y1", "at").checkpoint()
+    tags = items.where("kind = 'image' AND problem IS NOT NULL").select(at.alias("page"), "item_no", "problem")
+    tagged = boxes.zipped(found, tags).select("page", "det", "problem")
+    marker = text.marker(F.col("text"))
+    heads = documents.anchors(dets.withColumns({"__m": marker["number"], "__e": marker["end"]}), shapes, F.col("__m"), F.col("__e")).select("page", "y", F.col("problem").cast("long").alias("problem"))
+    placed = boxes.owners(found.join(tagged.select("page").distinct(), "page", "left_anti"), heads, "problem").where("owner IS NOT NULL").select("page", "det", F.col("owner").alias("problem"))
+    shown = tagged.unionByName(placed).join(found.select("page", "det", "at"), ["page", "det"])
+    shown = shown.select(F.get_json_object("page", "$.key").alias("key"), F.get_json_object("page", "$.page_no").cast("long").alias("page_no"), "at", "problem")
+    number = F.row_number().over(Window.partitionBy("key", "problem").orderBy("page_no", "at"))
+    refs = shown.withColumn("figure", number).withColumn("ref", F.concat(F.lit("problem_"), F.col("problem").cast("string"), F.lit("_image_"), F.col("figure").cast("string"), F.lit(".png")))
+    out = documents.with_figures(said.select("key", "problem", "text"), refs.select("key", "problem", "figure", "ref"), ["key", "problem"])
+    count = refs.groupBy("key", "problem").agg(F.count(F.lit(1)).alias("figures"))
+    part = F.from_json("key", "struct<series:string,test_id:string>")
+    return out.join(count, ["key", "problem"], "left").select(part["series"].alias("series"), part["test_id"].alias("test_id"), "problem", "text", F.coalesce("figures", F.lit(0)).alias("figures"))
+
+
 def blocks(pages: DataFrame, name: str) -> DataFrame:
     """One block of solution text for each problem; images are placeholders."""
     rules = f"{name}_solutions" if f"{name}_solutions" in REGISTRY else name

@@ -377,3 +377,40 @@ def key_answers(blocks: DataFrame, keys: list[str], least: int = 5) -> DataFrame
     pairs = lambda a, b: F.zip_with(a, b, lambda n, v: F.struct(n.cast("int").alias("number"), F.trim(v).alias("answer")))
     entries = F.when(F.size(cells) >= least, pairs(cells, values)).when(F.size(numbers) >= least, pairs(numbers, said))
     return blocks.select(*keys, F.explode(entries).alias("x")).select(*keys, "x.*").where("answer <> '' AND upper(answer) <> 'N/A'")
+
+
+# Labels of a relay (pair and leg), pairs of its first set, problems of a set.
+RELAY = r"(?m)^[ \t]*[*_#]{0,3}[ \t]*(\d{1,2})-([12])[ \t]*[.]"
+RELAY_PAIRS, RELAY_SET = 5, 10
+
+
+def relay_number(pair: Column, leg: Column) -> Column:
+    """Number of a leg: the sets of pairs swap their places between the legs."""
+    return pair + F.when((pair <= RELAY_PAIRS) == (leg == 1), 0).otherwise(RELAY_SET)
+
+
+def relay_blocks(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """keys, problem, text of documents whose pairs and legs run through each other: the blocks behind the labels of one
+    problem in their order, joined by newlines.  What stands before the first label belongs to none; null texts have none."""
+    whole, pairs, legs = F.col(text), *(F.regexp_extract_all(text, F.lit(RELAY), F.lit(i)) for i in (1, 2))
+    bodies = F.slice(F.split(whole, RELAY, -1), F.lit(2), F.size(pairs))
+    rows = docs.where(whole.isNotNull()).select(*keys, F.posexplode(F.arrays_zip(pairs.alias("pair"), legs.alias("leg"), bodies.alias("body"))).alias("pos", "x"))
+    rows = rows.withColumn("problem", relay_number(F.col("x.pair").cast("int"), F.col("x.leg").cast("int")))
+    held = F.array_sort(F.collect_list(F.struct("pos", F.regexp_replace("x.body", r"^\s+|\s+$", "").alias("t"))))
+    return rows.groupBy(*keys, "problem").agg(strip(F.array_join(F.transform(held, lambda x: x["t"]), "\n")).alias("text"))
+
+
+# How paragraphs on the origin of a problem begin.
+PROVENANCE = ["This problem", "The problem", "Comment", "We thank"]
+
+
+def headerless_solution(block: Column) -> Column:
+    """A solution without a header: of several paragraphs the first is the statement and goes, and so do those behind it
+    that tell where the problem comes from; the rest stays.  One paragraph alone is the solution."""
+    parts = F.filter(F.transform(F.split(block, r"\n(?:[ \t]*\n)+", -1), lambda x: F.regexp_replace(x, r"^\n+|\n+$", "")), lambda x: F.trim(x) != "")
+    told = r"(?i)^\s*(?:" + "|".join(PROVENANCE) + r")\b"
+    rest = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+    # first paragraph of the rest that is no provenance
+    from_here = F.array_position(F.transform(rest, lambda x: ~x.rlike(told)), True)
+    kept = F.when(from_here > 0, F.array_join(F.slice(rest, F.greatest(from_here, F.lit(1)).cast("int"), F.greatest(F.size(rest), F.lit(1))), "\n\n")).otherwise("")
+    return F.when(F.size(parts) > 1, strip(kept)).otherwise(strip(block))

@@ -392,7 +392,7 @@ def extract_cascade(spark: SparkSession, d: str) -> DataFrame:
 
 def _load() -> None:
     """The modules whose queries register themselves."""
-    from quire.plans import answers, jobs, more, pages, rest, spatial  # noqa: F401
+    from quire.plans import answers, jobs, more, pages, rest, spatial, wide  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

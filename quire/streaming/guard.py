@@ -1,4 +1,7 @@
-"""Streaming guard: chunks of a page arrive in order, a page is flagged once its tail loops."""
+"""Streaming guard: chunks of a page arrive in order, a page is flagged once its tail loops.
+
+A page's state is its last LOOP_WINDOW characters.  It leaves the state with its last chunk; what is never ended leaves it
+after a time without chunks (a timer), and a page is then reported as it stands.  Of a flagged page only the flag is kept."""
 
 from __future__ import annotations
 
@@ -13,32 +16,70 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from quire.functions.guards import LOOP_WINDOW, WINDOW, is_runaway
 from quire.operators.dedup import shared_folder
 
+OUT = "page_key string, chars bigint, runaway boolean, ended boolean"
+#: Milliseconds without a chunk after which a page is given up.
+IDLE_MS = 3_600_000
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 class TailGuard(StatefulProcessor):
     """Per page the last LOOP_WINDOW characters, the length so far and whether it was flagged."""
 
+    def __init__(self, idle_ms: int = IDLE_MS) -> None:
+        self.idle_ms = idle_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("tail", "tail string, total bigint, flagged boolean")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timer_values: object) -> Iterator[pd.DataFrame]:
         tail, total, flagged = self.state.get() if self.state.exists() else ("", 0, False)
-        chunks = pd.concat(list(rows)).sort_values("seq")
-        for chunk in chunks["chunk"]:
-            if flagged:
-                break
-            total += len(chunk)
-            tail = (tail + chunk)[-LOOP_WINDOW:]
-            flagged = total >= WINDOW and is_runaway(tail)
-        self.state.update((tail, total, flagged))
-        yield pd.DataFrame({"page_key": [key[0]], "chars": [total], "runaway": [bool(flagged)]})
+        chunks, ended = pd.concat(list(rows)).sort_values("seq"), False
+        for chunk, last in zip(chunks["chunk"], chunks["last"]):
+            ended = ended or bool(last)
+            if not flagged:
+                total += len(chunk)
+                tail = (tail + chunk)[-LOOP_WINDOW:]
+                flagged = total >= WINDOW and is_runaway(tail)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if ended:
+            self.state.clear()
+        else:
+            self.state.update(("" if flagged else tail, total, flagged))
+            self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + self.idle_ms)
+        yield pd.DataFrame({"page_key": [key[0]], "chars": [total], "runaway": [bool(flagged)], "ended": [ended]})
+
+    def handleExpiredTimer(self, key: tuple, timer_values: object, expired: object) -> Iterator[pd.DataFrame]:
+        if self.state.exists():
+            _, total, flagged = self.state.get()
+            self.state.clear()
+            yield pd.DataFrame({"page_key": [key[0]], "chars": [total], "runaway": [bool(flagged)], "ended": [True]})
 
     def close(self) -> None:
         pass
 
 
-def guard_stream(chunks: DataFrame) -> DataFrame:
-    """chunks (streaming): page_key, seq, chunk.  Emits page_key, chars, runaway after each batch."""
-    return chunks.groupBy("page_key").transformWithStateInPandas(TailGuard(), outputStructType="page_key string, chars bigint, runaway boolean", outputMode="Update", timeMode="None")
+def guard_stream(chunks: DataFrame, idle_ms: int = IDLE_MS) -> DataFrame:
+    """chunks (streaming): page_key, seq, chunk, and `last` on a page's last chunk if the source tells it.  Emits page_key,
+    chars, runaway, ended after each batch.  Needs a session with the RocksDB state store (see PROVIDER)."""
+    rows = chunks if "last" in chunks.columns else chunks.withColumn("last", F.lit(False))
+    rows = rows.select("page_key", "seq", F.coalesce("chunk", F.lit("")).alias("chunk"), F.coalesce("last", F.lit(False)).alias("last"))
+    return rows.groupBy("page_key").transformWithStateInPandas(TailGuard(idle_ms), outputStructType=OUT, outputMode="Update", timeMode="ProcessingTime")
+
+
+def write_guarded(chunks: DataFrame, out: str, checkpoint: str, idle_ms: int = IDLE_MS, **trigger: object):
+    """Starts a query that writes each batch to a folder of its number, so a batch that is run again after a failure
+    replaces what it wrote; returns the query."""
+    run = guard_stream(chunks, idle_ms).writeStream.foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}"))
+    return run.outputMode("update").option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def last_words(spark, out: str) -> DataFrame:
+    """page_key, chars, runaway: the last word on each page that write_guarded has written."""
+    said = spark.read.schema(f"{OUT}, batch bigint").parquet(out)
+    return said.groupBy("page_key").agg(F.max(F.struct("batch", "ended", "chars", "runaway")).alias("x")).select("page_key", "x.chars", "x.runaway")
 
 
 def guard_files(chunks: DataFrame) -> DataFrame:
@@ -47,10 +88,12 @@ def guard_files(chunks: DataFrame) -> DataFrame:
     spark = chunks.sparkSession
     shared_folder(spark)
     base = f"{spark.sparkContext.getCheckpointDir()}/guard-{uuid.uuid4().hex}"
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     chunks.select("page_key", F.col("seq").cast("long").alias("seq"), "chunk").write.parquet(f"{base}/in")
-    stream = spark.readStream.schema("page_key string, seq long, chunk string").parquet(f"{base}/in")
-    run = guard_stream(stream).writeStream.foreachBatch(lambda batch, n: batch.write.mode("append").parquet(f"{base}/out"))
-    run.outputMode("update").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
-    said = spark.read.schema("page_key string, chars bigint, runaway boolean").parquet(f"{base}/out")
-    return said.groupBy("page_key").agg(F.max("chars").alias("chars"), F.max("runaway").alias("runaway"))
+    was = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKS)
+    try:
+        stream = spark.readStream.schema("page_key string, seq long, chunk string").parquet(f"{base}/in")
+        write_guarded(stream, f"{base}/out", f"{base}/state").awaitTermination()
+    finally:
+        spark.conf.unset(PROVIDER) if was is None else spark.conf.set(PROVIDER, was)
+    return last_words(spark, f"{base}/out")
