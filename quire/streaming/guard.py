@@ -26,14 +26,14 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 class TailGuard(StatefulProcessor):
     """Per page the last LOOP_WINDOW characters, the length so far and whether it was flagged."""
 
-    def __init__(self, idle_ms: int = IDLE_MS) -> None:
+    def __init__(self, idle_ms: int | None = IDLE_MS) -> None:
         self.idle_ms = idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("tail", "tail string, total bigint, flagged boolean")
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timer_values: object) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
         tail, total, flagged = self.state.get() if self.state.exists() else ("", 0, False)
         chunks, ended = pd.concat(list(rows)).sort_values("seq"), False
         for chunk, last in zip(chunks["chunk"], chunks["last"]):
@@ -42,16 +42,18 @@ class TailGuard(StatefulProcessor):
                 total += len(chunk)
                 tail = (tail + chunk)[-LOOP_WINDOW:]
                 flagged = total >= WINDOW and is_runaway(tail)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
+        if self.idle_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
         if ended:
             self.state.clear()
         else:
             self.state.update(("" if flagged else tail, total, flagged))
-            self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + self.idle_ms)
+            if self.idle_ms is not None:
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
         yield pd.DataFrame({"page_key": [key[0]], "chars": [total], "runaway": [bool(flagged)], "ended": [ended]})
 
-    def handleExpiredTimer(self, key: tuple, timer_values: object, expired: object) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
         if self.state.exists():
             _, total, flagged = self.state.get()
             self.state.clear()
@@ -61,15 +63,16 @@ class TailGuard(StatefulProcessor):
         pass
 
 
-def guard_stream(chunks: DataFrame, idle_ms: int = IDLE_MS) -> DataFrame:
+def guard_stream(chunks: DataFrame, idle_ms: int | None = None) -> DataFrame:
     """chunks (streaming): page_key, seq, chunk, and `last` on a page's last chunk if the source tells it.  Emits page_key,
-    chars, runaway, ended after each batch.  Needs a session with the RocksDB state store (see PROVIDER)."""
+    chars, runaway, ended after each batch.  With `idle_ms` pages without chunks for so long end, too; such a query runs on
+    until it is stopped, as timers may fire without data (so it does not go with the trigger availableNow).  Needs a session with the RocksDB state store (see PROVIDER)."""
     rows = chunks if "last" in chunks.columns else chunks.withColumn("last", F.lit(False))
     rows = rows.select("page_key", "seq", F.coalesce("chunk", F.lit("")).alias("chunk"), F.coalesce("last", F.lit(False)).alias("last"))
-    return rows.groupBy("page_key").transformWithStateInPandas(TailGuard(idle_ms), outputStructType=OUT, outputMode="Update", timeMode="ProcessingTime")
+    return rows.groupBy("page_key").transformWithStateInPandas(TailGuard(idle_ms), outputStructType=OUT, outputMode="Update", timeMode="None" if idle_ms is None else "ProcessingTime")
 
 
-def write_guarded(chunks: DataFrame, out: str, checkpoint: str, idle_ms: int = IDLE_MS, **trigger: object):
+def write_guarded(chunks: DataFrame, out: str, checkpoint: str, idle_ms: int | None = None, **trigger: object):
     """Starts a query that writes each batch to a folder of its number, so a batch that is run again after a failure
     replaces what it wrote; returns the query."""
     run = guard_stream(chunks, idle_ms).writeStream.foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}"))
