@@ -6,32 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import answers, matching, text
-from quire.plans.pages import values
 from quire.plans.registry import query, table
 
-# (series, block, answer expected, tier expected)
-CASES = [
-    ("pumac", "**Answer:** $42$.\nwork", "42", "label"), ("pumac", "x\n[Answer] 7", "7", "row"), ("pumac", "x (ANS: 12 CB: A. B.)", "12", "tag"), ("pumac", "so there are [15] ways", "15", "bracket"),
-    ("pumac", r"\boxed{3} then \boxed{4}. Also accepted", "3, 4", "box"), ("pumac", r"\boxed{\frac{1}{2}}", r"\frac{1}{2}", "box"), ("pumac", "Solution. 28. We see", "28", "opening"), ("pumac", "Solution. We see", None, None),
-    ("hmmt", "Answer: 17 and a proof of it", None, None), ("hmmt", "Answer: $\\frac{1}{3}$ since it is so here", "\\frac{1}{3}", "label"), ("hmmt", "Answer:\n8\nSolution: x", "8", "label"), ("hmmt", "Solution: $9$", "9", "solution"), ("hmmt", "we get \\boxed{5}", "5", "box"), ("hmmt", "2019", "2019", "bare"), ("hmmt", "What is it?", None, None),
-    ("cmimc", "Answer. $11 - 1 = \\boxed{10}$", "10", "label"), ("cmimc", "so the answer is $6$. Then", "6", "prose"), ("cmimc", "x \\boxed{2}", "2", "box"), ("cmimc", "Answer:\nSolution: x \\boxed{2}", None, None), ("cmimc_key", "12", "12", "bare"),
-    ("chmm", "a\nour total sum is $55$.", "55", "tail"), ("chmm", "Solution 1: 14", "14", "solution"), ("chmm", "Answers are 3", "3", "prose"),
-    ("smt", "Find it. Answer: 21 Solution: do", "21", "label"), ("smt", "so \\boxed{8}", "8", "box"), ("bmt", "Answer: N/A", None, None), ("bmt", "**Answer:** 3/4", "3/4", "label"),
-    ("omo", "Answer.\n\n100.\nProposed by X", "100", "label"), ("omo", "Hence the answer is 3.5.", "3.5", "prose"), ("omo", "Answer. ☐", None, None), ("mpfg", "Problem 3 x Answer: **27/25**\nMath Solution: y", "27/25", "label"), ("mpfg", "no label", None, None),
-]
-
-
-@query(values([(i, *c[2:]) for i, c in enumerate(CASES)], ["i", "answer", "tier"]))
-def answer_cases(spark: SparkSession, d: str) -> DataFrame:
-    """Every tier of every series' cascade."""
-    out = None
-    for name in dict.fromkeys(c[0] for c in CASES):
-        rows = spark.createDataFrame([(i, c[1]) for i, c in enumerate(CASES) if c[0] == name], "i int, block string").coalesce(1)
-        got = rows.select("i", answers.answer(name)("block").alias("a")).select("i", "a.answer", "a.tier")
-        out = got if out is None else out.unionByName(got)
-    return out
-
-
 @query("SELECT o_orderkey, CASE o_custkey % 4 WHEN 3 THEN NULL ELSE o_orderkey::VARCHAR END AS answer, CASE o_custkey % 4 WHEN 0 THEN 'label' WHEN 1 THEN 'box' WHEN 2 THEN 'prose' END AS tier FROM orders")
 def cascade_orders(spark: SparkSession, d: str) -> DataFrame:
     k, kind = F.col("o_orderkey").cast("string"), F.col("o_custkey") % 4
@@ -39,26 +15,6 @@ def cascade_orders(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", answers.answer("cmimc")(block).alias("a")).select("o_orderkey", "a.answer", "a.tier")
 
 
-DERIVED = [
-    (None, "Thus x is 5. Then 3 = 4", "4"), (None, "= 7 and therefore it is 9", "9"), (None, "we get 12 = 11", "12"), (None, r"\sum_{i=3}^{9} then n \neq 4", None), ("Concatenate the numbers", "(a, b) = (3, 14)", "314"), (None, "nothing", None), (None, r"so $x \approx 2.5$", "2.5"),
-]
-
-
-@query(values([(i, c[2]) for i, c in enumerate(DERIVED)], ["i", "answer"]))
-def derived_answers(spark: SparkSession, d: str) -> DataFrame:
-    rows = spark.createDataFrame([(i, s, b) for i, (s, b, _) in enumerate(DERIVED)], "i int, s string, b string")
-    return rows.select("i", answers.derived_answer("s", "b").alias("answer"))
-
-
-FITTED = [("no solution", "Find x", "", None), ("$(3, 14)$", "concatenate them", "", "314"), ("a = b = 7", "Find the value", "", "7"), ("a = b = 7", "Find it", "the answer is 8", "8"), ("a = b = c", "Prove it", "", "a = b = c"), ("$12$.", None, "", "12")]
-
-
-@query(values([(i, c[3]) for i, c in enumerate(FITTED)], ["i", "answer"]))
-def fitted_answers(spark: SparkSession, d: str) -> DataFrame:
-    rows = spark.createDataFrame([(i, v, s, b) for i, (v, s, b, _) in enumerate(FITTED)], "i int, v string, s string, b string")
-    return rows.select("i", answers.fitted_answer("v", "s", "b").alias("answer"))
-
-
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN 'fixed' WHEN o_orderkey % 2 = 0 THEN o_orderpriority WHEN o_orderkey % 3 = 0 THEN 'told' ELSE 'worked' END AS answer FROM orders")
 def resolved_answers(spark: SparkSession, d: str) -> DataFrame:
     """Overrides, removals, and the first valid of three sources."""
@@ -101,17 +57,17 @@ def prefixes_off(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select(F.col("p_partkey").alias("k"), matching.statement_off(body, said).alias("body"), F.round(matching.score(said, said), 4).alias("same"))
 
 
-EDGES = [("---\nbody\n* * *", "body"), ("-\nbody\n==", "-\nbody\n=="), ("# \nx", "# \nx"), ("** whole **", "whole"), ("** odd", "odd"), ("odd **", "odd"), ("text\n***\n![](a.png)", "text\n![](a.png)"), ("**Claim.** x", "**Claim.** x"), ("a\n---\nb", "a\n---\nb"), ("\n\n", "")]
-
-
-@query(values([(i, w) for i, (_, w) in enumerate(EDGES)], ["i", "t"]))
-def entry_edges(spark: SparkSession, d: str) -> DataFrame:
-    """Edges of entries: rules and bare emphasis go, images are looked through."""
-    return spark.createDataFrame([(i, x) for i, (x, _) in enumerate(EDGES)], "i int, x string").select("i", text.boundary_clean(F.col("x")).alias("t"))
-
-
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'so it is 1.5' ELSE '1,000' END AS answer FROM orders")
 def stated_numbers(spark: SparkSession, d: str) -> DataFrame:
     """A dot or comma within a number is no end of the sentence."""
     block = F.when(F.col("o_orderkey") % 2 == 0, "The answer is so it is 1.5. Done").otherwise("thus the answer is 1,000, as said")
     return table(spark, d, "orders").select("o_orderkey", text.stated_answer(block).alias("answer"))
+
+
+@query("""SELECT p_partkey AS k, CASE p_partkey % 8 WHEN 0 THEN p_name WHEN 1 THEN '-' || chr(10) || p_name || chr(10) || '==' WHEN 2 THEN '# ' || chr(10) || p_name WHEN 3 THEN p_name WHEN 4 THEN p_name WHEN 5 THEN p_name || chr(10) || '![](a.png)' WHEN 6 THEN '**' || p_name || '.** x' ELSE p_name || chr(10) || '---' || chr(10) || p_brand END AS t FROM part""")
+def entry_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Edges of entries: rules and bare emphasis go, images are looked through."""
+    forms = ["---\n{t}\n* * *", "-\n{t}\n==", "# \n{t}", "** {t} **", "{t} **", "{t}\n***\n![](a.png)", "**{t}.** x", "{t}\n---\n{b}"]
+    form = F.element_at(F.array(*map(F.lit, forms)), (F.col("p_partkey") % 8).cast("int") + 1)
+    x = F.replace(F.replace(form, F.lit("{t}"), F.col("p_name")), F.lit("{b}"), F.col("p_brand"))
+    return table(spark, d, "part").select(F.col("p_partkey").alias("k"), text.boundary_clean(x).alias("t"))

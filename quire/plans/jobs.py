@@ -6,64 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire import jobs
-from quire.functions import cleaners
 from quire.functions.series import DISCOVERY
 from quire.operators import sequence
-from quire.plans.pages import FLAT, TURNS, turns, values
+from quire.plans.pages import FLAT, TURNS, turns
 from quire.plans.registry import query, table
 from quire.sources import files
 
-SKIPPED = [
-    ("mathcounts", "DO NOT BEGIN  until you\nare instructed", True), ("mathcounts", "1. What", False), ("mpfg", "Do not open this test now", True), ("omo", "Acknowledgements\nthanks", True), ("omo", "The Online Math Open\nSpring", True), ("omo", "The Online Math Open\n1. What", False),
-    ("farml", "\n\nAnswer Key\n1. 5", True), ("farml", "T1 What", False), ("hmmt", "Answer Sheet\nname", True), ("hmmt", "Name: School: \n1. ____\n2. ____\n3. ____\n4. ____\n5. ____\n6. ____", True), ("hmmt", "1. [3]\n2. [3]\n3. [3]\n4. [3]\n5. [3]\n6. [3]", True),
-    ("hmmt", "This test consists of ten problems. Enjoy!", True), ("hmmt", "1. [3] What is the sum?", False), ("cmimc", "Do not look at the test before the proctor says so", True), ("cmimc_statements", "Proposed by X", True), ("cmimc", "Proposed by X", False), ("omo", "  ", False), ("usamts", "anything", False),
-]
-
-
-@query(values([(i, s) for i, (_, _, s) in enumerate(SKIPPED)], ["i", "skip"]))
-def page_skips(spark: SparkSession, d: str) -> DataFrame:
-    """Covers, forms and instructions, by series."""
-    out = None
-    for name in dict.fromkeys(x[0] for x in SKIPPED):
-        rows = spark.createDataFrame([(i, x[1]) for i, x in enumerate(SKIPPED) if x[0] == name], "i int, t string").select("i", cleaners.skip_page(name, F.col("t")).alias("skip"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
-CLEANED = [
-    ("usamts", "<img>USAMTS</img>1/2/3. Find\n*****\nrest", "1/2/3. Find"), ("usamts", "1/2/3. a\nComplete, well-written solutions are", "1/2/3. a"), ("mandelbrot", "last line\n© Proof School 2018\naddress", "last line"),
-    ("hmmt", "```html\n<div>1. <b>x</b></div>\n```\n© 2019 HMMT\n\n\n\n2. y  ", "1. x\n\n2. y"), ("cmimc", "## CMIMC 2019\n<h2>Team</h2>\n1. x", "Team\n\n1. x"), ("cmimc", "a <img><img>b</img></img> c", "a <img>b</img> c"),
-    ("mathcounts", "| 1. ____ | What? |\n| a | b |", "1. What?\n| a | b |"), ("mathcounts", "Forms of Answers\nx", ""), ("chmm", "Rules\nbe quiet", ""), ("chmm", "3.\n4. x", "3. [No statement was printed in the source.]\n4. x"),
-    ("omo", "Spring 2018\n**OMO 2018**\n1. x\npage 3", "1. x"), ("nimo", "The NIMO Compendium\n1. x\nMay 2014\n17", "1. x"), ("farml", "FARML 2014\n**TEAM EVENT**\nT1 x\n(figures)", "T1 x"), ("bmt", "BMT 2019 Algebra\nTeam Round Solutions\n1. x", "1. x"), ("purplecomet", "as it is", "as it is"),
-]
-
-
-@query(values([(i, w) for i, (_, _, w) in enumerate(CLEANED)], ["i", "t"]))
-def page_cleaners(spark: SparkSession, d: str) -> DataFrame:
-    out = None
-    for name in dict.fromkeys(x[0] for x in CLEANED):
-        rows = spark.createDataFrame([(i, x[1]) for i, x in enumerate(CLEANED) if x[0] == name], "i int, t string").select("i", cleaners.clean_page(name, F.col("t")).alias("t"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
-PATHS = ["/d/2019/1/test.pdf", "/d/2019/A/algebra/test.pdf", "/d/2019/A/power/test.pdf", "/d/2019/team/test.pdf", "/d/feb/2019/guts/test.pdf", "/d/2019/math-talk/test.pdf", "/d/2010/round1-test.pdf", "/d/2019/state/sprint.pdf", "/d/2019/state/answers.pdf", "/d/out/fall/problems.pdf", "/d/2019/1/solutions.pdf"]
-TESTS = {
-    "usamts": ["2019_1", "2019_team", "2019_math-talk"], "pumac": ["2019_A_algebra", "2019_team"], "hmmt": ["2019_1", "2019_A_algebra", "2019_A_power", "2019_team", "2019_math-talk", "feb_2019_guts"], "chmm": ["2019_1", "2019_A_algebra", "2019_team", "feb_2019_guts"],
-    "mandelbrot": ["2010_round1-test"], "mathcounts": ["2019_state_sprint"], "omo": ["fall"],
-}
-
-
-@query(values([(name, t) for name, found in TESTS.items() for t in found], ["series", "test_id"]))
-def discovered_tests(spark: SparkSession, d: str) -> DataFrame:
-    """Tests among paths, by the rules of seven series."""
-    paths, out = spark.createDataFrame([(p,) for p in PATHS], "path string"), None
-    for name in [n for n in DISCOVERY if n in TESTS]:
-        rows = files.discovered(paths, "/d", name).select(F.lit(name).alias("series"), "test_id")
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
 def cached(spark: SparkSession, d: str) -> DataFrame:
     """Conversations as tests of two problems a page, each page with a line that runs along."""
     line = F.concat(F.when(F.col("i") % 2 == 1, F.lit("Spring 2018\n")).otherwise(""), F.col("i").cast("string"), F.lit(". "), "text")
@@ -111,3 +59,22 @@ def solver_checks(spark: SparkSession, d: str) -> DataFrame:
     said = F.when(kind == 3, F.lit("no box")).otherwise(F.concat(F.lit(r"so $\boxed{"), F.col("p_size").cast("string"), F.lit("}$")))
     known = F.when(kind == 0, F.concat(F.lit(" $"), F.col("p_size").cast("string"), F.lit("$"))).when(kind != 2, F.lit("-1"))
     return jobs.checked(table(spark, d, "part").select(F.col("p_partkey").alias("k"), said.alias("text"), known.alias("known"))).select("k", "verdict")
+
+
+# By series: paths of a test for a customer {c} and an order {k}, and what SQL makes of them.
+TREES = {
+    "usamts": ("/d/{c}/{k}/test.pdf", "{c}_{k}"), "pumac": ("/d/{c}x{k}/A/algebra/test.pdf", "{c}x{k}_A_algebra"), "hmmt": ("/d/feb/{c}/guts{k}/test.pdf", "feb_{c}_guts{k}"), "chmm": ("/d/{c}/x{k}/test.pdf", "{c}_x{k}"),
+    "mandelbrot": ("/d/{c}/round{k}-test.pdf", "{c}_round{k}-test"), "omo": ("/d/out/fall{k}/problems.pdf", "fall{k}"),
+}
+
+
+@query("SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{s}' AS series, replace(replace('{name}', '{{c}}', o_custkey::VARCHAR), '{{k}}', o_orderkey::VARCHAR) AS test_id FROM orders" for s, (_, name) in TREES.items()) + ") q")
+def discovered_tests(spark: SparkSession, d: str) -> DataFrame:
+    """A test for each order among its own and other files of a folder, by the rules of six series."""
+    out = None
+    for name, (path, _) in TREES.items():
+        own = F.replace(F.replace(F.lit(path), F.lit("{c}"), F.col("o_custkey").cast("string")), F.lit("{k}"), F.col("o_orderkey").cast("string"))
+        paths = table(spark, d, "orders").select(F.explode(F.array(own, F.regexp_replace(own, r"[^/]*[.]pdf$", "solutions.pdf"), F.regexp_replace(own, r"[.]pdf$", ".txt"))).alias("path"))
+        rows = files.discovered(paths, "/d", name).select(F.lit(name).alias("series"), "test_id")
+        out = rows if out is None else out.unionByName(rows)
+    return out

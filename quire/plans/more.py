@@ -85,36 +85,6 @@ def scaled_boxes(spark: SparkSession, d: str) -> DataFrame:
     return boxes.scaled(pics(spark, d), sizes).select("page", "det", "x0", "y0", "x1", "y1")
 
 
-WORDS = [("p", 1, "Answer:", 10, 10, 30, 20), ("p", 1, "42", 35, 11, 45, 19), ("p", 2, "43", 35, 11, 45, 19), ("p", 1, "below", 35, 30, 45, 38), ("p", 3, "7", 62, 62, 66, 68)]
-LINES = [("p", 60, 60, 70, 60), ("p", 60, 70, 70, 70), ("p", 60, 60, 60, 70), ("p", 70, 60, 70, 70), ("p", 10, 90, 90, 90)]
-PICTURES = [("p", 1, 34, 10, 46, 20), ("p", 2, 34, 29, 46, 39), ("p", 3, 59, 59, 71, 71), ("p", 4, 0, 0, 95, 20), ("p", 5, 80, 80, 90, 99)]
-
-
-@query(values([("p", 2), ("p", 4), ("p", 5)], ["page", "det"]))
-def answer_boxes(spark: SparkSession, d: str) -> DataFrame:
-    """Boxed answers: on an answer row, or in a drawn frame around a word."""
-    number = lambda names: ", ".join(f"{n} double" for n in names)
-    words = spark.createDataFrame([(p, b, w, *map(float, x)) for p, b, w, *x in WORDS], f"page string, block int, word string, {number(['x0', 'y0', 'x1', 'y1'])}")
-    lines = spark.createDataFrame([(p, *map(float, x)) for p, *x in LINES], f"page string, {number(['ax', 'ay', 'bx', 'by'])}")
-    found = spark.createDataFrame([(p, i, *map(float, x)) for p, i, *x in PICTURES], f"page string, det int, {number(['x0', 'y0', 'x1', 'y1'])}")
-    size = spark.createDataFrame([("p", 100.0, 150.0, 100.0, 150.0)], f"page string, {number(['width', 'height', 'pdf_width', 'pdf_height'])}")
-    return boxes.without_answer_boxes(found, words, lines, size).select("page", "det")
-
-
-@query(values([("a", "a <img></img>\n\n5. x"), ("b", "a <img></img>"), ("c", "<img></img></td>y"), ("d", "<img>x</img> y")], ["k", "t"]))
-def closed_images(spark: SparkSession, d: str) -> DataFrame:
-    """Images that were never closed."""
-    rows = [("a", "a <img> d\n\n5. x"), ("b", "a <img> d"), ("c", "<img>x</td>y"), ("d", "<img>x</img> y")]
-    return spark.createDataFrame([(k, layout.repaired(t)) for k, t in rows], "k string, t string")
-
-
-@query(values([(0, "1,2,3,4"), (1, "5,None,None"), (2, "None,1")], ["i", "n"]))
-def key_gaps(spark: SparkSession, d: str) -> DataFrame:
-    """Numbers of key cells that their neighbours prove."""
-    rows = [(0, [1, None, 3, 4]), (1, [5, None, None]), (2, [None, 1])]
-    return spark.createDataFrame([(i, ",".join(map(str, answers.gap_numbers(x)))) for i, x in rows], "i int, n string")
-
-
 @query("SELECT o_orderkey, CASE WHEN o_custkey % 3 = 0 THEN 'collision' WHEN o_custkey % 3 = 1 THEN 'skip' ELSE 'write' END AS action FROM orders")
 def export_plan(spark: SparkSession, d: str) -> DataFrame:
     """What an export does with each source: collisions, unchanged targets, writes."""
@@ -141,3 +111,41 @@ def noise_commands(spark: SparkSession, d: str) -> DataFrame:
     x = F.concat(F.lit(r"![a [b] c](x(1)(2).png) \quad "), F.upper("p_name"), F.lit(r" \left <img src=x>"))
     same = F.when(text.normalize(x) == text.normalize(F.col("p_name")), F.col("p_name"))
     return table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.concat(same, F.when(F.col("p_partkey") % 2 == 0, "").otherwise("!")).alias("t"))
+
+
+@query("""SELECT o_orderkey AS page, d.det FROM orders, (VALUES (1), (2), (3), (4)) d(det)
+WHERE NOT (d.det = 1 AND o_orderkey % 3 <> 0) AND NOT (d.det = 2 AND o_orderkey % 2 = 0)""")
+def answer_boxes(spark: SparkSession, d: str) -> DataFrame:
+    """Boxed answers go: on an answer row (two of three pages have one), or in a drawn frame around a word (every second page)."""
+    k, o = F.col("o_orderkey"), table(spark, d, "orders")
+    at = lambda names, *v: [F.lit(float(x)).alias(n) for n, x in zip(names, v)]
+    edges = ["x0", "y0", "x1", "y1"]
+    word = lambda block, x, *v: F.struct(F.lit(block).alias("block"), x.alias("word"), *at(edges, *v))
+    words = o.select(k.alias("page"), F.explode(F.array(word(1, F.when(k % 3 != 0, "Answer:").otherwise("Other:"), 10, 10, 30, 20), word(1, k.cast("string"), 35, 11, 45, 19), word(3, k.cast("string"), 62, 62, 66, 68))).alias("w")).select("page", "w.*")
+    ends = ["ax", "ay", "bx", "by"]
+    frame = [F.struct(*at(ends, *v)) for v in [(60, 60, 70, 60), (60, 70, 70, 70), (60, 60, 60, 70), (70, 60, 70, 70)]]
+    lines = o.where("o_orderkey % 2 = 0").select(k.alias("page"), F.explode(F.array(*frame)).alias("l")).select("page", "l.*")
+    box = lambda i, *v: F.struct(F.lit(i).alias("det"), *at(edges, *v))
+    found = o.select(k.alias("page"), F.explode(F.array(box(1, 34, 10, 46, 20), box(2, 59, 59, 71, 71), box(3, 0, 0, 95, 20), box(4, 80, 80, 90, 99))).alias("b")).select("page", "b.*")
+    size = o.select(k.alias("page"), *at(["width", "height", "pdf_width", "pdf_height"], 100, 150, 100, 150))
+    return boxes.without_answer_boxes(found, words, lines, size).select("page", "det")
+
+
+@query("""SELECT p_partkey AS k, CASE p_partkey % 4 WHEN 0 THEN p_name || ' <img></img>' || chr(10) || chr(10) || '5. x' WHEN 1 THEN p_name || ' <img></img>' WHEN 2 THEN '<img></img></td>' || p_name ELSE '<img>' || p_name || '</img> y' END AS t FROM part""")
+def closed_images(spark: SparkSession, d: str) -> DataFrame:
+    """Images that were never closed."""
+    forms = ["{t} <img> d\n\n5. x", "{t} <img> d", "<img>x</td>{t}", "<img>{t}</img> y"]
+    form = F.element_at(F.array(*map(F.lit, forms)), (F.col("p_partkey") % 4).cast("int") + 1)
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.replace(form, F.lit("{t}"), F.col("p_name")).alias("t"))
+    return rows.select("k", layout.closed_images(F.col("t")).alias("t"))
+
+
+@query("""WITH n AS (SELECT l_orderkey, l_linenumber AS n, max(l_linenumber) OVER (PARTITION BY l_orderkey) AS most FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) q),
+h AS (SELECT l_orderkey, n, most, n % 3 = 2 AND n < most AS lost FROM n)
+SELECT l_orderkey, string_agg(CASE WHEN lost AND NOT EXISTS (SELECT 1 FROM h b WHERE b.l_orderkey = h.l_orderkey AND b.n = h.n - 1) THEN 'null' WHEN lost AND NOT EXISTS (SELECT 1 FROM h a WHERE a.l_orderkey = h.l_orderkey AND a.n = h.n + 1 AND NOT a.lost) THEN 'null' ELSE n::VARCHAR END, ',' ORDER BY n) AS numbers FROM h GROUP BY 1""")
+def key_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of keys, made of the line numbers of orders: every third number was not read, and its neighbours may prove it."""
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").distinct().groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_linenumber")).alias("n"))
+    read = F.transform("n", lambda x: F.when((x % 3 == 2) & (x < F.array_max("n")), F.lit(None)).otherwise(x).cast("int"))
+    filled = rows.select("l_orderkey", answers.filled_gaps(read).alias("n"))
+    return filled.select("l_orderkey", F.array_join(F.transform("n", lambda x: F.coalesce(x.cast("string"), F.lit("null"))), ",").alias("numbers"))

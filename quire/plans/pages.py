@@ -21,54 +21,6 @@ def values(rows: Iterable[tuple], names: list[str]) -> str:
     return "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(one, r)) + ")" for r in rows) + f") v({', '.join(names)})"
 
 
-# name: (options of the layout, series of the markers, problem carried on, page, items expected)
-CASES: dict[str, tuple[dict, str, int | None, str, list[tuple[str, int | None, str]]]] = {
-    "plain": ({}, "default", None, "head\n1. one\nmore <img>fig</img> tail\n2. two", [("text", None, "head"), ("text", 1, "one\nmore"), ("image", 1, "fig"), ("text", 1, "tail"), ("text", 2, "two")]),
-    "restart_at_one": ({}, "default", None, "1. a\n2. b\n1. c", [("text", 1, "a"), ("text", 2, "b"), ("text", 3, "c")]),
-    "strict_needs_heading": ({"numbering": {"strict": True}}, "default", None, "1. a\n2. b\n1. c\n# Round\n1. d", [("text", 1, "a"), ("text", 2, "b\n1. c\n# Round"), ("text", 3, "d")]),
-    "flat": ({"numbering": {"flat": True}}, "default", None, "1. a\n# Part\n1. b\n2. c", [("text", 1, "a\n# Part\n1. b"), ("text", 2, "c")]),
-    "consecutive": ({"numbering": {"consecutive": True}}, "default", None, "1. a\n7. b\n2. c", [("text", 1, "a\n7. b"), ("text", 2, "c")]),
-    "backward": ({"numbering": {"backward": True}}, "default", None, "4. a\n2. b\n5. c", [("text", 4, "a"), ("text", 2, "b"), ("text", 5, "c")]),
-    "carried": ({}, "default", 6, "rest of six\n7. seven", [("text", 6, "rest of six"), ("text", 7, "seven")]),
-    "carried_restart": ({}, "default", 6, "3. three", [("text", 9, "three")]),
-    "points": ({"numbering": {"point_values": True}}, "default", None, "1. [3] a\n2. list\n2. [4] b", [("text", 1, "[3] a\n2. list"), ("text", 2, "[4] b")]),
-    "points_in_bold": ({}, "default", None, "27. **[13]** statement", [("text", 27, "[13] statement")]),
-    "page_restart": ({"numbering": {"strict": True, "page_restart": True}}, "default", 10, "1. [5] a\n2. [6] b", [("text", 11, "[5] a"), ("text", 12, "[6] b")]),
-    "page_restart_not_first": ({"numbering": {"strict": True, "page_restart": True}}, "default", 10, "tail\n1. [5] a", [("text", 10, "tail\n1. [5] a")]),
-    "list_items": ({"list_items": True}, "default", None, "<ol><li>first</li>\n<li>second<br>line</li></ol>", [("text", 1, "first"), ("text", 2, "second line")]),
-    "point_items": ({"point_items": True}, "default", None, "<li>[7] statement</li>\n<li>\n[8] other</li>\n<li>plain</li>", [("text", 1, "[7] statement"), ("text", 2, "[8] other\nplain")]),
-    "titles": ({"titles": True}, "default", None, "# Balance\n1. do this\n2. or that\n# Solutions\n# Two\n2. y", [("text", 1, "# Balance\ndo this\n2. or that\n# Solutions"), ("text", 2, "# Two\ny")]),
-    "column_of_blanks": ({}, "default", None, "1. ____ dollars\n2. ____ cm\n3. What\n4. ____\nWho", [("text", 3, "What"), ("text", 4, "Who")]),
-    "repeated_blank": ({}, "default", None, "4. a\n4. ____\n5. b", [("text", 4, "a"), ("text", 5, "b")]),
-    "points_alone": ({}, "default", None, "1. a\n(5)\n①\nb ____ c", [("text", 1, "a\nb  c")]),
-    "glued_word": ({}, "default", None, "1. a $$x$$ **Problem 2** The $$y$$ 3. Now", [("text", 1, "a $$x$$"), ("text", 2, "The $$y$$ 3. Now")]),
-    "glued_bare": ({"glued_bare": True}, "default", None, "1. a $$x$$ 2. The b", [("text", 1, "a $$x$$"), ("text", 2, "The b")]),
-    "image_as_statement": ({}, "default", None, "5. <img>5. A drawn one</img>", [("text", 5, "A drawn one"), ("image", 5, "5. A drawn one")]),
-    "furniture": ({}, "default", None, "<watermark>x</watermark>1. a<page_number>3</page_number>", [("text", 1, "a")]),
-    "table_kept": ({}, "default", None, "1. a\n<table>\n<tr><td>2. x</td></tr></table>\nb", [("text", 1, "a\n<table> <tr><td>2. x</td></tr></table>\nb")]),
-    "table_rows": ({"table_rows": True}, "default", None, "<table><tr><td>1. ____</td><td>What?</td></tr><tr><td>2. ____ cm</td><td>How<br>long</td></tr><tr><td>a</td><td>b</td></tr><tr><td>①</td></tr></table>", [("text", 1, "What?"), ("text", 2, "How\nlong\n<table><tr><td>a</td><td>b</td></tr></table>")]),
-    "table_of_data": ({"table_rows": True, "numbering": {"consecutive": True, "strict": True}}, "default", None, "1. a\n<table><tr><td>9. x</td><td>y</td></tr></table>", [("text", 1, "a\n<table><tr><td>9. x</td><td>y</td></tr></table>")]),
-    "table_lists": ({"table_rows": True}, "default", None, "<table><tr><td><ol><li>What</li><li>Who</li></ol></td><td><ol><li>____</li><li>___</li></ol></td></tr></table>", [("text", 1, "What"), ("text", 2, "Who")]),
-    "table_packed": ({"table_rows": True}, "default", None, "<table><tr><td>1. What is 3? 2. Who? 12. no</td><td>1. ____<br>2. ____</td></tr></table>", [("text", 1, "What is 3?"), ("text", 2, "Who? 12. no")]),
-    "table_image": ({"table_rows": True}, "default", None, "<table><tr><td>3. ____</td><td><img>Find <b>x</b></img></td></tr></table>", [("text", 3, "Find x")]),
-    "relay": ({}, "cmimc", None, "1-1. a\n6-2. b\n7-1. c", [("text", 1, "a"), ("text", 6, "b"), ("text", 17, "c")]),
-    "instructions": ({}, "cmimc", None, "1. Do not look\n2. Find x", [("text", None, "1. Do not look"), ("text", 2, "Find x")]),
-    "appendix": ({"numbering": {"backward": True}}, "farml_solutions", None, "T8 a\nT9 b\nAppendix to T8 c", [("text", 8, "a"), ("text", 9, "b"), ("text", 8, "c")]),
-    "crossword": ({}, "pumac", None, "12 Across x\n7 Down y", [("text", 1012, "Across x"), ("text", 2007, "Down y")]),
-    "byline": ({}, "nimo", None, "1. *(Ann Lee)* x\n2. (n = 2) y", [("text", 1, "(Ann Lee)* x\n2. (n = 2) y")]),
-}
-
-
-@query(values([(name, i, *item) for name, case in CASES.items() for i, item in enumerate(case[4])], ["name", "item_no", "kind", "problem", "text"]))
-def layout_cases(spark: SparkSession, d: str) -> DataFrame:
-    """Every rule by which markers, lists, titles, tables and images become items."""
-    out = None
-    for name, (options, rules, first, page, _) in CASES.items():
-        got = layout.items(spark.createDataFrame([(name, page)], "name string, text string").coalesce(1), "name", "text", rules, Layout(**options), first)
-        out = got if out is None else out.unionByName(got)
-    return out
-
-
 TURNS = "SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM conversations"
 
 
@@ -177,18 +129,6 @@ def labelled_markers(spark: SparkSession, d: str) -> DataFrame:
     return documents.labelled_markers(segment.marked_lines(lone, "conv_id", "text"), r"^Answer:", key="conv_id").select("conv_id", F.col("number").cast("long").alias("number"))
 
 
-LISTS = [("d", 0, "1. Find all"), ("d", 1, "that hold:"), ("d", 2, "1. a"), ("d", 3, "2. b"), ("d", 4, "3. c"), ("d", 5, "2. Next"), ("e", 0, "1. a"), ("e", 1, "2. b"), ("e", 2, "3. c"), ("f", 0, "x"), ("f", 1, "1. a"), ("f", 2, "2. b")]
-
-
-@query(values([("d", 0, "1. Find all"), ("d", 1, "that hold: 1. a 2. b 3. c"), ("d", 5, "2. Next"), ("e", 0, "1. a"), ("e", 1, "2. b"), ("e", 2, "3. c"), ("f", 0, "x"), ("f", 1, "1. a"), ("f", 2, "2. b")], ["doc_id", "pos", "line"]))
-def list_runs(spark: SparkSession, d: str) -> DataFrame:
-    """Lists within statements join the line before them."""
-    from quire.functions.text import marker
-
-    lines = spark.createDataFrame(LISTS, "doc_id string, pos int, line string").withColumn("number", marker(F.col("line"))["number"])
-    return documents.without_lists(lines)
-
-
 @query("""SELECT o_orderkey, 'Solution ' || i AS head, CASE i WHEN 1 THEN 'intro ' || o_orderkey || chr(10) || 'first' ELSE 'second' END AS text, CAST(i AS INTEGER) AS part FROM orders, (VALUES (1), (2)) v(i) WHERE o_orderkey % 2 = 0
 UNION ALL SELECT o_orderkey, 'Solution ' || i, CASE i WHEN 1 THEN 'intro ' || o_orderkey WHEN 2 THEN 'first' ELSE 'second' END, i FROM orders, (VALUES (1), (2), (3)) v(i) WHERE o_orderkey % 2 = 1""")
 def solution_blocks(spark: SparkSession, d: str) -> DataFrame:
@@ -200,27 +140,6 @@ def solution_blocks(spark: SparkSession, d: str) -> DataFrame:
     return out.select("o_orderkey", F.concat(F.lit("Solution "), F.col("part").cast("string")).alias("head"), "text", "part")
 
 
-@query(values([("a", 2), ("b", 3), ("c", None), ("d", 1)], ["k", "n"]))
-def solution_indexes(spark: SparkSession, d: str) -> DataFrame:
-    rows = [("a", "Solution 1\nx\n**Solution 2** y"), ("b", "Solution 1\nThird Solution: z"), ("c", "no solution here"), ("d", "### First Solution")]
-    return spark.createDataFrame(rows, "k string, t string").select("k", documents.solution_index(F.col("t")).alias("n"))
-
-
-@query(values([("a", 1, "5"), ("a", 2, "x^2")], ["k", "number", "answer"]))
-def answer_keys(spark: SparkSession, d: str) -> DataFrame:
-    """Keys of answers behind a heading, up to the first longer line."""
-    rows = [("a", "1. What\nAnswer Key\n1. 5\n\n2. x^2\nand a longer line\n3. 7"), ("b", "no key\n1. 5")]
-    found = spark.createDataFrame(rows, "k string, t string").select("k", documents.answer_key("t").alias("x"))
-    return found.select("k", F.explode("x.answers").alias("e")).select("k", "e.*")
-
-
-@query(values([("gap", "1. a\n2. B\n3. C\n4. d"), ("same", "1. a\n2. b"), ("less", "1. a\n2. b"), ("lead", "0. z\n1. a")], ["k", "t"]))
-def repaired_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Pages with the problems that only a reading in slices found."""
-    rows = [("gap", "1. a\n2. b lost c\n4. d", "1. A\n2. B\n3. C\n4. D"), ("same", "1. a\n2. b", "1. x\n2. y"), ("less", "1. a\n2. b", "1. x"), ("lead", "1. a", "0. z\n1. a")]
-    return spark.createDataFrame(rows, "k string, w string, s string").select("k", documents.repaired_page("w", "s").alias("t"))
-
-
 @query("SELECT user_id AS doc, CAST(max(event_id) AS BIGINT) AS last_id, count(*) AS n FROM events GROUP BY user_id")
 def last_pages(spark: SparkSession, d: str) -> DataFrame:
     """The problem that is open at the end of a document, all of whose pages open one."""
@@ -278,12 +197,6 @@ def renumbered_lines(spark: SparkSession, d: str) -> DataFrame:
     return documents.renumbered(turns(spark, d).select("conv_id", F.col("turn").alias("pos"), line.alias("line")), F.lit(100), "conv_id")
 
 
-@query(values([("3.png", 3, None, 1), ("12_2.png", 12, None, 2), ("4_solution_2_1.png", 4, 2, 1)], ["path", "problem", "solution", "figure"]))
-def crop_names(spark: SparkSession, d: str) -> DataFrame:
-    rows = [("3.png",), ("12_2.png",), ("4_solution_2_1.png",), ("cover.png",)]
-    return documents.crops(spark.createDataFrame(rows, "path string"))
-
-
 @query("""SELECT l_orderkey, string_agg(l_linenumber || ':' || inner_, ';' ORDER BY l_linenumber) AS figures FROM (SELECT l_orderkey, l_linenumber, string_agg(DISTINCT l_returnflag, '+' ORDER BY l_returnflag) AS inner_ FROM lineitem GROUP BY 1, 2) q GROUP BY 1""")
 def figure_maps(spark: SparkSession, d: str) -> DataFrame:
     """Figures by problem and solution, as nested maps; here flattened."""
@@ -319,3 +232,51 @@ def preferred_name(spark: SparkSession, d: str) -> DataFrame:
     """The first name that holds a preferred keyword."""
     names = table(spark, d, "nation").where("n_regionkey = 0").select(F.col("n_regionkey").alias("r_regionkey"), "n_name", "n_nationkey")
     return documents.first_match(names, ["ia", "an"], "n_name", "n_nationkey").select("r_regionkey", "n_name")
+
+
+@query(f"""WITH t AS (SELECT conv_id, i, {FLAT} AS t FROM ({TURNS}) q)
+SELECT conv_id, CAST(i * 10 AS BIGINT) AS pos, i || '. ' || t || CASE WHEN i % 3 = 0 THEN ': 1. a 2. b 3. c' ELSE '' END AS line FROM t""")
+def list_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Numbered turns, of which every third holds a list of its own; the list joins the line before it."""
+    from quire.functions.text import marker
+
+    own = F.concat(F.col("i").cast("string"), F.lit(". "), "text", F.when(F.col("i") % 3 == 0, ":").otherwise(""))
+    lines = F.when(F.col("i") % 3 == 0, F.array(own, F.lit("1. a"), F.lit("2. b"), F.lit("3. c"))).otherwise(F.array(own))
+    rows = turns(spark, d).select("conv_id", "i", F.posexplode(lines).alias("n", "line")).select(F.col("conv_id").alias("doc_id"), (F.col("i") * 10 + F.col("n")).cast("long").alias("pos"), "line")
+    found = documents.without_lists(rows.withColumn("number", marker(F.col("line"))["number"]))
+    return found.select(F.col("doc_id").alias("conv_id"), "pos", "line")
+
+
+@query("SELECT p_partkey AS k, CAST(CASE p_partkey % 5 WHEN 0 THEN p_size WHEN 1 THEN 3 WHEN 3 THEN 1 WHEN 4 THEN p_size + 1 END AS INTEGER) AS n FROM part")
+def solution_indexes(spark: SparkSession, d: str) -> DataFrame:
+    """The number of the last heading of a solution."""
+    size, kind = F.col("p_size").cast("string"), F.col("p_partkey") % 5
+    x = F.when(kind == 0, F.concat(F.lit("Solution 1\nx\n**Solution "), size, F.lit("** y"))).when(kind == 1, F.concat(F.lit("Solution "), size, F.lit("\nThird Solution: z"))).when(kind == 2, F.col("p_name")).when(kind == 3, F.concat(F.lit("### First Solution "), "p_name")).otherwise(F.concat(F.lit("Alternate Solution "), (F.col("p_size") + 1).cast("string")))
+    return table(spark, d, "part").select(F.col("p_partkey").alias("k"), documents.solution_index(x).alias("n"))
+
+
+@query("SELECT p_partkey AS k, CAST(v.n AS INTEGER) AS number, CASE v.n WHEN 1 THEN p_size::VARCHAR ELSE p_brand END AS answer FROM part, (VALUES (1), (2)) v(n) WHERE p_partkey % 2 = 0")
+def answer_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Keys of answers behind a heading, up to the first longer line; every second part has none."""
+    key = F.concat(F.lit("1. What\nAnswer Key\n1. "), F.col("p_size").cast("string"), F.lit("\n\n2. "), "p_brand", F.lit("\nand a longer line\n3. 7"))
+    x = F.when(F.col("p_partkey") % 2 == 0, key).otherwise(F.concat("p_name", F.lit("\n1. 5")))
+    found = table(spark, d, "part").select(F.col("p_partkey").alias("k"), documents.answer_key(x).alias("x"))
+    return found.select("k", F.explode("x.answers").alias("e")).select("k", "e.*")
+
+
+@query("""SELECT p_partkey AS k, CASE p_partkey % 4 WHEN 0 THEN '1. ' || p_name || chr(10) || '2. B' || chr(10) || '3. ' || p_brand || chr(10) || '4. d' WHEN 1 THEN '1. ' || p_name || chr(10) || '2. b' WHEN 2 THEN '1. ' || p_name || chr(10) || '2. b' ELSE '0. ' || p_brand || chr(10) || '1. ' || p_name END AS t FROM part""")
+def repaired_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages with the problems that only a reading in slices found."""
+    kind = F.col("p_partkey") % 4
+    whole = F.concat(F.lit("1. "), "p_name", F.when(kind == 0, "\n2. b lost c\n4. d").when(kind == 3, "").otherwise("\n2. b"))
+    sliced = F.when(kind == 0, F.concat(F.lit("1. A\n2. B\n3. "), "p_brand", F.lit("\n4. D"))).when(kind == 1, "1. x\n2. y").when(kind == 2, "1. x").otherwise(F.concat(F.lit("0. "), "p_brand", F.lit("\n1. a")))
+    return table(spark, d, "part").select(F.col("p_partkey").alias("k"), documents.repaired_page(whole, sliced).alias("t"))
+
+
+@query("""SELECT o_orderkey % 90 + 1 || CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN '_' || o_custkey ELSE '_solution_' || o_custkey || '_2' END || '.png' AS path, CAST(o_orderkey % 90 + 1 AS INTEGER) AS problem,
+CAST(CASE WHEN o_orderkey % 3 = 2 THEN o_custkey END AS INTEGER) AS solution, CAST(CASE o_orderkey % 3 WHEN 0 THEN 1 WHEN 1 THEN o_custkey ELSE 2 END AS INTEGER) AS figure FROM orders""")
+def crop_names(spark: SparkSession, d: str) -> DataFrame:
+    """Names of figures say problem, solution and number; other files are none."""
+    n, c, kind = (F.col("o_orderkey") % 90 + 1).cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderkey") % 3
+    name = F.concat(n, F.when(kind == 0, "").when(kind == 1, F.concat(F.lit("_"), c)).otherwise(F.concat(F.lit("_solution_"), c, F.lit("_2"))), F.lit(".png"))
+    return documents.crops(table(spark, d, "orders").select(F.explode(F.array(name, F.concat(F.lit("cover"), c, F.lit(".png")))).alias("path")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import answers, text
 from quire.operators import boxes, documents, segment, sequence
-from quire.plans.pages import FLAT, TURNS, turns, values
+from quire.plans.pages import FLAT, TURNS, turns
 from quire.plans.registry import query, table
 from quire.plans.spatial import DETS, dets, pages, pics
 from quire.sources import files
@@ -43,14 +43,6 @@ def inline_figures(spark: SparkSession, d: str) -> DataFrame:
     return documents.with_figures(rows.select("o_orderkey", F.lit(f"a {text.FIGURE} b").alias("text")), refs, ["o_orderkey"])
 
 
-CLUES = [("d", 0, "Intro 3"), ("d", 1, "**Across**"), ("d", 2, "1. one"), ("d", 3, "12 two"), ("d", 4, "DOWN:"), ("d", 5, "2) three"), ("d", 6, "more")]
-
-
-@query(values([(k, p, x, c) for (k, p, x), c in zip(CLUES, [None, None, 1001, 1012, None, 2002, None])], ["k", "pos", "line", "code"]))
-def clue_codes(spark: SparkSession, d: str) -> DataFrame:
-    return documents.clue_numbers(spark.createDataFrame(CLUES, "k string, pos int, line string"), ["k"])
-
-
 @query(f"""WITH d AS (SELECT *, CASE WHEN label = 'Text' THEN det % 9 + 1 WHEN label = 'Picture' AND x1 <= 24 THEN det % 7 + 1 END AS n FROM ({DETS}) q), r AS (SELECT *, max(n) OVER (PARTITION BY page ORDER BY y0, det ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM d WHERE n IS NOT NULL)
 SELECT page, det, n AS problem, y0 AS y, label = 'Text' AND det % 2 = 0 AS inline FROM r WHERE top IS NULL OR n > top""")
 def box_anchors(spark: SparkSession, d: str) -> DataFrame:
@@ -124,12 +116,23 @@ def existing_tests(spark: SparkSession, d: str) -> DataFrame:
     return documents.existing(docs.select("source").distinct(), done, "source")
 
 
-PATHS = [("/d/2019/a/test.pdf",), ("/d/2019/a/solutions.pdf",), ("/d/2019/b/test.pdf",), ("/s/2019-a/problems.json",), ("/s/_old/problems.json",), ("/s/2019-b/other.json",)]
+@query("""WITH l AS (SELECT l_orderkey, l_linenumber AS pos, l_partkey % 4 AS kind, l_suppkey % 90 + 1 AS n FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey FROM lineitem GROUP BY 1, 2) q),
+h AS (SELECT *, last_value(CASE kind WHEN 0 THEN 1000 WHEN 1 THEN 2000 END IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY pos) AS base FROM l)
+SELECT l_orderkey, pos, CAST(CASE WHEN kind = 2 THEN base + n END AS INTEGER) AS code FROM h""")
+def clue_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Line items as lines of a crossword: headings, clues and prose."""
+    kind = F.col("l_partkey") % 4
+    rows = table(spark, d, "lineitem").groupBy("l_orderkey", F.col("l_linenumber").alias("pos")).agg(F.min("l_partkey").alias("l_partkey"), F.min("l_suppkey").alias("l_suppkey"))
+    line = F.when(kind == 0, "**Across**").when(kind == 1, "DOWN:").when(kind == 2, F.concat((F.col("l_suppkey") % 90 + 1).cast("string"), F.lit(") a clue"))).otherwise("prose of no number")
+    return documents.clue_numbers(rows.select("l_orderkey", "pos", line.alias("line")), ["l_orderkey"]).select("l_orderkey", "pos", "code")
 
 
-@query(values([("/d/2019/a/test.pdf", "/d/2019/a/solutions.pdf"), ("/d/2019/b/test.pdf", None), ("/s/2019-a/problems.json", "2019-a")], ["path", "found"]))
+@query("""SELECT '/d/' || o_custkey || '/' || o_orderkey || '/test.pdf' AS path, CASE WHEN o_orderkey % 3 = 0 THEN '/d/' || o_custkey || '/' || o_orderkey || '/solutions.pdf' END AS found FROM orders
+UNION ALL SELECT '/s/' || o_orderkey || '/problems.json', o_orderkey::VARCHAR FROM orders WHERE o_orderkey % 5 = 0""")
 def sibling_files(spark: SparkSession, d: str) -> DataFrame:
-    """The solution file beside a test, and folders that hold problems."""
-    paths = spark.createDataFrame(PATHS, "path string")
-    beside = files.beside(paths.where("path LIKE '%test.pdf'"), paths, "solutions.pdf").select("path", F.col("source").alias("found"))
+    """The solution file beside a test (every third order has one), and folders that hold problems."""
+    k, base = F.col("o_orderkey").cast("string"), F.concat(F.lit("/d/"), F.col("o_custkey").cast("string"), F.lit("/"), F.col("o_orderkey").cast("string"))
+    own = F.array(F.concat(base, F.lit("/test.pdf")), F.when(F.col("o_orderkey") % 3 == 0, F.concat(base, F.lit("/solutions.pdf"))), F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("/s/"), k, F.lit("/problems.json"))), F.concat(F.lit("/s/_"), k, F.lit("/problems.json")), F.concat(F.lit("/s/"), k, F.lit("/other.json")))
+    paths = table(spark, d, "orders").select(F.explode(own).alias("path")).where("path IS NOT NULL")
+    beside = files.beside(paths.where("path LIKE '/d/%test.pdf'"), paths, "solutions.pdf").select("path", F.col("source").alias("found"))
     return beside.unionByName(files.with_problems(paths, "/s").select("path", F.col("test").alias("found")))

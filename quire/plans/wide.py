@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from quire import jobs
 from quire.functions import answers, cleaners
-from quire.operators import crosswords, dedup, documents, expectations, sequence
+from quire.functions.series import Layout
+from quire.operators import crosswords, dedup, documents, expectations, layout, sequence
 from quire.plans.pages import FLAT, TURNS, turns
 from quire.plans.registry import query, table
 
@@ -124,7 +125,7 @@ def _cascade_sql() -> str:
 
 
 @query(_cascade_sql())
-def series_cascades(spark: SparkSession, d: str) -> DataFrame:
+def answer_cases(spark: SparkSession, d: str) -> DataFrame:
     """Answers and tiers of eight series' cascades, over blocks written for the orders."""
     out = None
     for series in BLOCKS:
@@ -133,17 +134,45 @@ def series_cascades(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-@query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN o_custkey::VARCHAR WHEN 1 THEN o_orderkey::VARCHAR WHEN 2 THEN o_orderkey::VARCHAR || o_custkey::VARCHAR WHEN 3 THEN (o_custkey + 1)::VARCHAR END AS worked,
-CASE o_orderkey % 5 WHEN 0 THEN o_orderkey::VARCHAR || o_custkey::VARCHAR WHEN 1 THEN o_custkey::VARCHAR WHEN 2 THEN NULL WHEN 3 THEN o_custkey::VARCHAR ELSE o_orderkey::VARCHAR END AS fitted FROM orders""")
-def worked_answers(spark: SparkSession, d: str) -> DataFrame:
-    """Answers worked out of solutions that print none, and answers brought into the form that is asked for."""
-    k, c, kind = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderkey") % 5
-    one = lambda *forms: F.element_at(F.array(*forms), kind.cast("int") + 1)
-    said = one(F.lit("Find it"), F.lit("Find it"), F.lit("Concatenate the numbers"), F.lit("Find it"), F.lit("Find it"))
-    block = one(F.concat(F.lit("Thus x is "), k, F.lit(". Then 3 = "), c), F.concat(F.lit("= 7 and therefore it is "), k), F.concat(F.lit("(a, b) = ("), k, F.lit(", "), c, F.lit(")")), F.concat(F.lit("we get "), (F.col("o_custkey") + 1).cast("string"), F.lit(" = 11")), F.concat(F.lit(r"then n \neq "), k))
-    value = one(F.concat(F.lit("$("), k, F.lit(", "), c, F.lit(")$")), F.concat(F.lit("a = b = "), c), F.lit("no solution"), F.concat(F.lit("$"), c, F.lit("$.")), F.concat(F.lit(r"so \boxed{"), k, F.lit("}")))
-    asked = one(F.lit("concatenate them"), F.lit("Find the value"), F.lit("Find x"), F.lit(""), F.lit(""))
-    return table(spark, d, "orders").select("o_orderkey", answers.derived_answer(said, block).alias("worked"), answers.fitted_answer(value, asked, F.lit("")).alias("fitted"))
+@query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN o_custkey::VARCHAR WHEN 1 THEN o_orderkey::VARCHAR WHEN 2 THEN o_orderkey::VARCHAR || o_custkey::VARCHAR WHEN 3 THEN (o_custkey + 1)::VARCHAR END AS answer FROM orders""")
+def derived_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Answers worked out of solutions that print none."""
+    k, c = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    block = _fifth(F.concat(F.lit("Thus x is "), k, F.lit(". Then 3 = "), c), F.concat(F.lit("= 7 and therefore it is "), k), F.concat(F.lit("(a, b) = ("), k, F.lit(", "), c, F.lit(")")), F.concat(F.lit("we get "), (F.col("o_custkey") + 1).cast("string"), F.lit(" = 11")), F.concat(F.lit(r"then n \neq "), k))
+    said = F.when(F.col("o_orderkey") % 5 == 2, "Concatenate the numbers").otherwise("Find it")
+    return table(spark, d, "orders").select("o_orderkey", answers.derived_answer(said, block).alias("answer"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN o_orderkey::VARCHAR || o_custkey::VARCHAR WHEN 1 THEN o_custkey::VARCHAR WHEN 3 THEN o_custkey::VARCHAR WHEN 4 THEN o_orderkey::VARCHAR END AS answer FROM orders""")
+def fitted_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Answers brought into the form that their statements ask for."""
+    k, c = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    value = _fifth(F.concat(F.lit("$("), k, F.lit(", "), c, F.lit(")$")), F.concat(F.lit("a = b = "), c), F.lit("no solution"), F.concat(F.lit("$"), c, F.lit("$.")), F.concat(F.lit(r"so \boxed{"), k, F.lit("}")))
+    asked = _fifth(*[F.lit(x) for x in ("concatenate them", "Find the value", "Find x", "", "")])
+    return table(spark, d, "orders").select("o_orderkey", answers.fitted_answer(value, asked, F.lit("")).alias("answer"))
+
+
+def _fifth(*forms: Column) -> Column:
+    """One of five forms, by the order's key."""
+    return F.element_at(F.array(*forms), (F.col("o_orderkey") % 5).cast("int") + 1)
+
+
+LINES = "SELECT l_orderkey, l_linenumber AS pos, min(l_partkey) % 8 + 1 AS n FROM lineitem GROUP BY 1, 2"
+
+
+@query(f"""WITH l AS ({LINES}), m AS (SELECT *, max(n) OVER (PARTITION BY l_orderkey ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top, lag(n) OVER (PARTITION BY l_orderkey ORDER BY pos) AS before FROM l),
+k AS (SELECT 'flat' AS options, l_orderkey, pos, n, top IS NULL OR n > top AS opens FROM m UNION ALL SELECT 'backward', l_orderkey, pos, n, before IS NULL OR n <> before FROM m),
+g AS (SELECT *, sum(opens::INT) OVER (PARTITION BY options, l_orderkey ORDER BY pos) - 1 AS item FROM k)
+SELECT options, l_orderkey, CAST(item AS INTEGER) AS item_no, CAST(min(n) FILTER (opens) AS BIGINT) AS problem, string_agg(CASE WHEN opens THEN '' ELSE n || '. ' END || 'said ' || pos, chr(10) ORDER BY pos) AS text FROM g GROUP BY 1, 2, 3""")
+def layout_cases(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as pages whose line items bear numbers in any order: which open problems if pages are flat, or may turn back."""
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey", F.col("l_linenumber").alias("pos")).agg((F.min("l_partkey") % 8 + 1).alias("n"))
+    lines = lines.withColumn("line", F.concat(F.col("n").cast("string"), F.lit(". said "), F.col("pos").cast("string")))
+    docs, out = sequence.joined(lines, ["l_orderkey"], "pos", "line", "text"), None
+    for name, options in (("flat", {"flat": True}), ("backward", {"flat": True, "backward": True})):
+        found = layout.items(docs, "l_orderkey", "text", layout=Layout(options)).select(F.lit(name).alias("options"), "l_orderkey", "item_no", "problem", "text")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 COVERS = {
@@ -152,7 +181,7 @@ COVERS = {
 
 
 @query("SELECT o_orderkey, s AS series, o_custkey % 3 = 0 AS skipped FROM orders, (SELECT unnest(" + str(list(COVERS)) + ") AS s) x")
-def covers_skipped(spark: SparkSession, d: str) -> DataFrame:
+def page_skips(spark: SparkSession, d: str) -> DataFrame:
     """Pages of orders: every third customer's is a cover of its series."""
     out = None
     for series, cover in COVERS.items():
@@ -171,7 +200,7 @@ DRESS = {
 
 
 @query("SELECT p_partkey, s.series, replace(s.want, '{t}', p_name) AS text FROM part, (SELECT * FROM (VALUES " + ", ".join("('{}', '{}')".format(k, v[1]) for k, v in DRESS.items()) + ") v(series, want)) s")
-def dressed_pages(spark: SparkSession, d: str) -> DataFrame:
+def page_cleaners(spark: SparkSession, d: str) -> DataFrame:
     """Names of parts within what each series prints around its pages."""
     out = None
     for series, (page, _) in DRESS.items():
