@@ -130,13 +130,23 @@ def solutions(pages: DataFrame, name: str, statements: DataFrame | None = None)
     return lists.withColumn("texts", clean).where(F.size("texts") > 0)
 
 
-def answer_table(pages: DataFrame, name: str) -> DataFrame:
-    """Answers by problem with the tier each was found in; none for proofs."""
-    if name not in answers.CASCADES:
-        raise ValueError(f"no answers are read for {name!r}")
-    rows = blocks(pages, name).where(response_kind(name, F.col("test_id")) == "answer")
-    found = rows.select(*KEYS, "problem", answers.answer(name)("text").alias("a")).select(*KEYS, "problem", "a.*").where("answer IS NOT NULL")
-    return answers.clean_candidates(found)
+def answer_table(pages: DataFrame, name: str, keys: DataFrame | None = None) -> DataFrame:
+    """Answers by problem with the tier each was found in; none for proofs.  An answer of a key (series, test_id, problem,
+    answer; see files.spaced_answers, files.tab_answers and documents.key_answers) goes before what solutions say."""
+    if name not in answers.CASCADES and keys is None:
+        raise ValueError(f"no answers are read for {name!r} without a key")
+    found = None
+    if name in answers.CASCADES:
+        rows = blocks(pages, name).where(response_kind(name, F.col("test_id")) == "answer")
+        found = rows.select(*KEYS, "problem", answers.answer(name)("text").alias("a")).select(*KEYS, "problem", "a.*").where("answer IS NOT NULL")
+        found = answers.clean_candidates(found)
+    if keys is None:
+        return found
+    printed = keys.where((F.col("series") == name) & (response_kind(name, F.col("test_id")) == "answer")).select(*KEYS, F.col("problem").cast("long").alias("problem"), F.regexp_replace("answer", r"^\s+|\s+$", "").alias("answer"), F.lit("key").alias("tier")).where("answer <> ''")
+    if found is None:
+        return printed.groupBy(*KEYS, "problem").agg(F.min("answer").alias("answer"), F.first("tier").alias("tier"))
+    both = printed.withColumn("__t", F.lit(0)).unionByName(found.withColumn("__t", F.lit(1)))
+    return both.groupBy(*KEYS, "problem").agg(F.min_by(F.struct("answer", "tier"), F.struct("__t", "answer")).alias("x")).select(*KEYS, "problem", "x.*")
 
 
 def duplicates(statements: DataFrame, by_prefix: bool = True, across: bool = False) -> DataFrame:

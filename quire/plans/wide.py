@@ -195,6 +195,7 @@ def page_skips(spark: SparkSession, d: str) -> DataFrame:
 DRESS = {
     "usamts": ("<img>USAMTS</img>{t}\n*****\nrest", "{t}"), "mandelbrot": ("{t}\n© Proof School 2018\naddress", "{t}"), "hmmt": ("```html\n<div>1. <b>{t}</b></div>\n```\n© 2019 HMMT\n\n\n\n2. y  ", "1. {t}\n\n2. y"),
     "cmimc": ("## CMIMC 2019\n<h2>Team</h2>\n1. {t}", "Team\n\n1. {t}"), "mathcounts": ("| 1. ____ | {t} |\n| a | b |", "1. {t}\n| a | b |"), "chmm": ("3.\n4. {t}", "3. [No statement was printed in the source.]\n4. {t}"),
+    "smt": ("<img>the SMT logo</img>\nSMT 2019 Algebra\n1. {t}\nPage 3\n17", "1. {t}"), "mpfg": ("Math Prize for Girls 2015\n1. {t}\nAdvantage Testing Foundation\nOlympiad 2015 Solutions", "1. {t}"),
     "omo": ("Spring 2018\n**OMO 2018**\n1. {t}\npage 3", "1. {t}"), "nimo": ("The NIMO Compendium\n1. {t}\nMay 2014\n17", "1. {t}"), "farml": ("FARML 2014\n**TEAM EVENT**\nT1 {t}\n(figures)", "T1 {t}"), "bmt": ("BMT 2019 Algebra\nTeam Round Solutions\n1. {t}", "1. {t}"),
 }
 
@@ -227,3 +228,26 @@ def job_figures(spark: SparkSession, d: str) -> DataFrame:
     sizes = good.select(*keys, F.lit(200.0).alias("width"), F.lit(260.0).alias("height"))
     found = jobs.illustrated(named(attempts), named(pictures), named(sizes), "pumac")
     return found.select("test_id", "problem", "text", F.col("figures").cast("long").alias("figures"))
+
+
+@query(f"SELECT CAST(conv_id AS VARCHAR) AS test_id, i AS problem, CASE WHEN i % 3 = 0 THEN 'k' || i ELSE CAST(i * 7 AS VARCHAR) END AS answer, CASE WHEN i % 3 = 0 THEN 'key' ELSE 'label' END AS tier FROM ({TURNS}) t")
+def keyed_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Answers from solutions, and from lines of a key file for every third problem."""
+    from quire.plans.jobs import solved
+    from quire.sources import files
+
+    lines = turns(spark, d).where("i % 3 = 0").select(F.lit("cmimc").alias("series"), F.col("conv_id").cast("string").alias("test_id"), F.concat(F.col("i").cast("string"), F.lit("  k"), F.col("i").cast("string"), F.lit(" more")).alias("value"))
+    return jobs.answer_table(solved(spark, d), "cmimc", files.spaced_answers(lines)).select("test_id", "problem", "answer", "tier")
+
+
+@query("""WITH f AS (SELECT o_custkey AS y, CASE o_custkey % 4 WHEN 0 THEN ['packet', 'test', 'team'] WHEN 1 THEN ['solutions', 'other'] WHEN 2 THEN ['team', 'indy', 'Solutions'] ELSE ['relay', 'answers'] END AS names FROM orders GROUP BY 1)
+SELECT CASE y % 4 WHEN 0 THEN y::VARCHAR WHEN 1 THEN y::VARCHAR ELSE y || '_' || n END AS test_id, '/d/' || y || '/' || n || '.pdf' AS path FROM (SELECT y, unnest(names) AS n FROM f) q
+WHERE CASE y % 4 WHEN 0 THEN n = 'packet' WHEN 1 THEN n = 'solutions' ELSE lower(n) NOT IN ('answers', 'solutions') END""")
+def yearly_tests(spark: SparkSession, d: str) -> DataFrame:
+    """Tests in folders of years (here customers): whole contests, solutions that stand for one, parts."""
+    from quire.sources import files
+
+    y, kind = F.col("o_custkey").cast("string"), F.col("o_custkey") % 4
+    names = F.when(kind == 0, F.array(*map(F.lit, ["packet", "test", "team"]))).when(kind == 1, F.array(*map(F.lit, ["solutions", "other"]))).when(kind == 2, F.array(*map(F.lit, ["team", "indy", "Solutions"]))).otherwise(F.array(*map(F.lit, ["relay", "answers"])))
+    rows = table(spark, d, "orders").select(F.explode(names).alias("n"), y.alias("y"))
+    return files.by_year(rows.select(F.concat(F.lit("/d/"), "y", F.lit("/"), "n", F.lit(".pdf")).alias("path")), "/d")

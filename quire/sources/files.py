@@ -62,6 +62,26 @@ def discovered(paths: DataFrame, root: str, name: str, path: str = "path") -> Da
     return found
 
 
+# Files that hold a whole contest, the first there counts; parts beside which solutions are no contest; what is never a part.
+WHOLE = ["packet", "test", "0514"]
+SPLIT = ["team", "indy"]
+NO_PART = ["answers", "solutions", "solution", "packet", "test"]
+
+
+def by_year(paths: DataFrame, root: str, path: str = "path") -> DataFrame:
+    """test_id, path of tests in folders of years right below root: the file of the whole contest; else its solutions, where
+    it has no parts; else every part, with its name."""
+    year = F.regexp_extract(path, "^" + re.escape(root.rstrip("/")) + r"/([^/]+)/[^/]+\.pdf$", 1)
+    held = paths.select(year.alias("year"), stem(F.col(path)).alias("name"), F.col(path).alias("path")).where("year <> ''").distinct()
+    rank = F.coalesce(*[F.when(F.col("name") == n, F.lit(i)) for i, n in enumerate(WHOLE)])
+    whole = held.groupBy("year").agg(F.min(F.struct(rank.alias("r"), "path")).alias("w"), F.min(F.when(rank.isNotNull(), F.struct(rank.alias("r"), "path"))).alias("best"), F.max((F.col("name") == "solutions").cast("int")).alias("told"), F.max(F.col("name").isin(*SPLIT).cast("int")).alias("split")).drop("w")
+    rows = held.join(whole, "year")
+    alone = F.col("best").isNull() & (F.col("told") == 1) & (F.col("split") == 0)
+    take = F.when(F.col("best").isNotNull(), F.col("path") == F.col("best.path")).when(alone, F.col("name") == "solutions").otherwise(~F.lower("name").isin(*NO_PART))
+    part = F.col("best").isNull() & ~alone
+    return rows.where(take).select(F.when(part, F.concat_ws("_", "year", "name")).otherwise(F.col("year")).alias("test_id"), "path")
+
+
 def beside(tests: DataFrame, paths: DataFrame, file: str, path: str = "path") -> DataFrame:
     """tests with `source`: the file of that name in a test's folder, null without one."""
     folder = F.regexp_replace(path, "/[^/]*$", "")
