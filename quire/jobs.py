@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from quire.functions import answers, cleaners, text
 from quire.functions.series import LAYOUTS, REGISTRY, Layout, response_kind
 from quire.operators import boxes, dedup, documents, expectations, layout, sinks
+from quire.sources.commits import PageCache, TestOutputs
 
 KEYS = ["series", "test_id"]
 #: Numbers of solutions per problem that are parsed as several.
@@ -203,7 +204,15 @@ def read(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
-    """One command over the tables below `args.root`; returns how many tests it read and rows it wrote."""
+    """One command over the tables below `args.root`; returns how many tests it read and rows it wrote.  `cache` appends the
+    rows (key, value) of a Parquet folder to the page cache below the root, and compacts it when told to."""
+    if args.command == "cache":
+        cache = PageCache(spark, f"{args.root}/cache")
+        if args.rows:
+            cache.append(spark.read.parquet(args.rows))
+        if args.compact:
+            cache.compact()
+        return {"pages": cache.read().count()}
     if args.command == "dedup":
         found = duplicates(spark.read.parquet(f"{args.root}/statements").where(F.col("series") == args.series), not args.across, args.across)
         sinks_rows = dedup.manifest(found, args.series)
@@ -224,6 +233,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
         if args.series in answers.CASCADES:
             write(answer_table(pages, args.series), f"{args.root}/answers")
     write(rows, target)
+    if args.command == "parse":
+        outputs = TestOutputs(spark, f"{args.root}/problems/series={args.series}")
+        maps = sinks.problem_maps(spark.read.parquet(target).where(F.col("series") == args.series).join(pages.select("test_id").distinct(), "test_id", "left_semi"))
+        outputs.publish(maps, removed=pages.select("test_id").distinct().join(maps.select("test_id"), "test_id", "left_anti"))
     return {"tests": tests, "written": spark.read.parquet(target).where(F.col("series") == args.series).count()}
 
 
@@ -238,6 +251,10 @@ def arguments() -> argparse.ArgumentParser:
         s.add_argument("--force", action="store_true")
         s.add_argument("--temp", type=float, default=None)
         s.add_argument("--across", action="store_true")
+    s = sub.add_parser("cache")
+    s.add_argument("--root", required=True, help="folder below which the cache lies")
+    s.add_argument("--rows", default=None, help="Parquet folder with key and value of each page")
+    s.add_argument("--compact", action="store_true")
     return p
 
 

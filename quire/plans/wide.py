@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire import jobs
 from quire.functions import answers, cleaners
 from quire.functions.series import Layout
-from quire.operators import crosswords, dedup, documents, expectations, layout, sequence
+from quire.operators import crosswords, dedup, documents, expectations, layout, sequence, sinks
 from quire.plans.pages import FLAT, TURNS, turns
 from quire.plans.registry import query, table
+from quire.sources import commits, files
 
 # One turn a page: headings, bare clues under them and clues that name their direction, by turns.
 CLUE_PAGE = {0: "PUMaC 2012\\n## 2.1 Across\\n{n}. {t}", 1: "**{n}.** {t}\\nPage 1 of 9", 2: "Down and to the left\\nsome prose", 3: "{n}) {t}", 4: "{n} Down: {t}"}
@@ -234,7 +237,6 @@ def job_figures(spark: SparkSession, d: str) -> DataFrame:
 def keyed_answers(spark: SparkSession, d: str) -> DataFrame:
     """Answers from solutions, and from lines of a key file for every third problem."""
     from quire.plans.jobs import solved
-    from quire.sources import files
 
     lines = turns(spark, d).where("i % 3 = 0").select(F.lit("cmimc").alias("series"), F.col("conv_id").cast("string").alias("test_id"), F.concat(F.col("i").cast("string"), F.lit("  k"), F.col("i").cast("string"), F.lit(" more")).alias("value"))
     return jobs.answer_table(solved(spark, d), "cmimc", files.spaced_answers(lines)).select("test_id", "problem", "answer", "tier")
@@ -245,9 +247,42 @@ SELECT CASE y % 4 WHEN 0 THEN y::VARCHAR WHEN 1 THEN y::VARCHAR ELSE y || '_' ||
 WHERE CASE y % 4 WHEN 0 THEN n = 'packet' WHEN 1 THEN n = 'solutions' ELSE lower(n) NOT IN ('answers', 'solutions') END""")
 def yearly_tests(spark: SparkSession, d: str) -> DataFrame:
     """Tests in folders of years (here customers): whole contests, solutions that stand for one, parts."""
-    from quire.sources import files
-
     y, kind = F.col("o_custkey").cast("string"), F.col("o_custkey") % 4
     names = F.when(kind == 0, F.array(*map(F.lit, ["packet", "test", "team"]))).when(kind == 1, F.array(*map(F.lit, ["solutions", "other"]))).when(kind == 2, F.array(*map(F.lit, ["team", "indy", "Solutions"]))).otherwise(F.array(*map(F.lit, ["relay", "answers"])))
     rows = table(spark, d, "orders").select(F.explode(names).alias("n"), y.alias("y"))
     return files.by_year(rows.select(F.concat(F.lit("/d/"), "y", F.lit("/"), "n", F.lit(".pdf")).alias("path")), "/d")
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    dedup.shared_folder(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'c' WHEN doc_id % 3 = 0 THEN 'b' WHEN doc_id % 2 = 0 THEN 'a' END || doc_id AS text, doc_id % 5 = 0 OR doc_id % 3 = 0 OR doc_id % 2 = 0 AS hit FROM documents""")
+def cached_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Documents looked up in a cache that was written in three batches and compacted after the second."""
+    docs, cache = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("key"), "doc_id"), commits.PageCache(spark, _folder(spark, "cache"))
+    for n, mark in ((2, "a"), (3, "b"), (5, "c")):
+        cache.append(docs.where(F.col("doc_id") % n == 0).select("key", F.concat(F.lit(mark), "key").alias("value")))
+        if n == 3:
+            cache.compact()
+    hits, misses = files.cached(docs, cache.read(), "key", "value", "version")
+    return hits.select("doc_id", F.col("value").alias("text"), F.lit(True).alias("hit")).unionByName(misses.select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(False).alias("hit")))
+
+
+@query("""SELECT conv_id::VARCHAR AS test_id, CASE WHEN conv_id % 4 = 1 THEN 'new' ELSE 'old' END AS state, count(*) AS problems FROM conversations WHERE conv_id % 4 <> 2 GROUP BY 1, 2""")
+def published_tests(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations as outputs of tests: all are published, then some anew while others are removed; a run from an old version is refused."""
+    out = commits.TestOutputs(spark, _folder(spark, "outputs"))
+    turns_ = table(spark, d, "conversations").select(F.col("conv_id").cast("string").alias("test_id"), F.col("turn").cast("int").alias("problem"), "conv_id")
+    maps = lambda state, rows: sinks.problem_maps(rows.withColumn("text", F.lit(state)))
+    base = out.publish(maps("old", turns_))
+    gone = turns_.where("conv_id % 4 = 2").select("test_id").distinct()
+    out.publish(maps("new", turns_.where("conv_id % 4 = 1")), removed=gone, base=base)
+    try:
+        out.publish(maps("late", turns_), base=base)
+        raise AssertionError("a late run was not refused")
+    except commits.Conflict:
+        pass
+    entries = files.json_map(out.read().withColumnRenamed("json", "value")).withColumnRenamed("value", "state")
+    return entries.groupBy("test_id", "state").agg(F.count(F.lit(1)).alias("problems"))

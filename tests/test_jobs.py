@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import random
 
 import numpy as np
@@ -11,6 +12,7 @@ from quire.functions import guards, matching, text
 from quire.functions.series import REGISTRY, series
 from quire.operators import dedup, documents
 from quire.sources import files
+from quire.sources.commits import TestOutputs
 
 
 def test_lifecycle(spark, tmp_path):
@@ -31,6 +33,11 @@ def test_lifecycle(spark, tmp_path):
     assert command("solutions") == {"tests": 1, "written": 2}
     assert {r.problem: r.texts for r in spark.read.parquet(f"{root}/solutions").collect()} == {1: ["so", "thus"], 2: ["y"]}
     assert {(r.problem, r.answer, r.tier) for r in spark.read.parquet(f"{root}/answers").collect()} == {(1, "7", "label"), (2, "9", "label"), (8, "1", "label")}
+    told = {r.test_id: json.loads(r.json) for r in TestOutputs(spark, f"{root}/problems/series=cmimc").read().collect()}
+    assert {t: sorted(x) for t, x in told.items()} == {"2018_a": ["1", "2", "3"], "2018_b": ["1"]} and told["2018_a"]["2"] == "Next\nmore of two"
+    cached = lambda *a: jobs.run(spark, jobs.arguments().parse_args(["cache", "--root", root, *a]))
+    spark.createDataFrame([("p1", "x"), ("p2", "y")], "key string, value string").write.parquet(f"{root}/rows")
+    assert cached("--rows", f"{root}/rows") == {"pages": 2} == cached("--compact")
     assert command("dedup", "--across") == {"groups": 1}
     assert command("dedup") == {"groups": 1}
 
