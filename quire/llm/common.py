@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +80,16 @@ def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, was)
 
 
+def trim() -> None:
+    """Give memory that a Python worker has freed back to the system: workers stay for later tasks, of other stages too."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def bits_for(keys: int, most: int = 1 << 26) -> int:
     """A power of two with about 16 bits for each key, 8 MB at most; beyond that a filter lets more keys pass that it does not hold."""
     return min(most, 1 << max(12, (16 * keys - 1).bit_length() if keys else 0))

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import trim
+
 DIMS = 4096
 #: Bound of the training sample.
 TRAIN_ROWS = 2000
@@ -175,5 +177,6 @@ def identify(docs: DataFrame, model: Model | None = None, key: str = "doc_id", t
             got = [model.predict(features(v.as_py())) for v in batch.column(2)]
             columns = [batch.column(0), batch.column(1), *[batch.column(3 + i) for i in range(len(more))]]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=[key, "held_out", *[f"_keep_{c}" for c in more], "lang_pred", "score"])
+        trim()
 
     return source.mapInArrow(run, schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, components, hot_join, rejoin, row_key, saved, spread_join
+from .common import ROW, components, hot_join, rejoin, row_key, saved, spread_join, trim
 
 NGRAM = 5
 THRESHOLD = 0.8
@@ -59,7 +59,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Sorted distinct n-gram hashes of a text; word hashes are kept between texts up to a bound."""
 
-    def __init__(self, n: int, most: int = 500_000) -> None:
+    def __init__(self, n: int, most: int = 200_000) -> None:
         self.n, self.most = n, most
         self.known: dict[str, int] = {}
 
@@ -118,6 +118,8 @@ def signatures(docs: DataFrame, key: str, text: str, n: int, bands: int, rows: i
                 sigs.append((low & 0xFF).astype(np.uint8).tobytes())
                 keys.append(band.view(np.int64))
             yield pa.RecordBatch.from_arrays([*[c.take(pa.array(at, pa.int64())) for c in batch.columns[:2]], pa.array(digests, pa.binary()), pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["row", "id", "digest", "sig", "bands"])
+        del shingle
+        trim()
 
     source = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(row_key(key, text).alias("row"), F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
     return source.mapInArrow(run, "row binary, id bigint, digest binary, sig binary, bands array<bigint>")
@@ -168,6 +170,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> D
                     score.append(s)
             take = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(score, pa.float64())], names=["a", "b", "similarity"])
+        del shingle, grams
+        trim()
 
     return both.mapInArrow(run, "a bigint, b bigint, similarity double")
 
