@@ -160,8 +160,13 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     # `chosen` has at most train_rows rows, so the broadcast side is bounded; repeated rows are one row of the sample.
     picked = known.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).select("text", "lang")
     rows = sorted((r["lang"], bytes(r["f"])) for r in picked.mapInArrow(run, "lang string, f binary").collect())
-    x = np.array([np.frombuffer(f, dtype=np.float32) for _, f in rows], dtype=np.float64).reshape(len(rows), DIMS)
-    return Model(x, [v for v, _ in rows])
+    langs = [v for v, _ in rows]
+    x = np.frombuffer(b"".join(f for _, f in rows), dtype=np.float32).astype(np.float64).reshape(len(rows), DIMS)
+    del rows
+    model = Model(x, langs)
+    del x
+    trim()
+    return model
 
 
 def identify(docs: DataFrame, model: Model | None = None, key: str = "doc_id", text: str = "text", lang: str = "lang", keep: list[str] | None = None) -> DataFrame:
