@@ -15,6 +15,7 @@ are learned.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,38 +76,44 @@ def features(text: str | None) -> np.ndarray | None:
     return counts / np.linalg.norm(counts)
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, rounds: int = 300, cost: float = 10.0) -> tuple[np.ndarray, float]:
-    """Linear machine with squared hinge loss, by accelerated gradient steps; y is ±1, classes are weighted evenly."""
+def fit_svm(parts: list[np.ndarray], y: np.ndarray, rounds: int = 300, cost: float = 10.0) -> tuple[np.ndarray, float]:
+    """Linear machine with squared hinge loss, by accelerated gradient steps; y is ±1, classes are weighted evenly.
+
+    The rows stand in `parts`, which are views of one matrix: nothing of it is copied."""
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    w, b, vw, vb = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0
+    ends = np.cumsum([len(p) for p in parts])[:-1]
+    w, b, vw, vb = np.zeros(parts[0].shape[1]), 0.0, np.zeros(parts[0].shape[1]), 0.0
     step = 1 / (1 + 4 * cost)
     for t in range(rounds):
         m = t / (t + 3)
         aw, ab = w + m * vw, b + m * vb
-        slack = np.maximum(0, 1 - y * (x @ aw + ab)) * y * share
-        nw = aw - step * (aw / cost - 2 * cost * (x.T @ slack) / 1)
+        near = aw.astype(np.float32)
+        slack = np.maximum(0, 1 - y * (np.concatenate([p @ near for p in parts]) + ab)) * y * share
+        pull = sum((p.T @ s).astype(np.float64) for p, s in zip(parts, np.split(slack.astype(np.float32), ends)))
+        nw = aw - step * (aw / cost - 2 * cost * pull)
         nb = ab + step * 2 * cost * slack.sum()
         vw, vb, w, b = nw - w, nb - b, nw, nb
     return w, b
 
 
 class Model:
-    """Families, then languages within a family."""
+    """Families, then languages within a family.  The rows of a language stand together."""
 
     def __init__(self, x: np.ndarray, lang: list[str]) -> None:
         self.langs = sorted(set(lang))
         of = [FAMILY.get(v, f"other:{v}") for v in lang]
         self.families = sorted(set(of))
         self.members = {f: sorted({v for v, g in zip(lang, of) if g == f}) for f in self.families}
-        fam, lng = np.array(of), np.array(lang)
-        self.family_machines = {f: fit_svm(x, np.where(fam == f, 1.0, -1.0)) for f in self.families} if len(self.families) > 1 else {}
+        fam, count = np.array(of), Counter(lang)
+        first = {v: lang.index(v) for v in self.langs}
+        self.family_machines = {f: fit_svm([x], np.where(fam == f, 1.0, -1.0)) for f in self.families} if len(self.families) > 1 else {}
         self.pairs: dict[str, list[tuple[str, str, np.ndarray, float]]] = {}
         for f, own in self.members.items():
             self.pairs[f] = []
             for i, a in enumerate(own):
                 for b in own[i + 1 :]:
-                    rows = (lng == a) | (lng == b)
-                    self.pairs[f].append((a, b, *fit_svm(x[rows], np.where(lng[rows] == a, 1.0, -1.0))))
+                    parts = [x[first[v] : first[v] + count[v]] for v in (a, b)]
+                    self.pairs[f].append((a, b, *fit_svm(parts, np.repeat([1.0, -1.0], [count[a], count[b]]))))
 
     @staticmethod
     def sure(margin: float) -> float:
@@ -154,16 +161,22 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [(v, f) for v, f in zip(batch.column(1).to_pylist(), map(features, batch.column(0).to_pylist())) if f is not None]
-            yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in got], pa.string()), pa.array([f.astype(np.float32).tobytes() for _, f in got], pa.binary())], names=["lang", "f"])
+            found = [features(v.as_py()) for v in batch.column(2)]
+            some = pa.array([f is not None for f in found], pa.bool_())
+            f = pa.array([f.astype(np.float32).tobytes() for f in found if f is not None], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(some), batch.column(1).filter(some), f], names=["lang", "h", "f"])
 
     # `chosen` has at most train_rows rows, so the broadcast side is bounded; repeated rows are one row of the sample.
-    picked = known.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).select("text", "lang")
-    rows = sorted((r["lang"], bytes(r["f"])) for r in picked.mapInArrow(run, "lang string, f binary").collect())
-    langs = [v for v, _ in rows]
-    x = np.frombuffer(b"".join(f for _, f in rows), dtype=np.float32).astype(np.float64).reshape(len(rows), DIMS)
-    del rows
-    model = Model(x, langs)
+    picked = known.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    # The sample comes as Arrow batches into one matrix of 16 KB a row: neither rows of the driver's JVM nor copies in Python.
+    got = picked.mapInArrow(run, "lang string, h long, f binary").toArrow()
+    langs, hashes = got.column("lang").to_pylist(), got.column("h").to_pylist()
+    order = sorted(range(len(langs)), key=lambda i: (langs[i], hashes[i]))
+    x, f = np.empty((len(langs), DIMS), dtype=np.float32), got.column("f")
+    for at, i in enumerate(order):
+        x[at] = np.frombuffer(f[i].as_buffer(), dtype=np.float32)
+    del got, f
+    model = Model(x, [langs[i] for i in order])
     del x
     trim()
     return model
