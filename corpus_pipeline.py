@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import release, saved, scratch_run
+from quire.llm.common import release, saved, scratch_run, settle
 from quire.llm.langid import identify
 from quire.llm.line_dedup import line_dedup
 from quire.llm.ngram_join import drop_near_duplicates
@@ -23,6 +23,7 @@ ORACLE_SQL = None
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any letters go; the others get the predicted language."""
+    settle(spark)
     own = docs.columns
     out = identify(docs, keep=[c for c in own if c != "doc_id"])
     out = out.where("lang_pred <> 'und'").withColumn("_keep_lang", F.col("lang_pred"))
@@ -31,6 +32,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Common blocks of lines go from the later document; documents of which nothing is left go."""
+    settle(spark)
     out = line_dedup(docs.withColumn("__quire_said", F.col("text").rlike(r"\S")), counts=False)
     emptied = F.col("__quire_said") & ~F.col("text").rlike(r"\S")
     return out.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
@@ -38,16 +40,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
+    settle(spark)
     return drop_near_duplicates(docs)
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets are replaced."""
+    settle(spark)
     return replace_pii(docs, surrogate_key(spark), counts=False).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Buckets and batches."""
+    settle(spark)
     return pack(docs)
 
 

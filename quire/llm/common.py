@@ -90,6 +90,12 @@ def trim() -> None:
         pass
 
 
+def settle(spark: SparkSession) -> None:
+    """Collect garbage in the driver: only then does Spark learn which broadcasts and shuffles nobody refers to, and deletes them."""
+    trim()
+    spark.sparkContext._jvm.System.gc()
+
+
 def bits_for(keys: int, most: int = 1 << 26) -> int:
     """A power of two with about 16 bits for each key, 8 MB at most; beyond that a filter lets more keys pass that it does not hold."""
     return min(most, 1 << max(12, (16 * keys - 1).bit_length() if keys else 0))
