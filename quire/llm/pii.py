@@ -230,7 +230,8 @@ def _shifted(value: Column, key: str) -> Column:
 
 def dictionary(found: DataFrame, key: str) -> DataFrame:
     """value, surrogate, n, kind, bare (part in small letters, rank, surrogate of the parts of a name) for a table of (value, n)."""
-    typed = found.withColumn("kind", kind(F.col("value")))
+    # Read several times below, so written once: else each plan would hold the counting and the patterns of all kinds again.
+    typed = saved(found.withColumn("kind", kind(F.col("value"))), "typed")
     plain, names = typed.where("kind <> 'name'"), typed.where("kind = 'name'")
     title = F.regexp_extract("value", f"^((?:{TITLE} )++)", 1)
     parts = F.split(F.expr("substring(value, length(title) + 1)"), " ")
@@ -242,6 +243,7 @@ def dictionary(found: DataFrame, key: str) -> DataFrame:
     known = names.where("gender IS NOT NULL AND given IS NOT NULL").groupBy("given", "script").agg(F.min("gender").alias("known"))
     names = names.join(known, ["given", "script"], "left").withColumn("gender", F.coalesce("gender", "known", F.lit("n")))
     names = names.select("value", "n", "title", "given", "family", F.concat_ws("_", F.lit("given"), "gender", "script").alias("given_kind"), F.concat_ws("_", F.lit("family"), "script").alias("family_kind"))
+    names = saved(names, "names")
     tokens = (plain.select("kind", "value").unionByName(names.where("given IS NOT NULL").select(F.col("given_kind").alias("kind"), F.col("given").alias("value")))
               .unionByName(names.select(F.col("family_kind").alias("kind"), F.col("family").alias("value")))).distinct()
     dates = tokens.where("kind = 'birth'").select("kind", "value", _shifted(F.col("value"), key).alias("surrogate"))
