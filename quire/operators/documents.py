@@ -369,11 +369,12 @@ def anchors(boxes: DataFrame, pages: DataFrame, number: Column, end: Column, mar
     return rows.withColumn("__top", before).where(F.col("__top").isNull() | (F.col("problem") > F.col("__top"))).select("page", "det", "problem", F.col("y0").alias("y"), F.coalesce(F.col("__rest") >= inline, F.lit(False)).alias("inline"))
 
 
-def key_answers(blocks: DataFrame, keys: list[str], least: int = 5) -> DataFrame:
-    """keys, number, answer: keys of answers in tables (number and value in neighbouring cells) or lists, where at least `least` entries stand."""
-    cells = F.regexp_extract_all("text", F.lit(r"(?is)<t[dh][^>]*>\s*(\d{1,3})\s*[.)]?\s*</t[dh]>\s*<t[dh][^>]*>([^<]*)</t[dh]>"), F.lit(1))
-    values = F.regexp_extract_all("text", F.lit(r"(?is)<t[dh][^>]*>\s*(\d{1,3})\s*[.)]?\s*</t[dh]>\s*<t[dh][^>]*>([^<]*)</t[dh]>"), F.lit(2))
-    numbers, said = (F.regexp_extract_all("text", F.lit(r"(?m)^\s*(\d{1,3})\s*[.)]\s+(\S.{0,40}?)\s*$"), F.lit(i)) for i in (1, 2))
+def key_answers(blocks: DataFrame, keys: list[str], least: int = 5, digits: int = 3) -> DataFrame:
+    """keys, number, answer: keys of answers in tables (number and value in neighbouring cells) or lists, where at least `least` entries stand.
+    Numbers have up to `digits` digits (9 at most): on a page a longer one is a year or a value, in a long key it is an entry's."""
+    number = rf"(\d{{1,{digits}}})"
+    cells, values = (F.regexp_extract_all("text", F.lit(rf"(?is)<t[dh][^>]*>\s*{number}\s*[.)]?\s*</t[dh]>\s*<t[dh][^>]*>([^<]*)</t[dh]>"), F.lit(i)) for i in (1, 2))
+    numbers, said = (F.regexp_extract_all("text", F.lit(rf"(?m)^\s*{number}\s*[.)]\s+(\S.{{0,40}}?)\s*$"), F.lit(i)) for i in (1, 2))
     pairs = lambda a, b: F.zip_with(a, b, lambda n, v: F.struct(n.cast("int").alias("number"), F.trim(v).alias("answer")))
     entries = F.when(F.size(cells) >= least, pairs(cells, values)).when(F.size(numbers) >= least, pairs(numbers, said))
     return blocks.select(*keys, F.explode(entries).alias("x")).select(*keys, "x.*").where("answer <> '' AND upper(answer) <> 'N/A'")

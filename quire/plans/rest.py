@@ -61,7 +61,7 @@ def table_keys(spark: SparkSession, d: str) -> DataFrame:
     cell = F.concat(F.lit("<td>"), F.col("i").cast("string"), F.lit("</td><td>"), "p_name", F.lit("</td>"))
     line = F.concat(F.col("i").cast("string"), F.lit(". "), "p_name")
     blocks = sequence.joined(rows.withColumn("line", F.when(F.col("k") % 2 == 0, cell).otherwise(line)), ["k"], "i", "line", "text")
-    return documents.key_answers(blocks, ["k"])
+    return documents.key_answers(blocks, ["k"], digits=9)
 
 
 @query(f"SELECT conv_id, i AS number, {FLAT} || CASE WHEN i % 2 = 0 THEN chr(10) || 'and more' ELSE '' END AS text FROM ({TURNS}) t")
