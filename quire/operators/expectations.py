@@ -6,6 +6,8 @@ series without rules.  A page that breaks a rule is to be read again."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,18 +39,35 @@ def labels_of(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(LABEL))
 
 
-def broken(have: Column, want: Column, text: Column, layer: Column) -> dict[str, Column]:
-    """Whether each rule is broken: `have` and `want` are the numbers on the page and in its text layer."""
-    length = F.length(F.coalesce(layer, F.lit("")))
+def asked(*names: str) -> Column:
+    """Whether one of these rules holds for the page's series and kind."""
+    hits = [(F.col("series") == s) & (F.col("role") == r) for (s, r), own in RULES.items() if set(own) & set(names)]
+    return functools.reduce(lambda a, b: a | b, hits)
+
+
+def read_facts(text: Column) -> Column:
+    """What the page's rules compare of its text; what none of them asks for is null."""
+    said = F.coalesce(text, F.lit(""))
     cover = F.lit(False)
     for phrase in COVER_PHRASES:
-        cover = cover | F.contains(compact(F.coalesce(text, F.lit(""))), F.lit(phrase))
+        cover = cover | F.contains(compact(said), F.lit(phrase))
+    batch = asked("batch")
+    return F.struct(F.length(said).alias("length"), F.when(asked("labels"), labels_of(text)).alias("labels"), F.when(batch, cover).alias("cover"), F.when(batch, said.rlike(PAIRED)).alias("paired"))
+
+
+def layer_facts(layer: Column) -> Column:
+    """What the page's rules compare of its text layer."""
+    return F.struct(F.length(F.coalesce(layer, F.lit(""))).alias("length"), F.when(asked("labels"), labels_of(layer)).alias("labels"), F.when(asked("numbers", "count"), numbers_of(layer)).alias("numbers"))
+
+
+def broken(have: Column, read: Column, layer: Column) -> dict[str, Column]:
+    """Whether each rule is broken: `have` are the numbers read off the page, `read` and `layer` the facts of its text and text layer."""
     return {
-        "numbers": F.size(F.array_except(want, have)) > 0,
-        "count": F.size(have) < F.size(want),
-        "labels": labels_of(text) < labels_of(layer),
-        "share": (length >= LEAST_LAYER) & (F.length(F.coalesce(text, F.lit(""))) < LEAST_SHARE * length),
-        "batch": ~cover & ((F.size(have) == 1) | (F.coalesce(text, F.lit("")).rlike(PAIRED) & (F.size(have) < 2))),
+        "numbers": F.size(F.array_except(layer["numbers"], have)) > 0,
+        "count": F.size(have) < F.size(layer["numbers"]),
+        "labels": read["labels"] < layer["labels"],
+        "share": (layer["length"] >= LEAST_LAYER) & (read["length"] < LEAST_SHARE * layer["length"]),
+        "batch": ~read["cover"] & ((F.size(have) == 1) | (read["paired"] & (F.size(have) < 2))),
     }
 
 
@@ -56,11 +75,13 @@ def judged(pages: DataFrame, found: DataFrame, key: str = "page_key", number: st
     """key, series, role, broken (names of broken rules, in order), valid for every page.
 
     pages: key, series, role, text, layer.  found: key, number of what was read; pages of which nothing was read have no
-    row there.  Repeated rows of a page give one."""
+    row there.  Repeated rows of a page give one (the longest text and layer count).  Texts stay where they are: only what
+    the rules compare is shuffled."""
     have = found.where(F.col(number).isNotNull()).groupBy(key).agg(F.collect_set(F.col(number).cast("int")).alias("__have"))
-    rows = pages.groupBy(key, "series", "role").agg(F.max("text").alias("text"), F.max("layer").alias("layer")).join(have, key, "left")
+    facts = pages.select(key, "series", "role", read_facts(F.col("text")).alias("__read"), layer_facts(F.col("layer")).alias("__layer"))
+    rows = facts.groupBy(key, "series", "role").agg(F.max("__read").alias("__read"), F.max("__layer").alias("__layer")).join(have, key, "left")
     none = F.array().cast("array<int>")
-    rules = broken(F.coalesce("__have", none), numbers_of(F.col("layer")), F.col("text"), F.col("layer"))
+    rules = broken(F.coalesce("__have", none), F.col("__read"), F.col("__layer"))
     own = F.array().cast("array<string>")
     for (series, role), names in RULES.items():
         hit = (F.col("series") == series) & (F.col("role") == role)
