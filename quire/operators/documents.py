@@ -92,8 +92,9 @@ def ladder(attempts: DataFrame, valid: Column, page: str = "page") -> DataFrame:
     (`clean`), else the first that does not run away (`invalid`), else the first (`runaway`)."""
     rows = attempts.withColumn("__loop", runaway("text"))
     status = F.when(F.col("__loop"), 2).when(F.coalesce(valid, F.lit(False)), 0).otherwise(1)
-    best = rows.withColumn("__s", status).groupBy(page).agg(F.min(F.struct("__s", "rung", "text")).alias("x"))
-    return best.select(page, "x.rung", "x.text", F.element_at(F.array(*map(F.lit, ["clean", "invalid", "runaway"])), F.col("x.__s") + 1).alias("status"))
+    # Two aggregates: who does not ask for the text shuffles none.
+    best = rows.withColumn("__s", status).groupBy(page).agg(F.min(F.struct("__s", "rung")).alias("x"), F.min_by("text", F.struct("__s", "rung", "text")).alias("text"))
+    return best.select(page, "x.rung", "text", F.element_at(F.array(*map(F.lit, ["clean", "invalid", "runaway"])), F.col("x.__s") + 1).alias("status"))
 
 
 def suppressed(pages: DataFrame, raw: str, cleaned: str) -> DataFrame:

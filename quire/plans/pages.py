@@ -99,7 +99,8 @@ def attempt_ladder(spark: SparkSession, d: str) -> DataFrame:
     """The orders of a customer as attempts at a page; some loop, some are not valid."""
     rung = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
     text = F.when(F.col("o_orderstatus") == "P", F.repeat(F.lit("the same words over and over, and then once more from the start. "), F.lit(40))).otherwise(F.concat(F.lit("plain page "), F.col("o_orderkey").cast("string")))
-    attempts = table(spark, d, "orders").select(F.col("o_custkey").alias("page"), rung.alias("rung"), text.alias("text"), "o_orderkey")
+    numbered = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus").withColumn("rung", rung)
+    attempts = numbered.select(F.col("o_custkey").alias("page"), "rung", text.alias("text"), "o_orderkey")
     return documents.ladder(attempts, F.col("o_orderkey") % 3 != 0).select("page", "rung", "status")
 
 
