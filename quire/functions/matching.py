@@ -21,14 +21,30 @@ def words(x: str | None) -> list[str]:
     return re.findall("[a-z0-9]+", (x or "").lower())
 
 
+def match_scores(left: list[str | None], right: list[str | None]) -> np.ndarray:
+    """For each text of `left` with each of `right` order and choice of words: ratio of the first words' sequences, and
+    Jaccard similarity of all words.  Each text is read once; equal sequences have ratio 1."""
+    a, b = ([(" ".join(w[:SCORE_WORDS]), set(w)) for w in map(words, x)] for x in (left, right))
+    out, matcher = np.zeros((len(a), len(b))), SequenceMatcher(None)
+    for j, (second, these) in enumerate(b):
+        ready = False
+        for i, (first, those) in enumerate(a):
+            if not those or not these:
+                continue
+            ratio = 1.0
+            if first != second:
+                if not ready:
+                    matcher.set_seq2(second)
+                    ready = True
+                matcher.set_seq1(first)
+                ratio = matcher.ratio()
+            both = len(those & these)
+            out[i, j] = RATIO_SHARE * ratio + (1 - RATIO_SHARE) * both / (len(those) + len(these) - both)
+    return out
+
+
 def match_score(a: str | None, b: str | None) -> float:
-    """Order and choice of words: ratio of the first words' sequences, and Jaccard similarity of all words."""
-    x, y = words(a), words(b)
-    if not x or not y:
-        return 0.0
-    both = set(x) & set(y)
-    ratio = SequenceMatcher(None, " ".join(x[:SCORE_WORDS]), " ".join(y[:SCORE_WORDS])).ratio()
-    return RATIO_SHARE * ratio + (1 - RATIO_SHARE) * len(both) / len(set(x) | set(y))
+    return float(match_scores([a], [b])[0, 0])
 
 
 @F.pandas_udf(DoubleType())
@@ -120,7 +136,7 @@ def assigned(problems: DataFrame, blocks: DataFrame, key: str) -> DataFrame:
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         a, b = left.to_pylist(), right.to_pylist()
-        table = np.array([[match_score(x["text"], y["text"]) for y in b] for x in a]).reshape(len(a), len(b))
+        table = match_scores([x["text"] for x in a], [y["text"] for y in b])
         got = best_pairs(table) if a and b else []
         return pa.table({key: pa.array([a[i][key] for i, _ in got], left.schema.field(key).type), "problem": pa.array([a[i]["problem"] for i, _ in got], pa.int64()), "block_no": pa.array([b[j]["block_no"] for _, j in got], pa.int64()), "score": pa.array([float(table[i, j]) for i, j in got], pa.float64())})
 

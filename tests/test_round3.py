@@ -41,3 +41,19 @@ def test_ladder_of_attempts_carries_no_texts(spark):
     attempts = spark.createDataFrame([(1, 1, "b"), (1, 1, "a"), (1, 2, "c"), (2, 1, None)], "page long, rung int, text string")
     got = {tuple(r) for r in documents.ladder(attempts, F.col("rung") == 1).collect()}
     assert got == {(1, 1, "a", "clean"), (2, 1, None, "clean")}
+
+
+def test_scores_of_all_pairs_are_those_of_single_pairs(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["a", "b1", "the", "of", "Root", "x", "zz"], n)) for n in (0, 1, 5, 40, 90, 250, 400)] + [None, "..."]
+    texts += [texts[5], texts[6] + " more"]
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts):
+            x, y = matching.words(a), matching.words(b)
+            ratio = SequenceMatcher(None, " ".join(x[:180]), " ".join(y[:180])).ratio()
+            want = 0.7 * ratio + (1 - 0.7) * len(set(x) & set(y)) / len(set(x) | set(y)) if x and y else 0.0
+            assert matching.match_scores(texts, texts)[i, j] == want == matching.match_score(a, b)
+    read, words = [], matching.words
+    monkeypatch.setattr(matching, "words", lambda x: read.append(x) or words(x))
+    matching.match_scores(texts, texts)
+    assert len(read) == 2 * len(texts)
