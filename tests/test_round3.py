@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from quire.functions import matching
-from quire.operators import documents, expectations
+from quire.operators import dedup, documents, expectations
 from quire.plans import registry
 
 FOLDER = "/root/testdata/sf0.001"
@@ -57,3 +57,11 @@ def test_scores_of_all_pairs_are_those_of_single_pairs(monkeypatch):
     monkeypatch.setattr(matching, "words", lambda x: read.append(x) or words(x))
     matching.match_scores(texts, texts)
     assert len(read) == 2 * len(texts)
+
+
+def test_kept_steps_of_dedup_are_files_that_go(spark):
+    paths = []
+    kept = dedup._kept(spark.range(5), paths)
+    assert kept.count() == 5 and kept.inputFiles()[0].endswith(".parquet") and len(paths) == 1
+    dedup._deleted(spark, paths)
+    assert not spark.createDataFrame([(1,)], "a int").sparkSession._jvm.java.io.File(paths[0].removeprefix("file:")).exists()
