@@ -32,6 +32,13 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def dealt(rows: DataFrame, key: str, each: int = 200_000) -> DataFrame:
+    """Rows dealt by a key over partitions whose number grows with the rows (counted from the files' footers): what one
+    task sorts stays the same, and windows, groups and joins by the key need no further shuffle."""
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(least, -(-rows.count() // each)), key)
+
+
 def entries(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(F.col("lang").alias("scope"), F.col("doc_id").alias("id"), "text")
 

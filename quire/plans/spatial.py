@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.series import Layout
 from quire.operators import boxes
-from quire.plans.registry import query, table
+from quire.plans.registry import dealt, query, table
 
 # one detection a line item, one page an order; pages are 200 wide and 160 high
 DETS = """SELECT l_orderkey AS page, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS det,
@@ -20,7 +20,7 @@ def dets(spark: SparkSession, d: str) -> DataFrame:
     i = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"))
     kind = F.col("l_partkey") % 4
     x, y = (F.col("l_partkey") % 150).cast("double"), (F.col("l_suppkey") % 130).cast("double")
-    return table(spark, d, "lineitem").select(
+    return dealt(table(spark, d, "lineitem"), "l_orderkey").select(
         F.col("l_orderkey").alias("page"), i.cast("long").alias("det"), F.when(kind == 1, "Text").when(kind == 2, "Section-header").otherwise("Picture").alias("label"), (F.col("l_quantity") / 50).alias("score"),
         x.alias("x0"), y.alias("y0"), (x + 1 + F.col("l_quantity")).alias("x1"), (y + 1 + F.col("l_linenumber") * 9).alias("y1"), (F.col("l_discount") / 10).alias("ink"), F.col("l_returnflag").alias("flag"), F.lit("said").alias("text"))
 

@@ -59,6 +59,12 @@ def test_scores_of_all_pairs_are_those_of_single_pairs(monkeypatch):
     assert len(read) == 2 * len(texts)
 
 
+def test_parts_of_a_table_grow_with_its_rows(spark):
+    rows = spark.range(1000).withColumnRenamed("id", "k")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [registry.dealt(rows, "k", each).rdd.getNumPartitions() for each in (10, 1000)] == [100, least]
+
+
 def test_kept_steps_of_dedup_are_files_that_go(spark):
     paths = []
     kept = dedup._kept(spark.range(5), paths)
