@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from quire.functions import matching
+from quire.llm import common
 from quire.operators import dedup, documents, expectations
 from quire.plans import registry
 
@@ -71,3 +72,10 @@ def test_kept_steps_of_dedup_are_files_that_go(spark):
     assert kept.count() == 5 and kept.inputFiles()[0].endswith(".parquet") and len(paths) == 1
     dedup._deleted(spark, paths)
     assert not spark.createDataFrame([(1,)], "a int").sparkSession._jvm.java.io.File(paths[0].removeprefix("file:")).exists()
+
+
+def test_a_settled_driver_gives_native_memory_back(spark, monkeypatch):
+    done, give = [], common.trim_jvm
+    monkeypatch.setattr(common, "trim_jvm", lambda s: done.append(give(s)))
+    common.settle(spark)
+    assert done == [True]
