@@ -339,8 +339,10 @@ def stream_guard(spark: SparkSession, d: str) -> DataFrame:
     at the third chunk; the others are read to their end."""
     words = F.transform(F.sequence(F.lit(1), F.lit(400)), lambda i: ((F.col("c_custkey") * 7919 + i * 104729) % 1000003).cast("string"))
     page = F.when(F.col("c_custkey") % 10 == 0, F.repeat(F.lit("the same words over and over again, once more from the start. "), F.lit(96))).otherwise(F.array_join(words, " "))
-    chunks = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("page_key"), F.posexplode(F.regexp_extract_all(page, F.lit("(?s).{1,512}"), F.lit(0))).alias("seq", "chunk"))
-    return guard.guard_files(chunks)
+    pages = dealt(table(spark, d, "customer").select("c_custkey"), "c_custkey", 20_000).select(F.col("c_custkey").cast("string").alias("page_key"), F.regexp_extract_all(page, F.lit("(?s).{1,512}"), F.lit(0)).alias("parts"))
+    # _outer: else a test whether there are parts would make all texts before they are dealt, in as few tasks as there are files
+    chunks = pages.select("page_key", F.size("parts").alias("n"), F.posexplode_outer("parts").alias("seq", "chunk"))
+    return guard.guard_files(chunks.withColumn("last", F.col("seq") == F.col("n") - 1))
 
 
 @query(r"""SELECT conv_id, CAST(turn + 1 AS BIGINT) AS problem, trim(text, ' ') AS text FROM conversations""")

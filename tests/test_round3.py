@@ -11,6 +11,7 @@ from quire.functions import matching
 from quire.llm import common
 from quire.operators import dedup, documents, expectations
 from quire.plans import registry
+from quire.streaming import guard
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -79,3 +80,21 @@ def test_a_settled_driver_gives_native_memory_back(spark, monkeypatch):
     monkeypatch.setattr(common, "trim_jvm", lambda s: done.append(give(s)))
     common.settle(spark)
     assert done == [True]
+
+
+def test_pages_of_a_stream_share_groups_and_states(spark, tmp_path):
+    """Forty open pages are two states; each page's words are its own, over a restart too."""
+    spark.conf.set(guard.PROVIDER, guard.ROCKS)
+    rows = [(f"p{k}", i, "again and again " * 50 if k % 4 == 0 else f"{k} {i} {k * 7919 % 1009}. " * (i + 1), i == 3) for k in range(40) for i in range(4)]
+    schema = "page_key string, seq long, chunk string, last boolean"
+    try:
+        for n, (lo, hi, states) in enumerate([(0, 2, 2), (2, 4, 0)]):
+            spark.createDataFrame([r for r in rows if lo <= r[1] < hi], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            run = guard.write_guarded(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp"), buckets=2)
+            assert run.awaitTermination(120)
+            assert run.lastProgress["stateOperators"][0]["numRowsTotal"] == states
+    finally:
+        spark.conf.unset(guard.PROVIDER)
+    got = {r["page_key"]: (r["chars"], r["runaway"]) for r in guard.last_words(spark, str(tmp_path / "out")).collect()}
+    size = lambda k: sum(len(x[2]) for x in rows if x[0] == k)
+    assert got == {k: (1600, True) if int(k[1:]) % 4 == 0 else (size(k), False) for k in {x[0] for x in rows}}
