@@ -117,7 +117,8 @@ def answer_rows(words: DataFrame) -> DataFrame:
     bare = F.lower(F.rtrim(F.trim("word"), F.lit(":")))
     label = words.where(bare == "answer").select(F.col("page").alias("__page"), F.col("block").alias("__block"), F.col("x1").alias("a_x1"), F.col("y0").alias("a_y0"), F.col("y1").alias("a_y1"))
     common, least = F.greatest(F.lit(0.0), F.least("y1", "a_y1") - F.greatest("y0", "a_y0")), F.least(F.col("y1") - F.col("y0"), F.col("a_y1") - F.col("a_y0"))
-    cond = (F.col("page") == F.col("__page")) & (F.col("block") == F.col("__block")) & (F.col("x0") >= F.col("a_x1")) & (least > 0) & (common >= 0.5 * least)
+    # Not written as equality of blocks, which would shuffle words by page and block that are dealt by page.
+    cond = (F.col("page") == F.col("__page")) & F.col("block").between(F.col("__block"), F.col("__block")) & (F.col("x0") >= F.col("a_x1")) & (least > 0) & (common >= 0.5 * least)
     return words.where(bare != "answer").join(label, cond, "left_semi")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quire.functions import answers, cleaners, text
 from quire.operators import boxes, dedup, layout, sequence, sinks
 from quire.plans.pages import EVENTS, event_pages, values
-from quire.plans.registry import MARKS, marks, query, table
+from quire.plans.registry import MARKS, dealt, marks, query, table
 from quire.plans.spatial import DETS, pages, pics
 
 
@@ -117,7 +117,7 @@ def noise_commands(spark: SparkSession, d: str) -> DataFrame:
 WHERE NOT (d.det = 1 AND o_orderkey % 3 <> 0) AND NOT (d.det = 2 AND o_orderkey % 2 = 0)""")
 def answer_boxes(spark: SparkSession, d: str) -> DataFrame:
     """Boxed answers go: on an answer row (two of three pages have one), or in a drawn frame around a word (every second page)."""
-    k, o = F.col("o_orderkey"), table(spark, d, "orders")
+    k, o = F.col("o_orderkey"), dealt(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 50_000)
     at = lambda names, *v: [F.lit(float(x)).alias(n) for n, x in zip(names, v)]
     edges = ["x0", "y0", "x1", "y1"]
     word = lambda block, x, *v: F.struct(F.lit(block).alias("block"), x.alias("word"), *at(edges, *v))

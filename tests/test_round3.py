@@ -98,3 +98,14 @@ def test_pages_of_a_stream_share_groups_and_states(spark, tmp_path):
     got = {r["page_key"]: (r["chars"], r["runaway"]) for r in guard.last_words(spark, str(tmp_path / "out")).collect()}
     size = lambda k: sum(len(x[2]) for x in rows if x[0] == k)
     assert got == {k: (1600, True) if int(k[1:]) % 4 == 0 else (size(k), False) for k in {x[0] for x in rows}}
+
+
+def test_boxes_of_answers_are_dealt_once(spark):
+    """All joins of a page use the deal whose parts grow with the pages: no other shuffle has a fixed number of them."""
+    name, was = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(name, "-1")
+    try:
+        plan = registry.queries()["answer_boxes"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, was)
+    assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
