@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -85,21 +86,34 @@ class Series:
             out = F.when(~line.rlike(pattern), out)
         return out
 
+    @cached_property
+    def _compiled(self) -> tuple[list[re.Pattern], re.Pattern | None, list[tuple[re.Pattern, Number]], re.Pattern | None]:
+        """The patterns of `match`, looked up once instead of for each line."""
+        one = lambda p: re.compile(p) if p else None
+        return [re.compile(p) for p in self.refused], one(self.skipped), [(re.compile(p), number) for p, number in self.rules], one(self.follows)
+
+    @cached_property
+    def known(self) -> dict[str, object]:
+        """What a reader made of short lines, which recur from page to page; it keeps the number of them bounded."""
+        return {}
+
     def match(self, line: str) -> tuple[int, int] | None:
         """(number, end) as `marker` gives them, for one line."""
-        if any(re.search(p, line) for p in self.refused):
-            return None
-        lead = m.end() if self.skipped and (m := re.match(self.skipped, line)) else 0
+        refused, skipped, rules, follows = self._compiled
+        for pattern in refused:
+            if pattern.search(line):
+                return None
+        lead = m.end() if skipped and (m := skipped.match(line)) else 0
         probe = line[lead:]
-        for i, (pattern, number) in enumerate(self.rules):
-            m = re.match(pattern, probe)
+        for i, (pattern, number) in enumerate(rules):
+            m = pattern.match(probe)
             if not m or not m[0]:
                 continue
             value, rest = number.value(lambda g, m=m: m[g]), probe[m.end() :]
             if self.most is not None and i >= self.capped_from:
                 if value > self.most or (self.instructions and re.match(r"(?i)\s*(?:" + "|".join(self.instructions) + r")\b", rest)):
                     return None
-            if self.follows and not re.search(self.follows, rest):
+            if follows and not follows.search(rest):
                 return None
             return value, lead + m.end()
         return None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from quire.functions import matching
 from quire.llm import common
-from quire.operators import dedup, documents, expectations
+from quire.functions.series import Layout, series
+from quire.operators import dedup, documents, expectations, layout
 from quire.plans import registry
 from quire.streaming import guard
 
@@ -109,3 +111,15 @@ def test_boxes_of_answers_are_dealt_once(spark):
     finally:
         spark.conf.set(name, was)
     assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
+
+
+def test_pages_without_tags_are_not_searched_for_them(monkeypatch):
+    """A plain page costs no search for tags, and a line no look-up of patterns; what is read stays the same."""
+    page, rules = "1. said 1\n3. said 2\n\n2. said 3", series("default")
+    read = lambda x: layout.Reader(rules, Layout({"flat": True})).read(x)
+    want = read(page + "\n<br/>")
+    monkeypatch.setattr(layout, "IMAGE", None)
+    monkeypatch.setattr(layout, "FURNITURE", None)
+    monkeypatch.setattr(re, "match", None)
+    assert read(page) == [("text", 1, "said 1"), ("text", 3, "said 2\n2. said 3")]
+    assert want[0] == ("text", 1, "said 1")
