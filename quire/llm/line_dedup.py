@@ -35,7 +35,11 @@ from .common import ROW, hot_join, rejoin, row_key, saved, spread_join
 MIN_BLOCK_WORDS = 25
 # Thai, Lao, Tibetan, Burmese, Khmer, kana and Han: scripts without spaces, where each character counts as a word.
 NO_SPACE = r"\u0E00-\u0EFF\u0F00-\u109F\u1780-\u17FF\u2E80-\u2FDF\u3005-\u3007\u3021-\u30FA\u30FC-\u30FF\u3400-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\x{20000}-\x{3FFFF}"
-WORD = rf"[{NO_SPACE}]|[^\s{NO_SPACE}\u3001-\u3003\u3008-\u3011\u30FB\uFF01-\uFF0F\uFF1A-\uFF20]+"
+# Marks of these scripts, which stand in no word.
+MARKS = r"\u3001-\u3003\u3008-\u3011\u30FB\uFF01-\uFF0F\uFF1A-\uFF20"
+# All of both lie here: a character below needs one comparison, not one with each range.
+HIGH = r"\u0E00-\x{10FFFF}"
+WORD = rf"[{HIGH}&&[{NO_SPACE}]]|[[^\s{HIGH}][{HIGH}&&[^{NO_SPACE}{MARKS}]]]+"
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
