@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, components, hot_join, rejoin, row_key, saved, spread_join, trim
+from .common import ROW, components, hot_join, rejoin, row_key, saved, shuffled, spread_join, trim
 
 NGRAM = 5
 THRESHOLD = 0.8
@@ -153,7 +153,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> D
     both, total = pairs, pairs.count()
     for side in "ab":  # a node may be in many pairs on either side
         count = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("n"))
-        both = spread_join(both, count.join(texts.select(F.col("id").alias(side), F.col("t").alias(f"t{side}")), side), side, "n", total).drop("n")
+        both = spread_join(both, count.join(shuffled(texts.select(F.col("id").alias(side), F.col("t").alias(f"t{side}"))), side), side, "n", total).drop("n")
     both = both.select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,14 +185,14 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = NGR
     nodes = saved(signed.groupBy("digest").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("n"), F.min("sig").alias("sig"), F.min("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()), "nodes")
     members = hot_join(signed.select("id", "digest"), nodes.select("digest", "node", "n"), "digest", "n", signed.count()).select("id", "node")
     several = members.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
-    same_id = saved(members.join(several, "id").where("node <> a").select("a", F.col("node").alias("b")).distinct(), "same_id")
+    same_id = saved(members.join(shuffled(several), "id").where("node <> a").select("a", F.col("node").alias("b")).distinct(), "same_id")
 
     band = nodes.select("node", F.posexplode("bands").alias("band", "bucket")).distinct()
     sized = band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     total = nodes.count() * bands
     meets = saved(hot_join(band, sized, "bucket", "n", total).where("n IS NOT NULL"), "buckets")
     weight = meets.groupBy("node").agg(F.sum("n").alias("weight"))
-    centre = meets.join(weight, "node").groupBy("bucket").agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("centre"), F.max("n").alias("n"))
+    centre = meets.join(shuffled(weight), "node").groupBy("bucket").agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("centre"), F.max("n").alias("n"))
     star = hot_join(meets.select("bucket", "node"), centre, "bucket", "n", total).where("centre <> node").select("centre", "node")
     few = meets.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_set("node")).alias("all"))
     few = few.select(F.posexplode("all").alias("at", "x"), "all").select("x", F.explode(F.expr("slice(all, at + 2, size(all))")).alias("y"))
@@ -201,18 +201,18 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = NGR
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(meets.where(F.col("n") > SMALL).select("node"))
     wanted = wanted.unionByName(same_id.select(F.col("a").alias("node"))).unionByName(same_id.select(F.col("b").alias("node"))).distinct()
     source = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(row_key(key, text).alias(ROW), F.col(text).alias("t"))
-    texts = rejoin(source, nodes.join(wanted, "node").select(F.col("row").alias(ROW), "node"), "left").where("node IS NOT NULL")
+    texts = rejoin(source, nodes.join(shuffled(wanted), "node").select(F.col("row").alias(ROW), "node"), "left").where("node IS NOT NULL")
     texts = saved(texts.groupBy(F.col("node").alias("id")).agg(F.min("t").alias("t")), "texts")
     edges = saved(_verified(pairs, texts, n, threshold), "edges")
     roots = components(edges.select("a", "b").unionByName(same_id))
 
     # Large buckets whose nodes are not all in one component yet.
-    large = meets.where(F.col("n") > SMALL).join(roots, "node", "left").select("bucket", "band", "node", "n", F.coalesce("root", "node").alias("root"))
+    large = meets.where(F.col("n") > SMALL).join(shuffled(roots), "node", "left").select("bucket", "band", "node", "n", F.coalesce("root", "node").alias("root"))
     parts = large.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max_by("root", F.struct("m", "root")).alias("main"), F.sum("m").alias("n")).where("parts > 1")
     if not parts.isEmpty():
-        rest = saved(hot_join(large.select("bucket", "band", "node", "root"), parts, "bucket", "n", total).where("main IS NOT NULL").join(nodes.select("node", "sig", "bands"), "node"), "rest")
-        wide = _wider(texts.join(rest.select(F.col("node").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("node"), "t"), n)
-        rest = saved(rest.join(saved(wide, "wide"), "node").withColumn("sig", F.concat("sig", "more")).drop("more"), "rest")
+        rest = saved(hot_join(large.select("bucket", "band", "node", "root"), parts, "bucket", "n", total).where("main IS NOT NULL").join(shuffled(nodes.select("node", "sig", "bands")), "node"), "rest")
+        wide = _wider(texts.join(shuffled(rest.select(F.col("node").alias("id")).distinct()), "id", "left_semi").select(F.col("id").alias("node"), "t"), n)
+        rest = saved(rest.join(shuffled(saved(wide, "wide")), "node").withColumn("sig", F.concat("sig", "more")).drop("more"), "rest")
         block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK).cast("long"))
         held = F.collect_list(F.struct("node", "root", "sig", "bands", (F.col("root") != F.col("main")).alias("odd")))
         every = rest.groupBy("bucket", "band", block.alias("k")).agg(held.alias("all"))
@@ -238,7 +238,7 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = NGR
                             b.append(max(x["node"], j))
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-        more = odd.join(every, ["bucket", "band"]).select("band", "some", "all").mapInArrow(near, "a bigint, b bigint").distinct().join(pairs, ["a", "b"], "left_anti")
+        more = odd.join(shuffled(every), ["bucket", "band"]).select("band", "some", "all").mapInArrow(near, "a bigint, b bigint").distinct().join(shuffled(pairs), ["a", "b"], "left_anti")
         found = saved(_verified(saved(more, "more"), texts, n, threshold), "edges2")
         if not found.isEmpty():
             edges = edges.unionByName(found)
@@ -271,7 +271,7 @@ def link_counts(roots: DataFrame, texts: DataFrame, n: int = NGRAM, threshold: f
     A component is cut into blocks of bounded size; two blocks meet in one task, as matrices whose product holds all
     intersections, and only counts leave the task.  So no pair becomes a row."""
     length = texts.select(F.col("id").alias("node"), F.length("t").alias("chars"))
-    sized = roots.join(length, "node").groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+    sized = roots.join(shuffled(length), "node").groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
     sized = saved(sized.select("root", "n", F.ceil(F.greatest(F.col("n") / LINK_BLOCK, F.col("chars") / LINK_CHARS)).cast("int").alias("blocks")), "components")
     placed = hot_join(roots, sized, "root", "n", roots.count()).where("n > 2").select("node", "root", "blocks")
 
@@ -282,7 +282,7 @@ def link_counts(roots: DataFrame, texts: DataFrame, n: int = NGRAM, threshold: f
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], found], names=["node", "root", "blocks", "grams"])
 
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    held = placed.join(texts.select(F.col("id").alias("node"), "t"), "node").select("node", "root", "blocks", "t").mapInArrow(grams, "node bigint, root bigint, blocks int, grams binary")
+    held = placed.join(shuffled(texts.select(F.col("id").alias("node"), "t")), "node").select("node", "root", "blocks", "t").mapInArrow(grams, "node bigint, root bigint, blocks int, grams binary")
     held = held.withColumn("own", own).select("root", "node", "own", "grams", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     held = held.select("root", "node", "own", "grams", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
 
@@ -312,12 +312,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     """key, class_id, class_size, n_links (0 without count_links), kept for every row."""
     members, roots, texts = links(docs, key, text, n, threshold, recall)
     degree = link_counts(roots, texts, n, threshold) if count_links else roots.select("node", F.lit(0).cast("long").alias("n_links"))
-    classed = members.join(roots, "node", "left").join(degree, "node", "left").select("id", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    classed = members.join(shuffled(roots), "node", "left").join(shuffled(degree), "node", "left").select("id", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
     # Nodes of one id share a root.
     one = saved(classed.groupBy("id").agg(F.min("root").alias("root"), F.max("n_links").alias("n_links")), "members")
     named = one.groupBy("root").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n"))
     one = hot_join(one, named, "root", "n", one.count()).select("id", "class_id", "n_links")
-    rows = docs.select(F.col(key).cast("long").alias("id")).join(one, "id", "left").select("id", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    rows = docs.select(F.col(key).cast("long").alias("id")).join(shuffled(one), "id", "left").select("id", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
     rows = saved(rows, "classed")
     sizes = rows.groupBy("class_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     out = hot_join(rows, sizes.where("class_id IS NOT NULL"), "class_id", "n", rows.count())
@@ -335,6 +335,6 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     out = rejoin(docs.withColumn(ROW, F.col(key).cast("long")), gone, "left_anti")
     again = found.where(f"NOT kept AND `{key}` = class_id").select(F.col(key).alias(ROW)).distinct()
     if not again.isEmpty():  # an id with several rows
-        twice = out.join(again, ROW, "left_semi").withColumn("__quire_at", F.row_number().over(Window.partitionBy(ROW).orderBy(row_key(key, text)))).where("__quire_at = 1")
-        out = out.join(again, ROW, "left_anti").unionByName(twice.drop("__quire_at"))
+        twice = out.join(shuffled(again), ROW, "left_semi").withColumn("__quire_at", F.row_number().over(Window.partitionBy(ROW).orderBy(row_key(key, text)))).where("__quire_at = 1")
+        out = out.join(shuffled(again), ROW, "left_anti").unionByName(twice.drop("__quire_at"))
     return out.select(*docs.columns)
