@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, hot_join, rejoin, row_key, saved, spread_join
+from .common import ROW, hot_join, rejoin, row_key, saved, shuffled, spread_join
 
 MIN_BLOCK_WORDS = 25
 # Thai, Lao, Tibetan, Burmese, Khmer, kana and Han: scripts without spaces, where each character counts as a word.
@@ -282,9 +282,9 @@ def deletions(docs: DataFrame, key: str = "doc_id", text: str = "text", min_bloc
     first = saved(first.where("o.id <> z.id").select("a", F.col("o.id").alias("owner_id"), F.col("o.row").alias("owner"), "n"), "owners")
     pairs = hot_join(anchors, first, "a", "n", anchors.count()).where("owner IS NOT NULL AND id > owner_id")
     pairs = saved(pairs.select("row", "owner").distinct(), "pairs")
-    owners = pairs.groupBy("owner").agg(F.count(F.lit(1)).alias("n")).join(held.select(F.col("row").alias("owner"), F.col("at").alias("oat"), F.col("h").alias("oh")), "owner")
+    owners = pairs.groupBy("owner").agg(F.count(F.lit(1)).alias("n")).join(shuffled(held.select(F.col("row").alias("owner"), F.col("at").alias("oat"), F.col("h").alias("oh"))), "owner")
     # a document of many owners is dealt over copies, as an owner of many documents is
-    laters = pairs.groupBy("row").agg(F.count(F.lit(1)).alias("m")).join(held.select("row", "at", "pos", "h", "w"), "row")
+    laters = pairs.groupBy("row").agg(F.count(F.lit(1)).alias("m")).join(shuffled(held.select("row", "at", "pos", "h", "w")), "row")
     total = pairs.count()
     both = spread_join(spread_join(pairs, owners, "owner", "n", total).select("row", "owner", "oat", "oh"), laters, "row", "m", total)
 

@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import pytest
 
-from quire.llm import common, ngram_join
+from quire.llm import common, line_dedup, ngram_join, pii
 
 RUNS = {
     "near_duplicates": (ngram_join, ngram_join.near_duplicates),
     "drop_near_duplicates": (ngram_join, ngram_join.drop_near_duplicates),
+    "line_dedup": (line_dedup, line_dedup.line_dedup),
+    "replace_pii": (pii, lambda docs: pii.replace_pii(docs, "k")),
 }
 
 
