@@ -160,21 +160,80 @@ def _fifth(*forms: Column) -> Column:
     return F.element_at(F.array(*forms), (F.col("o_orderkey") % 5).cast("int") + 1)
 
 
+# name: (options of the layout, series of the markers, problem carried on, page, items expected); {k} is the order's key
+LAYOUT_PAGES: dict[str, tuple[dict, str, int | None, str, list[tuple[str, int | None, str]]]] = {
+    "plain": ({}, "default", None, "head\n1. one\nmore <img>fig</img> tail\n2. two n{k}", [("text", None, "head"), ("text", 1, "one\nmore"), ("image", 1, "fig"), ("text", 1, "tail"), ("text", 2, "two n{k}")]),
+    "restart_at_one": ({}, "default", None, "1. a\n2. b\n1. c n{k}", [("text", 1, "a"), ("text", 2, "b"), ("text", 3, "c n{k}")]),
+    "strict_needs_heading": ({"numbering": {"strict": True}}, "default", None, "1. a\n2. b\n1. c\n# Round\n1. d n{k}", [("text", 1, "a"), ("text", 2, "b\n1. c\n# Round"), ("text", 3, "d n{k}")]),
+    "flat": ({"numbering": {"flat": True}}, "default", None, "1. a\n# Part\n1. b\n2. c n{k}", [("text", 1, "a\n# Part\n1. b"), ("text", 2, "c n{k}")]),
+    "consecutive": ({"numbering": {"consecutive": True}}, "default", None, "1. a\n7. b\n2. c n{k}", [("text", 1, "a\n7. b"), ("text", 2, "c n{k}")]),
+    "backward": ({"numbering": {"backward": True}}, "default", None, "4. a\n2. b\n5. c n{k}", [("text", 4, "a"), ("text", 2, "b"), ("text", 5, "c n{k}")]),
+    "carried": ({}, "default", 6, "rest of six\n7. seven n{k}", [("text", 6, "rest of six"), ("text", 7, "seven n{k}")]),
+    "carried_restart": ({}, "default", 6, "3. three n{k}", [("text", 9, "three n{k}")]),
+    "points": ({"numbering": {"point_values": True}}, "default", None, "1. [3] a\n2. list\n2. [4] b n{k}", [("text", 1, "[3] a\n2. list"), ("text", 2, "[4] b n{k}")]),
+    "points_in_bold": ({}, "default", None, "27. **[13]** statement n{k}", [("text", 27, "[13] statement n{k}")]),
+    "page_restart": ({"numbering": {"strict": True, "page_restart": True}}, "default", 10, "1. [5] a\n2. [6] b n{k}", [("text", 11, "[5] a"), ("text", 12, "[6] b n{k}")]),
+    "page_restart_not_first": ({"numbering": {"strict": True, "page_restart": True}}, "default", 10, "tail\n1. [5] a n{k}", [("text", 10, "tail\n1. [5] a n{k}")]),
+    "list_items": ({"list_items": True}, "default", None, "<ol><li>first n{k}</li>\n<li>second<br>line</li></ol>", [("text", 1, "first n{k}"), ("text", 2, "second line")]),
+    "point_items": ({"point_items": True}, "default", None, "<li>[7] statement</li>\n<li>\n[8] other n{k}</li>\n<li>plain</li>", [("text", 1, "[7] statement"), ("text", 2, "[8] other n{k}\nplain")]),
+    "titles": ({"titles": True}, "default", None, "# Balance\n1. do this\n2. or that n{k}\n# Solutions\n# Two\n2. y", [("text", 1, "# Balance\ndo this\n2. or that n{k}\n# Solutions"), ("text", 2, "# Two\ny")]),
+    "column_of_blanks": ({}, "default", None, "1. ____ dollars\n2. ____ cm\n3. What\n4. ____\nWho n{k}", [("text", 3, "What"), ("text", 4, "Who n{k}")]),
+    "repeated_blank": ({}, "default", None, "4. a\n4. ____\n5. b n{k}", [("text", 4, "a"), ("text", 5, "b n{k}")]),
+    "points_alone": ({}, "default", None, "1. a\n(5)\n①\nb ____ c n{k}", [("text", 1, "a\nb  c n{k}")]),
+    "glued_word": ({}, "default", None, "1. a $$x$$ **Problem 2** The $$y$$ 3. Now n{k}", [("text", 1, "a $$x$$"), ("text", 2, "The $$y$$ 3. Now n{k}")]),
+    "glued_bare": ({"glued_bare": True}, "default", None, "1. a $$x$$ 2. The b n{k}", [("text", 1, "a $$x$$"), ("text", 2, "The b n{k}")]),
+    "image_as_statement": ({}, "default", None, "5. <img>5. A drawn n{k} one</img>", [("text", 5, "A drawn n{k} one"), ("image", 5, "5. A drawn n{k} one")]),
+    "furniture": ({}, "default", None, "<watermark>x</watermark>1. a n{k}<page_number>3</page_number>", [("text", 1, "a n{k}")]),
+    "table_kept": ({}, "default", None, "1. a\n<table>\n<tr><td>2. x</td></tr></table>\nb n{k}", [("text", 1, "a\n<table> <tr><td>2. x</td></tr></table>\nb n{k}")]),
+    "table_rows": ({"table_rows": True}, "default", None, "<table><tr><td>1. ____</td><td>What n{k}?</td></tr><tr><td>2. ____ cm</td><td>How<br>long</td></tr><tr><td>a</td><td>b</td></tr><tr><td>①</td></tr></table>", [("text", 1, "What n{k}?"), ("text", 2, "How\nlong\n<table><tr><td>a</td><td>b</td></tr></table>")]),
+    "table_of_data": ({"table_rows": True, "numbering": {"consecutive": True, "strict": True}}, "default", None, "1. a\n<table><tr><td>9. x</td><td>y n{k}</td></tr></table>", [("text", 1, "a\n<table><tr><td>9. x</td><td>y n{k}</td></tr></table>")]),
+    "table_lists": ({"table_rows": True}, "default", None, "<table><tr><td><ol><li>What</li><li>Who n{k}</li></ol></td><td><ol><li>____</li><li>___</li></ol></td></tr></table>", [("text", 1, "What"), ("text", 2, "Who n{k}")]),
+    "table_packed": ({"table_rows": True}, "default", None, "<table><tr><td>1. What is 3? 2. Who n{k}? 12. no</td><td>1. ____<br>2. ____</td></tr></table>", [("text", 1, "What is 3?"), ("text", 2, "Who n{k}? 12. no")]),
+    "table_image": ({"table_rows": True}, "default", None, "<table><tr><td>3. ____</td><td><img>Find n{k} <b>x</b></img></td></tr></table>", [("text", 3, "Find n{k} x")]),
+    "relay": ({}, "cmimc", None, "1-1. a\n6-2. b\n7-1. c n{k}", [("text", 1, "a"), ("text", 6, "b"), ("text", 17, "c n{k}")]),
+    "instructions": ({}, "cmimc", None, "1. Do not look\n2. Find n{k} x", [("text", None, "1. Do not look"), ("text", 2, "Find n{k} x")]),
+    "appendix": ({"numbering": {"backward": True}}, "farml_solutions", None, "T8 a\nT9 b\nAppendix to T8 c n{k}", [("text", 8, "a"), ("text", 9, "b"), ("text", 8, "c n{k}")]),
+    "crossword": ({}, "pumac", None, "12 Across x\n7 Down y n{k}", [("text", 1012, "Across x"), ("text", 2007, "Down y n{k}")]),
+    "byline": ({}, "nimo", None, "1. *(Ann Lee)* x\n2. (n = 2) y n{k}", [("text", 1, "(Ann Lee)* x\n2. (n = 2) y n{k}")]),
+}
+
+
+def _layout_sql() -> str:
+    said = lambda x: "'" + x.replace("'", "''") + "'"
+    rows = [(i, said("page_" + name), at, said(kind), "NULL" if problem is None else problem, said(text)) for i, (name, case) in enumerate(LAYOUT_PAGES.items()) for at, (kind, problem, text) in enumerate(case[4])]
+    values = ", ".join("({})".format(", ".join(map(str, r))) for r in rows)
+    return f"SELECT s.options, o_orderkey AS l_orderkey, CAST(s.item_no AS INTEGER) AS item_no, s.kind, CAST(s.problem AS BIGINT) AS problem, replace(s.text, '{{k}}', o_orderkey::VARCHAR) AS text FROM orders JOIN (VALUES {values}) s(form, options, item_no, kind, problem, text) ON o_orderkey % {len(LAYOUT_PAGES)} = s.form"
+
+
 LINES = "SELECT l_orderkey, l_linenumber AS pos, min(l_partkey) % 8 + 1 AS n FROM lineitem GROUP BY 1, 2"
 
 
 @query(f"""WITH l AS ({LINES}), m AS (SELECT *, max(n) OVER (PARTITION BY l_orderkey ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top, lag(n) OVER (PARTITION BY l_orderkey ORDER BY pos) AS before FROM l),
 k AS (SELECT 'flat' AS options, l_orderkey, pos, n, top IS NULL OR n > top AS opens FROM m UNION ALL SELECT 'backward', l_orderkey, pos, n, before IS NULL OR n <> before FROM m),
 g AS (SELECT *, sum(opens::INT) OVER (PARTITION BY options, l_orderkey ORDER BY pos) - 1 AS item FROM k)
-SELECT options, l_orderkey, CAST(item AS INTEGER) AS item_no, CAST(min(n) FILTER (opens) AS BIGINT) AS problem, string_agg(CASE WHEN opens THEN '' ELSE n || '. ' END || 'said ' || pos, chr(10) ORDER BY pos) AS text FROM g GROUP BY 1, 2, 3""")
+SELECT options, l_orderkey, CAST(item AS INTEGER) AS item_no, 'text' AS kind, CAST(min(n) FILTER (opens) AS BIGINT) AS problem, string_agg(CASE WHEN opens THEN '' ELSE n || '. ' END || 'said ' || pos, chr(10) ORDER BY pos) AS text FROM g GROUP BY 1, 2, 3
+UNION ALL {_layout_sql()}""")
 def layout_cases(spark: SparkSession, d: str) -> DataFrame:
-    """Orders as pages whose line items bear numbers in any order: which open problems if pages are flat, or may turn back."""
+    """Orders as pages whose line items bear numbers in any order: which open problems if pages are flat, or may turn back;
+    and orders as pages of LAYOUT_PAGES by turns: every rule by which markers, lists, titles, tables and images become items."""
     lines = table(spark, d, "lineitem").groupBy("l_orderkey", F.col("l_linenumber").alias("pos")).agg((F.min("l_partkey") % 8 + 1).alias("n"))
     lines = lines.withColumn("line", F.concat(F.col("n").cast("string"), F.lit(". said "), F.col("pos").cast("string")))
     docs, out = sequence.joined(lines, ["l_orderkey"], "pos", "line", "text"), None
     for name, options in (("flat", {"flat": True}), ("backward", {"flat": True, "backward": True})):
-        found = layout.items(docs, "l_orderkey", "text", layout=Layout(options)).select(F.lit(name).alias("options"), "l_orderkey", "item_no", "problem", "text")
+        found = layout.items(docs, "l_orderkey", "text", layout=Layout(options)).select(F.lit(name).alias("options"), "l_orderkey", "item_no", "kind", "problem", "text")
         out = found if out is None else out.unionByName(found)
+    # pages that are read alike in one run
+    alike: dict[str, list[int]] = {}
+    for i, (options, rules, first, _, _) in enumerate(LAYOUT_PAGES.values()):
+        alike.setdefault(repr((options, rules, first)), []).append(i)
+    form, cases = (F.col("o_orderkey") % len(LAYOUT_PAGES)).cast("int"), list(LAYOUT_PAGES.values())
+    one = lambda values: F.element_at(F.array(*map(F.lit, values)), form + 1)
+    for forms in alike.values():
+        options, rules, first = cases[forms[0]][:3]
+        key = F.struct("o_orderkey", one([f"page_{x}" for x in LAYOUT_PAGES]).alias("options")).alias("key")
+        pages = table(spark, d, "orders").where(form.isin(forms)).select(key, F.replace(one([x[3] for x in cases]), F.lit("{k}"), F.col("o_orderkey").cast("string")).alias("text"))
+        found = layout.items(pages, "key", "text", rules, Layout(**options), first)
+        out = out.unionByName(found.select("key.options", F.col("key.o_orderkey").alias("l_orderkey"), "item_no", "kind", "problem", "text"))
     return out
 
 
